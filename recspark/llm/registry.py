@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import mixing, sharding, url_filter
+from recspark.llm import archives, mixing, rule_lists, sharding, url_filter
 from recspark.llm.scratch import table
 
 
@@ -14,12 +14,24 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.shuffle_into_shards(docs, 40, sharding.new_shard_path(docs)))
 
 
+def op5_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.archived_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_copies(mixing.narrow_rows(table(spark, sf_dir, "documents")))
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth")
     return plan.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), each).drop("nth")
 
 
+#: Labels of documents with this remainder are held out: learning never sees them.
+HELD_OUT = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 0
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_lists.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~HELD_OUT)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.filter_urls(pages, url_filter.listed_from(pages), url_filter.RULES)
@@ -27,7 +39,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_sharding": op4_sharding,
+    "op5_archives": op5_archives,
     "op7_mixing": op7_mixing,
+    "op8_quality_rules": op8_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
 
@@ -56,4 +70,13 @@ SELECT page_id, host, path, canonical_url, rule, listed,
 FROM ruled
 """
 
-SQL = {"op10_url_filter": OP10_SQL}
+OP5_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+first AS (SELECT payload_digest, min(page_id) AS original FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, p.payload_digest,
+  CASE WHEN original IS NULL OR original IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN original IS DISTINCT FROM page_id THEN original END AS refers_to
+FROM p LEFT JOIN first ON p.payload_digest = first.payload_digest AND payload_bytes >= 100
+"""
+
+SQL = {"op5_archives": OP5_SQL, "op10_url_filter": OP10_SQL}
