@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import archives, mixing, rule_lists, sharding, url_filter
+from recspark.llm import archives, jaccard_join, mixing, rule_lists, sharding, url_filter, weighted_sampling
 from recspark.llm.scratch import table
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_groups(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sharding.digest(sharding.shuffle_into_shards(docs, 40, sharding.new_shard_path(docs)))
@@ -18,6 +22,10 @@ def op5_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archived_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_copies(mixing.narrow_rows(table(spark, sf_dir, "documents")))
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth")
@@ -38,8 +46,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_sharding": op4_sharding,
     "op5_archives": op5_archives,
+    "op6_fingerprints": op6_fingerprints,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op10_url_filter": op10_url_filter,
