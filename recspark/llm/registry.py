@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import archives, jaccard_join, mixing, rule_lists, sharding, url_filter, weighted_sampling
-from recspark.llm.scratch import table
+from recspark.llm import archives, jaccard_join, mixing, packing, quality_model, rule_lists, sharding, url_filter, weighted_sampling
+from recspark.llm.scratch import new_path, table
+
+
+def held_out() -> Column:
+    """Labels of documents with this remainder are held out: learning never sees them."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 0
+
+
+def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.fit(docs, table(spark, sf_dir, "labels"), where=~held_out())
+    out = quality_model.scored(docs, model)
+    return out.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.segments(packing.write_packs(table(spark, sf_dir, "documents"), new_path(spark, "packs")))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,12 +48,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), each).drop("nth")
 
 
-#: Labels of documents with this remainder are held out: learning never sees them.
-HELD_OUT = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 0
-
-
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rule_lists.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~HELD_OUT)
+    return rule_lists.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out())
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +58,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_model": op1_quality_model,
+    "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_sharding": op4_sharding,
     "op5_archives": op5_archives,
