@@ -3,10 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from recspark.llm import jaccard_join, mixing, pieces, quality_model, rule_lists
 from recspark.llm.scratch import table, written
 
-STAGES: list = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the learned decision list."""
+    return rule_lists.kept_rows(docs, table(spark, sf_dir, "labels"))
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores 0.3 or more. It learns from the labelled documents of the table, rejected ones included."""
+    model = quality_model.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_model.score(docs, model, "__score").where("__score >= 0.3").drop("__score")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of documents whose five-word shingles are alike to 0.8 or more: that with the smallest id."""
+    groups = jaccard_join.join_groups(docs, n=5, percent=80)
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi")
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mix(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each document's best segmentation, and its text decoded from them."""
+    return pieces.encode_and_decode(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources to target weights", mixed_sources),
+    ("SentencePiece encoding and decoding", encoded),
+]
 
 #: The stages learn, hash and round; SQL expresses none of that, so tests hold the result against brute force.
 ORACLE_SQL = None
@@ -15,5 +52,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

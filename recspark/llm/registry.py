@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import archives, jaccard_join, mixing, packing, quality_model, rule_lists, sharding, url_filter, weighted_sampling
+from recspark.llm import archives, jaccard_join, mixing, packing, pieces, quality_model, rule_lists, sharding, url_filter, weighted_sampling
 from recspark.llm.scratch import new_path, table
 
 
@@ -52,6 +52,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_lists.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out())
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.filter_urls(pages, url_filter.listed_from(pages), url_filter.RULES)
@@ -66,6 +70,7 @@ QUERIES = {
     "op6_fingerprints": op6_fingerprints,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_pieces": op9_pieces,
     "op10_url_filter": op10_url_filter,
 }
 

@@ -27,8 +27,8 @@ def _with_later(name: str, step: int):
     return lambda x, i: F.xxhash64(x, F.get(F.col(name), i + step))
 
 
-def base_stats(docs: DataFrame) -> DataFrame:
-    """doc_id and counts of each text, one row per row of ``docs``; null counts as empty.
+def base_stats(docs: DataFrame, carry: str = "doc_id") -> DataFrame:
+    """``carry`` and counts of each text, one row per row of ``docs``; null counts as empty.
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_marks (``!``), n_adjacent (words equal to the word
     before), n_lines (lines with a word). Words are ``[^\\x20\\x09-\\x0D]+``; n_repeat_words counts the words inside
@@ -40,7 +40,7 @@ def base_stats(docs: DataFrame) -> DataFrame:
     words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(_without(x, _WHITE)) > 0)
     a = docs.select(
-        "doc_id",
+        carry,
         F.length(bare).cast("long").alias("word_chars"),
         (F.length(t) - F.length(_without(t, list("#*$%&|<>")))).cast("long").alias("n_symbols"),
         (F.length(t) - F.length(_without(t, ["!"]))).cast("long").alias("n_marks"),
@@ -48,7 +48,7 @@ def base_stats(docs: DataFrame) -> DataFrame:
         F.transform(words, lambda w: F.xxhash64(w)).alias("h1"),
     )
     a = a.select(
-        "doc_id", "word_chars", "n_symbols", "n_marks", "h1",
+        carry, "word_chars", "n_symbols", "n_marks", "h1",
         F.size("h1").cast("long").alias("n_words"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -67,7 +67,7 @@ def base_stats(docs: DataFrame) -> DataFrame:
     # a window covers its words up to the next repeated window
     covered = F.transform("at", lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("at"), k + 1) - x, F.lit(WINDOW))))
     repeat = F.coalesce(F.aggregate(covered, F.lit(0).cast("long"), lambda s, x: s + x), F.lit(0)).cast("long")
-    return a.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeat.alias("n_repeat_words"), "n_marks", "n_adjacent", "n_lines")
+    return a.select(carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", repeat.alias("n_repeat_words"), "n_marks", "n_adjacent", "n_lines")
 
 
 def base_failed() -> Column:
@@ -187,6 +187,23 @@ def learn(rows: DataFrame, max_rules: int = 6, max_literals: int = 3, n_cuts: in
     return rules
 
 
+#: Labelled documents that ``kept_rows`` learns from at most, chosen by a hash of their ids.
+LEARN_ROWS = 20_000
+
+
+def kept_rows(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> DataFrame:
+    """The rows of ``docs`` that pass the base rules and the learned list, as they are, in one pass without a shuffle of texts.
+
+    The list is learned from at most ``rows`` labelled documents; every text is then counted in whole and judged.
+    """
+    known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
+    known = F.broadcast(known.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(rows))  # ``rows`` rows of an id and a label
+    stats = base_stats(docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi"))
+    rules = learn(stats.where(~base_failed()).dropDuplicates(["doc_id"]).join(known, "doc_id"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
+    return base_stats(whole, "__row").where(~base_failed() & verdict(rules)).select("__row.*")
+
+
 def judged(docs: DataFrame, labels: DataFrame, train: Column | None = None) -> DataFrame:
     """Counts of every row of ``docs`` with base_failed and kept; the list is learned from ``labels`` (doc_id, quality).
 
