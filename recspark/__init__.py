@@ -1,0 +1 @@
+"""Feature engineering for recommender systems as DataFrame-to-DataFrame operators."""
