@@ -1,37 +1,5 @@
-"""Tables that a job writes part-way and reads again, in the folder that all executors share.
+"""Tables that a job writes part-way and reads again, in the folder that all executors share."""
 
-Executors can be lost at any time, so lineage is cut by a written table, never by blocks that live on one executor.
-"""
+from recspark.sources.scratch import new_path, shared_dir, table, written
 
-from __future__ import annotations
-
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of this process where it is unset (tests, local mode)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    return _own.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="recspark-"))
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read from there."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["new_path", "shared_dir", "table", "written"]
