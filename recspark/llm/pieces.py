@@ -255,7 +255,7 @@ def decode(docs: DataFrame, ids: str = "ids", out: str = "text", path: str = MOD
             got = [None if x is None else e.decode(x) for x in b.column(ids).to_pylist()]
             yield pa.record_batch([*b.columns, pa.array(got, pa.string())], names=[*own, out])
 
-    return docs.mapInArrow(run, docs.withColumn(out, F.lit("")).schema)
+    return docs.mapInArrow(run, docs.withColumn(out, F.lit(None).cast("string")).schema)
 
 
 def encode_and_decode(docs: DataFrame, n: int = 4, path: str = MODEL) -> DataFrame:

@@ -108,4 +108,14 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM p LEFT JOIN first ON p.payload_digest = first.payload_digest AND payload_bytes >= 100
 """
 
-SQL = {"op5_archives": OP5_SQL, "op10_url_filter": OP10_SQL}
+OP3_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS q FROM sets),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.q = b.q AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT doc_id AS id, doc_id AS root FROM sets UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id)
+SELECT doc_id, len(s) AS n_shingles, component_id FROM sets JOIN (SELECT id, min(root) AS component_id FROM reach GROUP BY 1) ON id = doc_id
+"""
+
+SQL = {"op3_jaccard_join": OP3_SQL, "op5_archives": OP5_SQL, "op10_url_filter": OP10_SQL}

@@ -165,7 +165,7 @@ def compare_with_edits(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n_buckets = min(MOST_BUCKETS, max(1, -(-docs.count() // bucket_rows)))
     shares = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set((docs.agg(F.percentile_approx("doc_id", shares, 10 * MOST_BUCKETS).alias("c")).first()["c"] if shares else None) or []))
+    cuts = sorted(set((docs.agg(F.percentile_approx("doc_id", shares, max(1000, 4 * n_buckets)).alias("c")).first()["c"] if shares else None) or []))
     tie = F.xxhash64("text")
     placed = docs.withColumn("bucket", _range_of(F.col("doc_id"), cuts)).withColumn("tie", tie).withColumn("id", F.coalesce("doc_id", F.lit(-(2**63))))
     heads = placed.groupBy("bucket").agg(F.min(F.struct("id", "tie")).alias("head")).orderBy("bucket").collect()  # MOST_BUCKETS rows of two longs
