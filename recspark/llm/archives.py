@@ -23,7 +23,7 @@ from recspark.llm.scratch import new_path, written
 ARCHIVE_BYTES = 4 * 2**20
 #: Payloads below this many bytes are never stored as revisits.
 REVISIT_BYTES = 100
-LEVEL = 3
+LEVEL = 6
 
 # Fixed values of the formats.
 ARC_FIELDS = {
@@ -159,8 +159,8 @@ def _http(block: bytes) -> tuple[bytes, dict[str, str], bytes]:
 ARC_ROWS = "page_id long, url string, ip string, date string, head binary, digest string, n_bytes long, packed binary"
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """A row per archived record, its payload deflated in ``packed``."""
+def read_arc(spark: SparkSession, path: str, packed: bool = True) -> DataFrame:
+    """A row per archived record, its payload deflated in ``packed`` if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -169,7 +169,7 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
                 for r in parse_arc(content.as_py()):
                     head, named, payload = _http(r["block"])
                     page = named.get("x-page-id")
-                    rows.append((int(page) if page else None, r["url"], r["ip"], r["date"], head, hashlib.sha256(payload).hexdigest(), len(payload), zlib.compress(payload, 1)))
+                    rows.append((int(page) if page else None, r["url"], r["ip"], r["date"], head, hashlib.sha256(payload).hexdigest(), len(payload), zlib.compress(payload, LEVEL) if packed else None))
                 types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.binary()]
                 cols = list(zip(*rows, strict=True)) or [[] for _ in types]
                 yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=[x.split(" ")[0] for x in ARC_ROWS.split(", ")])
@@ -209,13 +209,13 @@ def _warc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
                 yield _warc("revisit", fields, r["head"])
 
 
-def with_originals(records: DataFrame) -> DataFrame:
-    """``records`` with refers_to: the smallest page_id of equal payloads of at least REVISIT_BYTES, null where that is the record's own.
+def with_originals(records: DataFrame, narrow: DataFrame) -> DataFrame:
+    """``records`` with refers_to, found from ``narrow``, the same rows without payloads: the smallest page_id of equal payloads of at least REVISIT_BYTES, null where that is the record's own.
 
     Copies are counted per payload before anything is shuffled, and the payloads are dealt by record, so that a payload
     that many pages share fills no task. Without any page_id all are originals, and so are repeated rows of the first.
     """
-    narrow = records.where(F.col("n_bytes") >= REVISIT_BYTES).select("page_id", "digest").distinct()
+    narrow = narrow.where(F.col("n_bytes") >= REVISIT_BYTES).select("page_id", "digest").distinct()
     first = narrow.groupBy("digest").agg(F.min("page_id").alias("original"))
     revisits = narrow.join(first, "digest").where("original is not null and not (page_id <=> original)")
     key = F.xxhash64("page_id", "digest")
@@ -232,7 +232,9 @@ def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str) -> None:
         fields = [("WARC-Record-ID", f"<urn:uuid:{record_id(None, 'warcinfo')}>"), ("WARC-Date", "2024-01-01T00:00:00Z"), ("Content-Type", "application/warc-fields")]
         yield from _chunks(_bundles(_warc_records(batches), lambda n: _warc("warcinfo", fields, info)))
 
-    _write(with_originals(written(read_arc(spark, arc_path), "arc-records")).mapInArrow(run, "content binary"), warc_path)
+    # reading the archives twice costs less than a third copy of all payloads on disk
+    narrow = written(read_arc(spark, arc_path, packed=False).select("page_id", "digest", "n_bytes"), "arc-records")
+    _write(with_originals(read_arc(spark, arc_path), narrow).mapInArrow(run, "content binary"), warc_path)
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
