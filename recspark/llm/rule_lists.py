@@ -198,10 +198,12 @@ def kept_rows(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Dat
     """
     known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
     known = F.broadcast(known.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(rows))  # ``rows`` rows of an id and a label
-    stats = base_stats(docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi"))
+    stats = written(base_stats(docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")), "counts")
     rules = learn(stats.where(~base_failed()).dropDuplicates(["doc_id"]).join(known, "doc_id"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
-    return base_stats(whole, "__row").where(~base_failed() & verdict(rules)).select("__row.*")
+    # a row number that the filter reads keeps the filter above the counts; pushed below, every use would repeat their expressions
+    counted = base_stats(whole, "__row").withColumn("__at", F.monotonically_increasing_id())
+    return counted.where((F.col("__at") >= 0) & ~base_failed() & verdict(rules)).select("__row.*")
 
 
 def judged(docs: DataFrame, labels: DataFrame, train: Column | None = None) -> DataFrame:
