@@ -19,14 +19,13 @@ def components(links: DataFrame) -> DataFrame:
     Each round points neighbours at the smallest node seen; rounds grow with the logarithm of a component's length.
     """
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    before = None
-    while True:
+    before = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+    while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_nearest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "large-star")
         low = _nearest(large)
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "small-star")
+        edges = written(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "stars")
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if now == before:
             break

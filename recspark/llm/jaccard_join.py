@@ -3,17 +3,20 @@
 1. Equal sets collapse to one representative; only those are joined.
 2. Shingles are ordered by how common they are and each set's prefix goes to an inverted index. Two sets that are
    similar enough share a prefix shingle, whatever the order.
-3. One set of each index list, its pivot, is compared with the rest of the list. Sets that link to one pivot are
-   connected: their mutual answers follow from the pivot's and aren't computed.
+3. Each index list has a pivot, and every set is compared with the pivot that it shares most lists with. Sets that link
+   to one pivot are connected: their mutual answers follow from the pivot's and aren't computed. A second round, with
+   other pivots, compares what is still apart.
 4. What is left of a list, sets of different components, is joined block by block. Blocks hold the entries of one range
-   of set sizes, prefix positions and distances to the pivot; pairs of blocks that no similar pair can come from are
-   skipped whole by size, by position, and by the pivot's answers (Jaccard distance is a metric).
+   of set sizes and prefix positions; pairs of blocks that no similar pair can come from are skipped whole. Of the pairs
+   between two components the likeliest is verified first, and the others only if that is no link.
 
+Bitmaps of the sets' parities bound the differences of two sets from below and drop almost all pairs that aren't links.
 Every pair that is left is verified on the texts, so the result is exact.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +29,16 @@ from recspark.llm.scratch import written
 from recspark.llm.text_units import mixed, sets_of
 
 #: Cells of the table of shingle counts that orders the index. It has this size whatever the input; a coarse order costs time only.
-CELL_BITS = 18
-_BLOCK = 1024
+CELL_BITS = 22
+_BLOCK = 1 << 14
+#: Bits of a set's parity bitmap.
+BITS = 512
+#: Sets above this size also have a bitmap of two to four bits a shingle, as BITS fill up.
+WIDE_SIZE = 1000
+#: Entries up to which a list's pairs are formed before their bitmaps are fetched, and up to which a list isn't cut into blocks.
+TINY_LIST, SHORT_LIST = 8, 500
+#: Ids that may be broadcast to pick their texts in place; more are joined by shuffle. A million longs are some 40 MB.
+BROADCAST_IDS = 1_000_000
 
 
 def _signature(s: np.ndarray) -> tuple[int, int]:
@@ -42,12 +53,12 @@ SETS = "doc_id long, n_shingles int, sig1 long, sig2 long, block int, counts bin
 
 def _set_rows(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << CELL_BITS, np.int64)
+        cells = np.zeros(1 << CELL_BITS, np.uint32)
         names = ["doc_id", "n_shingles", "sig1", "sig2", "block", "counts"]
         for batch in batches:
             sizes, ones, twos = [], [], []
             for s in sets_of(batch.column("text"), n):
-                np.add.at(cells, (s >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
+                np.add.at(cells, (s >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.uint32(1))
                 one, two = _signature(s)
                 sizes.append(len(s))
                 ones.append(one)
@@ -57,40 +68,43 @@ def _set_rows(n: int):
         blocks = cells.reshape(-1, _BLOCK)
         k = len(blocks)
         none = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())]
-        yield pa.record_batch([*none, pa.array(range(k), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())], names=names)
+        yield pa.record_batch([*none, pa.array(range(k), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in blocks], pa.binary())], names=names)
 
     return run
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block_ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, c in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
-            c = np.frombuffer(c.as_buffer(), np.int64)
-            sums[k] = sums[k] + c if k in sums else c
-    yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "counts"])
+            c = np.frombuffer(zlib.decompress(c.as_py()), np.uint32)
+            sums[k] = sums[k] + c if k in sums else c.astype(np.int64)
+    ranks = [np.minimum(255, 8 * np.log2(x + 1.0)).astype(np.uint8).tobytes() for x in sums.values()]
+    yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(ranks, pa.binary())], names=["block", "ranks"])
 
 
 def _ranks(cells: DataFrame) -> np.ndarray:
-    """How common each cell's shingles are, in quarter steps of the logarithm: a byte a cell."""
-    # running sums per task first, then per block, so that no task reads the tables of all tasks
-    part = cells.repartition(64, "block").mapInArrow(_summed, "block int, counts binary")
-    out = np.zeros(1 << CELL_BITS, np.uint8)
-    for r in part.collect():  # a table of 2**CELL_BITS counts
-        at = r["block"] * _BLOCK
-        out[at : at + _BLOCK] = np.minimum(255, 4 * np.log2(np.frombuffer(r["counts"], np.int64) + 1.0))
-    return out
+    """How common each cell's shingles are, in eighth steps of the logarithm: a byte a cell, in the order of cells."""
+    n = (1 << CELL_BITS) // _BLOCK
+    found = cells.repartition(n, "block").mapInArrow(_block_ranks, "block int, ranks binary").collect()  # 2**CELL_BITS bytes
+    return np.frombuffer(b"".join(bytes(r["ranks"]) for r in sorted(found, key=lambda r: r["block"])), np.uint8)
 
 
 def _prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def _parities(s: np.ndarray, bits: int) -> np.ndarray:
+    """Whether an odd number of the set's shingles falls on each of ``bits`` places, a power of two, in 64-bit words."""
+    odd = np.bincount((mixed(s) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _prefix_rows(n: int, percent: int, ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
         for batch in batches:
-            ids, sizes, prefixes = [], [], []
+            ids, sizes, prefixes, bitmaps, wides = [], [], [], [], []
             for doc_id, s in zip(batch.column("doc_id").to_pylist(), sets_of(batch.column("text"), n), strict=True):
                 if not len(s):
                     continue
@@ -99,7 +113,9 @@ def _prefix_rows(n: int, percent: int, ranks):
                 ids.append(doc_id)
                 sizes.append(len(s))
                 prefixes.append(s[order[: _prefix_length(len(s), percent)]].view(np.int64))
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["rep", "size", "prefix"])
+                bitmaps.append(_parities(s, BITS))
+                wides.append(_parities(s, 2 << int(len(s)).bit_length()) if len(s) > WIDE_SIZE else None)
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bitmaps, pa.list_(pa.int64())), pa.array(wides, pa.list_(pa.int64()))], names=["rep", "size", "prefix", "bits", "wide"])
 
     return run
 
@@ -128,13 +144,25 @@ def _verified_rows(n: int):
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """(a, b, common, size_a, size_b, distance) of distinct pairs (a, b)."""
+def _texts_of(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
+    """(rep, text) of the documents in ``ids`` (rep, distinct); where ids repeat, one row of each."""
+    ids = written(ids, "ids")
+    here = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    found = docs.join(here, docs.doc_id == here.rep, "left_semi").select(F.col("doc_id").alias("rep"), "text")
+    return found.dropDuplicates(["rep"]) if repeated else found
+
+
+def verified_links(pairs: DataFrame, wide: DataFrame, docs: DataFrame, n: int, percent: int, repeated: bool) -> DataFrame | None:
+    """The links (a, b) among distinct pairs (a, b), from the whole texts; None if there are none."""
+    pairs = written(_fitting_wide(pairs, wide, percent), "pairs")
+    if pairs.isEmpty():
+        return None
+    texts = written(_texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), repeated), "texts")
     left, right = (texts.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
     rows = both.sortWithinPartitions("a").mapInArrow(_verified_rows(n), "a long, b long, common int, size_a int, size_b int")
-    union = F.col("size_a") + F.col("size_b") - F.col("common")
-    return rows.withColumn("distance", 1 - F.col("common") / union)
+    links = written(rows.where(_linked(percent)).select("a", "b"), "links")
+    return None if links.isEmpty() else links
 
 
 def _linked(percent: int) -> Column:
@@ -151,21 +179,88 @@ def _room(size_a: Column, pos_a: Column, size_b: Column, pos_b: Column, percent:
     return (100 + percent) * most >= percent * (size_a + size_b).cast("long")
 
 
-def _blocked_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of entries of one list that lie in different components and may be similar.
+def _differ(bits_a: Column, bits_b: Column) -> Column:
+    """Bits in which two parity bitmaps differ: at most the number of shingles that one set has and the other has not."""
+    return sum((F.bit_count(F.get(bits_a, F.lit(i)).bitwiseXOR(F.get(bits_b, F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+
+
+def _few_enough(differ: Column, size_a: Column, size_b: Column, percent: int) -> Column:
+    return differ.cast("long") * (100 + percent) <= (size_a + size_b).cast("long") * (100 - percent)
+
+
+def _split_lists(entries: DataFrame) -> DataFrame:
+    """The entries of the lists that hold sets of different components."""
+    tokens = entries.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n")).where("c0 <> c1").select("token", "n")
+    return entries.join(tokens, "token")
+
+
+def _pivot_pairs(entries: DataFrame, bits: DataFrame, percent: int, turn: int) -> DataFrame:
+    """A pair (a, b) for each component at most: its set and the pivot that share most lists, if they can be similar."""
+    low = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca")))
+    pivots = entries.groupBy("token").agg(low.alias("p")).select("token", "p.a", "p.size_a", "p.ca")
+    met = entries.join(pivots, "token").where((F.col("component") != F.col("ca")) & _sizes_fit(F.col("size"), F.col("size_a"), percent))
+    lists = met.groupBy("component", F.col("rep").alias("b"), "a").agg(F.count(F.lit(1)).alias("n"))
+    best = F.max(F.struct("n", F.xxhash64("a").alias("h"), "a", "b")).alias("p")
+    pairs = lists.groupBy("component").agg(best).select("p.a", "p.b")
+    return _fitting(pairs, bits, percent).select("a", "b")
+
+
+def _fitting(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, …) whose bitmaps allow a link, with ``differ``."""
+    for side in "ab":
+        own = bits.select(F.col("rep").alias(side), F.col("size").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}"))
+        pairs = pairs.join(own, side)
+    pairs = pairs.withColumn("differ", _differ(F.col("bits_a"), F.col("bits_b")))
+    return pairs.where(_few_enough(F.col("differ"), F.col("size_a"), F.col("size_b"), percent)).drop("size_a", "size_b", "bits_a", "bits_b")
 
-    ``entries``: token, rep, size, pos, component, d (distance to the list's pivot). A block is a list's entries of
-    one cell: set sizes within a tenth of the allowed ratio, positions within a power of two, distances within 0.02.
+
+def _fitting_wide(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b), those of smaller sets and those of larger ones whose wide bitmaps allow a link.
+
+    Of two lengths the longer is folded, which keeps parities.
+    """
+    for side in "ab":
+        own = wide.select(F.col("rep").alias(side), F.col("size").alias(f"size_{side}"), F.col("wide").alias(f"wide_{side}"))
+        pairs = pairs.join(own, side, "left")
+    x, y = F.col("wide_a"), F.col("wide_b")
+    n = F.least(F.size(x), F.size(y))
+
+    def folded(bits: Column, i: Column) -> Column:
+        return F.get(bits, i).bitwiseXOR(F.coalesce(F.get(bits, i + n), F.lit(0).cast("long")))
+
+    differ = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), lambda s, i: s + F.bit_count(folded(x, i).bitwiseXOR(folded(y, i))).cast("int"))
+    fits = F.when(x.isNotNull() & y.isNotNull(), _few_enough(differ, F.col("size_a"), F.col("size_b"), percent)).otherwise(F.lit(True))
+    return pairs.where(fits).select("a", "b")
+
+
+def _may_meet(percent: int) -> Column:
+    """Entries x and y of one list: different components, sizes that fit, and room for the overlap behind their positions."""
+    c = F.col
+    return (c("x_component") != c("y_component")) & _sizes_fit(c("x_size"), c("y_size"), percent) & _room(c("x_size"), c("x_pos"), c("y_size"), c("y_pos"), percent)
+
+
+def _blocked_pairs(entries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """(a, b, ca, cb, differ): pairs of entries of one list that lie in different components and may be similar.
+
+    ``entries``: token, rep, size, pos, component, n (entries of the list). A block is a list's entries of one cell: set
+    sizes within a quarter of the allowed ratio, positions within a power of two; a short list is one block. Blocks that
+    hold one component only don't meet each other.
     """
-    grain = np.log(100 / percent) / 8
-    cell = [F.floor(F.log(F.col("size").cast("double")) / F.lit(float(grain))), F.floor(F.log2(F.col("pos") + 1.0)), F.floor(F.coalesce("d", F.lit(-1.0)) * 50)]
-    entries = entries.withColumn("block", F.xxhash64(*cell))
+    rows = ("rep", "size", "pos", "component")
+    tiny = entries.where(F.col("n") <= TINY_LIST)
+    left, right = (tiny.select("token", *[F.col(c).alias(f"{k}_{c}") for c in rows]) for k in "xy")
+    few = left.join(right, "token").where((F.col("x_rep") < F.col("y_rep")) & _may_meet(percent))
+    few = few.select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b"), F.least("x_component", "y_component").alias("ca"), F.greatest("x_component", "y_component").alias("cb")).distinct()
+    few = _fitting(few, bits, percent)
+
+    entries = entries.where(F.col("n") > TINY_LIST)
+    grain = np.log(100 / percent) / 4
+    cell = [F.floor(F.log(F.col("size").cast("double")) / F.lit(float(grain))), F.floor(F.log2(F.col("pos") + 1.0))]
+    entries = entries.withColumn("block", F.when(F.col("n") > SHORT_LIST, F.xxhash64(*cell)).otherwise(F.lit(0).cast("long")))
     blocks = entries.groupBy("token", "block").agg(
-        F.min("size").alias("s0"), F.max("size").alias("s1"), F.min("pos").alias("p0"), F.min(F.coalesce("d", F.lit(0.0))).alias("d0"), F.max(F.coalesce("d", F.lit(1.0))).alias("d1"),
-        F.min("component").alias("c0"), F.max("component").alias("c1"),
-    )
+        F.min("size").alias("s0"), F.max("size").alias("s1"), F.min("pos").alias("p0"), F.min("component").alias("c0"), F.max("component").alias("c1")
+    )
     x, y = blocks.alias("x"), blocks.alias("y")
-    slack = 1 - percent / 100 + 1e-9
     meet = (
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.block") <= F.col("y.block"))
@@ -174,19 +269,18 @@ def _blocked_pairs(entries: DataFrame, percent: int) -> DataFrame:
         & (100 * F.col("y.s1").cast("long") >= percent * F.col("x.s0").cast("long"))
         # the largest sets at the smallest positions have the most room; the smallest sets need the least overlap
         & ((100 + percent) * F.least(F.col("x.s1") - F.col("x.p0"), F.col("y.s1") - F.col("y.p0")).cast("long") >= percent * (F.col("x.s0") + F.col("y.s0")).cast("long"))
-        & (F.col("x.d0") - F.col("y.d1") <= slack)
-        & (F.col("y.d0") - F.col("x.d1") <= slack)
     )
     met = x.join(y, meet).select(F.col("x.token").alias("token"), F.col("x.block").alias("xb"), F.col("y.block").alias("yb"))
-    left = met.join(entries.withColumnRenamed("block", "xb"), ["token", "xb"]).select("token", "xb", "yb", *[F.col(c).alias(f"x_{c}") for c in ("rep", "size", "pos", "component", "d")])
-    both = left.join(entries.select("token", F.col("block").alias("yb"), *[F.col(c).alias(f"y_{c}") for c in ("rep", "size", "pos", "component", "d")]), ["token", "yb"])
-    return both.where(
-        ((F.col("xb") != F.col("yb")) | (F.col("x_rep") < F.col("y_rep")))
-        & (F.col("x_component") != F.col("y_component"))
-        & _sizes_fit(F.col("x_size"), F.col("y_size"), percent)
-        & _room(F.col("x_size"), F.col("x_pos"), F.col("y_size"), F.col("y_pos"), percent)
-        & (F.coalesce(F.abs(F.col("x_d") - F.col("y_d")), F.lit(0.0)) <= slack)
-    ).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
+    entries = entries.join(bits.select("rep", "bits"), "rep")
+    names = ("rep", "size", "pos", "component", "bits")
+    left = met.join(entries.withColumnRenamed("block", "xb"), ["token", "xb"]).select("token", "xb", "yb", *[F.col(c).alias(f"x_{c}") for c in names])
+    right = entries.select("token", F.col("block").alias("yb"), *[F.col(c).alias(f"y_{c}") for c in names])
+    differ = _differ(F.col("x_bits"), F.col("y_bits"))
+    both = left.join(right, ["token", "yb"]).where(
+        ((F.col("xb") != F.col("yb")) | (F.col("x_rep") < F.col("y_rep"))) & _may_meet(percent) & _few_enough(differ, F.col("x_size"), F.col("y_size"), percent)
+    )
+    pairs = both.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"), F.least("x_component", "y_component").alias("ca"), F.greatest("x_component", "y_component").alias("cb"), differ.alias("differ"))
+    return few.unionByName(pairs).distinct()
 
 
 def join_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -209,35 +303,43 @@ def join_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     ranks = spark.sparkContext.broadcast(_ranks(found.where("block is not null").select("block", "counts")))
     # below this size a set has no similar set but itself
     least = -(-percent // (100 - percent)) if percent < 100 else 2**31 - 1
-    prefixes = docs.where("doc_id is not null").mapInArrow(_prefix_rows(n, percent, ranks), "rep long, size int, prefix array<long>")
-    large = reps.where(F.col("n_shingles") >= least)
-    prefixes = prefixes.where(F.col("size") >= least).join(large.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
-    postings = written(prefixes.select("rep", "size", F.posexplode("prefix").alias("pos", "token")), "postings")
-    # the pivot is the entry with the smallest hash, so one set is the pivot of most lists that it shares with others
-    pivot = F.min(F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("pivot"), F.col("size").alias("pivot_size")))
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n"), pivot.alias("p")).where("n > 1").select("token", "p.pivot", "p.pivot_size")
-    entries = written(postings.join(shared, "token").select("token", "rep", "size", "pos", "pivot", "pivot_size"), "entries")
-
-    near = entries.where((F.col("rep") != F.col("pivot")) & _sizes_fit(F.col("size"), F.col("pivot_size"), percent))
-    near = near.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    candidates = entries.select("rep").distinct()
-    texts = docs.join(candidates, docs.doc_id == candidates.rep, "left_semi").select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"])
-    texts = written(texts, "candidates")
-    answers = written(verified(near, texts, n), "answers")
-    links = answers.where(_linked(percent)).select("a", "b")
-    grouped = written(components(links), "components")
-
-    # lists whose entries are connected already need nothing more
-    named = entries.join(grouped.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    known = answers.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "distance")
-    named = named.join(known, ["pivot", "rep"], "left").withColumn("d", F.when(F.col("rep") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance")))
-    named = written(named.select("token", "rep", "size", "pos", "component", "d", "pivot"), "named")
-    split = named.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
-    # the pivot has been compared with its whole list
-    rest = written(named.where("rep <> pivot").join(split, "token").drop("pivot"), "rest")
-    more = verified(_blocked_pairs(rest, percent), texts, n)
-    links = links.unionByName(more.where(_linked(percent)).select("a", "b"))
-    grouped = written(components(written(links, "all-links")), "components")
+    prefixes = docs.where("doc_id is not null").mapInArrow(_prefix_rows(n, percent, ranks), "rep long, size int, prefix array<long>, bits array<long>, wide array<long>")
+    large = reps.where(F.col("n_shingles") >= least).select("rep")
+    prefixes = written(prefixes.where(F.col("size") >= least).join(large, "rep", "left_semi").dropDuplicates(["rep"]), "prefixes")
+    bits, wide = prefixes.select("rep", "size", "bits"), prefixes.where("wide is not null").select("rep", "size", "wide")
+    repeated = bool(sets.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count())
+    shared = prefixes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
+    postings = prefixes.select("rep", "size", F.posexplode("prefix").alias("pos", "token"))
+    entries = written(postings.join(shared, "token").withColumn("component", F.col("rep")), "entries")
+
+    links: DataFrame | None = None
+    grouped = prefixes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
+
+    def regroup(pairs: DataFrame) -> bool:
+        """Verifies pairs and takes their links into the components; whether there were any."""
+        nonlocal links, grouped
+        new = verified_links(pairs, wide, docs, n, percent, repeated)
+        if new is None:
+            return False
+        links = new if links is None else links.unionByName(new)
+        grouped = written(components(links), "components")
+        return True
+
+    def apart() -> DataFrame:
+        """Entries of the lists that still hold different components."""
+        named = entries.select("token", "rep", "size", "pos").join(grouped.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        return written(_split_lists(named.withColumn("component", F.coalesce("component", "rep"))), "apart")
+
+    rest, turns = entries, 2
+    for turn in range(turns):
+        if regroup(_pivot_pairs(rest, bits, percent, turn)) or turn == turns - 1:
+            rest = apart()
+    likely = written(_blocked_pairs(rest, bits, percent), "likely")
+    first = likely.groupBy("ca", "cb").agg(F.min(F.struct("differ", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+    regroup(first)
+    side = {c: grouped.select(F.col("node").alias(c), F.col("component").alias(f"now_{c}")) for c in "ab"}
+    others = likely.join(side["a"], "a", "left").join(side["b"], "b", "left").where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b").distinct()
+    regroup(others.join(first, ["a", "b"], "left_anti"))
 
     classes = reps.join(grouped.withColumnRenamed("node", "rep"), "rep", "left").select(*signature, F.coalesce("component", "rep").alias("component_id"))
     out = sets.alias("s").join(classes.alias("c"), [F.col(f"s.{c}") == F.col(f"c.{c}") for c in signature], "left")
