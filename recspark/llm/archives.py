@@ -23,6 +23,8 @@ from recspark.llm.scratch import new_path, written
 ARCHIVE_BYTES = 4 * 2**20
 #: Payloads below this many bytes are never stored as revisits.
 REVISIT_BYTES = 100
+#: Revisits that may be broadcast to where payloads are; more are joined by shuffle. A row takes some 200 bytes, so 40 MB.
+BROADCAST_REVISITS = 200_000
 LEVEL = 6
 
 # Fixed values of the formats.
@@ -220,6 +222,9 @@ def with_originals(records: DataFrame, narrow: DataFrame) -> DataFrame:
     revisits = narrow.join(first, "digest").where("original is not null and not (page_id <=> original)")
     key = F.xxhash64("page_id", "digest")
     revisits = revisits.select(key.alias("__key"), F.col("page_id").alias("__page"), F.col("digest").alias("__digest"), F.col("original").alias("refers_to"))
+    revisits = written(revisits, "revisits")
+    if revisits.count() <= BROADCAST_REVISITS:
+        revisits = F.broadcast(revisits)
     same = (F.col("__record") == F.col("__key")) & F.col("page_id").eqNullSafe(F.col("__page")) & (F.col("digest") == F.col("__digest"))
     return records.withColumn("__record", key).join(revisits, same, "left").drop("__record", "__key", "__page", "__digest")
 
