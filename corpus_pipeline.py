@@ -21,10 +21,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of documents whose five-word shingles are alike to 0.8 or more: that with the smallest id."""
-    groups = jaccard_join.join_groups(docs, n=5, percent=80)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi")
+    """One row of each group of rows whose five-word shingles are alike to 0.8 or more: that with the smallest id, null ids last.
+
+    Rows are told apart by a number of their own, so rows of null or repeated ids are grouped and chosen like any other.
+    A row without words is a group of its own.
+    """
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    groups = jaccard_join.join_groups(rows.select(F.col("__row").alias("doc_id"), "text"), n=5, percent=80)
+    named = groups.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "doc_id"), "__row")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row")).alias("least")
+    first = written(named.groupBy("component_id").agg(least).select("least.__row"), "first")
+    first = F.broadcast(first) if first.count() <= jaccard_join.BROADCAST_IDS else first
+    return rows.join(first, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,3 +31,21 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert {r.doc_id for r in out} <= set(range(120)) and all(r.text == texts[r.doc_id] and len(r.ids) for r in out)
     words = sum(len(r.text.split()) for r in out)
     assert abs(words - 1.5 * 120 * 60) <= 3 * 60
+
+
+def test_near_duplicates_keep_one_row_of_null_and_repeated_ids(spark, tmp_path):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(6)]
+    rows = [
+        (None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[1] + " end"),  # alone; copies among null ids
+        (7, texts[2]), (7, texts[2]), (7, texts[2]),  # one row repeated
+        (None, texts[3] + " end"), (9, texts[3]), (8, texts[3]), (8, texts[3]),  # null and repeated ids in one group
+        (5, texts[4]), (5, texts[5]),  # one id, two texts
+        (None, None), (None, ""), (3, ""), (3, ""),  # without words, each alone
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    out = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    got = [(r.doc_id, texts.index(t[: t.rindex(" end")] if t.endswith(" end") else t) if (t := r.text) else t) for r in out.collect()]
+    want = [(None, 0), (None, 1), (7, 2), (8, 3), (5, 4), (5, 5), (None, None), (None, ""), (3, ""), (3, "")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
