@@ -4,8 +4,9 @@
 2. Shingles are ordered by how common they are and each set's prefix goes to an inverted index. Two sets that are
    similar enough share a prefix shingle, whatever the order.
 3. Each index list has a pivot, and every set is compared with the pivot that it shares most lists with. Sets that link
-   to one pivot are connected: their mutual answers follow from the pivot's and aren't computed. A second round, with
-   other pivots, compares what is still apart.
+   to one pivot are connected: ``join_groups``, which gives components only, needs no more of them. A second round, with
+   other pivots, compares what is still apart. ``join_pairs`` gives every link: it takes a set's answers from its
+   pivot's where the differences from the pivot decide, and verifies all other pairs.
 4. What is left of a list, sets of different components, is joined block by block. Blocks hold the entries of one range
    of set sizes and prefix positions; pairs of blocks that no similar pair can come from are skipped whole. Of the pairs
    between two components the likeliest is verified first, and the others only if that is no link.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -154,15 +156,22 @@ def _texts_of(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
 
 def verified_links(pairs: DataFrame, wide: DataFrame, docs: DataFrame, n: int, percent: int, repeated: bool) -> DataFrame | None:
     """The links (a, b) among distinct pairs (a, b), from the whole texts; None if there are none."""
+    rows = verified_pairs(pairs, wide, docs, n, percent, repeated)
+    if rows is None:
+        return None
+    links = written(rows.where(_linked(percent)).select("a", "b"), "links")
+    return None if links.isEmpty() else links
+
+
+def verified_pairs(pairs: DataFrame, wide: DataFrame, docs: DataFrame, n: int, percent: int, repeated: bool) -> DataFrame | None:
+    """(a, b, common, size_a, size_b) of the distinct pairs (a, b) whose wide bitmaps allow a link, from the whole texts; None if there are none."""
     pairs = written(_fitting_wide(pairs, wide, percent), "pairs")
     if pairs.isEmpty():
         return None
     texts = written(_texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), repeated), "texts")
     left, right = (texts.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    rows = both.sortWithinPartitions("a").mapInArrow(_verified_rows(n), "a long, b long, common int, size_a int, size_b int")
-    links = written(rows.where(_linked(percent)).select("a", "b"), "links")
-    return None if links.isEmpty() else links
+    return both.sortWithinPartitions("a").mapInArrow(_verified_rows(n), "a long, b long, common int, size_a int, size_b int")
 
 
 def _linked(percent: int) -> Column:
@@ -283,21 +292,27 @@ def _blocked_pairs(entries: DataFrame, bits: DataFrame, percent: int) -> DataFra
     return few.unionByName(pairs).distinct()
 
 
-def join_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text; other columns are not used).
+@dataclass(frozen=True)
+class _Index:
+    """What the joins start from: sets of all rows, a representative of each class of equal sets, and the lists of the representatives' prefixes."""
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z is lower-cased. A document's set holds its distinct ``n``-word
-    shingles; with fewer words, the whole sequence. Two documents link when 100 * intersection >= percent * union;
-    component_id is the smallest doc_id reachable by links. A text that is null or has no word has an empty set and
-    links with nothing. Rows of one doc_id are expected to be equal; a null doc_id is returned with the component of its
-    set, or null. Very long texts are hashed piece by piece and compared in whole.
-    """
+    sets: DataFrame
+    reps: DataFrame
+    prefixes: DataFrame
+    bits: DataFrame
+    wide: DataFrame
+    entries: DataFrame
+    repeated: bool
+
+
+_SIGNATURE = ["n_shingles", "sig1", "sig2"]
+
+
+def _indexed(docs: DataFrame, n: int, percent: int) -> _Index:
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = written(docs.mapInArrow(_set_rows(n), SETS), "sets")
     sets = found.where("block is null").select("doc_id", "n_shingles", "sig1", "sig2")
-    signature = ["n_shingles", "sig1", "sig2"]
-    reps = sets.where("n_shingles > 0 and doc_id is not null").groupBy(*signature).agg(F.min("doc_id").alias("rep"))
+    reps = sets.where("n_shingles > 0 and doc_id is not null").groupBy(*_SIGNATURE).agg(F.min("doc_id").alias("rep"))
     reps = written(reps, "representatives")
 
     ranks = spark.sparkContext.broadcast(_ranks(found.where("block is not null").select("block", "counts")))
@@ -311,14 +326,29 @@ def join_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     shared = prefixes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
     postings = prefixes.select("rep", "size", F.posexplode("prefix").alias("pos", "token"))
     entries = written(postings.join(shared, "token").withColumn("component", F.col("rep")), "entries")
+    return _Index(sets, reps, prefixes, bits, wide, entries, repeated)
+
+
+def join_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text; other columns are not used).
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z is lower-cased. A document's set holds its distinct ``n``-word
+    shingles; with fewer words, the whole sequence. Two documents link when 100 * intersection >= percent * union;
+    component_id is the smallest doc_id reachable by links. A text that is null or has no word has an empty set and
+    links with nothing. Rows of one doc_id are expected to be equal; a null doc_id is returned with the component of its
+    set, or null. Very long texts are hashed piece by piece and compared in whole.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    index = _indexed(docs, n, percent)
+    bits, entries = index.bits, index.entries
 
     links: DataFrame | None = None
-    grouped = prefixes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
+    grouped = index.prefixes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
 
     def regroup(pairs: DataFrame) -> bool:
         """Verifies pairs and takes their links into the components; whether there were any."""
         nonlocal links, grouped
-        new = verified_links(pairs, wide, docs, n, percent, repeated)
+        new = verified_links(pairs, index.wide, docs, n, percent, index.repeated)
         if new is None:
             return False
         links = new if links is None else links.unionByName(new)
@@ -341,6 +371,47 @@ def join_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     others = likely.join(side["a"], "a", "left").join(side["b"], "b", "left").where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b").distinct()
     regroup(others.join(first, ["a", "b"], "left_anti"))
 
-    classes = reps.join(grouped.withColumnRenamed("node", "rep"), "rep", "left").select(*signature, F.coalesce("component", "rep").alias("component_id"))
-    out = sets.alias("s").join(classes.alias("c"), [F.col(f"s.{c}") == F.col(f"c.{c}") for c in signature], "left")
+    classes = index.reps.join(grouped.withColumnRenamed("node", "rep"), "rep", "left").select(*_SIGNATURE, F.coalesce("component", "rep").alias("component_id"))
+    out = index.sets.alias("s").join(classes.alias("c"), [F.col(f"s.{c}") == F.col(f"c.{c}") for c in _SIGNATURE], "left")
     return out.select("s.doc_id", F.col("s.n_shingles").cast("long").alias("n_shingles"), F.coalesce("c.component_id", "s.doc_id").alias("component_id"))
+
+
+def join_pairs(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All links: pairs (a, b), a < b, of representatives that link, and members (doc_id, rep) of every row of ``docs``.
+
+    Rows of equal sets have one representative, their smallest doc_id, and link with each other and with what links to
+    it. rep is null for a row without words. Sets and links are those of ``join_groups``.
+
+    Each set is compared with a pivot. Of two sets the differences from a common pivot bound their own difference: if
+    the sum is small enough they link, and if the gap is too large they don't, neither with a look at their texts. All
+    other pairs of the lists are joined block by block and verified. Work grows with the number of links.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    index = _indexed(docs, n, percent)
+    near, links = None, []
+    met = verified_pairs(_pivot_pairs(index.entries, index.bits, percent, 0).distinct(), index.wide, docs, n, percent, index.repeated)
+    likely = _blocked_pairs(_split_lists(index.entries), index.bits, percent).select("a", "b").distinct()
+    if met is not None:
+        met = written(met, "met")
+        links.append(met.where(_linked(percent)))
+        own = met.select(F.col("b").alias("rep"), F.col("size_b").alias("size"), F.col("a").alias("pivot"), (F.col("size_a") + F.col("size_b") - 2 * F.col("common")).alias("away"))
+        # a pivot is at no distance from itself
+        near = written(own.unionByName(met.select(F.col("a").alias("rep"), F.col("size_a").alias("size"), F.col("a").alias("pivot"), F.lit(0).alias("away"))).distinct(), "near")
+        x, y = (near.select("pivot", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "size", "away")]) for k in "xy")
+        both = x.join(y, "pivot").where("rep_x < rep_y and away_x > 0 and away_y > 0")
+        sure = written(both.where(_few_enough(F.col("away_x") + F.col("away_y"), F.col("size_x"), F.col("size_y"), percent)).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct(), "sure")
+        links.append(sure)
+        known = sure.unionByName(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        likely = likely.join(known, ["a", "b"], "left_anti")
+        side = {c: near.where("away > 0").select(F.col("rep").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("size", "pivot", "away")]) for c in "ab"}
+        likely = likely.join(side["a"], "a", "left").join(side["b"], "b", "left")
+        gap = F.abs(F.col("away_a") - F.col("away_b"))
+        apart = (F.col("pivot_a") == F.col("pivot_b")) & ~_few_enough(gap, F.col("size_a"), F.col("size_b"), percent)
+        likely = likely.where(~F.coalesce(apart, F.lit(False))).select("a", "b").distinct()
+    if (rows := verified_pairs(likely, index.wide, docs, n, percent, index.repeated)) is not None:
+        links.append(rows.where(_linked(percent)))
+    pairs = index.prefixes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
+    for found in links:
+        pairs = pairs.unionByName(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    members = index.sets.join(index.reps, _SIGNATURE, "left").select("doc_id", "rep")
+    return pairs.distinct(), members

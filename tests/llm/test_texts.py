@@ -85,6 +85,29 @@ def test_join_edges(spark):
     assert got == sorted([(None, 2, 2), (4, 2, 2), (4, 2, 2), (2, 2, 2), (None, 0, None)], key=str)
 
 
+def brute_links(texts, n, percent):
+    """Pairs of rows that link, rows of equal sets included."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for t in texts]
+    sets = [{tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set() for w in words]
+    return {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i]) if x and 100 * len(x & y) >= percent * len(x | y)}
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_pairs_against_brute_force(spark, n, percent):
+    rng = random.Random(n)
+    texts = [None, "", "One", "one ", "a b", "A B"] + family(rng, 40, 120, 3) + family(rng, 30, 200, 30) + ["same copy of a text that is here often enough"] * 5
+    chain = [f"c{i}" for i in range(300)]
+    texts += [" ".join(chain[i : i + 100]) for i in range(0, 30, 3)]
+    rng.shuffle(texts)
+    pairs, members = jaccard_join.join_pairs(docs_of(spark, texts), n, percent)
+    rep = {r.doc_id: r.rep for r in members.collect()}
+    linked = [tuple(r) for r in pairs.collect()]
+    assert len(rep) == len(texts) and len(linked) == len(set(linked)) and all(a < b for a, b in linked)
+    linked = set(linked)
+    got = {(i, j) for i in rep for j in range(i) if rep[i] is not None and rep[j] is not None and (rep[i] == rep[j] or tuple(sorted((rep[i], rep[j]))) in linked)}
+    assert got == brute_links(texts, n, percent)
+
+
 # ---- fingerprints
 
 
