@@ -1,7 +1,9 @@
 """Negative sampling: items that a user hasn't seen, uniform, by popularity, or both.
 
-Small pools rank every candidate of a positive, which an oracle can repeat. Large pools draw item numbers, drop what the
-user has seen, and top up; there the work grows with the positives and not with positives times items.
+``sample_negatives`` ranks every candidate of a positive by a key that an oracle can repeat, whatever the size. ``drawn``
+is for callers who don't need those keys: it draws items, drops what the user has seen, and ranks the candidates of the
+positives that are still short, so that its work grows with the positives and not with positives times items. Both give
+k negatives or all there are, with the same chances.
 """
 
 from __future__ import annotations
@@ -11,8 +13,9 @@ from pyspark.sql import functions as F
 
 from recspark.operators.indexing import global_index
 from recspark.operators.split import unit
+from recspark.sources.scratch import written
 
-#: Positives times items up to which all candidates are ranked.
+#: Positives times items up to which the pool is broadcast and paired with every positive; above, each user's unseen items are found once. The result is the same.
 RANK_LIMIT = 2_000_000
 
 
@@ -31,6 +34,14 @@ def candidates(positives: DataFrame, pool: DataFrame, history: DataFrame) -> Dat
     return pairs.where("cand <> item_id").join(seen, ["user_id", "cand"], "left_anti")
 
 
+def _unseen_candidates(positives: DataFrame, pool: DataFrame, history: DataFrame) -> DataFrame:
+    """The rows of ``candidates`` for pools of any size: the unseen items of each user are found once and joined to the positives."""
+    pos = positives.select("user_id", "item_id").distinct()
+    seen = history.select("user_id", F.col("item_id").alias("cand")).distinct()
+    pairs = pos.select("user_id").distinct().crossJoin(pool.select(F.col("item_id").alias("cand"), "pop"))
+    return pos.join(pairs.join(seen, ["user_id", "cand"], "left_anti"), "user_id").where("cand <> item_id").select("user_id", "item_id", "cand", "pop")
+
+
 def _key(strategy: str, seed: int) -> Column:
     u = unit(F.col("user_id"), F.col("item_id"), F.col("cand"), seed=seed)
     # the smallest of exponential times with these rates comes first: weighted sampling without replacement
@@ -53,46 +64,56 @@ def mixed(cands: DataFrame, k: int, seed: int = 42) -> DataFrame:
 
 
 def drawn(positives: DataFrame, pool: DataFrame, history: DataFrame, k: int, strategy: str = "uniform", seed: int = 42, rounds: int = 4, over: int = 2) -> DataFrame:
-    """(user_id, item_id, cand) by drawing: each round draws ``over`` * k items for every positive that still lacks some.
+    """(user_id, item_id, cand, rk) by drawing: ``rounds`` times ``over`` * k items for every positive.
 
-    Draws pick a number below the pool's size, or a place in the running sum of weights cut into equal cells by a range
-    of numbers; seen and repeated items are dropped by an anti-join. A positive gets fewer than k only if its unseen
-    items were not drawn in any round.
+    A draw picks one of equal cells; an item owns as many as its weight needs, and a draw of a cell that it fills in part
+    counts with that part's chance, so that chances are in proportion to the weights. Seen and repeated items are
+    dropped. A positive that then has fewer than k gets the rest by ranking the candidates that it hasn't drawn, so
+    that it has k, or all its unseen items if there are fewer.
     """
-    weight = F.pow(F.greatest("pop", F.lit(1)).cast("double"), F.lit(0.75)) if strategy == "popular" else F.lit(1.0)
+    popular = strategy == "popular"
+    weight = F.pow(F.greatest(F.coalesce("pop", F.lit(1)), F.lit(1)).cast("double"), F.lit(0.75)) if popular else F.lit(1.0)
     numbered = global_index(pool, [F.col("item_id")], "n").withColumn("weight", weight).persist()
     total = numbered.agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).first()
+    pos = positives.select("user_id", "item_id").distinct()
     if not total["n"]:
-        return positives.select("user_id", "item_id", F.col("item_id").alias("cand")).limit(0)
-    # every item owns cells in proportion to its weight, one at least; a draw picks a cell
-    cells = numbered.withColumn("cells", F.greatest(F.lit(1), F.round(F.col("weight") * F.lit(4.0 * total["n"] / total["w"])).cast("long")))
-    owned = global_index(cells.select("item_id", F.explode(F.sequence(F.lit(1), F.col("cells"))).alias("c")), [F.col("item_id"), F.col("c")], "cell").select("cell", F.col("item_id").alias("cand")).persist()
+        return pos.select("user_id", "item_id", F.col("item_id").alias("cand"), F.lit(0).alias("rk")).limit(0)
+    share = F.col("weight") * F.lit((4.0 if popular else 1.0) * total["n"] / total["w"])
+    cells = numbered.withColumn("share", share).withColumn("cells", F.greatest(F.lit(1), F.ceil(F.round("share", 9))).cast("long"))
+    owned = global_index(cells.select("item_id", (F.col("share") / F.col("cells")).alias("fill"), F.explode(F.sequence(F.lit(1), F.col("cells"))).alias("c")), [F.col("item_id"), F.col("c")], "cell")
+    owned = owned.select("cell", "fill", F.col("item_id").alias("cand")).persist()
     size = owned.count()
     seen = history.select("user_id", F.col("item_id").alias("cand")).distinct()
-    pos = positives.select("user_id", "item_id").distinct()
     got: DataFrame | None = None
     for r in range(rounds):
-        draws = pos.withColumn("d", F.explode(F.sequence(F.lit(1), F.lit(k * over)))).withColumn("cell", F.floor(unit(F.col("user_id"), F.col("item_id"), F.col("d"), seed=seed + r) * size))
-        new = draws.join(owned, "cell").where("cand <> item_id").select("user_id", "item_id", "cand", (F.col("d") + r * k * over).alias("d")).join(seen, ["user_id", "cand"], "left_anti")
+        draws = pos.withColumn("d", F.explode(F.sequence(F.lit(1), F.lit(k * over))))
+
+        def number(what: str, r: int = r) -> Column:
+            return unit(F.lit(f"{strategy} {what} {r}"), F.col("user_id"), F.col("item_id"), F.col("d"), seed=seed)
+
+        draws = draws.withColumns({"cell": F.floor(number("cell") * size), "part": number("part")})
+        new = draws.join(owned, "cell").where("cand <> item_id and part <= fill").select("user_id", "item_id", "cand", (F.col("d") + r * k * over).alias("d")).join(seen, ["user_id", "cand"], "left_anti")
         got = new if got is None else got.unionByName(new)
-    first = got.groupBy("user_id", "item_id", "cand").agg(F.min("d").alias("d"))
-    w = Window.partitionBy("user_id", "item_id").orderBy("d")
-    return first.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k).select("user_id", "item_id", "cand", "rk")
+    names = ["user_id", "item_id", "cand", "rk"]
+    if got is None:
+        first = pos.select("user_id", "item_id", F.col("item_id").alias("cand"), F.lit(0).alias("rk")).limit(0)
+    else:
+        w = Window.partitionBy("user_id", "item_id").orderBy("d")
+        first = got.groupBy("user_id", "item_id", "cand").agg(F.min("d").alias("d")).withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k).select(*names)
+    first = written(first, "drawn")
+    had = first.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("had"))
+    short = written(pos.join(had, ["user_id", "item_id"], "left").withColumn("had", F.coalesce("had", F.lit(0))).where(F.col("had") < k), "short")
+    rest = ranked(_unseen_candidates(short, pool, history).join(first, ["user_id", "item_id", "cand"], "left_anti"), k, strategy, seed)
+    rest = rest.join(short, ["user_id", "item_id"]).withColumn("rk", (F.col("rk") + F.col("had")).cast("int")).where(F.col("rk") <= k)
+    return first.unionByName(rest.select(*names))
 
 
 def sample_negatives(positives: DataFrame, pool: DataFrame, history: DataFrame, k: int, strategy: str, seed: int = 42) -> DataFrame:
-    """(user_id, item_id, cand, rk): k unseen items for each positive, fewer if there are fewer."""
-    if positives.count() * pool.count() <= RANK_LIMIT:
-        c = candidates(positives, pool, history)
-        out = mixed(c, k, seed) if strategy == "mixed" else ranked(c, k, strategy, seed)
-        return out.select("user_id", "item_id", "cand", "rk")
-    if strategy != "mixed":
-        return drawn(positives, pool, history, k, strategy, seed)
-    half = drawn(positives, pool, history, k // 2, "popular", seed)
-    rest = drawn(positives, pool, history, k, "uniform", seed + 1).withColumn("rk", F.col("rk") + k)
-    both = half.unionByName(rest).groupBy("user_id", "item_id", "cand").agg(F.min("rk").alias("o"))
-    w = Window.partitionBy("user_id", "item_id").orderBy("o", "cand")
-    return both.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k).drop("o")
+    """(user_id, item_id, cand, rk): k unseen items for each positive, fewer if there are fewer; the same at every size of input."""
+    small = positives.count() * pool.count() <= RANK_LIMIT
+    c = (candidates if small else _unseen_candidates)(positives, pool, history)
+    out = mixed(c, k, seed) if strategy == "mixed" else ranked(c, k, strategy, seed)
+    return out.select("user_id", "item_id", "cand", "rk")
 
 
 def with_negatives(positives: DataFrame, negatives: DataFrame, item_features: DataFrame | None = None) -> DataFrame:

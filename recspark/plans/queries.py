@@ -313,9 +313,9 @@ def labelled_samples(spark, sf_dir):
 
 @query("WITH " + COMMON + "," + POOL + "SELECT user_id, item_id, least(count(*), 4) AS n, 0 AS seen FROM cands GROUP BY 1, 2")
 def negatives_drawn(spark, sf_dir):
-    """The large-pool way: as many as there can be, none of them seen."""
+    """Negatives by drawing: as many as there can be, none of them seen."""
     ev = _ev(spark, sf_dir)
-    got = sampling.drawn(ev.where("rating = 5"), sampling.popularity(ev), ev, 4, rounds=8, over=4)
+    got = sampling.drawn(ev.where("rating = 5"), sampling.popularity(ev), ev, 4)
     seen = ev.select("user_id", F.col("item_id").alias("cand")).distinct().withColumn("seen", F.lit(1))
     return got.join(seen, ["user_id", "cand"], "left").groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("seen"), F.lit(0)).alias("seen"))
 

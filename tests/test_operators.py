@@ -86,6 +86,42 @@ def test_negatives(spark, strategy, large, monkeypatch):
     assert both.where("label = 0 and rating <> 0").count() == 0 and both.where("label = 1").count() == ix.count()
 
 
+def _hot_users(spark):
+    """Users who have seen all but 2 or 6 of 100 items, or 3 of them only, and items of very unequal popularity."""
+    seen = [(u, i) for u, n in (("a", 98), ("b", 94), ("c", 3)) for i in range(n)] + [(f"x{j}", i) for i in (0, 1, 98, 99) for j in range(50 if i < 2 else 1)] + [("y", i) for i in range(100)]
+    ix = spark.createDataFrame([(u, str(i)) for u, i in seen], "user_id string, item_id string")
+    return ix, ix.where("user_id in ('a', 'b', 'c', 'y')")
+
+
+@pytest.mark.parametrize("strategy", ["uniform", "popular", "mixed"])
+def test_negatives_do_not_depend_on_size(spark, strategy, monkeypatch):
+    ix, positives = _hot_users(spark)
+    got = []
+    for limit in (10**9, 0):
+        monkeypatch.setattr(sampling, "RANK_LIMIT", limit)
+        got.append(rows(sampling.sample_negatives(positives, sampling.popularity(ix), ix, 4, strategy), "user_id", "item_id", "cand", "rk"))
+    assert got[0] == got[1] and len(got[0]) == 98 * 2 + 94 * 4 + 3 * 4
+
+
+@pytest.mark.parametrize("strategy", ["uniform", "popular"])
+def test_drawing_finds_all_there_are(spark, strategy):
+    ix, positives = _hot_users(spark)
+    got = sampling.drawn(positives, sampling.popularity(ix), ix, 4, strategy)
+    per = {(r.user_id, r.item_id): (r.n, r.d, r.most) for r in got.groupBy("user_id", "item_id").agg(F.count("*").alias("n"), F.count_distinct("cand").alias("d"), F.max("rk").alias("most")).collect()}
+    assert per == {(u, str(i)): (k, k, k) for u, n, k in (("a", 98, 2), ("b", 94, 4), ("c", 3, 4)) for i in range(n)}
+    assert got.join(ix.withColumnRenamed("item_id", "cand"), ["user_id", "cand"], "left_semi").count() == 0
+
+
+def test_popular_draws_follow_the_weights(spark):
+    pool = spark.createDataFrame([("hot", 100_000)] + [(f"i{k}", 1) for k in range(40)], "item_id string, pop long")
+    positives = spark.range(4000).select(F.col("id").cast("string").alias("user_id"), F.lit("own").alias("item_id"))
+    got = sampling.drawn(positives, pool, positives, 1, "popular")
+    hot = got.where("cand = 'hot'").count() / 4000
+    want = 100_000**0.75 / (100_000**0.75 + 40)
+    assert abs(hot - want) < 0.005
+    assert got.count() == 4000
+
+
 def test_merge_of_statistics(spark):
     df = spark.createDataFrame([(3, 12.0, 56.0)], "n long, s double, q double")
     stored = vocab.from_sums(F.col("n"), F.col("s"), F.col("q"))
