@@ -122,12 +122,30 @@ def verdict(rules: Sequence[Rule]) -> Column:
     return F.lit(True) if out is None else out.otherwise(F.lit(True))
 
 
+#: Quantiles besides the even ones, for kinds of junk at the ends of a feature.
+TAILS = (0.0, 0.01, 0.02, 0.05, 0.95, 0.98, 0.99, 1.0)
+
+
 def _candidates(rows: DataFrame, n_cuts: int) -> list[Literal]:
-    cuts = [i / n_cuts for i in range(1, n_cuts)]
+    """Literals at quantiles of the bad ones of ``rows``, and where many share one value of a feature, at quantiles above and below that value.
+
+    So a kind of junk with its own values of a feature gets cuts there, however small its share of the rows is.
+    """
+    cuts = sorted({i / n_cuts for i in range(1, n_cuts)} | set(TAILS))
     names = list(features())
     bad = rows.where("label = 0")
     got = bad.agg(*[F.percentile_approx(features()[n], cuts, 2000).alias(n) for n in names]).first()
-    return sorted({Literal(n, op, float(v)) for n in names for v in got[n] or [] for op in (">=", "<=")}, key=lambda x: (x.feature, x.op, x.threshold))
+    found = {(n, float(v)) for n in names for v in got[n] or []}
+    common = {n: max(set(got[n]), key=got[n].count) for n in names if got[n]}
+    common = {n: v for n, v in common.items() if got[n].count(v) > 1}
+    if common:
+        parts = []
+        for n, v in common.items():
+            f = features()[n]
+            parts += [F.percentile_approx(F.when(side, f), cuts, 2000).alias(f"{n}_{k}") for k, side in (("above", f > v), ("below", f < v))]
+        around = bad.agg(*parts).first()
+        found |= {(n, float(x)) for n in common for k in ("above", "below") for x in around[f"{n}_{k}"] or []}
+    return sorted((Literal(n, op, v) for n, v in found for op in (">=", "<=")), key=lambda x: (x.feature, x.op, x.threshold))
 
 
 def _counts(rows: DataFrame, base: Column, literals: Sequence[Literal]) -> list[tuple[int, int]]:
@@ -140,12 +158,20 @@ def _counts(rows: DataFrame, base: Column, literals: Sequence[Literal]) -> list[
     return [(got[f"b{i}"] or 0, got[f"g{i}"] or 0) for i in range(len(literals))]
 
 
+def _rule_counts(rows: DataFrame, base: Column, rules: Sequence[Rule]) -> list[tuple[int, int]]:
+    """(bad, good) rows on which ``base`` and each rule hold, in one aggregation."""
+    sums = [F.sum(F.when(holds(r), F.col(w)).otherwise(0)).alias(f"{w}{i}") for i, r in enumerate(rules) for w in ("w_bad", "w_good")]
+    got = rows.where(base).agg(*sums).first()
+    return [(got[f"w_bad{i}"] or 0, got[f"w_good{i}"] or 0) for i in range(len(rules))]
+
+
 def learn(rows: DataFrame, max_rules: int = 6, max_literals: int = 3, n_cuts: int = 12, purity: float = 0.97, least_share: float = 0.01) -> list[Rule]:
     """An ordered list of conjunctions that pick label 0 out of rows of counts with a column label (0 or 1).
 
     Sequential covering: a rule is grown literal by literal by the information gained on two thirds of the rows, then
     literals are cut from its end while that doesn't lower its purity on the other third; rules stay if they are pure
-    to ``purity`` there and cover ``least_share`` of the bad rows. Rows that a rule covers leave, and the next is grown.
+    to ``purity`` there and cover ``least_share`` of the bad rows. Rows that a rule covers leave, and the next is grown,
+    with thresholds from the rows that are left. After a rule that doesn't stay, another first literal is tried.
     Rows without label are left out; without rows of both labels the list is empty and everything is kept.
     """
     import math
@@ -156,34 +182,43 @@ def learn(rows: DataFrame, max_rules: int = 6, max_literals: int = 3, n_cuts: in
     rules: list[Rule] = []
     if not n_bad or not n_good:
         return rules
-    literals = _candidates(rows, n_cuts)
+    every = [Literal("n_words", ">=", -1.0)]
+    least = max(1, least_share * n_bad / 3)
+    grown, held = rows.where("grow"), rows.where("not grow")
     left = F.lit(True)
     while len(rules) < max_rules:
-        rule: Rule = ()
-        here = rows.where("grow")
-        (bad, good), = _counts(here, left, [Literal("n_words", ">=", -1.0)])
-        while len(rule) < max_literals and good and bad:
-            counts = _counts(here, left & holds(rule), literals)
-            gain = [b * (math.log2((b + 1) / (b + g + 2)) - math.log2((bad + 1) / (bad + good + 2))) for b, g in counts]
-            best = max(range(len(literals)), key=lambda i: gain[i])
-            if gain[best] <= 0 or counts[best] == (bad, good):
-                break
-            rule += (literals[best],)
-            bad, good = counts[best]
-        if not rule:
+        (bad, good), = _counts(grown, left, every)
+        if not bad or not good:
             break
-        held = rows.where("not grow")
-        prefixes = [rule[:i] for i in range(1, len(rule) + 1)]
-        worth = []
-        for p in prefixes:
-            (b, g), = _counts(held, left & holds(p), [Literal("n_words", ">=", -1.0)])
-            worth.append(((b + 1) / (b + g + 2), b, g))
-        i = max(range(len(prefixes)), key=lambda k: (worth[k][0], -k))
-        score, b, g = worth[i]
-        if b < max(1, least_share * n_bad / 3) or b / (b + g) < purity:
+        literals = _candidates(rows.where(left), n_cuts)
+        alone = _counts(grown, left, literals)
+        # no rule that begins with a literal covers more than the literal does
+        open_ = {i for i, (b, _) in enumerate(_counts(held, left, literals)) if b >= least}
+        found: Rule | None = None
+        while open_ and found is None:
+            rule, first, now = (), None, (bad, good)
+            while len(rule) < max_literals and all(now):
+                counts = alone if not rule else _counts(grown, left & holds(rule), literals)
+                gain = [b * (math.log2((b + 1) / (b + g + 2)) - math.log2((now[0] + 1) / (sum(now) + 2))) for b, g in counts]
+                best = max(range(len(literals)) if rule else sorted(open_), key=lambda i: gain[i])
+                if gain[best] <= 0 or counts[best] == now:
+                    break
+                first = best if first is None else first
+                rule, now = (*rule, literals[best]), counts[best]
+            if not rule:
+                break
+            prefixes = [rule[:i] for i in range(1, len(rule) + 1)]
+            worth = [((b + 1) / (b + g + 2), b, g) for b, g in _rule_counts(held, left, prefixes)]
+            i = max(range(len(prefixes)), key=lambda k: (worth[k][0], -k))
+            _, b, g = worth[i]
+            if b >= least and b / (b + g) >= purity:
+                found = prefixes[i]
+            else:
+                open_.discard(first)
+        if found is None:
             break
-        rules.append(prefixes[i])
-        left = left & ~holds(prefixes[i])
+        rules.append(found)
+        left = left & ~holds(found)
     return rules
 
 

@@ -172,3 +172,33 @@ def test_decision_list_learns_and_keeps_clean_texts(spark):
     assert rule_lists.judged(docs.limit(0), labels).count() == 0
     clash = docs.withColumns({"n_words": F.lit("x"), "label": F.lit(7)})
     assert rule_lists.kept_rows(clash, labels).columns == clash.columns
+
+
+def _counted(spark, kinds):
+    """Labelled rows of counts: (label, rows, count that is set, function of the row's number giving it)."""
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_adjacent", "n_lines"]
+    out = []
+    for label, n, what, value in kinds:
+        for i in range(n):
+            row = dict.fromkeys(names, 0) | {"n_words": 100 + i % 37, "word_chars": 520 + i % 37 * 5, "n_lines": 10}
+            out.append((len(out), *[value(i) if c == what else row[c] for c in names], label))
+    return spark.createDataFrame(out, "doc_id long, " + ", ".join(f"{c} long" for c in names) + ", label int")
+
+
+def test_rare_kinds_of_junk_get_rules(spark):
+    kinds = [(1, 900, "n_marks", lambda i: i % 3), (0, 840, "n_symbols", lambda i: 40 + i % 30), (0, 60, "n_marks", lambda i: 30 + i % 20), (0, 60, "n_adjacent", lambda i: 20 + i % 9)]
+    rows = _counted(spark, kinds)
+    rules = rule_lists.learn(rows)
+    kept = {r.doc_id for r in rows.where(rule_lists.verdict(rules)).collect()}
+    assert kept == set(range(900))
+
+
+def test_a_rule_that_fails_does_not_end_the_list(spark):
+    kinds = [(1, 400, "n_marks", lambda i: 0), (0, 200, "n_symbols", lambda i: 40 + i % 30), (0, 200, "n_adjacent", lambda i: 20 + i % 9)]
+    rows = _counted(spark, kinds)
+    # among the held-back rows the kind with symbols is good, so the rule that is grown for it fails there
+    rows = rows.withColumn("grow", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)) < 2)
+    rows = rows.withColumn("label", F.when(~F.col("grow") & (F.col("n_symbols") > 0), 1).otherwise(F.col("label"))).drop("grow")
+    rules = rule_lists.learn(rows)
+    assert rules and rows.where(rule_lists.verdict(rules)).where("n_adjacent > 0").count() == 0
+    assert rows.where(rule_lists.verdict(rules)).where("label = 1").count() == rows.where("label = 1").count()
