@@ -222,18 +222,21 @@ def learn(rows: DataFrame, max_rules: int = 6, max_literals: int = 3, n_cuts: in
     return rules
 
 
-#: Labelled documents that ``kept_rows`` learns from at most, chosen by a hash of their ids.
-LEARN_ROWS = 20_000
+#: Labels that may be broadcast, so that only labelled texts are counted to learn from; with more, all texts are counted first. The list is the same.
+BROADCAST_LABELS = 1_000_000
 
 
-def kept_rows(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> DataFrame:
-    """The rows of ``docs`` that pass the base rules and the learned list, as they are, in one pass without a shuffle of texts.
+def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that pass the base rules and the learned list, as they are, without a shuffle of texts.
 
-    The list is learned from at most ``rows`` labelled documents; every text is then counted in whole and judged.
+    The list is learned from all labelled documents; every text is then counted in whole and judged.
     """
-    known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    known = F.broadcast(known.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(rows))  # ``rows`` rows of an id and a label
-    stats = written(base_stats(docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")), "counts")
+    known = written(labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label")), "known")
+    texts = docs.select("doc_id", "text")
+    if known.count() <= BROADCAST_LABELS:
+        known = F.broadcast(known)
+        texts = texts.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    stats = written(base_stats(texts), "counts")
     rules = learn(stats.where(~base_failed()).dropDuplicates(["doc_id"]).join(known, "doc_id"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
     # a row number that the filter reads keeps the filter above the counts; pushed below, every use would repeat their expressions

@@ -202,3 +202,16 @@ def test_a_rule_that_fails_does_not_end_the_list(spark):
     rules = rule_lists.learn(rows)
     assert rules and rows.where(rule_lists.verdict(rules)).where("n_adjacent > 0").count() == 0
     assert rows.where(rule_lists.verdict(rules)).where("label = 1").count() == rows.where("label = 1").count()
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_the_filter_learns_from_all_labels(spark, limit, monkeypatch):
+    monkeypatch.setattr(rule_lists, "BROADCAST_LABELS", limit, raising=False)
+    ids = [r.id for r in spark.range(21_000).orderBy(F.xxhash64("id", F.lit(5)), "id").collect()]
+    late = set(ids[20_000:])
+    kind = [(i, 2 if i in late else int(i % 10 == 0)) for i in ids]
+    words = "transform(sequence(1, 25), k -> concat('w', pmod(doc_id * 31 + k * 7, 997)))"
+    docs = spark.createDataFrame(kind, "doc_id long, kind int").withColumn("text", F.expr(f"array_join({words}, element_at(array(' ', ' | ', ' ! '), kind + 1))"))
+    labels = docs.selectExpr("doc_id", "int(kind = 0) AS quality")
+    got = rule_lists.kept_rows(docs, labels).groupBy("kind").count().collect()
+    assert {r["kind"]: r["count"] for r in got} == {0: sum(k == 0 for _, k in kind)}
