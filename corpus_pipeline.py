@@ -53,7 +53,7 @@ STAGES = [
     ("SentencePiece encoding and decoding", encoded),
 ]
 
-#: The stages learn, hash and round; SQL expresses none of that, so tests hold the result against brute force.
+#: The stages learn, hash and round; SQL expresses none of that. Tests hold what the stages keep on small tables.
 ORACLE_SQL = None
 
 

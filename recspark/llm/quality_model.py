@@ -1,7 +1,7 @@
 """Quality classifier: learned vectors of hashed word and character n-grams, averaged per document, with softmax output.
 
-A document's features are its words, the character n-grams of each word in angle brackets, and word pairs; a pair of one
-word with itself has one feature whatever the word. The vectors and the output weights are trained together by numpy
+A document's features are its words, the character n-grams of each word in angle brackets, and one feature for any word that
+follows itself, whatever the word; there are no other word n-grams. The vectors and the output weights are trained together by numpy
 stochastic gradient descent. As the output is linear in the average, a trained model reduces to one number a bucket, and a
 text is scored from its words' sums.
 """
