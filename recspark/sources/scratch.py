@@ -8,16 +8,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of this process where it is unset (tests, local mode)."""
+    """The cluster's ``spark.checkpoint.dir``; a folder of this process where it is unset and all runs on this machine (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _own.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="recspark-"))
 
 
@@ -33,5 +36,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``written`` and the number of rows, counted as they are written."""
+    seen = Observation()
+    out = written(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, seen.get.get("n", 0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
