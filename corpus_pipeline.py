@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.llm import jaccard_join, mixing, pieces, quality_model, rule_lists
-from recspark.llm.scratch import table, written
+from recspark.sources.scratch import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
