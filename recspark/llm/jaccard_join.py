@@ -1,18 +1,20 @@
 """Exact Jaccard self-join of documents on their word shingles, with set relations used to skip work.
 
-1. Equal sets collapse to one representative; only those are joined.
+1. Equal sets collapse to one representative, a node; only nodes are joined.
 2. Shingles are ordered by how common they are and each set's prefix goes to an inverted index. Two sets that are
-   similar enough share a prefix shingle, whatever the order.
-3. Each index list has a pivot, and every set is compared with the pivot that it shares most lists with. Sets that link
-   to one pivot are connected: ``join_groups``, which gives components only, needs no more of them. A second round, with
-   other pivots, compares what is still apart. ``join_pairs`` gives every link: it takes a set's answers from its
-   pivot's where the differences from the pivot decide, and verifies all other pairs.
-4. What is left of a list, sets of different components, is joined block by block. Blocks hold the entries of one range
-   of set sizes and prefix positions; pairs of blocks that no similar pair can come from are skipped whole. Of the pairs
-   between two components the likeliest is verified first, and the others only if that is no link.
-
-Bitmaps of the sets' parities bound the differences of two sets from below and drop almost all pairs that aren't links.
-Every pair that is left is verified on the texts, so the result is exact.
+   similar enough share a prefix shingle, whatever the order. Lists of a few entries give their pairs at once.
+3. In longer lists, sets are compared with pivots: each component of linked sets takes, of the pivots of its lists, the
+   one that its parity bitmap is closest to. The answer keeps the exact differences from the pivot. Turns with other
+   pivots follow while they link enough.
+4. What is left of the lists, sets of different components, is joined block by block. Blocks hold a bounded mean number
+   of entries of one range of set sizes and prefix positions; pairs of blocks that no similar pair can come from are
+   skipped whole, and a pair is formed at its first common shingle only.
+5. Two sets that were compared with one pivot get their answer from those answers, exactly and without their texts:
+   they differ by what one of the two differences from the pivot holds and the other doesn't. All other pairs are
+   verified on the whole sets.
+
+``join_groups`` gives components and skips pairs inside one; ``join_pairs`` gives every link. Bitmaps of the sets'
+parities bound the differences of two sets from below and drop almost all pairs that aren't links.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recspark.llm.components import components
-from recspark.llm.scratch import written
 from recspark.llm.text_units import mixed, sets_of
+from recspark.sources.scratch import counted, written
 
 #: Cells of the table of shingle counts that orders the index. It has this size whatever the input; a coarse order costs time only.
 CELL_BITS = 22
@@ -37,11 +39,19 @@ _BLOCK = 1 << 14
 BITS = 512
 #: Sets above this size also have a bitmap of two to four bits a shingle, as BITS fill up.
 WIDE_SIZE = 1000
-#: Entries up to which a list's pairs are formed before their bitmaps are fetched, and up to which a list isn't cut into blocks.
+#: Entries up to which all pairs of a list are formed at once, and up to which a list isn't cut into cells of sizes and positions.
 TINY_LIST, SHORT_LIST = 8, 500
-#: Ids that may be broadcast to pick their texts in place; more are joined by shuffle. A million longs are some 40 MB.
+#: Mean number of entries of a block at most.
+BLOCK_ENTRIES = 256
+#: Listed shingles of a set, from its first, that tell whether a pair was formed before; where two sets share none of these, a pair may be formed again.
+HEAD = 32
+#: Turns go on while they link this share of the pairs that they compare; what they leave is joined block by block.
+LEAST_LINKED = 0.5
+#: Keys that may be broadcast to pick their texts in place; more are joined by shuffle. A row is some 50 bytes, so 50 MB.
 BROADCAST_IDS = 1_000_000
 
+_SIGNATURE = ["n_shingles", "sig1", "sig2"]
+
 
 def _signature(s: np.ndarray) -> tuple[int, int]:
     """128 bits that equal sets share."""
@@ -50,13 +60,14 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-SETS = "doc_id long, n_shingles int, sig1 long, sig2 long, block int, counts binary"
+SETS = "doc_id long, key long, n_shingles int, sig1 long, sig2 long, block int, counts binary"
 
 
 def _set_rows(n: int):
+    names = [x.split(" ")[0] for x in SETS.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.uint32)
-        names = ["doc_id", "n_shingles", "sig1", "sig2", "block", "counts"]
         for batch in batches:
             sizes, ones, twos = [], [], []
             for s in sets_of(batch.column("text"), n):
@@ -66,10 +77,11 @@ def _set_rows(n: int):
                 ones.append(one)
                 twos.append(two)
             k = len(sizes)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
+            own = [pa.array(sizes, pa.int32()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64())]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("key"), *own, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
         blocks = cells.reshape(-1, _BLOCK)
         k = len(blocks)
-        none = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())]
+        none = [pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())]
         yield pa.record_batch([*none, pa.array(range(k), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in blocks], pa.binary())], names=names)
 
     return run
@@ -102,76 +114,68 @@ def _parities(s: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _prefix_rows(n: int, percent: int, ranks):
+PREFIXES = "key long, sig1 long, sig2 long, size int, prefix array<long>, bits array<long>, wide array<long>"
+
+
+def _prefix_rows(n: int, percent: int, least: int, ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
         for batch in batches:
-            ids, sizes, prefixes, bitmaps, wides = [], [], [], [], []
-            for doc_id, s in zip(batch.column("doc_id").to_pylist(), sets_of(batch.column("text"), n), strict=True):
-                if not len(s):
+            rows = []
+            for key, s in zip(batch.column("key").to_pylist(), sets_of(batch.column("text"), n), strict=True):
+                if len(s) < least:
                     continue
                 rank = table[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)].astype(np.uint64)
                 order = np.argsort((rank << np.uint64(56)) | (s >> np.uint64(8)), kind="stable")
-                ids.append(doc_id)
-                sizes.append(len(s))
-                prefixes.append(s[order[: _prefix_length(len(s), percent)]].view(np.int64))
-                bitmaps.append(_parities(s, BITS))
-                wides.append(_parities(s, 2 << int(len(s)).bit_length()) if len(s) > WIDE_SIZE else None)
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bitmaps, pa.list_(pa.int64())), pa.array(wides, pa.list_(pa.int64()))], names=["rep", "size", "prefix", "bits", "wide"])
+                prefix = s[order[: _prefix_length(len(s), percent)]].view(np.int64)
+                wide = _parities(s, 2 << int(len(s)).bit_length()) if len(s) > WIDE_SIZE else None
+                rows.append((key, *_signature(s), len(s), prefix, _parities(s, BITS), wide))
+            longs = pa.list_(pa.int64())
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), longs, longs, longs]
+            cols = list(zip(*rows, strict=True)) or [[] for _ in types]
+            yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=[x.split(" ")[0] for x in PREFIXES.split(", ")])
 
     return run
 
 
-def _verified_rows(n: int):
-    """Batches of (a, b, text_a, text_b) to (a, b, common, size_a, size_b), each text in whole."""
+# ---- pairs to answers
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_set = None, None
-        for big in batches:
-            for at in range(0, big.num_rows, 256):
-                batch = big.slice(at, 256)
-                heads = batch.column("a").to_pylist()
-                # runs of one left document share its set
-                new = [i for i, x in enumerate(heads) if x != (heads[i - 1] if i else last)]
-                fresh = dict(zip(new, sets_of(batch.column("text_a").take(pa.array(new, pa.int64())), n), strict=True))
-                common, left, right = [], [], []
-                for i, s in enumerate(sets_of(batch.column("text_b"), n)):
-                    if i in fresh:
-                        last, last_set = heads[i], fresh[i]
-                    common.append(len(last_set) + len(s) - len(np.union1d(last_set, s)))
-                    left.append(len(last_set))
-                    right.append(len(s))
-                yield pa.record_batch([batch.column("a"), batch.column("b"), *[pa.array(x, pa.int32()) for x in (common, left, right)]], names=["a", "b", "common", "size_a", "size_b"])
 
-    return run
+def _needed_sets(n: int):
+    """Batches of (node, sig1, sig2, text) to (node, shingles) of the rows whose set has that signature."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, found = [], []
+            wanted = zip(*(batch.column(c).to_pylist() for c in ("node", "sig1", "sig2")), strict=True)
+            for (node, *sig), s in zip(wanted, sets_of(batch.column("text"), n), strict=True):
+                if tuple(sig) == _signature(s):
+                    nodes.append(node)
+                    found.append(s.tobytes())
+            yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], names=["node", "shingles"])
 
-def _texts_of(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
-    """(rep, text) of the documents in ``ids`` (rep, distinct); where ids repeat, one row of each."""
-    ids = written(ids, "ids")
-    here = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    found = docs.join(here, docs.doc_id == here.rep, "left_semi").select(F.col("doc_id").alias("rep"), "text")
-    return found.dropDuplicates(["rep"]) if repeated else found
+    return run
 
 
-def verified_links(pairs: DataFrame, wide: DataFrame, docs: DataFrame, n: int, percent: int, repeated: bool) -> DataFrame | None:
-    """The links (a, b) among distinct pairs (a, b), from the whole texts; None if there are none."""
-    rows = verified_pairs(pairs, wide, docs, n, percent, repeated)
-    if rows is None:
-        return None
-    links = written(rows.where(_linked(percent)).select("a", "b"), "links")
-    return None if links.isEmpty() else links
+ANSWERS = "a long, b long, common int, size_a int, size_b int, differences array<long>"
 
 
-def verified_pairs(pairs: DataFrame, wide: DataFrame, docs: DataFrame, n: int, percent: int, repeated: bool) -> DataFrame | None:
-    """(a, b, common, size_a, size_b) of the distinct pairs (a, b) whose wide bitmaps allow a link, from the whole texts; None if there are none."""
-    pairs = written(_fitting_wide(pairs, wide, percent), "pairs")
-    if pairs.isEmpty():
-        return None
-    texts = written(_texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), repeated), "texts")
-    left, right = (texts.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return both.sortWithinPartitions("a").mapInArrow(_verified_rows(n), "a long, b long, common int, size_a int, size_b int")
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (a, b, set_a, set_b), in runs of one ``a``, to ANSWERS; the differences are null where the sets are far apart."""
+    last, x = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        rows = []
+        heads, set_a, set_b = batch.column("a").to_pylist(), batch.column("set_a"), batch.column("set_b")
+        for i, b in enumerate(batch.column("b").to_pylist()):
+            if heads[i] != last:
+                last, x = heads[i], np.frombuffer(set_a[i].as_py(), np.uint64)
+            y = np.frombuffer(set_b[i].as_py(), np.uint64)
+            differences = np.setxor1d(x, y, assume_unique=True)
+            near = 4 * len(differences) <= len(x) + len(y)
+            rows.append((last, b, (len(x) + len(y) - len(differences)) // 2, len(x), len(y), differences.view(np.int64) if near else None))
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+        cols = list(zip(*rows, strict=True)) or [[] for _ in types]
+        yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=[x.split(" ")[0] for x in ANSWERS.split(", ")])
 
 
 def _linked(percent: int) -> Column:
@@ -197,39 +201,23 @@ def _few_enough(differ: Column, size_a: Column, size_b: Column, percent: int) ->
     return differ.cast("long") * (100 + percent) <= (size_a + size_b).cast("long") * (100 - percent)
 
 
-def _split_lists(entries: DataFrame) -> DataFrame:
-    """The entries of the lists that hold sets of different components."""
-    tokens = entries.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n")).where("c0 <> c1").select("token", "n")
-    return entries.join(tokens, "token")
-
-
-def _pivot_pairs(entries: DataFrame, bits: DataFrame, percent: int, turn: int) -> DataFrame:
-    """A pair (a, b) for each component at most: its set and the pivot that share most lists, if they can be similar."""
-    low = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca")))
-    pivots = entries.groupBy("token").agg(low.alias("p")).select("token", "p.a", "p.size_a", "p.ca")
-    met = entries.join(pivots, "token").where((F.col("component") != F.col("ca")) & _sizes_fit(F.col("size"), F.col("size_a"), percent))
-    lists = met.groupBy("component", F.col("rep").alias("b"), "a").agg(F.count(F.lit(1)).alias("n"))
-    best = F.max(F.struct("n", F.xxhash64("a").alias("h"), "a", "b")).alias("p")
-    pairs = lists.groupBy("component").agg(best).select("p.a", "p.b")
-    return _fitting(pairs, bits, percent).select("a", "b")
-
-
 def _fitting(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, …) whose bitmaps allow a link, with ``differ``."""
+    """The pairs (a, b) whose bitmaps allow a link."""
     for side in "ab":
-        own = bits.select(F.col("rep").alias(side), F.col("size").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}"))
+        own = bits.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}"))
         pairs = pairs.join(own, side)
-    pairs = pairs.withColumn("differ", _differ(F.col("bits_a"), F.col("bits_b")))
-    return pairs.where(_few_enough(F.col("differ"), F.col("size_a"), F.col("size_b"), percent)).drop("size_a", "size_b", "bits_a", "bits_b")
+    differ = _differ(F.col("bits_a"), F.col("bits_b"))
+    return pairs.where(_few_enough(differ, F.col("size_a"), F.col("size_b"), percent)).select("a", "b")
 
 
 def _fitting_wide(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b), those of smaller sets and those of larger ones whose wide bitmaps allow a link.
+    """Of pairs (a, b, …), those of smaller sets and those of larger ones whose wide bitmaps allow a link.
 
     Of two lengths the longer is folded, which keeps parities.
     """
+    names = pairs.columns
     for side in "ab":
-        own = wide.select(F.col("rep").alias(side), F.col("size").alias(f"size_{side}"), F.col("wide").alias(f"wide_{side}"))
+        own = wide.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}"), F.col("wide").alias(f"wide_{side}"))
         pairs = pairs.join(own, side, "left")
     x, y = F.col("wide_a"), F.col("wide_b")
     n = F.least(F.size(x), F.size(y))
@@ -239,179 +227,239 @@ def _fitting_wide(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
 
     differ = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), lambda s, i: s + F.bit_count(folded(x, i).bitwiseXOR(folded(y, i))).cast("int"))
     fits = F.when(x.isNotNull() & y.isNotNull(), _few_enough(differ, F.col("size_a"), F.col("size_b"), percent)).otherwise(F.lit(True))
-    return pairs.where(fits).select("a", "b")
+    return pairs.where(fits).select(*names)
 
 
-def _may_meet(percent: int) -> Column:
-    """Entries x and y of one list: different components, sizes that fit, and room for the overlap behind their positions."""
-    c = F.col
-    return (c("x_component") != c("y_component")) & _sizes_fit(c("x_size"), c("y_size"), percent) & _room(c("x_size"), c("x_pos"), c("y_size"), c("y_pos"), percent)
+@dataclass(frozen=True)
+class _Index:
+    """What the joins start from: sets of all rows, a node for each class of equal sets, bitmaps, and the lists of the nodes' prefixes."""
+
+    docs: DataFrame
+    sets: DataFrame
+    nodes: DataFrame
+    bits: DataFrame
+    wide: DataFrame
+    entries: DataFrame
+    n: int
+    percent: int
+
+    def tiny_pairs(self) -> DataFrame:
+        """(a, b), a < b: all pairs of short lists that may be similar."""
+        left, right = (self.entries.where(F.col("n") <= TINY_LIST).select("token", *[F.col(c).alias(f"{k}_{c}") for c in ("node", "size", "pos")]) for k in "xy")
+        fit = _sizes_fit(F.col("x_size"), F.col("y_size"), self.percent) & _room(F.col("x_size"), F.col("x_pos"), F.col("y_size"), F.col("y_pos"), self.percent)
+        few = left.join(right, "token").where((F.col("x_node") < F.col("y_node")) & fit).select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
+        return _fitting(few, self.bits, self.percent)
+
+    def long_lists(self) -> DataFrame:
+        """The entries of the other lists, with their bitmaps."""
+        return written(self.entries.where(F.col("n") > TINY_LIST).join(self.bits.select("node", "bits"), "node"), "lists")
+
+    def compared(self, pairs: DataFrame) -> DataFrame:
+        """ANSWERS for the pairs (a, b) whose wide bitmaps allow a link, from the whole texts; pairs are expected to be distinct."""
+        pairs = written(_fitting_wide(pairs.select("a", "b"), self.wide, self.percent), "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+        needed, k = counted(self.nodes.select("node", "key", "sig1", "sig2").join(ends, "node", "left_semi"), "needed")
+        needed = F.broadcast(needed) if k <= BROADCAST_IDS else needed
+        texts = self.docs.select("key", "text").join(needed, "key").select("node", "sig1", "sig2", "text")
+        sets = written(texts.mapInArrow(_needed_sets(self.n), "node long, shingles binary").dropDuplicates(["node"]), "shingles")
+        left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
+        both = pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b")
+        return both.sortWithinPartitions("a").mapInArrow(_compared, ANSWERS)
+
+
+def _indexed(docs: DataFrame, n: int, percent: int) -> _Index:
+    spark = docs.sparkSession
+    # the key tells rows apart by id and text, so that ids may be null or repeat
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.col("doc_id").cast("long"), "text").alias("key"))
+    found = written(docs.mapInArrow(_set_rows(n), SETS), "sets")
+    sets = found.where("block is null").select("doc_id", "key", *_SIGNATURE)
+    nodes = sets.where("n_shingles > 0").groupBy(*_SIGNATURE).agg(F.min("doc_id").alias("least"), F.min("key").alias("key"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+    ranks = spark.sparkContext.broadcast(_ranks(found.where("block is not null").select("block", "counts")))
+    # below this size a set has no similar set but itself
+    least = -(-percent // (100 - percent)) if percent < 100 else 2**31 - 1
+    prefixes = docs.select("key", "text").mapInArrow(_prefix_rows(n, percent, least, ranks), PREFIXES)
+    mine = ["key", "sig1", "sig2"]
+    prefixes = prefixes.join(nodes.select(*mine, "node"), mine).dropDuplicates(mine).drop(*mine)
+    prefixes = written(prefixes, "prefixes")
+    postings = prefixes.select("node", "size", F.posexplode("prefix").alias("pos", "token"))
+    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    entries = written(postings.join(lists, "token"), "entries")
+    bits, wide = prefixes.select("node", "size", "bits"), prefixes.where("wide is not null").select("node", "size", "wide")
+    return _Index(docs, sets, nodes, bits, wide, entries, n, percent)
+
 
+# ---- pivots and blocks
+
+
+def _pivot_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
+    """A pair (pivot a, set b) for each component at most: of the pivots of its sets' lists, the closest by bitmaps, if they can be similar.
+
+    ``lists``: token, node, size, component, bits. A list's pivot lies in the component with the smallest hash.
+    """
+    own = F.struct(F.xxhash64("component", F.lit(turn)).alias("h"), F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"), F.col("bits").alias("bits_a"))
+    pivots = lists.groupBy("token").agg(F.min(own).alias("p")).select("token", "p.a", "p.size_a", "p.ca", "p.bits_a")
+    differ = _differ(F.col("bits"), F.col("bits_a"))
+    may = (F.col("component") != F.col("ca")) & _sizes_fit(F.col("size"), F.col("size_a"), percent) & _few_enough(differ, F.col("size"), F.col("size_a"), percent)
+    met = lists.join(pivots, "token").where(may)
+    closest = F.min(F.struct((differ / (F.col("size") + F.col("size_a"))).alias("d"), F.xxhash64("a").alias("h"), "a", F.col("node").alias("b")))
+    return met.groupBy("component").agg(closest.alias("p")).select("p.a", "p.b")
 
-def _blocked_pairs(entries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+
+def _with_components(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return lists.withColumn("component", F.col("node"))
+    return lists.join(labels.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _blocked_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """(a, b, ca, cb, differ): pairs of entries of one list that lie in different components and may be similar.
 
-    ``entries``: token, rep, size, pos, component, n (entries of the list). A block is a list's entries of one cell: set
-    sizes within a quarter of the allowed ratio, positions within a power of two; a short list is one block. Blocks that
-    hold one component only don't meet each other.
+    A block is a list's entries of one cell, set sizes within a quarter of the allowed ratio and positions within a power
+    of two, cut by hash into pieces of BLOCK_ENTRIES on average; a short list is one cell. Blocks meet only if a similar
+    pair can come from them and they hold more than one component.
     """
-    rows = ("rep", "size", "pos", "component")
-    tiny = entries.where(F.col("n") <= TINY_LIST)
-    left, right = (tiny.select("token", *[F.col(c).alias(f"{k}_{c}") for c in rows]) for k in "xy")
-    few = left.join(right, "token").where((F.col("x_rep") < F.col("y_rep")) & _may_meet(percent))
-    few = few.select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b"), F.least("x_component", "y_component").alias("ca"), F.greatest("x_component", "y_component").alias("cb")).distinct()
-    few = _fitting(few, bits, percent)
-
-    entries = entries.where(F.col("n") > TINY_LIST)
+    c = F.col
+    split = lists.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
+    lists = lists.join(split, "token", "left_semi")
+    heads = lists.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEAD).alias("head"))
+    lists = lists.join(heads, "node").withColumn("before", F.transform(F.filter("head", lambda x: x["pos"] < c("pos")), lambda x: x["token"])).drop("head")
     grain = np.log(100 / percent) / 4
-    cell = [F.floor(F.log(F.col("size").cast("double")) / F.lit(float(grain))), F.floor(F.log2(F.col("pos") + 1.0))]
-    entries = entries.withColumn("block", F.when(F.col("n") > SHORT_LIST, F.xxhash64(*cell)).otherwise(F.lit(0).cast("long")))
-    blocks = entries.groupBy("token", "block").agg(
+    cell = F.when(c("n") > SHORT_LIST, F.xxhash64(F.floor(F.log(c("size").cast("double")) / F.lit(float(grain))), F.floor(F.log2(c("pos") + 1.0)))).otherwise(F.lit(0).cast("long"))
+    piece = F.pmod(F.xxhash64("node"), F.ceil(c("n") / BLOCK_ENTRIES))
+    lists = written(lists.withColumn("block", F.xxhash64(cell, piece)), "blocks")
+    blocks = lists.groupBy("token", "block").agg(
         F.min("size").alias("s0"), F.max("size").alias("s1"), F.min("pos").alias("p0"), F.min("component").alias("c0"), F.max("component").alias("c1")
     )
-    x, y = blocks.alias("x"), blocks.alias("y")
     meet = (
-        (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.block") <= F.col("y.block"))
-        & ~((F.col("x.c0") == F.col("x.c1")) & (F.col("y.c0") == F.col("y.c1")) & (F.col("x.c0") == F.col("y.c0")))
-        & (100 * F.col("x.s1").cast("long") >= percent * F.col("y.s0").cast("long"))
-        & (100 * F.col("y.s1").cast("long") >= percent * F.col("x.s0").cast("long"))
+        (c("x.token") == c("y.token"))
+        & (c("x.block") <= c("y.block"))
+        & ~((c("x.c0") == c("x.c1")) & (c("y.c0") == c("y.c1")) & (c("x.c0") == c("y.c0")))
+        & (100 * c("x.s1").cast("long") >= percent * c("y.s0").cast("long"))
+        & (100 * c("y.s1").cast("long") >= percent * c("x.s0").cast("long"))
         # the largest sets at the smallest positions have the most room; the smallest sets need the least overlap
-        & ((100 + percent) * F.least(F.col("x.s1") - F.col("x.p0"), F.col("y.s1") - F.col("y.p0")).cast("long") >= percent * (F.col("x.s0") + F.col("y.s0")).cast("long"))
+        & ((100 + percent) * F.least(c("x.s1") - c("x.p0"), c("y.s1") - c("y.p0")).cast("long") >= percent * (c("x.s0") + c("y.s0")).cast("long"))
     )
-    met = x.join(y, meet).select(F.col("x.token").alias("token"), F.col("x.block").alias("xb"), F.col("y.block").alias("yb"))
-    entries = entries.join(bits.select("rep", "bits"), "rep")
-    names = ("rep", "size", "pos", "component", "bits")
-    left = met.join(entries.withColumnRenamed("block", "xb"), ["token", "xb"]).select("token", "xb", "yb", *[F.col(c).alias(f"x_{c}") for c in names])
-    right = entries.select("token", F.col("block").alias("yb"), *[F.col(c).alias(f"y_{c}") for c in names])
-    differ = _differ(F.col("x_bits"), F.col("y_bits"))
-    both = left.join(right, ["token", "yb"]).where(
-        ((F.col("xb") != F.col("yb")) | (F.col("x_rep") < F.col("y_rep"))) & _may_meet(percent) & _few_enough(differ, F.col("x_size"), F.col("y_size"), percent)
+    met = blocks.alias("x").join(blocks.alias("y"), meet).select(c("x.token").alias("token"), c("x.block").alias("xb"), c("y.block").alias("yb"))
+    names = ("node", "size", "pos", "component", "bits", "before")
+    left, right = (met.join(lists.select("token", c("block").alias(f"{k}b"), *[c(x).alias(f"{k}_{x}") for x in names]), ["token", f"{k}b"]) for k in "xy")
+    differ = _differ(c("x_bits"), c("y_bits"))
+    may = (
+        ((c("xb") != c("yb")) | (c("x_node") < c("y_node")))
+        & (c("x_component") != c("y_component"))
+        & _sizes_fit(c("x_size"), c("y_size"), percent)
+        & _room(c("x_size"), c("x_pos"), c("y_size"), c("y_pos"), percent)
+        & _few_enough(differ, c("x_size"), c("y_size"), percent)
+        # a shingle that both have before this one has formed the pair
+        & ~F.arrays_overlap("x_before", "y_before")
     )
-    pairs = both.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"), F.least("x_component", "y_component").alias("ca"), F.greatest("x_component", "y_component").alias("cb"), differ.alias("differ"))
-    return few.unionByName(pairs).distinct()
-
-
-@dataclass(frozen=True)
-class _Index:
-    """What the joins start from: sets of all rows, a representative of each class of equal sets, and the lists of the representatives' prefixes."""
+    both = left.join(right, ["token", "xb", "yb"]).where(may)
+    sides = [f(f"x_{x}", f"y_{x}").alias(k) for f, x, k in ((F.least, "node", "a"), (F.greatest, "node", "b"), (F.least, "component", "ca"), (F.greatest, "component", "cb"))]
+    return both.select(*sides, differ.alias("differ")).distinct()
 
-    sets: DataFrame
-    reps: DataFrame
-    prefixes: DataFrame
-    bits: DataFrame
-    wide: DataFrame
-    entries: DataFrame
-    repeated: bool
 
+def _near(answers: DataFrame) -> DataFrame:
+    """(node, pivot, size, differences) of sets whose differences from a pivot are known; a pivot has none from itself."""
+    known = answers.where("differences is not null")
+    own = known.select(F.col("b").alias("node"), F.col("a").alias("pivot"), F.col("size_b").alias("size"), "differences")
+    none = F.array().cast("array<long>")
+    return own.unionByName(known.select(F.col("a").alias("node"), F.col("a").alias("pivot"), F.col("size_a").alias("size"), none.alias("differences")).distinct())
 
-_SIGNATURE = ["n_shingles", "sig1", "sig2"]
 
+def _derived(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked) of the pairs whose sets were compared with one pivot, from those answers."""
+    for side in "ab":
+        own = near.select(F.col("node").alias(side), "pivot", F.col("size").alias(f"size_{side}"), F.col("differences").alias(f"from_{side}"))
+        pairs = pairs.join(own, [side] if side == "a" else [side, "pivot"])
+    apart = F.size("from_a") + F.size("from_b") - 2 * F.size(F.array_intersect("from_a", "from_b"))
+    answers = pairs.withColumn("common", F.floor((F.col("size_a") + F.col("size_b") - apart) / 2)).select("a", "b", _linked(percent).alias("linked"))
+    return answers.distinct()
 
-def _indexed(docs: DataFrame, n: int, percent: int) -> _Index:
-    spark = docs.sparkSession
-    found = written(docs.mapInArrow(_set_rows(n), SETS), "sets")
-    sets = found.where("block is null").select("doc_id", "n_shingles", "sig1", "sig2")
-    reps = sets.where("n_shingles > 0 and doc_id is not null").groupBy(*_SIGNATURE).agg(F.min("doc_id").alias("rep"))
-    reps = written(reps, "representatives")
 
-    ranks = spark.sparkContext.broadcast(_ranks(found.where("block is not null").select("block", "counts")))
-    # below this size a set has no similar set but itself
-    least = -(-percent // (100 - percent)) if percent < 100 else 2**31 - 1
-    prefixes = docs.where("doc_id is not null").mapInArrow(_prefix_rows(n, percent, ranks), "rep long, size int, prefix array<long>, bits array<long>, wide array<long>")
-    large = reps.where(F.col("n_shingles") >= least).select("rep")
-    prefixes = written(prefixes.where(F.col("size") >= least).join(large, "rep", "left_semi").dropDuplicates(["rep"]), "prefixes")
-    bits, wide = prefixes.select("rep", "size", "bits"), prefixes.where("wide is not null").select("rep", "size", "wide")
-    repeated = bool(sets.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count())
-    shared = prefixes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
-    postings = prefixes.select("rep", "size", F.posexplode("prefix").alias("pos", "token"))
-    entries = written(postings.join(shared, "token").withColumn("component", F.col("rep")), "entries")
-    return _Index(sets, reps, prefixes, bits, wide, entries, repeated)
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component) with the links (a, b) taken in. Only the components that the links join are looked at."""
+    if labels is None:
+        return written(components(links), "labels")
+    for side in "ab":
+        links = links.join(labels.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left").withColumn(side, F.coalesce(f"c{side}", side)).drop(f"c{side}")
+    joined = written(components(links.where("a <> b")), "joined")
+    old = labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return written(old.unionByName(joined.join(labels, "node", "left_anti")), "labels")
 
 
 def join_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text; other columns are not used).
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z is lower-cased. A document's set holds its distinct ``n``-word
-    shingles; with fewer words, the whole sequence. Two documents link when 100 * intersection >= percent * union;
-    component_id is the smallest doc_id reachable by links. A text that is null or has no word has an empty set and
-    links with nothing. Rows of one doc_id are expected to be equal; a null doc_id is returned with the component of its
-    set, or null. Very long texts are hashed piece by piece and compared in whole.
+    shingles; with fewer words, the whole sequence. Two rows link when 100 * intersection >= percent * union;
+    component_id is the smallest doc_id reachable by links. A text that is null or has no word has an empty set, links
+    with nothing and keeps its own id. Each row is judged by its own text, also where ids repeat; a null doc_id is
+    returned with the component of its set, null if no row there has an id. Very long texts are compared in whole; an
+    empty table gives no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     index = _indexed(docs, n, percent)
-    bits, entries = index.bits, index.entries
-
-    links: DataFrame | None = None
-    grouped = index.prefixes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
-
-    def regroup(pairs: DataFrame) -> bool:
-        """Verifies pairs and takes their links into the components; whether there were any."""
-        nonlocal links, grouped
-        new = verified_links(pairs, index.wide, docs, n, percent, index.repeated)
-        if new is None:
-            return False
-        links = new if links is None else links.unionByName(new)
-        grouped = written(components(links), "components")
-        return True
-
-    def apart() -> DataFrame:
-        """Entries of the lists that still hold different components."""
-        named = entries.select("token", "rep", "size", "pos").join(grouped.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        return written(_split_lists(named.withColumn("component", F.coalesce("component", "rep"))), "apart")
-
-    rest, turns = entries, 2
-    for turn in range(turns):
-        if regroup(_pivot_pairs(rest, bits, percent, turn)) or turn == turns - 1:
-            rest = apart()
-    likely = written(_blocked_pairs(rest, bits, percent), "likely")
-    first = likely.groupBy("ca", "cb").agg(F.min(F.struct("differ", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    regroup(first)
-    side = {c: grouped.select(F.col("node").alias(c), F.col("component").alias(f"now_{c}")) for c in "ab"}
-    others = likely.join(side["a"], "a", "left").join(side["b"], "b", "left").where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b").distinct()
-    regroup(others.join(first, ["a", "b"], "left_anti"))
-
-    classes = index.reps.join(grouped.withColumnRenamed("node", "rep"), "rep", "left").select(*_SIGNATURE, F.coalesce("component", "rep").alias("component_id"))
+    lists, labels, answers, turn = index.long_lists(), None, [], 0
+    while True:
+        pairs = _pivot_pairs(_with_components(lists, labels), percent, turn)
+        if turn == 0:
+            pairs = pairs.unionByName(index.tiny_pairs())
+        found = index.compared(pairs)
+        found, k = counted(found.withColumn("linked", _linked(percent)), "answers")
+        links, n_links = counted(found.where("linked").select("a", "b"), "links")
+        answers.append(found)
+        if n_links:
+            labels = _merged(labels, links)
+        turn += 1
+        if n_links < max(1, LEAST_LINKED * k):
+            break
+    likely, k = counted(_blocked_pairs(_with_components(lists, labels), percent), "likely")
+    if k:
+        known = answers[0].limit(0)
+        for found in answers:
+            known = known.unionByName(found)
+        likely = likely.join(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
+        derived = written(_derived(likely.select("a", "b"), _near(known), percent), "derived")
+        open_ = written(likely.join(derived, ["a", "b"], "left_anti"), "open")
+        # of the pairs between two components the likeliest is compared first, and the others only if that is no link
+        first = open_.groupBy("ca", "cb").agg(F.min(F.struct("differ", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+        met = written(index.compared(first), "answers")
+        labels = _merged(labels, derived.where("linked").select("a", "b").unionByName(met.where(_linked(percent)).select("a", "b")))
+        side = {c: labels.select(F.col("node").alias(c), F.col("component").alias(f"now_{c}")) for c in "ab"}
+        others = open_.join(side["a"], "a", "left").join(side["b"], "b", "left").where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b")
+        others, k = counted(others.join(met.select("a", "b"), ["a", "b"], "left_anti"), "others")
+        if k:
+            labels = _merged(labels, written(index.compared(others).where(_linked(percent)).select("a", "b"), "links"))
+
+    named = index.nodes.select("node", "least", *_SIGNATURE)
+    named = named.withColumn("component", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = written(named, "named")
+    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = named.join(smallest, "component").select(*_SIGNATURE, "component_id")
     out = index.sets.alias("s").join(classes.alias("c"), [F.col(f"s.{c}") == F.col(f"c.{c}") for c in _SIGNATURE], "left")
-    return out.select("s.doc_id", F.col("s.n_shingles").cast("long").alias("n_shingles"), F.coalesce("c.component_id", "s.doc_id").alias("component_id"))
+    own = F.when(F.col("s.n_shingles") > 0, F.col("c.component_id")).otherwise(F.col("s.doc_id"))
+    return out.select("s.doc_id", F.col("s.n_shingles").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
 def join_pairs(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """All links: pairs (a, b), a < b, of representatives that link, and members (doc_id, rep) of every row of ``docs``.
-
-    Rows of equal sets have one representative, their smallest doc_id, and link with each other and with what links to
-    it. rep is null for a row without words. Sets and links are those of ``join_groups``.
+    """All links: pairs (a, b), a < b, of nodes that link, and members (doc_id, node, component_id) of every row of ``docs``.
 
-    Each set is compared with a pivot. Of two sets the differences from a common pivot bound their own difference: if
-    the sum is small enough they link, and if the gap is too large they don't, neither with a look at their texts. All
-    other pairs of the lists are joined block by block and verified. Work grows with the number of links.
+    Rows of equal sets share a node, a number of this call, and link with each other and with what links to it; node is
+    null for a row without words. component_id is the smallest doc_id of the node's rows. Sets and links are those of
+    ``join_groups``. Each set is compared with a pivot; pairs of sets that have a pivot in common are decided by their
+    differences from it, all others are compared. Work grows with the number of links.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     index = _indexed(docs, n, percent)
-    near, links = None, []
-    met = verified_pairs(_pivot_pairs(index.entries, index.bits, percent, 0).distinct(), index.wide, docs, n, percent, index.repeated)
-    likely = _blocked_pairs(_split_lists(index.entries), index.bits, percent).select("a", "b").distinct()
-    if met is not None:
-        met = written(met, "met")
-        links.append(met.where(_linked(percent)))
-        own = met.select(F.col("b").alias("rep"), F.col("size_b").alias("size"), F.col("a").alias("pivot"), (F.col("size_a") + F.col("size_b") - 2 * F.col("common")).alias("away"))
-        # a pivot is at no distance from itself
-        near = written(own.unionByName(met.select(F.col("a").alias("rep"), F.col("size_a").alias("size"), F.col("a").alias("pivot"), F.lit(0).alias("away"))).distinct(), "near")
-        x, y = (near.select("pivot", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "size", "away")]) for k in "xy")
-        both = x.join(y, "pivot").where("rep_x < rep_y and away_x > 0 and away_y > 0")
-        sure = written(both.where(_few_enough(F.col("away_x") + F.col("away_y"), F.col("size_x"), F.col("size_y"), percent)).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct(), "sure")
-        links.append(sure)
-        known = sure.unionByName(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        likely = likely.join(known, ["a", "b"], "left_anti")
-        side = {c: near.where("away > 0").select(F.col("rep").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("size", "pivot", "away")]) for c in "ab"}
-        likely = likely.join(side["a"], "a", "left").join(side["b"], "b", "left")
-        gap = F.abs(F.col("away_a") - F.col("away_b"))
-        apart = (F.col("pivot_a") == F.col("pivot_b")) & ~_few_enough(gap, F.col("size_a"), F.col("size_b"), percent)
-        likely = likely.where(~F.coalesce(apart, F.lit(False))).select("a", "b").distinct()
-    if (rows := verified_pairs(likely, index.wide, docs, n, percent, index.repeated)) is not None:
-        links.append(rows.where(_linked(percent)))
-    pairs = index.prefixes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
-    for found in links:
-        pairs = pairs.unionByName(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    members = index.sets.join(index.reps, _SIGNATURE, "left").select("doc_id", "rep")
+    lists = index.long_lists().withColumn("component", F.col("node"))
+    pivots = written(_pivot_pairs(lists, percent, 0), "pivots")
+    met = written(index.compared(pivots), "answers")
+    known = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    likely = index.tiny_pairs().unionByName(_blocked_pairs(lists, percent).select("a", "b")).distinct()
+    likely = written(likely.join(known, ["a", "b"], "left_anti"), "likely")
+    derived = written(_derived(likely, _near(met), percent), "derived")
+    others = index.compared(likely.join(derived, ["a", "b"], "left_anti"))
+    pairs = derived.where("linked").select("a", "b")
+    for found in (met, others):
+        pairs = pairs.unionByName(found.where(_linked(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    members = index.sets.join(index.nodes.select(*_SIGNATURE, "node", F.col("least").alias("component_id")), _SIGNATURE, "left").select("doc_id", "node", "component_id")
     return pairs.distinct(), members

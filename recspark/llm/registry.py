@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.llm import archives, jaccard_join, mixing, packing, pieces, quality_model, rule_lists, sharding, url_filter, weighted_sampling
-from recspark.llm.scratch import new_path, table
+from recspark.sources.scratch import new_path, table
 
 
 def held_out() -> Column:

@@ -80,9 +80,36 @@ def test_join_against_brute_force(spark, n, percent, monkeypatch):
 
 def test_join_edges(spark):
     assert jaccard_join.join_groups(docs_of(spark, ["a"]).limit(0), 3, 90).count() == 0
-    rows = spark.createDataFrame([(None, "a b c d", 1), (4, "a b c d", 1), (4, "a b c d", 1), (2, "A b c d", 1), (None, None, 1)], "doc_id long, text string, component_id int")
+    rows = [(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (2, "A b c d"), (None, None), (5, ""), (None, "p q r"), (None, "p q r")]
+    rows = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, component_id int")
     got = sorted((tuple(r) for r in jaccard_join.join_groups(rows, 3, 90).collect()), key=str)
-    assert got == sorted([(None, 2, 2), (4, 2, 2), (4, 2, 2), (2, 2, 2), (None, 0, None)], key=str)
+    assert got == sorted([(None, 2, 2), (4, 2, 2), (4, 2, 2), (2, 2, 2), (None, 0, None), (5, 0, 5), (None, 1, None), (None, 1, None)], key=str)
+
+
+def test_join_of_ids_with_several_texts(spark):
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(3)]
+    near = [" ".join([*b[:-1], "other"]) for b in base]
+    texts = [" ".join(b) for b in base]
+    rows = [(7, texts[0]), (7, texts[1]), (7, texts[1]), (3, near[0]), (None, near[1]), (None, texts[2]), (None, near[2])]
+    rows = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in jaccard_join.join_groups(rows, 3, 90).collect()), key=str)
+    assert got == sorted([(7, 58, 3), (3, 58, 3), (7, 58, 7), (7, 58, 7), (None, 58, 7), (None, 58, None), (None, 58, None)], key=str)
+
+
+@pytest.mark.parametrize("by_shuffle", [False, True])
+def test_join_of_long_and_many_near_sets(spark, monkeypatch, by_shuffle):
+    if by_shuffle:
+        monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
+        monkeypatch.setattr(jaccard_join, "BLOCK_ENTRIES", 8)
+        monkeypatch.setattr(jaccard_join, "HEAD", 1)
+    rng = random.Random(9)
+    # above WIDE_SIZE shingles, with likenesses on both sides of the bound; one text above two MiB
+    texts = family(rng, 24, 1500, 60, 10**6) + family(rng, 60, 400, 22, 10**6)
+    giant = " ".join(f"w{rng.randrange(10**7)}" for _ in range(300_000))
+    texts += [giant, giant + " tail"]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_groups(docs_of(spark, texts), 5, 80).collect()}
+    assert got == dict(enumerate(brute_groups(texts, 5, 80)))
 
 
 def brute_links(texts, n, percent):
@@ -100,7 +127,7 @@ def test_pairs_against_brute_force(spark, n, percent):
     texts += [" ".join(chain[i : i + 100]) for i in range(0, 30, 3)]
     rng.shuffle(texts)
     pairs, members = jaccard_join.join_pairs(docs_of(spark, texts), n, percent)
-    rep = {r.doc_id: r.rep for r in members.collect()}
+    rep = {r.doc_id: r.node for r in members.collect()}
     linked = [tuple(r) for r in pairs.collect()]
     assert len(rep) == len(texts) and len(linked) == len(set(linked)) and all(a < b for a, b in linked)
     linked = set(linked)
