@@ -3,7 +3,7 @@
 A text's lattice has an edge for every vocabulary piece that matches at a place, and a path's score is the sum of its
 pieces' scores. The forward pass finds the best score up to every place. It is then the exact heuristic of an A-star search
 that runs backward from the end: hypotheses leave the queue in the order of their whole paths' scores, so the first N that
-reach the start are the N best.
+reach the start are the N best, and no place is left more than N times.
 
 No piece crosses a word boundary, so the lattice of a text is a chain of its words' lattices; words are searched one
 by one and kept, and the N best of the text are merged from them, exactly.
@@ -17,6 +17,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +26,15 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CACHE_WORDS = 700_000
+#: Chunks whose best path, and whose N best, a process keeps; it starts anew when they are full. Longer chunks than CACHE_CHARS aren't kept.
+CACHE_WORDS, CACHE_PATHS, CACHE_CHARS = 700_000, 100_000, 64
+#: Texts whose chunks are searched together.
+SLICE_ROWS = 100
 #: What a byte piece scores below the lowest other piece.
 BYTE_PENALTY = 10.0
 
+_LOSS = itemgetter(2)
+
 _vocabularies: dict[str, Vocabulary] = {}
 
 
@@ -55,10 +61,13 @@ class Vocabulary:
                 rank = max(0.0, -model.get_score(i))
                 # pieces that users defined have the lowest rank of all and come first in practice
                 self.pieces[piece] = (i, -math.log((0.0 if rank > 10 * len(model) else rank) + 2) if ranks else model.get_score(i))
-        self.longest = max(map(len, self.pieces))
-        # score of every piece, None for what only begins one
-        self.matches: dict[str, float | None] = {p[:i]: None for p in self.pieces for i in range(1, len(p))}
-        self.matches |= {p: s for p, (_, s) in self.pieces.items()}
+        # pieces from their ends: character: (id and score of the piece that begins here, or None, what precedes)
+        self.tree: dict[str, tuple[tuple[int, float] | None, dict]] = {}
+        for piece, own in self.pieces.items():
+            here = self.tree
+            for c in piece[:0:-1]:
+                here = here.setdefault(c, (None, {}))[1]
+            here[piece[0]] = own, here.get(piece[0], (None, {}))[1]
         self.unknown = min(s for _, s in self.pieces.values()) - BYTE_PENALTY
         self.raw = [b""] * len(self.piece_of)
         for value, i in self.bytes_at.items():
@@ -84,105 +93,161 @@ def chunks(text: str) -> list[str]:
 
 
 class Lattice:
-    """The pieces that match in one chunk. Characters without a piece are spelled in bytes."""
-
-    def __init__(self, voc: Vocabulary, chunk: str):
-        self.voc, self.chunk, n = voc, chunk, len(chunk)
-        self.forward = forward = [0.0] + [-math.inf] * n
-        self.next_best = next_best = [-math.inf] * (n + 1)  # score up to here by the second best piece that ends here
-        self.back = back = [0] * (n + 1)  # start of the best piece that ends here
-        get = voc.matches.get
-        for s in range(n):
-            here = forward[s]
-            for e in range(s + 1, n + 1):
-                score = get(chunk[s:e], 1.0)
-                if score == 1.0:  # no piece begins like this
-                    if e == s + 1:
-                        score = self._spelled(s)
-                    else:
-                        break
-                if score is None:
-                    if e > s + 1:
-                        continue
-                    score = self._spelled(s)
-                total = here + score
-                if total > forward[e]:
-                    next_best[e], forward[e], back[e] = forward[e], total, s
-                elif total > next_best[e]:
-                    next_best[e] = total
+    """The pieces that match in one chunk. Characters without a piece are spelled in bytes.
+
+    The forward pass up to a place depends on the characters before it only, so ``read`` keeps what the chunk shares with
+    the one read before; chunks in sorted order share much.
+    """
+
+    def __init__(self, voc: Vocabulary):
+        self.voc, self.chunk = voc, ""
+        self.forward = [0.0]  # best score up to each place
+        self.loss = [math.inf]  # how much worse the second best path up to here is; infinite if there is one path only
+        self.back = [(0, -1)]  # start and id of the best path's last piece; -1 is spelled in bytes
+
+    def read(self, chunk: str) -> Lattice:
+        k, last = 0, self.chunk
+        for x, y in zip(chunk, last, strict=False):
+            if x != y:
+                break
+            k += 1
+        self.chunk, forward, loss, back, tree = chunk, self.forward, self.loss, self.back, self.voc.tree
+        del forward[k + 1 :], loss[k + 1 :], back[k + 1 :]
+        for e in range(k, len(chunk)):
+            best, other, come, follow = -math.inf, -math.inf, (e, -1), tree
+            for s in range(e, -1, -1):
+                found = follow.get(chunk[s])
+                if found is None:  # no piece ends like this
+                    if s == e:
+                        best = forward[s] + self._spelled(s)
+                    break
+                own, follow = found
+                if own is not None:
+                    total = forward[s] + own[1]
+                elif s == e:
+                    total = forward[s] + self._spelled(s)
+                else:
+                    continue
+                if total >= best:
+                    best, other, come = total, best, (s, own[0] if own is not None else -1)
+                elif total > other:
+                    other = total
+            forward.append(best)
+            back.append(come)
+            loss.append(min(best - other, loss[come[0]]))
+        return self
 
     def _spelled(self, s: int) -> float:
         return self.voc.unknown * len(self.chunk[s].encode("utf-8", "surrogatepass"))
 
-    def edges_into(self, e: int) -> Iterator[tuple[int, float]]:
-        pieces, chunk = self.voc.pieces, self.chunk
-        for s in range(max(0, e - self.voc.longest), e):
-            found = pieces.get(chunk[s:e])
-            if found is not None:
-                yield s, found[1]
-        if chunk[e - 1 : e] not in pieces:
-            yield e - 1, self._spelled(e - 1)
+    def edges_into(self, e: int) -> Iterator[tuple[int, int, float]]:
+        """(start, id, score) of the pieces that end at a place."""
+        follow = self.voc.tree
+        for s in range(e - 1, -1, -1):
+            own, follow = follow.get(self.chunk[s], (None, {}))
+            if own is not None:
+                yield s, *own
+            elif s == e - 1:
+                yield s, -1, self._spelled(s)
+            if not follow:
+                break
+
+    def ids(self, cuts) -> list[int]:
+        """Ids of a path given as (start, id) of its pieces."""
+        out = []
+        for s, i in cuts:
+            out += [i] if i >= 0 else [self.voc.bytes_at[x] for x in self.chunk[s].encode("utf-8", "surrogatepass")]
+        return out
 
     def best(self) -> list[int]:
         """Ids of the best path."""
         cuts, e = [], len(self.chunk)
         while e:
-            cuts.append((self.back[e], e))
-            e = self.back[e]
+            cuts.append(self.back[e])
+            e = self.back[e][0]
         return self.ids(reversed(cuts))
 
-    def ids(self, cuts) -> list[int]:
-        out = []
-        for s, e in cuts:
-            found = self.voc.pieces.get(self.chunk[s:e])
-            out += [found[0]] if found is not None else [self.voc.bytes_at[x] for x in self.chunk[s:e].encode("utf-8", "surrogatepass")]
-        return out
+    def n_best(self, n: int) -> list[tuple[float, list[int]]]:
+        """(score, ids) of the ``n`` best paths, best first: backward A-star with the forward scores as its heuristic.
 
-    def n_best(self) -> Iterator[tuple[float, list[int]]]:
-        """(score, ids) of all paths, best first: backward A-star with the forward scores as its heuristic."""
-        # (minus the whole path's score, cuts from here to the end, place, score from here to the end); ties go to the earlier cuts
-        queue: list[tuple[float, tuple, int, float]] = [(-self.forward[-1], (), len(self.chunk), 0.0)]
-        while queue:
-            cost, cuts, e, after = heapq.heappop(queue)
+        Hypotheses leave the queue in the order of their whole paths' scores, so of those at one place only the first
+        ``n`` can be part of the ``n`` best; no more are followed. Time and memory are that of ``n`` times the lattice.
+        """
+        taken, found, made = [0] * (len(self.chunk) + 1), [], 0
+        # (minus the whole path's score, order of making, place, score from here to the end, pieces from here on)
+        queue: list[tuple] = [(-self.forward[-1], 0, len(self.chunk), 0.0, None)]
+        while queue and len(found) < n:
+            cost, _, e, after, follow = heapq.heappop(queue)
+            taken[e] += 1
+            if taken[e] > n:
+                continue
             if e == 0:
-                yield -cost, self.ids(cuts)
+                cuts = []
+                while follow is not None:
+                    *cut, follow = follow
+                    cuts.append(cut)
+                found.append((-cost, self.ids(cuts)))
                 continue
-            for s, score in self.edges_into(e):
-                heapq.heappush(queue, (-(self.forward[s] + score + after), ((s, e), *cuts), s, score + after))
-
-    def second(self) -> float:
-        """How much worse the second best path is; infinite if there is one path only."""
-        loss, e = math.inf, len(self.chunk)
-        while e:  # the second path leaves the best one, from the end on, at one place
-            loss = min(loss, self.forward[e] - self.next_best[e])
-            e = self.back[e]
-        return loss
+            for s, i, score in self.edges_into(e):
+                if taken[s] < n:
+                    made += 1
+                    heapq.heappush(queue, (-(self.forward[s] + score + after), made, s, score + after, (s, i, follow)))
+        return found
 
 
 class Encoder:
-    """N-best encoding of whole texts; best paths of chunks seen are kept."""
+    """N-best encoding of whole texts; best paths of chunks seen are kept, and the N best of those that were asked for."""
 
     def __init__(self, path: str = MODEL):
         self.voc = vocabulary(path)
+        self.lattice = Lattice(self.voc)
         self.known: dict[str, tuple[bytes, float, float]] = {}
+        self.paths: dict[tuple[str, int], list[tuple[float, list[int]]]] = {}
 
     def _chunk(self, c: str) -> tuple[bytes, float, float]:
         """ids as bytes, score, loss of the second best path."""
-        x = Lattice(self.voc, c)
-        found = array("H", x.best()).tobytes(), x.forward[-1], x.second()
-        if len(c) <= 64:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
+        x = self.lattice.read(c)
+        found = array("H", x.best()).tobytes(), x.forward[-1], x.loss[-1]
+        if len(c) <= CACHE_CHARS:
             self.known[c] = found
         return found
 
+    def batch(self, texts: list[str]) -> Iterator[tuple[list[str], list[tuple[bytes, float, float]]]]:
+        """``best`` of each text; the chunks that are new are searched first, in sorted order."""
+        if len(self.known) >= CACHE_WORDS:
+            self.known.clear()
+        parted = [chunks(t) for t in texts]
+        fresh = {c for parts in parted for c in parts if c not in self.known and len(c) <= CACHE_CHARS}
+        for c in sorted(fresh):
+            self._chunk(c)
+        for parts in parted:
+            yield self._found(parts)
+
+    def _paths(self, c: str, n: int) -> list[tuple[float, list[int]]]:
+        """The ``n`` best (loss against the best, ids) of a chunk."""
+        found = self.paths.get((c, n))
+        if found is None:
+            best = self.lattice.read(c).n_best(n)
+            found = [(max(0.0, best[0][0] - score), ids) for score, ids in best]
+            if len(c) <= CACHE_CHARS:
+                if len(self.paths) >= CACHE_PATHS:
+                    self.paths.clear()
+                self.paths[c, n] = found
+        return found
+
     def best(self, text: str) -> tuple[list[str], list[tuple[bytes, float, float]]]:
-        parts, known = chunks(text), self.known
+        """The chunks of a text, and ids as bytes, score and loss of the second best path of each."""
+        return self._found(chunks(text))
+
+    def _found(self, parts: list[str]) -> tuple[list[str], list[tuple[bytes, float, float]]]:
+        known = self.known
         return parts, [known.get(c) or self._chunk(c) for c in parts]
 
     def n_best(self, text: str, n: int) -> list[tuple[float, list[int]]]:
         """The ``n`` best segmentations of a whole text, or all there are, as (score, ids), best first."""
-        parts, found = self.best(text)
+        return self._n_best(*self.best(text), n)
+
+    def _n_best(self, parts: list[str], found: list, n: int) -> list[tuple[float, list[int]]]:
         total = sum(f[1] for f in found)
         own = [np.frombuffer(f[0], np.uint16).tolist() for f in found]
         out = []
@@ -197,14 +262,14 @@ class Encoder:
         A segmentation picks one path for every chunk. Only the n - 1 chunks whose second paths lose least can differ
         in the n best, since every other choice has n better ones before it; those chunks' paths are merged in turn.
         """
-        able = [(f[2], i) for i, f in enumerate(found) if f[2] < math.inf]
+        losses = np.fromiter(map(_LOSS, found), np.float64, len(found))
+        able = np.flatnonzero(losses < np.inf)
+        if len(able) > n - 1:  # the smallest losses, of equal ones the first
+            able = able[losses[able] <= np.partition(losses[able], n - 2)[n - 2]] if n > 1 else able[:0]
+            able = np.sort(able[np.argsort(losses[able], kind="stable")[: n - 1]])
         merged: list[tuple[float, dict[int, list[int]]]] = [(0.0, {})]
-        for _, i in heapq.nsmallest(n - 1, able):
-            paths = []
-            for score, ids in Lattice(self.voc, parts[i]).n_best():
-                paths.append((max(0.0, found[i][1] - score), ids))
-                if len(paths) == n:
-                    break
+        for i in able.tolist():
+            paths = self._paths(parts[i], n)
             options = [(a + loss, k, j) for k, (a, _) in enumerate(merged) for j, (loss, _) in enumerate(paths)]
             merged = [(loss, merged[k][1] | ({i: paths[j][1]} if j else {})) for loss, k, j in heapq.nsmallest(n, options)]
         return merged
@@ -236,9 +301,10 @@ def encode(docs: DataFrame, n: int = 4, path: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for big in batches:
-            for at in range(0, big.num_rows, 100):
-                b = big.slice(at, 100)
-                got = [[{"score": s, "ids": ids} for s, ids in e.n_best(x or "", n)] for x in b.column("text").to_pylist()]
+            for at in range(0, big.num_rows, SLICE_ROWS):
+                b = big.slice(at, SLICE_ROWS)
+                texts = [x or "" for x in b.column("text").to_pylist()]
+                got = [[{"score": s, "ids": ids} for s, ids in e._n_best(*x, n)] for x in e.batch(texts)]
                 yield pa.record_batch([*b.columns, pa.array(got, kind)], names=[*own, "pieces"])
 
     return docs.mapInArrow(run, docs.withColumn("pieces", F.lit(None).cast("array<struct<score:double,ids:array<int>>>")).schema)
@@ -270,12 +336,11 @@ def encode_and_decode(docs: DataFrame, n: int = 4, path: str = MODEL) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for big in batches:
-            for at in range(0, big.num_rows, 500):
-                b = big.slice(at, 500)
+            for at in range(0, big.num_rows, SLICE_ROWS):
+                b = big.slice(at, SLICE_ROWS)
                 parts_of, scores, losses, texts = [], [], [], []
-                for text in b.column("text").to_pylist():
-                    parts, found = e.best(text or "")
-                    ids = b"".join(f[0] for f in found)
+                for parts, found in e.batch([x or "" for x in b.column("text").to_pylist()]):
+                    ids = b"".join([f[0] for f in found])
                     parts_of.append(ids)
                     scores.append(sum(f[1] for f in found))
                     losses.append([x for x, _ in e.merged(parts, found, n)])
@@ -301,16 +366,15 @@ def digests(docs: DataFrame, n: int = 4, path: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        for b in batches:
-            rows = []
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                text = text.as_py() or ""
-                parts, found = e.best(text)
+        for big, at in ((b, i) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
+            b, rows = big.slice(at, SLICE_ROWS), []
+            texts = [x or "" for x in b.column("text").to_pylist()]
+            for doc_id, text, (parts, found) in zip(b.column("doc_id").to_pylist(), texts, e.batch(texts), strict=True):
                 others = e.merged(parts, found, n)
-                ids = b"".join(f[0] for f in found)
+                ids = b"".join([f[0] for f in found])
                 crcs = [zlib.crc32(repr(sorted(changed.items())).encode()) for _, changed in others]
                 back = e.decode(np.frombuffer(ids, np.uint16).tolist())
-                rows.append((doc_id, len(ids) // 2, zlib.crc32(ids), sum(f[1] for f in found), [x for x, _ in others], crcs, back == text.replace(SPACE, " ")))
+                rows.append((doc_id, len(ids) // 2, zlib.crc32(ids), sum([f[1] for f in found]), [x for x, _ in others], crcs, back == text.replace(SPACE, " ")))
             types = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.bool_()]
             cols = list(zip(*rows, strict=True)) or [[] for _ in types]
             yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=[x.split(" ")[0] for x in DIGEST.split(", ")])

@@ -231,13 +231,14 @@ def test_packing_roundtrip(spark, tmp_path):
 
 def brute_paths(e, text):
     c, voc = (" " + text).replace(" ", pieces.SPACE), e.voc
+    longest = max(map(len, voc.pieces))
     out = []
 
     def go(i, score, ids):
         if i == len(c):
             out.append((score, ids))
             return
-        for j in range(i + 1, min(len(c), i + voc.longest) + 1):
+        for j in range(i + 1, min(len(c), i + longest) + 1):
             if c[i:j] in voc.pieces:
                 k, s = voc.pieces[c[i:j]]
                 go(j, score + s, [*ids, k])
@@ -258,6 +259,21 @@ def test_n_best_against_brute_force():
         assert len({tuple(i) for _, i in got}) == len(got) and all(e.decode(i) == t for _, i in got)
 
 
+def test_long_words_without_spaces():
+    import tracemalloc
+
+    e, rng = pieces.Encoder(), random.Random(4)
+    tracemalloc.start()
+    for t in ["thean" * 4000, "".join(rng.choice("abcdefghijXYZ0189") for _ in range(20_000)), "a" * 20_000, "日本" * 5000]:
+        (best, _), *others = got = e.n_best(t, 4)
+        assert all(s <= best + 1e-6 for s, _ in others) and len({tuple(i) for _, i in got}) == len(got) and all(e.decode(i) == t for _, i in got)
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    # what a chunk shares with the one before is kept, and gives what a new search gives
+    words = sorted("".join(rng.choice("thean") for _ in range(rng.randrange(1, 12))) for _ in range(300))
+    assert [p for p, _ in zip(e.batch([" ".join(words)]), [0], strict=True)][0][1] == [pieces.Encoder()._chunk(pieces.SPACE + w) for w in words]
+
+
 def test_pieces_decode_like_the_library(spark):
     import sentencepiece
 
