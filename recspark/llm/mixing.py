@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recspark.sources.scratch import written
+from recspark.functions.names import fresh
+from recspark.sources.scratch import counted, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -119,32 +120,67 @@ def narrow_rows(documents: DataFrame) -> DataFrame:
 
 
 def plan_copies(narrow: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 7) -> DataFrame:
-    """(doc_id, source, size, crc, times, source_size, target, copies) for each distinct row of ``narrow``.
+    """(doc_id, source, size, crc, times, source_size, target, copies, more) for each distinct row of ``narrow``.
 
-    ``times`` counts its repetitions, which share one decision. Expected copies are target / source_size of the source;
-    a document of size 0 gets the whole part of that. The same rows give the same result at every run.
+    ``times`` counts its repetitions; each is taken ``copies`` times, and ``more`` of them once more. Expected copies are
+    target / source_size of the source; a document of size 0 gets the whole part of that. Of equal rows the whole part
+    of their extra copies is given out at once, and only what is left over is rounded. The same rows give the same
+    result at every run.
     """
     distinct = written(narrow.groupBy("doc_id", "source", "size", "crc").agg(F.count(F.lit(1)).alias("times")), "sizes")
     targets = source_targets(distinct.select("source", (F.col("size") * F.col("times")).alias("size")), weights, share, most)
     ratio = F.when(F.col("t.source_size") > 0, F.col("t.target") / F.col("t.source_size")).otherwise(F.lit(0.0))
     j = distinct.alias("n").join(targets.alias("t"), F.col("n.source").eqNullSafe(F.col("t.source")))
     j = j.select("n.*", "t.source_size", "t.target", ratio.alias("ratio"), F.xxhash64("n.doc_id", "n.source", "n.size", "n.crc").alias("key"))
-    j = written(j.withColumn("p", F.col("ratio") - F.floor("ratio")), "ratios")
+    extra = F.when(F.col("size") > 0, (F.col("ratio") - F.floor("ratio")) * F.col("times")).otherwise(F.lit(0.0))
+    j = written(j.withColumn("extra", extra).withColumn("p", F.col("extra") - F.floor("extra")), "ratios")
     # rows whose keys collide share a decision; grouping keeps keys distinct
-    fractional = j.where("size > 0 and p > 0").groupBy("key").agg(F.min("source").alias("source"), F.sum(F.col("size") * F.col("times")).alias("size"), F.min("p").alias("p"))
+    fractional = j.where("p > 0").groupBy("key").agg(F.min("source").alias("source"), F.sum("size").alias("size"), F.min("p").alias("p"))
     out = j.join(pivotal_round(fractional, seed), "key", "left")
-    copies = F.floor("ratio") + F.when(F.coalesce("up", F.lit(False)), 1).otherwise(0)
-    return out.select("doc_id", "source", "size", "crc", "times", "source_size", "target", copies.cast("long").alias("copies"))
+    more = F.floor("extra") + F.when((F.col("p") > 0) & F.coalesce("up", F.lit(False)), 1).otherwise(0)
+    return out.select("doc_id", "source", "size", "crc", "times", "source_size", "target", F.floor("ratio").cast("long").alias("copies"), more.cast("long").alias("more"))
+
+
+def taken_rows(plan: DataFrame) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, source, copies): a row for each repetition in ``plan``; taken is size times copies."""
+    each = plan.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth"))
+    copies = F.col("copies") + F.when(F.col("nth") <= F.col("more"), 1).otherwise(0)
+    return each.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), "source", copies.alias("copies"))
+
+
+#: Equal rows that one task numbers, on average.
+NUMBERED_ROWS = 1000
 
 
 def mix(documents: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 7) -> DataFrame:
     """``documents``, each row as often as the mix takes it: not at all, once, or up to ``most`` times.
 
     Texts may be null or of any length; a null source is a source of its own, the last. Rows that are equal in doc_id,
-    source and text share a decision. An empty table gives no rows. The columns stay as they are, whatever their names.
+    source and text are decided together, so that as many of them are taken as their share of the target asks for. An
+    empty table gives no rows. The columns stay as they are, whatever their names.
     """
-    plan = plan_copies(narrow_rows(documents), weights, share, most, seed).where("copies > 0")
+    plan = written(plan_copies(narrow_rows(documents), weights, share, most, seed).where("copies + more > 0"), "plan")
     id_, crc = F.col("d.doc_id"), F.crc32(F.coalesce(F.col("d.text"), F.lit("")))
     same = id_.eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")) & (crc == F.col("p.crc")) & (n_words(F.col("d.text")) == F.col("p.size"))
-    kept = documents.alias("d").join(plan.alias("p"), same)
-    return kept.select("d.*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("p.copies"))).alias("__nth")).drop("__nth")
+    (nth,) = fresh(documents.columns, "nth")
+
+    def repeated(rows: DataFrame, copies: Column) -> DataFrame:
+        return rows.select("d.*", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias(nth)).drop(nth)
+
+    # a row that isn't repeated gets one more copy or none; so do repetitions of which all get one
+    whole = "more = 0 or more = times"
+    copies = F.col("p.copies") + F.when(F.col("p.more") > 0, 1).otherwise(0)
+    out = repeated(documents.alias("d").join(plan.where(whole).alias("p"), same), copies)
+    parted, k = counted(plan.where(f"not ({whole})").withColumn("group", F.monotonically_increasing_id()), "parted")
+    if not k:
+        return out
+    # the others are numbered, in slots of a group, to tell those that get one more copy
+    row = F.struct(*[F.col(f"d.`{c}`") for c in documents.columns]).alias("d")
+    slot = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.ceil(F.col("p.times") / NUMBERED_ROWS))
+    rows = written(documents.alias("d").join(parted.alias("p"), same).select(row, F.col("p.group"), F.col("p.copies"), F.col("p.more"), slot.alias("slot"), F.monotonically_increasing_id().alias("at")), "parted")
+    before = Window.partitionBy("group").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("group", "slot").agg(F.count(F.lit(1)).alias("n")).select("group", "slot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("group", "slot").orderBy("at"))
+    rows = rows.withColumn("place", place).join(starts, ["group", "slot"])
+    copies = F.col("copies") + F.when(F.col("start") + F.col("place") <= F.col("more"), 1).otherwise(0)
+    return out.unionByName(repeated(rows.where(copies > 0), copies))
