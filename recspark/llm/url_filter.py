@@ -11,11 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recspark.functions.names import fresh
+from recspark.sources.scratch import counted
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Blocks of the filter that are still sent to every executor: 2**16 rows of 40 bytes, 2.6 MB. Larger filters are joined by shuffle.
 BROADCAST_BLOCKS = 2**16
 BITS_PER_URL, BLOCK_BITS, HASHES = 16, 256, 6
+#: Tasks that the rows of one listed URL are dealt to in the exact join.
+SPREAD = 8
 
 
 def url_host(url: Column) -> Column:
@@ -91,26 +96,28 @@ def in_list(rows: DataFrame, key: str, listed: DataFrame, out: str) -> DataFrame
     ``listed`` are not used.
     """
     names = rows.columns
-    listed = listed.select(F.col(key).alias("__key")).where("__key is not null").distinct()
-    n = listed.count()
+    key_, block, probe_, spread_, hit, *words = fresh([*names, out], "key", "block", "probe", "spread", "hit", "w0", "w1", "w2", "w3")
+    listed, n = counted(listed.select(F.col(key).alias(key_)).where(F.col(key_).isNotNull()).distinct(), "listed")
     n_blocks = max(1, -(-n * BITS_PER_URL // BLOCK_BITS))
-    blocks = bloom_blocks(listed, "__key", n_blocks)
+    blocks = bloom_blocks(listed, key_, n_blocks)
     if n_blocks <= BROADCAST_BLOCKS:
         blocks = F.broadcast(blocks)
-    probe = rows.withColumn("__key", F.col(key)).withColumn("__block", _block(F.col("__key"), n_blocks))
-    blocks = blocks.select(F.col("block").alias("__block"), *[F.col(f"w{i}").alias(f"__w{i}") for i in range(4)])
-    held = F.lit(True)
-    for i, m in enumerate(_mask(F.col("__key"))):
-        held = held & (F.col(f"__w{i}").bitwiseAND(m) == m)
-    maybe = F.coalesce(F.col("__key").isNotNull() & held, F.lit(False))
-    # rows that the filter turns away match nothing; their own hash spreads them over the join's partitions
+    # what matches nothing, null keys and rows that the filter turns away, is spread by the rows' own hash
     spread = F.xxhash64(*[F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind])
-    probed = probe.join(blocks, "__block", "left").select(
-        *[F.col(f"`{c}`") for c in names], F.when(maybe, F.col("__key")).alias("__probe"), F.when(maybe, F.lit(0)).otherwise(spread).alias("__spread")
+    rows = rows.withColumn(key_, F.col(key))
+    probe = rows.withColumn(block, F.when(F.col(key_).isNull(), -1 - F.pmod(spread, F.lit(2**31))).otherwise(_block(F.col(key_), n_blocks)))
+    blocks = blocks.select(F.col("block").cast("long").alias(block), *[F.col(f"w{i}").alias(w) for i, w in enumerate(words)])
+    held = F.lit(True)
+    for w, m in zip(words, _mask(F.col(key_)), strict=True):
+        held = held & (F.col(w).bitwiseAND(m) == m)
+    maybe = F.coalesce(F.col(key_).isNotNull() & held, F.lit(False))
+    probed = probe.join(blocks, block, "left").select(
+        *[F.col(f"`{c}`") for c in names], F.when(maybe, F.col(key_)).otherwise("").alias(probe_), F.when(maybe, F.pmod(spread, F.lit(SPREAD))).otherwise(spread).alias(spread_)
     )
-    probed = probed.withColumn("__probe", F.coalesce("__probe", F.lit("")))
-    hits = listed.select(F.col("__key").alias("__probe"), F.lit(0).cast("long").alias("__spread"), F.lit(True).alias("__hit"))
-    return probed.join(hits, ["__probe", "__spread"], "left").select(*[F.col(f"`{c}`") for c in names], F.coalesce("__hit", F.lit(False)).alias(out))
+    # each listed key is there SPREAD times, so that the rows of a popular one are dealt to as many tasks
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))).alias(spread_)
+    hits = listed.select(F.col(key_).alias(probe_), copies, F.lit(True).alias(hit))
+    return probed.join(hits, [probe_, spread_], "left").select(*[F.col(f"`{c}`") for c in names if c != out], F.coalesce(hit, F.lit(False)).alias(out))
 
 
 def filter_urls(pages: DataFrame, listed_urls: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
