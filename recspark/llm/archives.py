@@ -11,6 +11,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -89,20 +90,26 @@ def _arc_name(url: str | None) -> str:
     return quote(url, safe="/:?#[]@!$&'()*+,;=%-._~") if url else "-"
 
 
-def _arc_records(batches: Iterator[pa.RecordBatch], date: str) -> Iterator[tuple]:
+def _arc_date(first: datetime, page_id: int | None) -> str:
+    return (first + timedelta(seconds=(page_id or 0) % (366 * 86_400))).strftime("%Y%m%d%H%M%S")
+
+
+def _arc_records(batches: Iterator[pa.RecordBatch], first: datetime) -> Iterator[tuple]:
     for b in batches:
         for page_id, url, html in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
             payload = (html or "").encode()
             named = f"X-Page-Id: {page_id}\r\n" if page_id is not None else ""
             head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n{named}\r\n".encode()
-            yield _arc_name(url), date, head + payload
+            yield _arc_name(url), _arc_date(first, page_id), head + payload
 
 
 def write_arc(pages: DataFrame, path: str, date: str = "20240101000000") -> None:
     """Archives of ``pages`` (page_id, url, html) under ``path``, in turn of version 1 and 2.
 
-    A null html is an empty payload, a null url the name ``-``; a null page_id leaves its header out.
+    Pages have no date of their own: a record's is ``date`` and as many seconds as its page_id says, within a leap year.
+    A null html is an empty payload, a null url the name ``-``; a null page_id leaves its header out and counts as 0.
     """
+    opened = datetime.strptime(date, "%Y%m%d%H%M%S")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = {"version": 1}
@@ -118,7 +125,7 @@ def write_arc(pages: DataFrame, path: str, date: str = "20240101000000") -> None
             extra = f"200 - - {offset} - " if at["version"] == 2 else ""
             return f"{name} 0.0.0.0 {when} text/html {extra}{len(block)}\n".encode() + block + b"\n"
 
-        yield from _chunks(_bundles(_arc_records(batches, date), first, line))
+        yield from _chunks(_bundles(_arc_records(batches, opened), first, line))
 
     _write(pages.select("page_id", "url", "html").mapInArrow(run, "content binary"), path)
 
@@ -158,11 +165,11 @@ def _http(block: bytes) -> tuple[bytes, dict[str, str], bytes]:
     return head + mark, {k.strip().lower(): v.strip() for k, _, v in named}, payload
 
 
-ARC_ROWS = "page_id long, url string, ip string, date string, head binary, digest string, n_bytes long, packed binary"
+ARC_ROWS = "page_id long, url string, ip string, date string, head binary, digest string, n_bytes long, payload binary"
 
 
-def read_arc(spark: SparkSession, path: str, packed: bool = True) -> DataFrame:
-    """A row per archived record, its payload deflated in ``packed`` if asked for."""
+def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """A row per archived record; without ``payloads`` these are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -171,7 +178,7 @@ def read_arc(spark: SparkSession, path: str, packed: bool = True) -> DataFrame:
                 for r in parse_arc(content.as_py()):
                     head, named, payload = _http(r["block"])
                     page = named.get("x-page-id")
-                    rows.append((int(page) if page else None, r["url"], r["ip"], r["date"], head, hashlib.sha256(payload).hexdigest(), len(payload), zlib.compress(payload, LEVEL) if packed else None))
+                    rows.append((int(page) if page else None, r["url"], r["ip"], r["date"], head, hashlib.sha256(payload).hexdigest(), len(payload), payload if payloads else None))
                 types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.binary()]
                 cols = list(zip(*rows, strict=True)) or [[] for _ in types]
                 yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=[x.split(" ")[0] for x in ARC_ROWS.split(", ")])
@@ -205,7 +212,7 @@ def _warc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
                 ("WARC-Payload-Digest", f"sha256:{r['digest']}"),
             ]
             if r["refers_to"] is None:
-                yield _warc("response", fields, r["head"] + zlib.decompress(r["packed"]))
+                yield _warc("response", fields, r["head"] + r["payload"])
             else:
                 fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<urn:uuid:{record_id(r['refers_to'], r['digest'])}>")]
                 yield _warc("revisit", fields, r["head"])
@@ -238,7 +245,7 @@ def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str) -> None:
         yield from _chunks(_bundles(_warc_records(batches), lambda n: _warc("warcinfo", fields, info)))
 
     # reading the archives twice costs less than a third copy of all payloads on disk
-    narrow = written(read_arc(spark, arc_path, packed=False).select("page_id", "digest", "n_bytes"), "arc-records")
+    narrow = written(read_arc(spark, arc_path, payloads=False).select("page_id", "digest", "n_bytes"), "arc-records")
     _write(with_originals(read_arc(spark, arc_path), narrow).mapInArrow(run, "content binary"), warc_path)
 
 
