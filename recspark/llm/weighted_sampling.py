@@ -5,8 +5,8 @@ the word and the sample alone decide. With the word's count w, t = floor(ln w /
 ln a = ln c - r (t - b) - r gives the sample (word, t). Two texts agree in a sample with the probability of the
 generalised Jaccard similarity of their word counts, so the share of equal samples estimates it.
 
-The draws come from pools of 2**18 triples that a hash of word and sample indexes, so no draw is made twice and none is
-stored by word.
+Every draw is a hash of word and sample, so distinct words have draws of their own and no table of words is kept; the
+draws of a batch's distinct words are made once for all its texts.
 """
 
 from __future__ import annotations
@@ -22,67 +22,104 @@ from pyspark.sql import functions as F
 from recspark.llm.text_units import mixed, text_slices, word_hashes
 
 SAMPLES = 64
-POOL_BITS = 18
-#: Distinct words whose draws are compared at once.
-CHUNK = 4096
+#: Distinct words whose draws are held at once.
+CHUNK = 1 << 15
 #: Rows that a scattering bucket of op6 holds on average.
 BUCKET_ROWS = 4000
 #: Buckets at most; beyond, they grow, and a bucket is sorted on disk and streamed, never held.
 MOST_BUCKETS = 8192
 
-_pools: dict[str, np.ndarray] = {}
+#: Picks the hash. Texts of one small vocabulary share their draws, so the mean error over such texts is one chance value for each seed.
+SEED = 1
+_SAMPLE = mixed(np.arange(SEED * SAMPLES + 1, (SEED + 1) * SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def _uniform(bits: np.ndarray, shift: int) -> np.ndarray:
+    """24 of the bits as numbers inside the unit interval."""
+    x = ((bits >> np.uint64(shift)) & np.uint64(0xFFFFFF)).astype(np.float32)
+    x += np.float32(0.5)
+    x *= np.float32(2.0**-24)
+    return x
+
+
+def _draws(words: np.ndarray, sample: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r from Gamma(2, 1), b uniform and ln c for c from Gamma(2, 1), for word hashes and sample constants that fit together."""
+    h = words * sample
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    b = _uniform(h, 0)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    # the sum of two exponential draws is one from Gamma(2, 1)
+    r = -np.log(_uniform(h, 40) * _uniform(h, 12))
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    c = -np.log(_uniform(h, 40) * _uniform(h, 12))
+    return r, b, np.log(c)
+
+
+def _keys(ln_a: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Longs in the order of ``ln_a`` that hold the words' places in their low halves."""
+    bits = np.ascontiguousarray(ln_a).view(np.int32)
+    bits = bits ^ ((bits >> 31) & np.int32(0x7FFFFFFF))
+    return (bits.astype(np.int64) << 32) | at[:, None]
+
+
+def samples_of(texts: list[np.ndarray]) -> np.ndarray:
+    """A row of SAMPLES 16-bit codes for the words' hashes of each text; a text without words has the codes of none, all 0."""
+    parts = [np.unique(x, return_counts=True) for x in texts]
+    every = np.unique(np.concatenate([terms for terms, _ in parts])) if parts else np.zeros(0, np.uint64)
+    best = np.full((len(texts), SAMPLES), np.iinfo(np.int64).max)
+    for a in range(0, len(every), CHUNK):
+        words = every[a : a + CHUNK]
+        r, b, ln_c = (np.empty((len(words), SAMPLES), np.float32) for _ in range(3))
+        keys = np.empty((len(words), SAMPLES), np.int64)
+        for z in range(0, len(words), 256):  # a block that stays in the processor's cache
+            block = slice(z, z + 256)
+            r[block], b[block], ln_c[block] = _draws(words[block, None], _SAMPLE[None, :])
+            # of a word that occurs once: t = floor(b) = 0
+            keys[block] = _keys(ln_c[block] + r[block] * (b[block] - 1), np.arange(a + z, a + min(z + 256, len(words))))
+        for i, (terms, counts) in enumerate(parts):
+            lo, hi = np.searchsorted(terms, words[0], "left"), np.searchsorted(terms, words[-1], "right")
+            if lo == hi:
+                continue
+            at, n = np.searchsorted(words, terms[lo:hi]), counts[lo:hi]
+            single, often = at[n == 1], at[n > 1]
+            if len(single):
+                np.minimum(best[i], np.minimum.reduce(keys[single], axis=0), out=best[i])
+            if len(often):
+                t = np.floor(np.log(n[n > 1].astype(np.float32))[:, None] / r[often] + b[often])
+                ln_a = ln_c[often] - r[often] * (t - b[often]) - r[often]
+                np.minimum(best[i], np.minimum.reduce(_keys(ln_a, a + often), axis=0), out=best[i])
+    codes = np.zeros((len(texts), SAMPLES), np.uint16)
+    full = [i for i, (terms, _) in enumerate(parts) if len(terms)]
+    if full:
+        found = every[best[full] & 0xFFFFFFFF]
+        n = np.array([parts[i][1][np.searchsorted(parts[i][0], words)] for i, words in zip(full, found, strict=True)], np.float32)
+        r, b, _ = _draws(found, np.broadcast_to(_SAMPLE, found.shape))
+        t = np.where(n > 1, np.floor(np.log(n) / r + b), 0).astype(np.uint64)
+        codes[full] = np.maximum(mixed(found + t * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(48), np.uint64(1)).astype(np.uint16)
+    return codes
 
 
-def _pool() -> dict[str, np.ndarray]:
-    if not _pools:
-        rng = np.random.Generator(np.random.PCG64(606))
-        n = 1 << POOL_BITS
-        r, c = rng.gamma(2.0, 1.0, (2, n)).astype(np.float32)
-        b = rng.random(n).astype(np.float32)
-        r, c = np.maximum(r, 1e-6), np.maximum(c, 1e-6)
-        # of a word that occurs once: t = floor(b) = 0
-        _pools.update(r=r, b=b, c=np.log(c), once=np.log(c) + r * b - r)
-        k = np.arange(1, SAMPLES + 1, dtype=np.uint64)
-        _pools["odd"] = mixed(k * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    return _pools
+def samples(words: np.ndarray) -> np.ndarray:
+    """The codes of one text."""
+    return samples_of([words])[0]
 
 
-def samples(words: np.ndarray) -> np.ndarray:
-    """The SAMPLES 16-bit codes of a text from its words' hashes; a text without words has the codes of none, all 0."""
-    if not len(words):
-        return np.zeros(SAMPLES, np.uint16)
-    p = _pool()
-    terms, counts = np.unique(words, return_counts=True)
-    best = np.full(SAMPLES, np.inf, np.float32)
-    out = np.zeros(SAMPLES, np.uint64)
-    # words of one count share the arithmetic, most occur once
-    for once in (True, False):
-        at = np.flatnonzero((counts == 1) == once)
-        for a in range(0, len(at), CHUNK):
-            h, n = terms[at[a : a + CHUNK]], counts[at[a : a + CHUNK]]
-            i = (h[:, None] * p["odd"][None, :]) >> np.uint64(64 - POOL_BITS)
-            if once:
-                ln_a, t = p["once"][i], None
-            else:
-                r, b = p["r"][i], p["b"][i]
-                t = np.floor(np.log(n.astype(np.float32))[:, None] / r + b)
-                ln_a = p["c"][i] - r * (t - b) - r
-            low = ln_a.argmin(0)
-            value = ln_a[low, np.arange(SAMPLES)]
-            level = np.zeros(SAMPLES, np.uint64) if t is None else t[low, np.arange(SAMPLES)].astype(np.uint64)
-            better = value < best
-            best = np.where(better, value, best)
-            out = np.where(better, mixed(h[low] + level * np.uint64(0xD6E8FEB86659FD93)), out)
-    return np.maximum(out >> np.uint64(48), np.uint64(1)).astype(np.uint16)
+def words_of(column: pa.Array) -> list[np.ndarray]:
+    """The hashes of each text's words, A-Z in lower case; null counts as empty."""
+    out = []
+    for _, _, offsets, data in text_slices(column):
+        words, bounds = word_hashes(offsets, data, lower=True)
+        out += [words[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    return out
 
 
 def fingerprints(column: pa.Array) -> np.ndarray:
     """A row of samples for each text of a string column; null counts as empty."""
-    rows = []
-    for _, _, offsets, data in text_slices(column):
-        words, bounds = word_hashes(offsets, data, lower=True)
-        rows += [samples(words[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-    return np.array(rows, np.uint16).reshape(len(rows), SAMPLES)
+    return samples_of(words_of(column))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -117,22 +154,25 @@ EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 
 def _edited_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by bucket and place; each is compared with the one after it. The guest that ends a bucket is only compared with."""
-    last = None  # (bucket, doc_id, text, samples, guest)
+    last: tuple | None = None  # (bucket, doc_id, text, guest) and words of the row before
     for big in batches:
-        for at in range(0, big.num_rows, 500):
-            b = big.slice(at, 500)
-            prints = fingerprints(b.column("text"))
-            rows = zip(b.column("bucket").to_pylist(), b.column("doc_id").to_pylist(), [x or "" for x in b.column("text").to_pylist()], prints, b.column("guest").to_pylist(), strict=True)
-            befores, edits, nexts = [], [], []
-            for row in rows:
-                if last is not None and last[0] == row[0] and not last[4]:
-                    befores.append(last)
-                    edits.append(edited(last[2], row[2]))
-                    nexts.append(row[3])
-                last = row
+        for at in range(0, big.num_rows, 400):
+            b = big.slice(at, 400)
+            rows = zip(b.column("bucket").to_pylist(), b.column("doc_id").to_pylist(), [x or "" for x in b.column("text").to_pylist()], b.column("guest").to_pylist(), strict=True)
+            befores, edits, texts, first = [], [], [] if last is None else [last[1]], last is None
+            pairs = []  # places of a row and its follower among ``texts``
+            for row, words in zip(rows, words_of(b.column("text")), strict=True):
+                texts.append(words)
+                if not first and last[0][0] == row[0] and not last[0][3]:
+                    befores.append(last[0])
+                    edits.append(edited(last[0][2], row[2]))
+                    pairs.append(len(texts) - 2)
+                last, first = (row, words), False
             if not befores:
                 continue
-            own, new = np.array([x[3] for x in befores]), fingerprints(pa.array(edits, pa.string()))
+            # a text and its edited form share most words, so their draws are made together
+            found = samples_of([*texts, *words_of(pa.array(edits, pa.string()))])
+            own, following, new = found[pairs], found[np.array(pairs) + 1], found[len(texts) :]
             yield pa.record_batch([
                 pa.array([x[1] for x in befores], pa.int64()),
                 pa.array([len(x[2]) for x in befores], pa.int64()),
@@ -140,7 +180,7 @@ def _edited_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(hexed(own)),
                 pa.array(hexed(new)),
                 pa.array(likeness(own, new), pa.float64()),
-                pa.array(likeness(own, np.array(nexts)), pa.float64()),
+                pa.array(likeness(own, following), pa.float64()),
             ], names=[x.split(" ")[0] for x in EDITED.split(", ")])
 
 
