@@ -13,13 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splitting pattern of the vocabulary (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Tokens that a task packs at once; one longer document is packed by itself.
+#: Tokens after which a task packs what it holds; the document that reaches them still belongs to the window.
 WINDOW_TOKENS = 2_000_000
 #: Fills a row behind its last segment; the vocabulary's free id.
 PAD = 50_256
@@ -89,14 +90,14 @@ def best_fit_decreasing(lengths: list[int], length: int) -> list[list[int]]:
     return bins
 
 
-PACKS = "ids binary, cu_seqlens array<int>, positions binary, doc_ids array<bigint>, parts array<int>"
+PACKS = "ids binary, cu_seqlens array<int>, positions binary, doc_ids array<bigint>, parts array<int>, rows array<bigint>"
 
 
-def _packed(docs: list[tuple[int | None, np.ndarray]], length: int) -> Iterator[pa.RecordBatch]:
-    segments = [(d, k, ids[a : a + length]) for d, ids in docs for k, a in enumerate(range(0, len(ids), length))]
+def _packed(docs: list[tuple[int | None, int, np.ndarray]], length: int) -> Iterator[pa.RecordBatch]:
+    segments = [(d, k, ids[a : a + length], row) for d, row, ids in docs for k, a in enumerate(range(0, len(ids), length))]
     bins = best_fit_decreasing([len(s[2]) for s in segments], length)
     for at in range(0, len(bins), 500):
-        ids, ends, places, owners, parts = [], [], [], [], []
+        ids, ends, places, owners, parts, rows = [], [], [], [], [], []
         for b in bins[at : at + 500]:
             own = [segments[i] for i in b]
             sizes = [len(s[2]) for s in own]
@@ -107,27 +108,31 @@ def _packed(docs: list[tuple[int | None, np.ndarray]], length: int) -> Iterator[
             places.append(np.concatenate([np.arange(n, dtype=np.uint16) for n in [*sizes, length - sum(sizes)]]).tobytes())
             owners.append([s[0] for s in own])
             parts.append([s[1] for s in own])
-        yield pa.record_batch([pa.array(ids, pa.binary()), pa.array(ends, pa.list_(pa.int32())), pa.array(places, pa.binary()), pa.array(owners, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32()))], names=["ids", "cu_seqlens", "positions", "doc_ids", "parts"])
+            rows.append([s[3] for s in own])
+        ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+        cols = [pa.array(c, t) for c, t in ((ids, pa.binary()), (ends, ints), (places, pa.binary()), (owners, longs), (parts, ints), (rows, longs))]
+        yield pa.record_batch(cols, names=[x.split(" ")[0] for x in PACKS.split(", ")])
 
 
 def pack(docs: DataFrame, length: int = 2048, path: str = TOKENIZER, window: int = WINDOW_TOKENS) -> DataFrame:
     """Rows of ``length`` token ids of the texts of ``docs`` (doc_id, text).
 
     ids: ``length`` little-endian uint16, padded with PAD; cu_seqlens: where segments begin, and the end of the last;
-    positions: uint16 from 0 in each segment and in the padding; doc_ids and parts: each segment's document and its
-    number there. A document longer than ``length`` is split every ``length`` tokens and nothing is dropped. Null and
+    positions: uint16 from 0 in each segment and in the padding; doc_ids, parts and rows: each segment's document, its
+    number there, and a number of the document's input row, so that ids may be null or repeat. A document longer than ``length`` is split every ``length`` tokens and nothing is dropped. Null and
     empty texts have no tokens and no segment. ``length`` is at most 65535. A null doc_id stays null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, held, n = encoding(path).encode_ordinary, [], 0
+        encode, held, n, row = encoding(path).encode_ordinary, [], 0, TaskContext.get().partitionId() << 40
         for b in batches:
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
                 text = text.as_py()
+                row += 1
                 if not text:
                     continue
                 ids = np.array(encode(text), np.uint16)
-                held.append((doc_id, ids))
+                held.append((doc_id, row, ids))
                 n += len(ids)
                 if n >= window:
                     yield from _packed(held, length)
@@ -167,11 +172,11 @@ def segments(packs: DataFrame) -> DataFrame:
 
 
 def detokenized(spark: SparkSession, packs: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """(doc_id, text) of the documents that packed rows hold, from all their parts; documents without tokens aren't there."""
-    pieces = packs.select(F.posexplode("doc_ids").alias("i", "doc_id"), "parts", "cu_seqlens", "ids")
+    """(doc_id, text) of the rows that packed rows hold, from all their parts; rows without tokens aren't there."""
+    pieces = packs.select(F.posexplode("rows").alias("i", "row"), "doc_ids", "parts", "cu_seqlens", "ids")
     at, end = F.get("cu_seqlens", F.col("i")), F.get("cu_seqlens", F.col("i") + 1)
-    pieces = pieces.select("doc_id", F.get("parts", F.col("i")).alias("part"), F.substring("ids", 2 * at + 1, 2 * (end - at)).alias("piece"))
-    whole = pieces.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("part", "piece"))).alias("p"))
+    pieces = pieces.select("row", F.get("doc_ids", F.col("i")).alias("doc_id"), F.get("parts", F.col("i")).alias("part"), F.substring("ids", 2 * at + 1, 2 * (end - at)).alias("piece"))
+    whole = pieces.groupBy("row").agg(F.any_value("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("part", "piece"))).alias("p"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = encoding(path).decode
