@@ -27,6 +27,8 @@ DIM = 8
 GRAMS = (3, 4)
 #: Labelled documents that are learned from at most, chosen by a hash of their ids.
 TRAIN_ROWS = 3000
+#: Bytes of a text that is learned from at most; longer ones are scored, but not learned from. So the driver gets TRAIN_ROWS times this at most.
+TRAIN_TEXT_BYTES = 1 << 16
 #: Words whose sums a Python worker keeps at most; then it starts anew.
 CACHE_WORDS = 400_000
 
@@ -161,46 +163,41 @@ class Scorer:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", where: Column | None = None, rows: int = TRAIN_ROWS) -> Model:
     """A model from at most ``rows`` labelled documents (doc_id, label 0 or 1), those with the smallest hashes of doc_id.
 
-    Rows without label, or of another value, are left out; of repeated labels of one document the smallest holds.
+    Rows without label, or of another value, are left out; of repeated labels of one document the smallest holds, and of
+    several texts the first in order. Texts above TRAIN_TEXT_BYTES are left out.
     """
     known = labels.where(F.col(label).isin(0, 1) & (where if where is not None else F.lit(True)))
     known = known.groupBy("doc_id").agg(F.min(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(rows)
     known = F.broadcast(known)  # ``rows`` rows of an id and a label
-    got = docs.select("doc_id", "text").join(known, "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    short = docs.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_TEXT_BYTES)
+    got = short.join(known, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label")).orderBy("doc_id").collect()
     return train([r["text"] or "" for r in got], [r["label"] for r in got])
 
 
-def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
-    """``docs`` with the score of every whole text between 0 and 1; null and empty texts get the bias's score.
-
-    Other columns pass as they are; one named like ``out`` is replaced. Repeated rows are scored each.
-    """
-    spark = docs.sparkSession
-    own = [c for c in docs.columns if c != out]
-    docs = docs.select(*[F.col(f"`{c}`") for c in own])
-    shared = spark.sparkContext.broadcast(model)  # BUCKETS numbers
-
+def _score_rows(shared, keep: list[str], out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for big in batches:
             for at in range(0, big.num_rows, 1000):
                 b = big.slice(at, 1000)
                 got = scorer.scores([x or "" for x in b.column("text").to_pylist()])
-                yield pa.record_batch([*b.columns, pa.array(got, pa.float64())], names=[*own, out])
+                yield pa.record_batch([*[b.column(c) for c in keep], pa.array(got, pa.float64())], names=[*keep, out])
+
+    return run
 
-    return docs.mapInArrow(run, docs.withColumn(out, F.lit(0.0)).schema)
+
+def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
+    """``docs`` with the score of every whole text between 0 and 1; null and empty texts get the bias's score.
+
+    Other columns pass as they are; one named like ``out`` is replaced. Repeated rows are scored each.
+    """
+    own = [c for c in docs.columns if c != out]
+    docs = docs.select(*[F.col(f"`{c}`") for c in own])
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
+    return docs.mapInArrow(_score_rows(shared, own, out), docs.withColumn(out, F.lit(0.0)).schema)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score alone: the text stays in its task."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for big in batches:
-            for at in range(0, big.num_rows, 1000):
-                b = big.slice(at, 1000)
-                got = scorer.scores([x or "" for x in b.column("text").to_pylist()])
-                yield pa.record_batch([b.column("doc_id"), pa.array(got, pa.float64())], names=["doc_id", "score"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_score_rows(shared, ["doc_id"], "score"), "doc_id long, score double")

@@ -43,13 +43,13 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.plan_copies(mixing.narrow_rows(table(spark, sf_dir, "documents")))
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth")
-    return plan.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), each).drop("nth")
+    return mixing.taken_rows(mixing.plan_copies(mixing.narrow_rows(table(spark, sf_dir, "documents"))))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rule_lists.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out())
+    out = rule_lists.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out())
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return out.select(*first, *[c for c in out.columns if c not in first])
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,8 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return url_filter.filter_urls(pages, url_filter.listed_from(pages), url_filter.RULES)
+    out = url_filter.filter_urls(pages, url_filter.listed_from(pages), url_filter.RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict", "canonical_url", "listed")
 
 
 QUERIES = {

@@ -40,8 +40,11 @@ def test_bloom_has_no_false_answers(spark, large, monkeypatch):
     monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", 0 if large else 2**16)
     listed = spark.range(500).select(F.concat(F.lit("u"), F.col("id")).alias("k"))
     rows = spark.range(3000).select(F.concat(F.lit("u"), F.col("id")).alias("k"), "id")
-    got = url_filter.in_list(rows, "k", listed, "hit").where("hit").select("id").collect()
-    assert sorted(r.id for r in got) == list(range(500))
+    rows = rows.unionByName(spark.range(300).select(F.when(F.col("id") < 200, "u7").alias("k"), (F.col("id") + 5000).alias("id")))
+    rows = rows.withColumns({"block": F.lit("x"), "key": F.lit(1), "spread": F.lit(2), "w0": F.lit(3), "probe": F.lit(4)})
+    got = url_filter.in_list(rows, "k", listed, "hit")
+    assert got.columns == [*rows.columns, "hit"] and got.where("block = 'x' and key = 1 and spread = 2 and w0 = 3 and probe = 4").count() == 3300
+    assert sorted(r.id for r in got.where("hit").select("id").collect()) == [*range(500), *range(5000, 5200)]
     masks = spark.range(2000).select(*[m.alias(f"w{i}") for i, m in enumerate(url_filter._mask(F.col("id").cast("string")))])
     bits = [sum(bin(v & (2**64 - 1)).count("1") for v in r) for r in masks.collect()]
     assert max(bits) == url_filter.HASHES and min(bits) >= 4
@@ -75,12 +78,11 @@ def test_targets(spark, sizes):
 def test_mix_nears_targets_and_repeats(spark):
     texts = [None, "", " \n", "a"] + [f"w{i} " * (1 + i * i % 60) for i in range(900)] + ["same text here"] * 300
     docs = docs_of(spark, texts, lambda i: [None, "a", "b", "c"][0 if i < 5 else min(3, 1 + i % 7 // 2)])
-    rows = [tuple(r) for r in mixing.plan_copies(mixing.narrow_rows(docs)).select("doc_id", "source", "size", "target", "copies", "times").collect()]
-    again = [tuple(r) for r in mixing.plan_copies(mixing.narrow_rows(docs.repartition(7))).select("doc_id", "source", "size", "target", "copies", "times").collect()]
+    rows, again = ([tuple(r) for r in mixing.taken_rows(mixing.plan_copies(mixing.narrow_rows(d))).select("doc_id", "source", "size", "target", "copies", "taken").collect()] for d in (docs, docs.repartition(7)))
     assert sorted(rows, key=str) == sorted(again, key=str) and len(rows) == len(texts)
     taken, target, largest = Counter(), {}, Counter()
-    for _, source, size, t, copies, _ in rows:
-        assert 0 <= copies <= 2
+    for _, source, size, t, copies, words in rows:
+        assert 0 <= copies <= 2 and words == size * copies
         taken[source] += size * copies
         target[source], largest[source] = t, max(largest[source], size)
     for s, t in target.items():
@@ -94,8 +96,25 @@ def test_mix_nears_targets_and_repeats(spark):
 def test_repeated_rows_and_clashing_columns(spark):
     docs = docs_of(spark, ["a b c"] * 4).withColumns({"size": F.lit("x"), "target": F.lit(1), "doc_id": F.lit(1).cast("long")})
     plan = mixing.plan_copies(mixing.narrow_rows(docs)).collect()
-    assert [(r["times"], r.copies) for r in plan] in ([(4, 1)], [(4, 2)])
-    assert mixing.mix(docs).columns == docs.columns
+    assert [(r["times"], r.copies, r.more) for r in plan] == [(4, 1, 2)]
+    assert mixing.mix(docs).columns == docs.columns and mixing.mix(docs).count() == 6
+
+
+def test_many_equal_rows_meet_the_target(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "NUMBERED_ROWS", 7)
+    docs = docs_of(spark, ["a b c"] * 101, start=0).withColumns({"doc_id": F.lit(None).cast("long"), "nth": F.col("doc_id"), "Place": F.lit(1), "d": F.lit(2)})
+    taken = [r.taken for r in mixing.taken_rows(mixing.plan_copies(mixing.narrow_rows(docs))).collect()]
+    assert len(taken) == 101 and sum(taken) in (453, 456) and set(taken) == {3, 6}
+    out = mixing.mix(docs)
+    assert out.columns == docs.columns
+    times = Counter(r.nth for r in out.collect())
+    assert set(times) == set(range(101)) and sum(times.values()) == sum(taken) // 3 and set(times.values()) == {1, 2}
+
+
+def test_very_long_text_is_mixed(spark):
+    docs = docs_of(spark, ["w " * 300_000, *["a b"] * 20], lambda i: "x" if i == 0 else "y")
+    rows = {r.doc_id: r for r in mixing.taken_rows(mixing.plan_copies(mixing.narrow_rows(docs))).collect()}
+    assert rows[0]["size"] == 300_000 and rows[0].taken % 300_000 == 0 and sum(r.taken for i, r in rows.items() if i) == rows[1].target
 
 
 def test_pivotal_rounding_is_fair(spark):
@@ -133,6 +152,17 @@ def test_sharding_edges(spark, tmp_path):
     assert sharding.shuffle_into_shards(twins, 2, str(tmp_path / "c")).groupBy("shard").count().agg(F.max("count")).first()[0] == 3
 
 
+def test_sharding_of_one_row_often(spark, tmp_path):
+    docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"), F.lit(1).alias("__bucket"), F.lit(2).alias("place"), F.lit(3).alias("salt"))
+    docs = docs.unionByName(docs.limit(50).withColumn("text", F.lit(None).cast("string")))
+    salted = sharding._salted(docs, 20_000, "__salt")
+    assert salted.select("__salt").distinct().count() == 100_001
+    out = sharding.shuffle_into_shards(docs, 40, str(tmp_path / "a"), bucket_bytes=20_000)
+    assert set(out.columns) == {*docs.columns, "shard", "slot"} and out.where("__bucket = 1 and place = 2 and salt = 3").count() == 100_050
+    rows = out.groupBy("shard").agg(F.count("*").alias("n"), F.count_distinct("slot").alias("k"), F.max("slot").alias("last")).collect()
+    assert len(rows) == 40 and all(r.n == r.k == r.last + 1 and r.n in (2501, 2502) for r in rows)
+
+
 # ---- quality rules
 
 

@@ -162,6 +162,22 @@ def test_fingerprints_estimate_generalised_jaccard(spark):
 # ---- classifier
 
 
+def test_fingerprints_of_many_words_and_repeats(spark):
+    rng = np.random.default_rng(7)
+    for n, trials in ((200, 60), (20_000, 6)):
+        off = []
+        for _ in range(trials):
+            w = rng.integers(0, 2**63, 3 * n // 2, dtype=np.uint64)
+            a, b = w[:n], np.append(w[n // 2 :], w[n // 2 : n])  # a third of the words of ``b`` occur twice
+            x, y = (dict(zip(*np.unique(k, return_counts=True), strict=True)) for k in (a, b))
+            true = sum(min(x.get(k, 0), y.get(k, 0)) for k in x | y) / sum(max(x.get(k, 0), y.get(k, 0)) for k in x | y)
+            off.append(weighted_sampling.likeness(weighted_sampling.samples(a), weighted_sampling.samples(b)) - true)
+        assert abs(np.mean(off)) < 4 * 0.06 / trials**0.5
+    monkey = [(None, "a b"), (None, "a b"), (None, None), (5, "x"), (5, "x"), (7, "q " * 5000)]
+    got = weighted_sampling.compare_with_edits(spark.createDataFrame([(*r, 1) for r in monkey], "doc_id long, text string, bucket int"), 2).collect()
+    assert sorted(r.n_chars for r in got) == [0, 1, 1, 3, 3, 10_000] and len({r.fingerprint for r in got if r.doc_id == 5}) == 1
+
+
 def test_classifier_on_held_out_rows(spark):
     rng = random.Random(1)
     good = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "reads", "well"]) + rng.choice(["s", "ing", ""]) for _ in range(40)) for _ in range(200)]
@@ -181,6 +197,18 @@ def test_classifier_on_held_out_rows(spark):
     assert quality_model.scored(docs.limit(0), model).count() == 0
 
 
+def test_classifier_with_repeats_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "TRAIN_TEXT_BYTES", 400)
+    rows = [(i % 40, "good words here" if i % 2 else "BAD!! $$$") for i in range(80)] + [(41, "BAD!! $$$ " * 50), (1, "zz later text"), (None, "good words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(41, 1), (3, 0), (None, 0)], "doc_id long, quality int")
+    model = quality_model.fit(docs, labels)
+    got = quality_model.score(docs, model).collect()
+    assert len(got) == len(rows) and len({r.score for r in got if r.text == "good words here"}) == 1
+    assert max(r.score for r in got if "BAD" in r.text) < 0.3 < min(r.score for r in got if "good" in r.text)
+    assert len(quality_model.scored(docs, model).collect()) == len(rows)
+
+
 def test_score_is_the_mean_over_features():
     model = quality_model.Model(np.random.default_rng(1).normal(size=quality_model.BUCKETS), 0.3)
     text = "the cat the the Hut\nhut a"
@@ -210,6 +238,9 @@ def test_packing_roundtrip(spark, tmp_path):
     packs = packing.write_packs(docs_of(spark, texts), str(tmp_path / "p"), length=128)
     back = {r.doc_id: r.text for r in packing.detokenized(spark, packs).collect()}
     assert back == {i: t for i, t in enumerate(texts) if t}
+    same = [(1, "alpha beta gamma delta"), (1, "one two three four"), (1, "one two three four"), (None, "p q r"), (None, "x y z"), (None, None)]
+    again = packing.pack(spark.createDataFrame([(*r, "x", 1) for r in same], "doc_id long, text string, ids string, rows int"), 3, window=4)
+    assert sorted((tuple(r) for r in packing.detokenized(spark, again).collect()), key=str) == sorted([r for r in same if r[1]], key=str)
     for r in packs.collect():
         ids, places, ends = np.frombuffer(r.ids, np.uint16), np.frombuffer(r.positions, np.uint16), r.cu_seqlens
         assert len(ids) == len(places) == 128 and ends[0] == 0 and ends[-1] <= 128 and len(ends) == len(r.doc_ids) + 1 == len(r.parts) + 1
