@@ -93,3 +93,28 @@ def feature_hash(*parts: Column, dim: int = DIM) -> Column:
         return pd.Series(hash_keys(np.stack([s.to_numpy(np.int64) for s in series], axis=1), dim))
 
     return run(*parts)
+
+
+def cross_hash(parts: Column, dim: int = DIM) -> Column:
+    """The hash index of a cross, from its parents' values (array of field_index, key, fea); null for null.
+
+    A parent's id is its number, or the hash of its key where that is null.
+    """
+
+    @F.pandas_udf("long")
+    def run(indexes: pd.Series, keys: pd.Series, numbers: pd.Series) -> pd.Series:
+        out = np.zeros(len(indexes), np.int64)
+        sizes = np.array([0 if x is None else len(x) for x in indexes], np.int64)
+        for k in np.unique(sizes[sizes > 0]).tolist():
+            at = np.flatnonzero(sizes == k)
+            rows = np.empty((len(at), 2 * k), np.int64)
+            for i in range(k):
+                ids = hash_bytes([keys[r][i].encode() for r in at])
+                rows[:, 2 * i] = [indexes[r][i] for r in at]
+                rows[:, 2 * i + 1] = [h if numbers[r][i] == "" else int(numbers[r][i]) for r, h in zip(at, ids, strict=True)]
+            out[at] = hash_keys(rows, dim)
+        return pd.Series(out)
+
+    numbers = F.transform(parts, lambda p: F.coalesce(p["fea"].cast("string"), F.lit("")))
+    made = run(F.transform(parts, lambda p: p["field_index"]), F.transform(parts, lambda p: p["key"]), numbers)
+    return F.when(parts.isNotNull(), made)

@@ -5,22 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.functions.hashing import feature_hash, string_id
+from recspark.functions.hashing import cross_hash, feature_hash, string_id
 from recspark.operators.registry import Registry
 
 
 def hashed_keys(tokens: DataFrame) -> DataFrame:
-    """field_index, key, fea, hash of the distinct keys: string keys get their number, then every pair its hash index."""
-    distinct = tokens.select("field_index", "key", "fea").distinct()
+    """field_index, key, fea, hash of the distinct keys: string keys get their number, then every pair its hash index; a cross hashes its parents' pairs."""
+    distinct = tokens.select("field_index", "key", "fea", "parts").distinct()
     named = distinct.withColumn("fea", F.coalesce("fea", string_id(F.col("key"))))
-    return named.withColumn("hash", feature_hash(F.col("field_index"), F.col("fea")))
+    own = feature_hash(F.col("field_index"), F.col("fea"))
+    return named.select("field_index", "key", "fea", F.coalesce(cross_hash(F.col("parts")), own).alias("hash"))
 
 
-def _arrays(rows: DataFrame, key: str, fields: list[tuple[str, int, int]]) -> DataFrame:
-    """One row a key with {field}_raw, _index, _value; every field begins with its sentinel."""
-    element = F.struct("ord", "raw", "index", "value")
+def _arrays(rows: DataFrame, key: str, fields: list[tuple[str, int, int]], keys: DataFrame | None) -> DataFrame:
+    """One row a key with {field}_raw, _index, _value; every field begins with its sentinel, which is all it has where no index is known.
+
+    ``keys`` names keys that may have no row in ``rows``.
+    """
+    rows = rows.select(key, "field_name", "ord", "raw", "index", "value")
+    if keys is not None:
+        rows = rows.unionByName(keys.select(key).distinct(), allowMissingColumns=True)
+    element = F.when(F.col("index").isNotNull(), F.struct("ord", "raw", "index", "value"))
     per = rows.groupBy(key, "field_name").agg(F.array_sort(F.collect_list(element)).alias("list"))
-    wide = per.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("field_name", "list"))).alias("m"))
+    wide = per.groupBy(key).agg(F.map_from_entries(F.collect_list(F.when(F.col("field_name").isNotNull(), F.struct("field_name", "list")))).alias("m"))
     out = [F.col(key)]
     for name, _, _ in fields:
         got = F.coalesce(F.element_at("m", name), F.array().cast("array<struct<ord:int,raw:string,index:bigint,value:double>>"))
@@ -36,29 +43,32 @@ def fields_of(registry: Registry) -> list[tuple[str, int, int]]:
     return [(f.name, f.index, f.kind) for f in registry.active()]
 
 
+def _looked_up(tokens: DataFrame, known: DataFrame) -> DataFrame:
+    """Tokens with ``index`` of ``known`` (field_index, key, index), null where a categorical value isn't known; continuous ones have 1."""
+    cat = tokens.where("field_type = 1").join(known, ["field_index", "key"], "left")
+    return cat.unionByName(tokens.where("field_type = 0").withColumn("index", F.lit(1).cast("long")))
+
+
 def vocab_tokens(tokens: DataFrame, pos_map: DataFrame) -> DataFrame:
     """Tokens with ``index`` from the vocabulary; unknown categorical values are dropped, continuous ones always pass."""
-    known = pos_map.where("field_type = 1").select("field_index", "key", F.col("pos").alias("index"))
-    cat = tokens.where("field_type = 1").join(known, ["field_index", "key"])
-    return cat.unionByName(tokens.where("field_type = 0").withColumn("index", F.lit(1).cast("long")))
+    return _looked_up(tokens, pos_map.where("field_type = 1").select("field_index", "key", F.col("pos").alias("index"))).where("index is not null")
 
 
-def encode_vocab(tokens: DataFrame, pos_map: DataFrame, registry: Registry, key: str = "sample_id") -> DataFrame:
-    """Encoded rows; has_feature tells whether a categorical value survived."""
+def encode_vocab(tokens: DataFrame, pos_map: DataFrame, registry: Registry, key: str = "sample_id", keys: DataFrame | None = None) -> DataFrame:
+    """An encoded row for each key of ``tokens``, and of ``keys`` where given; has_feature tells whether any value, categorical or continuous, is left."""
     fields = fields_of(registry)
-    out = _arrays(vocab_tokens(tokens, pos_map), key, fields)
-    any_left = [F.size(f"{n}_index") > 1 for n, _, kind in fields if kind == 1]
-    has = any_left[0]
-    for c in any_left[1:]:
-        has = has | c
+    known = pos_map.where("field_type = 1").select("field_index", "key", F.col("pos").alias("index"))
+    out = _arrays(_looked_up(tokens, known), key, fields, keys)
+    has = F.lit(False)
+    for name, _, _ in fields:
+        has = has | (F.size(f"{name}_index") > 1)
     return out.withColumn("has_feature", has)
 
 
-def encode_hash(tokens: DataFrame, registry: Registry, key: str = "sample_id") -> DataFrame:
-    """Encoded rows whose index is the hash of each value; continuous fields have index 1."""
+def encode_hash(tokens: DataFrame, registry: Registry, key: str = "sample_id", keys: DataFrame | None = None) -> DataFrame:
+    """An encoded row for each key of ``tokens``, and of ``keys`` where given, whose index is the hash of each value; continuous fields have index 1."""
     hashes = hashed_keys(tokens.where("field_type = 1")).select("field_index", "key", F.col("hash").alias("index"))
-    cat = tokens.where("field_type = 1").join(hashes, ["field_index", "key"])
-    return _arrays(cat.unionByName(tokens.where("field_type = 0").withColumn("index", F.lit(1).cast("long"))), key, fields_of(registry))
+    return _arrays(_looked_up(tokens, hashes), key, fields_of(registry), keys)
 
 
 def encode_text(rows: DataFrame, key: str, sep: str = ",", between: str = ":") -> DataFrame:

@@ -1,12 +1,13 @@
 """The feature registry: configuration that compiles to one array column a feature, and the melted tokens.
 
-A feature is a column array<struct<raw string, key string, fea long, value double>>. ``key`` identifies the value in a
-vocabulary, and ``fea`` is its number, or null for string values, whose number is the hash of the key; number 0 is
-padding and is left out.
+A feature is a column array<struct<raw string, key string, fea long, value double, parts array>>. ``key`` identifies the
+value in a vocabulary, and ``fea`` is its number, or null for string values, whose number is the hash of the key; number
+0 is padding and is left out. ``parts`` of a cross holds the index, key and number of each parent's value, else null.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from recspark.functions import scalars as X
 
 CATEGORICAL, CONTINUOUS = 1, 0
-TOKEN = "array<struct<raw:string,key:string,fea:bigint,value:double>>"
+PARTS = "array<struct<field_index:int,key:string,fea:bigint>>"
+TOKEN = f"array<struct<raw:string,key:string,fea:bigint,value:double,parts:{PARTS}>>"
 
 
 @dataclass
@@ -55,28 +57,41 @@ class Registry:
         return df.withColumns({f.name: crossed([(p.index, F.col(p.name)) for d in f.depends for p in self.features if p.name == d]).cast(TOKEN) for f in self.active() if f.depends})
 
     def tokens(self, df: DataFrame, key: str = "sample_id") -> DataFrame:
-        """(key, field_name, field_index, field_type, ord, raw, key, fea, value): one row per feature value, melted in one pass."""
+        """(key, field_name, field_index, field_type, ord, raw, key, fea, value, parts): one row per feature value, melted in one pass."""
         made = self.columns(df)
         fields = [
             F.struct(F.lit(f.name).alias("field_name"), F.lit(f.index).alias("field_index"), F.lit(f.kind).alias("field_type"), F.col(f.name).alias("list")) for f in self.active()
         ]
         one = made.select(F.col(key), F.explode(F.array(*fields)).alias("f")).select(key, "f.field_name", "f.field_index", "f.field_type", F.posexplode("f.list").alias("ord", "t"))
-        return one.select(key, "field_name", "field_index", "field_type", "ord", "t.raw", "t.key", "t.fea", "t.value")
+        return one.select(key, "field_name", "field_index", "field_type", "ord", "t.raw", "t.key", "t.fea", "t.value", "t.parts")
 
 
 def load(config: dict, builders: dict[str, Callable[[], Column]]) -> Registry:
-    """A registry from parsed configuration: features (field_name, field_index, field_type, enabled) and cross_features (… depends)."""
+    """A registry from parsed configuration: features (field_name, field_index, field_type, enabled) and cross_features (… depends).
+
+    A feature without a builder is left out with a warning.
+    """
     out = Registry()
-    for f in config.get("features", []):
+    for f in config.get("features") or []:
         if f["field_name"] in builders:
             out.register(f["field_name"], f["field_index"], f["field_type"], builders[f["field_name"]], f.get("enabled", True))
+        elif f.get("enabled", True):
+            warnings.warn(f"no builder for feature {f['field_name']}", stacklevel=2)
     for f in config.get("cross_features") or []:
         out.cross(f["field_name"], f["field_index"], f["depends"], f.get("enabled", True))
     return out
 
 
-def _token(raw: Column, key: Column, fea: Column, value: Column) -> Column:
-    return F.struct(raw.cast("string").alias("raw"), key.cast("string").alias("key"), fea.cast("long").alias("fea"), value.cast("double").alias("value"))
+def load_yaml(text: str, builders: dict[str, Callable[[], Column]]) -> Registry:
+    """``load`` of YAML text; needs the yaml package."""
+    import yaml
+
+    return load(yaml.safe_load(text) or {}, builders)
+
+
+def _token(raw: Column, key: Column, fea: Column, value: Column, parts: Column | None = None) -> Column:
+    parts = F.lit(None) if parts is None else parts
+    return F.struct(raw.cast("string").alias("raw"), key.cast("string").alias("key"), fea.cast("long").alias("fea"), value.cast("double").alias("value"), parts.cast(PARTS).alias("parts"))
 
 
 def number(c: Column, value: Column | float = 1.0) -> Column:
@@ -118,11 +133,11 @@ def crossed(parents: list[tuple[int, Column]]) -> Column:
 
 
 def _named(tokens: Column, index: int) -> Column:
-    return F.transform(tokens, lambda t: _token(F.concat(F.lit(f"{index}:"), t["raw"]), F.concat(F.lit(f"{index}:"), t["key"]), F.lit(None), F.lit(1.0)))
+    return F.transform(tokens, lambda t: _token(F.concat(F.lit(f"{index}:"), t["raw"]), F.concat(F.lit(f"{index}:"), t["key"]), F.lit(None), F.lit(1.0), F.array(F.struct(F.lit(index), t["key"], t["fea"]))))
 
 
 def _pair(right: Column):
-    return lambda a: F.transform(right, lambda b: _token(F.concat_ws("__xx__", a["raw"], b["raw"]), F.concat_ws("__xx__", a["key"], b["key"]), F.lit(None), F.lit(1.0)))
+    return lambda a: F.transform(right, lambda b: _token(F.concat_ws("__xx__", a["raw"], b["raw"]), F.concat_ws("__xx__", a["key"], b["key"]), F.lit(None), F.lit(1.0), F.concat(a["parts"], b["parts"])))
 
 
 #: Names and indexes of features whose history windows share an index.

@@ -50,8 +50,35 @@ DEFAULT_FAMILIES = [
 ]
 
 
-def default_registry(only: list[str] | None = None) -> Registry:
-    """The default features, or those named; crosses are added by the caller."""
+#: The crosses, name: (index, parents). None is enabled by default.
+CROSSES: dict[str, tuple[int, list[str]]] = {
+    "movie_genres_xx_user_genres_rate": (401, ["movie_genres", "user_genres_rate"]),
+    "movie_genres_xx_user_genres_rate_1day": (402, ["movie_genres", "user_genres_rate_1day"]),
+    "movie_publish_year_xx_user_age": (406, ["movie_publish_year", "user_age"]),
+    "movie_rate_count_xx_user_rate_std": (410, ["movie_rate_count", "user_rate_std"]),
+    "movie_hot_rank_xx_user_rate_avg": (411, ["item_hot_rank", "user_rate_avg"]),
+    "movie_publish_year_xx_user_rate_avg": (412, ["movie_publish_year", "user_rate_avg"]),
+    "movie_genre_cnt_xx_user_rate_avg": (413, ["movie_genre_cnt", "user_rate_avg"]),
+    "movie_hot_rank_xx_user_genre_avg_rate": (414, ["item_hot_rank", "user_same_genre_avg_rate"]),
+    "movie_genres_xx_user_gender": (417, ["movie_genres", "user_gender"]),
+    "movie_genres_xx_user_occupation": (418, ["movie_genres", "user_occupation"]),
+    "movie_genres_xx_user_age": (419, ["movie_genres", "user_age"]),
+    "movie_genres_xx_is_weekend": (450, ["movie_genres", "context_is_weekend"]),
+    "movie_hot_rank_xx_is_weekend": (451, ["item_hot_rank", "context_is_weekend"]),
+    "user_age_xx_is_weekend": (452, ["user_age", "context_is_weekend"]),
+    "user_gender_xx_context_time_hour": (453, ["user_gender", "context_time_hour"]),
+    "movie_genres_xx_user_age_xx_user_gender": (460, ["movie_genres", "user_age", "user_gender"]),
+    "movie_genres_xx_user_gender_xx_user_occupation": (461, ["movie_genres", "user_gender", "user_occupation"]),
+    "movie_publish_year_xx_user_age_xx_user_occupation": (462, ["movie_publish_year", "user_age", "user_occupation"]),
+    "movie_rate_avg_xx_movie_hot_rank_xx_user_rate_avg": (463, ["movie_rate_avg", "item_hot_rank", "user_rate_avg"]),
+    "movie_genre_cnt_xx_user_total_rate_cnt_xx_user_rate_avg": (465, ["movie_genre_cnt", "user_movie_rate_cnt", "user_rate_avg"]),
+    "movie_genre_cnt_xx_movie_hot_rank_xx_user_genre_avg_rate": (466, ["movie_genre_cnt", "item_hot_rank", "user_same_genre_avg_rate"]),
+    "movie_publish_year_xx_movie_rate_avg_xx_user_rate_avg": (467, ["movie_publish_year", "movie_rate_avg", "user_rate_avg"]),
+}
+
+
+def default_registry(only: list[str] | None = None, crosses: list[str] | None = None) -> Registry:
+    """The default features, or those named, and the default crosses, of which those named in ``crosses`` are enabled."""
     out, builders = Registry(), default_builders()
     all_ = dict(DEFAULT_FEATURES)
     for first, step, kind, names in DEFAULT_FAMILIES:
@@ -59,6 +86,8 @@ def default_registry(only: list[str] | None = None) -> Registry:
     for name, (index, kind) in all_.items():
         if only is None or name in only:
             out.register(name, index, kind, builders[name])
+    for name, (index, depends) in CROSSES.items():
+        out.cross(name, index, depends, name in (crosses or []))
     return out
 
 
@@ -78,18 +107,19 @@ class Run:
     report: DataFrame
 
 
-def run(rows: DataFrame, registry: Registry, mode: str = "multi", keep_negatives: float = 1.0, train: float = 0.8, val: float = 0.1, feature_threshold: int = 10, target_threshold: int = 1, key: str = "sample_id") -> Run:
+def run(rows: DataFrame, registry: Registry, mode: str = "multi", keep_negatives: float = 1.0, train: float = 0.8, val: float = 0.1, feature_threshold: int = 10, target_threshold: int = 1, key: str = "sample_id", previous_vocab: DataFrame | None = None, previous_targets: DataFrame | None = None) -> Run:
     """Down-sample, split by time, build the vocabulary on the train split, encode all splits.
 
     ``rows`` come from ``samples`` with a unique ``key``. A row without a surviving feature or a mapped target is dropped.
+    The vocabulary and targets of an earlier run, where given, keep their positions and are added to.
     """
     rows = split.downsample_negatives(rows, keep_negatives, F.col(key)).withColumn("target", clean.target(mode))
     rows = written(split.time_ratio_split(rows, [F.col("time_stamp"), F.col(key)], train, val), "split")
     targets = rows.where("split = 'train' and target is not null").select("target")
-    target_map = written(vocab.build_target_map(targets, target_threshold), "targets") if mode == "multi" else None
+    target_map = written(vocab.build_target_map(targets, target_threshold, previous_targets), "targets") if mode == "multi" else None
     tokens = written(registry.tokens(rows, key), "tokens")
     learned = tokens.join(rows.where("split = 'train'").select(key), key, "left_semi")
-    pos_map = written(vocab.build_pos_map(vocab.value_stats(learned), feature_threshold), "positions")
+    pos_map = written(vocab.build_pos_map(vocab.value_stats(learned), feature_threshold, previous_vocab), "positions")
     encoded = encode.encode_vocab(tokens, pos_map, registry, key).where("has_feature")
     out = encode.with_targets(rows.select(key, "split", "label", "rating", "target"), target_map).join(encoded, key)
     report = None

@@ -1,10 +1,13 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from recspark.functions.hashing import hash_bytes, hash_keys
 from recspark.operators import clean, encode, evaluate, quality, sampling, sequences, split, vocab
 from recspark.operators.indexing import global_index
+from recspark.operators.registry import load
 from recspark.plans import training
 
 
@@ -186,6 +189,55 @@ def test_registry_and_encoding(spark):
     assert small.output_columns()[:3] == ["user_id_raw", "user_id_index", "user_id_value"]
 
 
+def test_cross_hashes_and_kept_rows(spark):
+    r = training.default_registry(["user_gender", "user_age", "movie_genres"], ["movie_genres_xx_user_gender"])
+    r.cross("gender_xx_age", 499, ["user_gender", "user_age"], True)
+    s = _samples(spark).unionByName(_samples(spark).limit(1).withColumns({"sample_id": F.lit(9).cast("long"), "item_id": F.lit("none")}).withColumn("user_id", F.lit("none")))
+    s = s.withColumn("user_profile", F.struct(F.when(F.col("sample_id") == 1, "M").alias("gender"), F.lit("25").alias("age"), F.lit("0").alias("occupation"), F.lit("0").alias("zip_code")))
+    tokens = r.tokens(s)
+    h = {x.sample_id: x for x in encode.encode_hash(tokens, r, keys=spark.range(77, 78).withColumnRenamed("id", "sample_id")).collect()}
+    assert h[77].user_gender_index == [0] and set(h) == {1, 2, 3, 4, 9, 77}
+    crossed = tokens.where("sample_id = 1 and field_name = 'gender_xx_age'").first()
+    pairs = [v for p in crossed.parts for v in (p.field_index, p.fea)]
+    assert crossed.fea is None and list(h[1].gender_xx_age_index)[1:] == hash_keys(np.array([pairs])).tolist()
+    genre = tokens.where("sample_id = 1 and field_name = 'movie_genres_xx_user_gender' and ord = 0").first()
+    ids = [(p.field_index, p.fea if p.fea is not None else hash_bytes([p.key.encode()])[0]) for p in genre.parts]
+    assert list(h[1].movie_genres_xx_user_gender_index)[1] == hash_keys(np.array([[v for p in ids for v in p]]))[0]
+    # the known answer for the pairs (2, 25) and (3, 1), through the encoder
+    parts = F.array(*[F.struct(F.lit(i).alias("field_index"), F.lit(str(k)).alias("key"), F.lit(k).cast("long").alias("fea")) for i, k in ((2, 25), (3, 1))])
+    one = spark.range(1).select(F.lit(1).alias("sample_id"), F.lit("gender_xx_age").alias("field_name"), F.lit(499).alias("field_index"), F.lit(1).alias("field_type"), F.lit(0).alias("ord"), F.lit("2:25__xx__3:1").alias("raw"), F.lit("2:25__xx__3:1").alias("key"), F.lit(None).cast("long").alias("fea"), F.lit(1.0).alias("value"), parts.alias("parts"))
+    assert encode.encode_hash(one, r).first().gender_xx_age_index == [0, 762837220344613912]
+    # samples whose values are all unknown come back with sentinels
+    few = vocab.build_pos_map(vocab.value_stats(tokens.where("sample_id = 1 and field_name = 'user_gender'")))
+    e = {x.sample_id: x for x in encode.encode_vocab(tokens, few, r).collect()}
+    assert set(e) >= {1, 2, 3, 4} and e[1].has_feature and not e[3].has_feature and e[3].user_age_raw == ["R:"]
+
+
+def test_continuous_values_count_as_features(spark):
+    r = training.default_registry(["movie_rate_avg_continue"])
+    tokens = r.tokens(_samples(spark))
+    empty = vocab.build_pos_map(vocab.value_stats(tokens.limit(0)))
+    assert all(x.has_feature for x in encode.encode_vocab(tokens, empty, r).collect())
+
+
+def test_default_crosses_and_configuration():
+    r = training.default_registry(None, list(training.CROSSES))
+    assert len(training.CROSSES) == 22 and len(r.active()) == 69 + 22
+    config = {"features": [{"field_name": "user_id", "field_index": 1, "field_type": 1}, {"field_name": "unheard", "field_index": 2, "field_type": 1}], "cross_features": None}
+    with pytest.warns(UserWarning, match="unheard"):
+        assert [f.name for f in load(config, {"user_id": lambda: F.lit(None)}).active()] == ["user_id"]
+
+
+def test_run_with_previous_vocabulary(spark):
+    r = training.default_registry(["user_id", "movie_id"])
+    first = training.run(_samples(spark), r, train=0.5, val=0.25, feature_threshold=1)
+    old = {(x.field_index, x.key): x.pos for x in first.pos_map.collect()}
+    second = training.run(_samples(spark), r, train=1.0, val=0.0, feature_threshold=1, previous_vocab=first.pos_map, previous_targets=first.target_map)
+    new = {(x.field_index, x.key): x.pos for x in second.pos_map.collect()}
+    assert old.items() <= new.items() and len(new) > len(old)
+    assert {x.target: x.idx for x in first.target_map.collect()}.items() <= {x.target: x.idx for x in second.target_map.collect()}.items()
+
+
 def test_training_run(spark):
     out = training.run(_samples(spark), training.default_registry(["user_id", "movie_id"]), train=0.5, val=0.25, feature_threshold=1)
     # items that only later splits have are no targets
