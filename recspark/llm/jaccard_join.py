@@ -45,8 +45,8 @@ TINY_LIST, SHORT_LIST = 8, 500
 BLOCK_ENTRIES = 256
 #: Listed shingles of a set, from its first, that tell whether a pair was formed before; where two sets share none of these, a pair may be formed again.
 HEAD = 32
-#: Turns go on while they link this share of the pairs that they compare; what they leave is joined block by block.
-LEAST_LINKED = 0.5
+#: Turns go on while they link this share of the pairs that they compare, and that share of what the first turn linked; what they leave is joined block by block.
+LEAST_LINKED, LEAST_OF_FIRST = 0.5, 0.05
 #: Keys that may be broadcast to pick their texts in place; more are joined by shuffle. A row is some 50 bytes, so 50 MB.
 BROADCAST_IDS = 1_000_000
 
@@ -399,7 +399,7 @@ def join_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     empty table gives no rows.
     """
     index = _indexed(docs, n, percent)
-    lists, labels, answers, turn = index.long_lists(), None, [], 0
+    lists, labels, answers, turn, most = index.long_lists(), None, [], 0, 0
     while True:
         pairs = _pivot_pairs(_with_components(lists, labels), percent, turn)
         if turn == 0:
@@ -410,8 +410,8 @@ def join_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         answers.append(found)
         if n_links:
             labels = _merged(labels, links)
-        turn += 1
-        if n_links < max(1, LEAST_LINKED * k):
+        turn, most = turn + 1, max(most, n_links)
+        if n_links < max(1, LEAST_LINKED * k, LEAST_OF_FIRST * most):
             break
     likely, k = counted(_blocked_pairs(_with_components(lists, labels), percent), "likely")
     if k:
