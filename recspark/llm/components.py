@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from recspark.sources.scratch import written
@@ -13,20 +13,25 @@ def _nearest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
 
 
+def _written(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """``edges`` written, with their number and the sum of their hashes, taken as they are written."""
+    seen = Observation()
+    out = written(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")), name)
+    return out, (seen.get.get("n") or 0, seen.get.get("h"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all ends of ``links`` (a, b), the component being its smallest node. Self-links are allowed.
 
     Each round points neighbours at the smallest node seen; rounds grow with the logarithm of a component's length.
     """
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    before = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+    edges, before = _written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_nearest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = _nearest(large)
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "stars")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+        edges, now = _written(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "stars")
         if now == before:
             break
         before = now
