@@ -293,16 +293,23 @@ def _indexed(docs: DataFrame, n: int, percent: int) -> _Index:
 # ---- pivots and blocks
 
 
+def _by_piece(lists: DataFrame, per_list: DataFrame, how: str) -> DataFrame:
+    """``lists`` joined with one row a list (token, n, …); long lists are joined piece by piece, so that no task reads one in whole."""
+    pieces = F.ceil(F.col("n") / BLOCK_ENTRIES)
+    right = per_list.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))).drop("n")
+    return lists.withColumn("piece", F.pmod(F.xxhash64("node"), pieces)).join(right, ["token", "piece"], how).drop("piece")
+
+
 def _pivot_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
     """A pair (pivot a, set b) for each component at most: of the pivots of its sets' lists, the closest by bitmaps, if they can be similar.
 
     ``lists``: token, node, size, component, bits. A list's pivot lies in the component with the smallest hash.
     """
     own = F.struct(F.xxhash64("component", F.lit(turn)).alias("h"), F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"), F.col("bits").alias("bits_a"))
-    pivots = lists.groupBy("token").agg(F.min(own).alias("p")).select("token", "p.a", "p.size_a", "p.ca", "p.bits_a")
+    pivots = lists.groupBy("token").agg(F.max("n").alias("n"), F.min(own).alias("p")).select("token", "n", "p.a", "p.size_a", "p.ca", "p.bits_a")
     differ = _differ(F.col("bits"), F.col("bits_a"))
     may = (F.col("component") != F.col("ca")) & _sizes_fit(F.col("size"), F.col("size_a"), percent) & _few_enough(differ, F.col("size"), F.col("size_a"), percent)
-    met = lists.join(pivots, "token").where(may)
+    met = _by_piece(lists, pivots, "inner").where(may)
     closest = F.min(F.struct((differ / (F.col("size") + F.col("size_a"))).alias("d"), F.xxhash64("a").alias("h"), "a", F.col("node").alias("b")))
     return met.groupBy("component").agg(closest.alias("p")).select("p.a", "p.b")
 
@@ -321,8 +328,8 @@ def _blocked_pairs(lists: DataFrame, percent: int) -> DataFrame:
     pair can come from them and they hold more than one component.
     """
     c = F.col
-    split = lists.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
-    lists = lists.join(split, "token", "left_semi")
+    split = lists.groupBy("token").agg(F.max("n").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token", "n")
+    lists = _by_piece(lists, split, "left_semi")
     heads = lists.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEAD).alias("head"))
     lists = lists.join(heads, "node").withColumn("before", F.transform(F.filter("head", lambda x: x["pos"] < c("pos")), lambda x: x["token"])).drop("head")
     grain = np.log(100 / percent) / 4
