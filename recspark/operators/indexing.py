@@ -7,24 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.functions.names import fresh
+from recspark.sources.scratch import written
+
 
 def global_index(df: DataFrame, order: Sequence[Column], out: str = "idx", within: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """``df`` with a 0-based position by ``order``, overall or within the groups of columns ``within``.
 
-    Rows are range-partitioned by (within, order); each partition numbers its own rows, and the sizes of the partitions
-    before it, one row a partition and group, are added. The order should be total, else ties are broken at random.
-    Rows are persisted between the count and the numbering so that both see one partitioning.
+    Rows are range-partitioned by (within, order) and written with the number of their partition, so that counting and
+    numbering see one partitioning even when executors are lost. Each partition numbers its own rows, and the sizes of
+    the partitions before it, one row a partition and group, are added. Ties go by a hash of the whole row, so reruns agree.
     """
+    part, at, n, start = fresh([*df.columns, out], "part", "at", "n", "start")
     keys = [F.col(c) for c in within]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn("__part", F.spark_partition_id()).persist()
-    sizes = ranged.groupBy(*within, "__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*within).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*within, "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    numbered = ranged.withColumn("__at", F.row_number().over(Window.partitionBy(*within, "__part").orderBy(*order)))
-    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*within, "__part")]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    joined = numbered.alias("a").join(starts.alias("b"), cond)
-    return joined.select(*[F.col(f"a.{c}") for c in df.columns], (F.col("b.__start") + F.col("a.__at") - 1).alias(out))
+    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(df.repartitionByRange(count, *keys, *order).withColumn(part, F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy(*within, part).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(*within).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*within, part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t])
+    numbered = ranged.withColumn(at, F.row_number().over(Window.partitionBy(*within, part).orderBy(*order, tie)))
+    on = F.lit(True)
+    for c in (*within, part):
+        on = on & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    joined = numbered.alias("a").join(starts.alias("b"), on)
+    return joined.select(*[F.col(f"a.`{c}`") for c in df.columns], (F.col(f"b.{start}") + F.col(f"a.{at}") - 1).alias(out))

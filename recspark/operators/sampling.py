@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from recspark.operators.indexing import global_index
 from recspark.operators.split import unit
-from recspark.sources.scratch import written
+from recspark.sources.scratch import counted, written
 
 #: Positives times items up to which the pool is broadcast and paired with every positive; above, each user's unseen items are found once. The result is the same.
 RANK_LIMIT = 2_000_000
@@ -73,16 +73,15 @@ def drawn(positives: DataFrame, pool: DataFrame, history: DataFrame, k: int, str
     """
     popular = strategy == "popular"
     weight = F.pow(F.greatest(F.coalesce("pop", F.lit(1)), F.lit(1)).cast("double"), F.lit(0.75)) if popular else F.lit(1.0)
-    numbered = global_index(pool, [F.col("item_id")], "n").withColumn("weight", weight).persist()
-    total = numbered.agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).first()
+    weighted = written(pool.withColumn("weight", weight), "weights")
+    total = weighted.agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).first()
     pos = positives.select("user_id", "item_id").distinct()
     if not total["n"]:
         return pos.select("user_id", "item_id", F.col("item_id").alias("cand"), F.lit(0).alias("rk")).limit(0)
     share = F.col("weight") * F.lit((4.0 if popular else 1.0) * total["n"] / total["w"])
-    cells = numbered.withColumn("share", share).withColumn("cells", F.greatest(F.lit(1), F.ceil(F.round("share", 9))).cast("long"))
+    cells = weighted.withColumn("share", share).withColumn("cells", F.greatest(F.lit(1), F.ceil(F.round("share", 9))).cast("long"))
     owned = global_index(cells.select("item_id", (F.col("share") / F.col("cells")).alias("fill"), F.explode(F.sequence(F.lit(1), F.col("cells"))).alias("c")), [F.col("item_id"), F.col("c")], "cell")
-    owned = owned.select("cell", "fill", F.col("item_id").alias("cand")).persist()
-    size = owned.count()
+    owned, size = counted(owned.select("cell", "fill", F.col("item_id").alias("cand")), "cells")
     seen = history.select("user_id", F.col("item_id").alias("cand")).distinct()
     got: DataFrame | None = None
     for r in range(rounds):

@@ -17,7 +17,8 @@ from recspark.sources.scratch import new_path, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-N = 20
+#: Items of a sequence in the queries that show how it is cut, and of a history everywhere else.
+N, HISTORY = 20, 200
 
 
 def query(sql: str | None = None):
@@ -44,7 +45,7 @@ stats AS (SELECT item_id, title, genres, len(genres) AS genre_cnt, rate_count, a
 latest AS (SELECT user_id, item_id, rating, time_stamp FROM (SELECT *, row_number() OVER (PARTITION BY user_id, item_id ORDER BY time_stamp DESC, rating DESC) AS r FROM ix) WHERE r = 1),
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY time_stamp DESC, item_id) AS rk FROM latest) WHERE rk <= 20),
 evlatest AS (SELECT user_id, item_id, rating, time_stamp FROM (SELECT *, row_number() OVER (PARTITION BY user_id, item_id ORDER BY time_stamp DESC, rating DESC) AS r FROM ev) WHERE r = 1),
-evtop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY time_stamp DESC, item_id) AS rk FROM evlatest) WHERE rk <= 20),
+evtop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY time_stamp DESC, item_id) AS rk FROM evlatest) WHERE rk <= 200),
 hist AS (SELECT s.sample_id, s.time_stamp, h.rk, h.item_id AS h_item, h.rating AS h_rating, s.time_stamp - h.time_stamp AS age FROM ev s JOIN evtop h ON s.user_id = h.user_id AND h.time_stamp < s.time_stamp),
 preds AS (SELECT doc_id, quality::DOUBLE AS label, n_chars::DOUBLE AS score, source AS grp, lang FROM labels JOIN documents USING (doc_id))
 """
@@ -60,7 +61,7 @@ def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _ev(spark, sf_dir)
-    seqs = sequences.with_genres(sequences.user_sequences(ev.drop("sample_id"), N), views.items(spark, sf_dir))
+    seqs = sequences.with_genres(sequences.user_sequences(ev.drop("sample_id"), HISTORY), views.items(spark, sf_dir))
     return windows.with_history(ev, seqs)
 
 
@@ -139,6 +140,20 @@ def latest_partition(spark, sf_dir):
     return ev.join(F.broadcast(last.withColumnRenamed("day", "last")), F.col("day") <= F.col("last")).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("last_day"))
 
 
+@query("SELECT (SELECT max(day) FROM ev) AS last, (SELECT max(day) FROM ev WHERE day <= '2024-01-20') AS nearest")
+def partition_days(spark, sf_dir):
+    """The last day of a table partitioned by day, and the last not after a given one."""
+    ev, path = _ev(spark, sf_dir), new_path(spark, "days")
+    sinks.write_partition(ev, path, ["day"])
+    days = spark.read.schema(ev.schema).parquet(path)
+    return text.last_day(days).select(F.col("day").alias("last")).crossJoin(text.latest_day(days, "2024-01-20").select(F.col("day").alias("nearest")))  # one row each
+
+
+@query("SELECT day, least(count(*), 25) AS n FROM ev WHERE day = '2024-01-05' GROUP BY 1")
+def partition_sample(spark, sf_dir):
+    return text.partition_sample(_ev(spark, sf_dir), "2024-01-05", 25).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- history windows
 
 _D = ("all", "1", "3", "7", "15", "30")
@@ -350,11 +365,7 @@ def _registry() -> Registry:
 
 
 def _samples(spark, sf_dir) -> DataFrame:
-    it = views.items(spark, sf_dir)
-    h = _history(spark, sf_dir)
-    feature = F.struct("title", "genres", F.lit(0).alias("rate_count"), F.lit(0.0).alias("avg_rate"), F.lit(0).alias("hot_rank"))
-    profile = F.struct(F.lit("M").alias("gender"), F.lit("1").alias("age"), F.lit("1").alias("occupation"), F.lit("0").alias("zip_code"))
-    return h.join(it.select("item_id", feature.alias("item_feature")), "item_id", "left").withColumn("user_profile", profile)
+    return training.samples(_ev(spark, sf_dir), views.items(spark, sf_dir), views.users(spark, sf_dir), HISTORY)
 
 
 def _tokens(spark, sf_dir) -> DataFrame:
@@ -372,6 +383,64 @@ def feature_value_stats(spark, sf_dir):
     return s.select("field_name", "field_index", "field_type", "key", "cnt", F.round("sum", 4).alias("sum"), F.round("sum_sq", 4).alias("sum_sq"), F.round("mean", 6).alias("mean"), F.round(vocab.std(F.col("m2"), F.col("cnt")), 6).alias("std"))
 
 
+def _row(name: str, index: int, key: str, source: str, value: str = "1.0", kind: int = 1) -> str:
+    return f"SELECT '{name}' AS field_name, {index} AS field_index, {kind} AS field_type, ({key})::VARCHAR AS key, ({value})::DOUBLE AS value FROM {source}"
+
+
+def _all_features_sql() -> str:
+    """Every default feature from its definition: profile, item, context, and the histories' windows."""
+    std = "greatest(n * q - t * t, 0)"  # the variance times n * n, in whole numbers
+    rows = [
+        _row("user_id", 1, "user_id", "b WHERE user_id <> '0'"), _row("user_age", 2, "uage", "b WHERE uage <> '0'"),
+        _row("user_gender", 3, "CASE gender WHEN 'M' THEN 1 ELSE 2 END", "b WHERE gender IS NOT NULL"), _row("user_occupation", 4, "occupation", "b WHERE occupation <> '0'"),
+        _row("movie_id", 101, "item_id", "b WHERE item_id <> '0'"), _row("movie_title", 102, "unnest(string_split(title, ' '))", "b"), _row("movie_genres", 103, "unnest(list_transform(genres, lambda x: lower(x)))", "b"),
+        _row("movie_rate_count", 104, _case("rate_count", [0, 2, 5, 10, 20, 50, 100, 200, 500, 1000]), "b"), _row("movie_rate_avg", 105, _case("avg_rate", [0, 1, 2, 2.5, 3, 3.5, 4, 4.5]), "b"),
+        _row("movie_genre_cnt", 106, "least(len(genres), 3)", "b"), _row("item_hot_rank", 107, "CASE WHEN hot_rank <= 100 THEN 4 WHEN hot_rank <= 500 THEN 3 WHEN hot_rank <= 2000 THEN 2 ELSE 1 END", "b"),
+        _row("movie_publish_year", 108, "5", "b"), _row("movie_rate_avg_continue", 109, "1", "b", "avg_rate", 0),
+        _row("context_time_hour", 201, "(time_stamp // 3600) % 24 + 1", "b"), _row("context_time_area", 202, "((time_stamp // 3600) % 24) // 4 + 1", "b"),
+        _row("context_time_week", 203, "isodow(make_timestamp(time_stamp * 1000000))", "b"), _row("context_is_weekend", 204, "CASE WHEN isodow(make_timestamp(time_stamp * 1000000)) >= 6 THEN 2 ELSE 1 END", "b"),
+        _row("user_top3_genres", 103, "genre", "(SELECT genre, c, row_number() OVER (PARTITION BY sample_id ORDER BY c DESC, genre) AS r FROM g WHERE w = 9999) WHERE r <= 3", "c"),
+        _row("user_same_genre_avg_rate", 356, _case("m", [1, 2, 3, 4]), "same"), _row("user_same_genre_avg_rate_continue", 357, "1", "same", "m", 0),
+    ]
+    for k, d in enumerate((9999, 7, 15, 30)):
+        tag, of = "" if d == 9999 else f"_{d}day", f"st WHERE w = {d}"
+        mean = "coalesce(t / n, 3.0)"
+        rows += [
+            _row(f"user_rate_std{tag}", 6 + k, f"CASE WHEN n = 0 OR {std} = 0 THEN 1 WHEN {std} <= n * n THEN 2 WHEN {std} <= 4 * n * n THEN 3 ELSE 4 END", of),
+            _row(f"user_rate_std{tag}_continue", 10 + k, "1", of, f"CASE WHEN n = 0 THEN 0 ELSE sqrt({std}) / n END", 0),
+            _row(f"user_rate_avg{tag}", 14 + k, f"CASE WHEN {mean} = 0 THEN 1 WHEN {mean} < 3 THEN 2 WHEN {mean} < 4 THEN 3 ELSE 4 END", of),
+            _row(f"user_rate_avg{tag}_continue", 18 + k, "1", of, mean, 0),
+            _row(f"user_movie_rate{tag}_cnt", 22 + k, _case("n", [0, 10, 30, 50, 100]), of),
+            _row(f"user_movie_rate{tag}_cnt_continue", 26 + k, "1", of, "n", 0),
+        ]
+    for k, d in enumerate((9999, 1, 3, 7, 15)):
+        one, many, age = ("", "", "true") if d == 9999 else (f"_{d}day", f"_{d}days", f"age <= {d} * 86400")
+        rows += [
+            _row("user_movie_rate_ids" if not many else f"user_movie_rate_id{many}", 101, "h_item", f"hist WHERE h_item <> '0' AND {age}", "h_rating"),
+            _row("user_movie_rate_genres" if not many else f"user_movie_rate_genre{many}", 103, "genres[1]", f"hist JOIN items ON items.item_id = h_item WHERE {age}", "h_rating"),
+            _row(f"user_genres_rate{one}", 103, "genre", f"g WHERE w = {d}", "a"),
+            _row("user_genres_rate_cnts" if not many else f"user_genres_rate_cnt{many}", 103, "genre", f"g WHERE w = {d}", "c"),
+            _row(f"user_watch_same_genre{one}", 351 + k, "CASE WHEN EXISTS (SELECT 1 FROM g WHERE g.sample_id = b.sample_id AND g.w = " + str(d) + " AND list_contains(b.genres, g.genre)) THEN 2 ELSE 1 END", "b"),
+        ]
+    days = "(VALUES (1), (3), (7), (15), (30), (9999)) v(w)"
+    return f"""WITH {COMMON},{GENRES},
+evcounts AS (SELECT item_id, count(DISTINCT user_id) AS rate_count, round(avg(rating), 2) AS avg_rate FROM ev GROUP BY 1),
+evstats AS (SELECT item_id, title, genres, rate_count, avg_rate, row_number() OVER (ORDER BY rate_count DESC, item_id) AS hot_rank FROM evcounts JOIN items USING (item_id)),
+b AS (SELECT ev.*, gender, users.age AS uage, occupation, title, genres, rate_count, avg_rate, hot_rank FROM ev LEFT JOIN users USING (user_id) LEFT JOIN evstats USING (item_id)),
+st AS (SELECT ev.sample_id, w, count(h_rating) AS n, sum(h_rating) AS t, sum(h_rating * h_rating) AS q FROM ev CROSS JOIN {days} LEFT JOIN hist ON hist.sample_id = ev.sample_id AND hist.age <= w * 86400 GROUP BY 1, 2),
+g AS (SELECT sample_id, w, genre, count(*) AS c, avg(h_rating) AS a FROM gh CROSS JOIN {days} WHERE gh.age <= w * 86400 GROUP BY 1, 2, 3),
+same AS (SELECT b.sample_id, coalesce(avg(a), 3.0) AS m FROM b LEFT JOIN g ON g.sample_id = b.sample_id AND w = 9999 AND list_contains(genres, genre) GROUP BY 1),
+tok AS ({" UNION ALL ".join(rows)})
+SELECT field_name, field_index, field_type, key, count(*) AS cnt, round(sum(value), 3) AS "sum" FROM tok GROUP BY 1, 2, 3, 4"""
+
+
+@query(_all_features_sql())
+def feature_value_stats_all(spark, sf_dir):
+    """Values of all default features, from samples with profile, item statistics and history."""
+    t = training.default_registry().tokens(_samples(spark, sf_dir))
+    return vocab.value_stats(t).select("field_name", "field_index", "field_type", "key", "cnt", F.round("sum", 3).alias("sum"))
+
+
 @query(TOKENS_SQL + "SELECT field_index, field_type, key, pos, cnt FROM pos_map")
 def pos_map(spark, sf_dir):
     return vocab.build_pos_map(vocab.value_stats(_tokens(spark, sf_dir)), 3).select("field_index", "field_type", "key", "pos", "cnt")
@@ -409,6 +478,20 @@ def pos_map_incremental(spark, sf_dir):
     return vocab.build_pos_map(vocab.value_stats(t.where("sample_id % 2 = 1")), 3, first).select("field_index", "field_type", "key", "pos", "cnt")
 
 
+@query(TOKENS_SQL + "SELECT field_index, field_type, key, pos, cnt FROM pos_map")
+def vocab_json_roundtrip(spark, sf_dir):
+    """The vocabulary written as JSON, a text a field, and restored."""
+    made = sinks.vocabulary_json(vocab.build_pos_map(vocab.value_stats(_tokens(spark, sf_dir)), 3))
+    return sinks.vocabulary_from_json(written(made, "vocabulary")).select("field_index", "field_type", "key", "pos", "cnt")
+
+
+@query(TOKENS_SQL + """, pooled AS (SELECT field_index, field_type, key, sum(cnt) AS cnt, sum("sum") AS s, sum(sum_sq) AS q FROM vstats WHERE cnt >= 3 GROUP BY 1, 2, 3)
+SELECT field_index, field_type, key, pos, CASE field_type WHEN 1 THEN 0 ELSE round(s / p.cnt, 4) END AS mean, CASE field_type WHEN 1 THEN 1 ELSE round(sqrt(greatest(q / p.cnt - (s / p.cnt) * (s / p.cnt), 0) + 1e-6), 4) END AS std FROM pooled p JOIN pos_map USING (field_index, field_type, key)""")
+def vocab_exported(spark, sf_dir):
+    out = vocab.exported(vocab.build_pos_map(vocab.value_stats(_tokens(spark, sf_dir)), 3))
+    return out.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
+
+
 @query(TOKENS_SQL + """SELECT count(*) AS total, count(*) FILTER (WHERE NOT k AND cnt >= 3) AS "new", count(*) FILTER (WHERE k) AS existing, count(*) FILTER (WHERE NOT k AND cnt < 3) AS below, sum(cnt)::BIGINT AS occurrences
 FROM (SELECT v.*, p.key IS NOT NULL AS k FROM vstats v LEFT JOIN (SELECT * FROM pos_map WHERE pos <= 10) p USING (field_index, field_type, key))""")
 def vocab_report(spark, sf_dir):

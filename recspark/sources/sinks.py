@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recspark.operators.vocab import STATS, from_sums
+
 
 def write_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, sep="\t")
@@ -39,9 +41,23 @@ def write_vocabulary(pos_map: DataFrame, target_map: DataFrame, dims: DataFrame,
 
 
 def vocabulary_json(pos_map: DataFrame) -> DataFrame:
-    """(field_index, json): the entries of each field as one JSON text, for consumers that want a file a field."""
+    """(field_index, field_type, json): the entries of each field as one JSON text, for consumers that want a file a field."""
     entry = F.struct("pos", "key", "cnt", "sum", "sum_sq", "mean", "m2")
-    return pos_map.groupBy("field_index").agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("json"))
+    return pos_map.groupBy("field_index", "field_type").agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("json"))
+
+
+def vocabulary_from_json(fields: DataFrame) -> DataFrame:
+    """The vocabulary in (field_index, field_type, json), ready to be added to.
+
+    Entries without mean and m2 get them from their sums; without sums they count as values of 1.
+    """
+    entry = "array<struct<pos:bigint,key:string,cnt:bigint,sum:double,sum_sq:double,mean:double,m2:double>>"
+    e = fields.select("field_index", "field_type", F.explode(F.from_json("json", entry)).alias("e")).select("field_index", "field_type", "e.*")
+    e = e.withColumns({"sum": F.coalesce("sum", F.col("cnt").cast("double")), "sum_sq": F.coalesce("sum_sq", F.col("cnt").cast("double"))})
+    rebuilt = from_sums(F.col("cnt"), F.col("sum"), F.col("sum_sq"))
+    known = F.col("mean").isNotNull() & F.col("m2").isNotNull()
+    stats = {c: F.when(known, F.col(c)).otherwise(rebuilt[c]) for c in ("mean", "m2")}
+    return e.withColumns(stats).select("field_index", "field_type", "key", "pos", *STATS)
 
 
 def read_vocabulary(spark, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:

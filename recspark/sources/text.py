@@ -62,3 +62,13 @@ def read_reports(spark: SparkSession, path: str) -> DataFrame:
 def latest_day(df: DataFrame, day: str, column: str = "day") -> DataFrame:
     """The largest day not after ``day``, as one row (day); null if there is none."""
     return df.where(F.col(column) <= day).agg(F.max(column).alias("day"))
+
+
+def last_day(df: DataFrame, column: str = "day") -> DataFrame:
+    """The largest day of all, as one row (day); over a table partitioned by it only the column's values are read."""
+    return df.agg(F.max(column).alias("day"))
+
+
+def partition_sample(df: DataFrame, day: str, n: int, column: str = "day") -> DataFrame:
+    """``n`` rows of one day, any of them; the filter reaches the partition and reading stops when they are found."""
+    return df.where(F.col(column) == day).limit(n)
