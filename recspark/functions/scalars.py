@@ -148,6 +148,23 @@ def genre_stats(history: Column) -> Column:
     return F.transform(genres, one)
 
 
+def genre_elements(history: Column) -> Column:
+    """array<struct<genre, own>> over all genres of a history, by genre: the ratings and times of its elements of that genre."""
+    genres = F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter(history, lambda x: x["genres"].isNotNull()), lambda x: x["genres"]))))
+
+    def own(g: Column) -> Column:
+        return F.filter(history, lambda x: F.coalesce(F.array_contains(x["genres"], g), F.lit(False)))
+
+    return F.transform(genres, lambda g: F.struct(g.alias("genre"), F.transform(own(g), lambda x: F.struct(x["rating"].alias("rating"), x["ts"].alias("ts"))).alias("own")))
+
+
+def stats_within(elements: Column, now: Column, days: int | None) -> Column:
+    """``genre_stats`` of a window, from ``genre_elements`` of the whole history."""
+    kept = F.transform(elements, lambda e: F.struct(e["genre"].alias("genre"), within(e["own"], now, days).alias("own")))
+    kept = F.filter(kept, lambda e: F.size(e["own"]) > 0)
+    return F.transform(kept, lambda e: F.struct(e["genre"].alias("genre"), F.size(e["own"]).alias("cnt"), mean_rating(e["own"]).alias("avg")))
+
+
 def top_genres(stats: Column, k: int = 3) -> Column:
     """The ``k`` genres with the highest counts, ties by name."""
     keyed = F.array_sort(F.transform(stats, lambda s: F.struct((-s["cnt"]).alias("o"), s["genre"].alias("genre"), s["cnt"].alias("cnt"))))

@@ -34,6 +34,8 @@ class Feature:
 @dataclass
 class Registry:
     features: list[Feature] = field(default_factory=list)
+    #: Adds columns that several builders read, so that they are made once a row.
+    prepare: Callable[[DataFrame], DataFrame] | None = None
 
     def register(self, name: str, index: int, kind: int, build: Callable[[], Column], enabled: bool = True) -> None:
         """The extension point: any builder of a token column."""
@@ -52,6 +54,8 @@ class Registry:
 
     def columns(self, df: DataFrame) -> DataFrame:
         """``df`` with a token column for every active feature."""
+        if self.prepare:
+            df = self.prepare(df)
         plain = {f.name: f.build().cast(TOKEN) for f in self.active() if not f.depends}
         df = df.withColumns(plain)
         return df.withColumns({f.name: crossed([(p.index, F.col(p.name)) for d in f.depends for p in self.features if p.name == d]).cast(TOKEN) for f in self.active() if f.depends})
@@ -66,12 +70,12 @@ class Registry:
         return one.select(key, "field_name", "field_index", "field_type", "ord", "t.raw", "t.key", "t.fea", "t.value", "t.parts")
 
 
-def load(config: dict, builders: dict[str, Callable[[], Column]]) -> Registry:
+def load(config: dict, builders: dict[str, Callable[[], Column]], prepare: Callable[[DataFrame], DataFrame] | None = None) -> Registry:
     """A registry from parsed configuration: features (field_name, field_index, field_type, enabled) and cross_features (… depends).
 
-    A feature without a builder is left out with a warning.
+    A feature without a builder is left out with a warning. ``default_builders`` need ``prepare`` to be ``with_windows``.
     """
-    out = Registry()
+    out = Registry(prepare=prepare)
     for f in config.get("features") or []:
         if f["field_name"] in builders:
             out.register(f["field_name"], f["field_index"], f["field_type"], builders[f["field_name"]], f.get("enabled", True))
@@ -82,11 +86,11 @@ def load(config: dict, builders: dict[str, Callable[[], Column]]) -> Registry:
     return out
 
 
-def load_yaml(text: str, builders: dict[str, Callable[[], Column]]) -> Registry:
+def load_yaml(text: str, builders: dict[str, Callable[[], Column]], prepare: Callable[[DataFrame], DataFrame] | None = None) -> Registry:
     """``load`` of YAML text; needs the yaml package."""
     import yaml
 
-    return load(yaml.safe_load(text) or {}, builders)
+    return load(yaml.safe_load(text) or {}, builders, prepare)
 
 
 def _token(raw: Column, key: Column, fea: Column, value: Column, parts: Column | None = None) -> Column:
@@ -144,10 +148,22 @@ def _pair(right: Column):
 WINDOW_DAYS = {"": None, "_7day": 7, "_15day": 15, "_30day": 30}
 
 
+def with_windows(df: DataFrame) -> DataFrame:
+    """``df`` with its history's windows and their genre statistics, which ``default_builders`` read.
+
+    Elements are dealt to genres once for all windows; columns that no feature reads are pruned.
+    """
+    now = F.col("time_stamp")
+    df = df.withColumns({f"__history_{d}": X.within(F.col("history"), now, d) for d in (None, 1, 3, 7, 15, 30)})
+    df = df.withColumn("__elements", X.genre_elements(F.col("__history_None")))
+    return df.withColumns({f"__genres_{d}": X.stats_within(F.col("__elements"), now, d) for d in (None, 1, 3, 7, 15)})
+
+
 def default_builders() -> dict[str, Callable[[], Column]]:
-    """Builders over samples with user_id, item_id, time_stamp, user_profile, item_feature (structs) and history."""
+    """Builders over samples with user_id, item_id, time_stamp, user_profile, item_feature (structs) and history, after ``with_windows``."""
     c, p, i = F.col, lambda n: F.col(f"user_profile.{n}"), lambda n: F.col(f"item_feature.{n}")
-    h = lambda d: X.within(F.col("history"), F.col("time_stamp"), d)
+    h = lambda d: F.col(f"__history_{d}")
+    g = lambda d: F.col(f"__genres_{d}")
     b: dict[str, Callable[[], Column]] = {
         "user_id": lambda: number(c("user_id")),
         "user_age": lambda: number(p("age")),
@@ -167,9 +183,9 @@ def default_builders() -> dict[str, Callable[[], Column]]:
         "context_time_area": lambda: number(F.floor(X.hour_of(c("time_stamp")) / 4) + 1),
         "context_time_week": lambda: number(X.weekday_of(c("time_stamp"))),
         "context_is_weekend": lambda: number(F.when(X.weekday_of(c("time_stamp")) >= 6, 2).otherwise(1)),
-        "user_top3_genres": lambda: genre_values(X.top_genres(X.genre_stats(h(None))), "cnt"),
-        "user_same_genre_avg_rate": lambda: number(X.genre_avg_bucket(X.same_genre_mean(X.genre_stats(h(None)), i("genres")))),
-        "user_same_genre_avg_rate_continue": lambda: continuous(X.same_genre_mean(X.genre_stats(h(None)), i("genres"))),
+        "user_top3_genres": lambda: genre_values(X.top_genres(g(None)), "cnt"),
+        "user_same_genre_avg_rate": lambda: number(X.genre_avg_bucket(X.same_genre_mean(g(None), i("genres")))),
+        "user_same_genre_avg_rate_continue": lambda: continuous(X.same_genre_mean(g(None), i("genres"))),
     }
 
     def add(name: str, build: Callable[[int | None], Column], d: int | None) -> None:
@@ -187,8 +203,8 @@ def default_builders() -> dict[str, Callable[[], Column]]:
         one, many = ("", "") if d is None else (f"_{d}day", f"_{d}days")
         add("user_movie_rate_ids" if d is None else f"user_movie_rate_id{many}", lambda d: id_list(h(d)), d)
         add("user_movie_rate_genres" if d is None else f"user_movie_rate_genre{many}", lambda d: first_genres(h(d)), d)
-        add(f"user_genres_rate{one}", lambda d: genre_values(X.genre_stats(h(d)), "avg"), d)
-        add("user_genres_rate_cnts" if d is None else f"user_genres_rate_cnt{many}", lambda d: genre_values(X.genre_stats(h(d)), "cnt"), d)
+        add(f"user_genres_rate{one}", lambda d: genre_values(g(d), "avg"), d)
+        add("user_genres_rate_cnts" if d is None else f"user_genres_rate_cnt{many}", lambda d: genre_values(g(d), "cnt"), d)
         overlap = lambda d: F.arrays_overlap(F.coalesce(i("genres"), F.array().cast("array<string>")), F.flatten(F.transform(F.filter(h(d), lambda x: x["genres"].isNotNull()), lambda x: x["genres"])))
         add(f"user_watch_same_genre{one}", lambda d, o=overlap: number(F.when(F.coalesce(o(d), F.lit(False)), 2).otherwise(1)), d)
     return b

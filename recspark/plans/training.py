@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.operators import clean, encode, quality, sequences, split, vocab, windows
-from recspark.operators.registry import CATEGORICAL, CONTINUOUS, Registry, default_builders
+from recspark.operators.registry import CATEGORICAL, CONTINUOUS, Registry, default_builders, with_windows
 from recspark.sources.scratch import written
 
 #: The features that samples are encoded with by default, name: (index, kind).
@@ -79,7 +79,7 @@ CROSSES: dict[str, tuple[int, list[str]]] = {
 
 def default_registry(only: list[str] | None = None, crosses: list[str] | None = None) -> Registry:
     """The default features, or those named, and the default crosses, of which those named in ``crosses`` are enabled."""
-    out, builders = Registry(), default_builders()
+    out, builders = Registry(prepare=with_windows), default_builders()
     all_ = dict(DEFAULT_FEATURES)
     for first, step, kind, names in DEFAULT_FAMILIES:
         all_ |= {n: (first + step * k, kind) for k, n in enumerate(names)}

@@ -268,3 +268,55 @@ def test_quality(spark):
     later = quality.quality_report(df.withColumn("d", F.col("d") * 3).unionByName(df), "x")
     warned = rows(quality.drift_report(later, quality.quality_report(df, "x")).where("warn"), "name", "metric")
     assert ("d", "mean") in warned and ("i", "count") in warned
+
+
+def test_grouped_auc_against_brute_force(spark):
+    import random
+
+    from recspark.operators import evaluate
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["big", "big", "big", "small", None]), rnd.randrange(2), rnd.randrange(40) / 40) for _ in range(400)] + [("one", 1, 0.5)]
+    df = spark.createDataFrame(rows, "s string, label int, score double")
+
+    def area(own):
+        pos, neg = [x[2] for x in own if x[1]], [x[2] for x in own if not x[1]]
+        return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg)) if pos and neg else 0.5
+
+    want = {g: round(area([r for r in rows if r[0] == g]), 9) for g in ("big", "small", None, "one")}
+    assert {r.s: r.auc for r in evaluate.group_auc(df, ["s"]).collect()} == want
+    assert evaluate.auc(df).first().auc == round(area(rows), 9) and evaluate.auc(df.limit(0)).first().auc == 0.5
+    assert abs(evaluate.auc_check(df) - area(rows)) < 1e-6
+
+
+def test_global_index_of_ties_and_clashing_names(spark):
+    from recspark.operators.indexing import global_index
+
+    df = spark.createDataFrame([(1, i % 3, i) for i in range(60)] + [(None, None, None)], "part int, start int, at int")
+    runs = [{tuple(r) for r in global_index(df, [F.col("start")], "n", partitions=k).collect()} for k in (3, 3, 7)]
+    assert runs[0] == runs[1] == runs[2] and sorted(r[3] for r in runs[0]) == list(range(61))
+    within = global_index(df, [F.col("at")], "idx", within=["start"]).collect()
+    assert all(r.idx == (0 if r.at is None else r.at // 3) for r in within)
+
+
+def test_genre_statistics_of_windows(spark):
+    from recspark.functions import scalars as X
+
+    el = "array<struct<item_id string, rating int, ts long, genres array<string>>>"
+    rows = [(10 * 86400, [("a", 4, 10 * 86400 - 5, ["x", "y"]), ("b", 1, 8 * 86400, ["y"]), ("c", 5, 86400, None), ("d", 2, 10 * 86400, ["z"])]), (5, [])]
+    df = spark.createDataFrame(rows, f"t long, h {el}")
+    h = X.within(F.col("h"), F.col("t"), None)
+    for d in (None, 1, 3):
+        two = df.select(X.genre_stats(X.within(F.col("h"), F.col("t"), d)).alias("a"), X.stats_within(X.genre_elements(h), F.col("t"), d).alias("b")).collect()
+        assert all(r.a == r.b for r in two)
+    assert [tuple(x) for x in two[0].b] == [("x", 1, 4.0), ("y", 2, 2.5)]
+
+
+def test_segments_and_flat_columns(spark):
+    from recspark.operators import encode, evaluate
+
+    seg = spark.createDataFrame([("u", "2024-01-01", "new"), ("u", "2024-01-02", "old")], "user_id string, day string, age_level string")
+    preds = spark.createDataFrame([("u", 0.5), ("v", 0.1)], "user_id string, score double")
+    assert sorted((r.user_id, r.age_level) for r in evaluate.with_segments(preds, seg, "user_id", "2024-01-02").collect()) == [("u", "new"), ("v", None)]
+    flat = encode.flat_columns(spark.createDataFrame([(1, ["R:"], [0], [1.0])], "id int, f_raw array<string>, f_index array<long>, f_value array<float>"))
+    assert flat.first().asDict(True) == {"id": 1, "f": {"raw": ["R:"], "index": [0], "value": [1.0]}}

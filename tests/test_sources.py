@@ -89,3 +89,35 @@ def test_sinks(spark, tmp_path):
     assert sorted(mixed) == list(range(10)) and mixed == [r.id for r in sinks.shuffled(df, "id", 3).collect()]
     sinks.write_tsv(df.select("id", "split"), f"{tmp_path}/tsv")
     assert text.read_csv(spark, f"{tmp_path}/tsv", "id int, split string", header=False, sep="\t").count() == 10
+
+
+def test_predictions_and_reports(spark, tmp_path):
+    df = spark.createDataFrame([("u", 0.5, 1), ("v", 0.25, 0)], "user string, score float, label int")
+    df.write.parquet(f"{tmp_path}/p")
+    df.write.csv(f"{tmp_path}/c", header=True)
+    for back in (text.read_predictions(spark, f"{tmp_path}/p", "parquet"), text.read_predictions(spark, f"{tmp_path}/c", "csv", header="true")):
+        assert sorted((r.user, r.score, r.label) for r in back.collect()) == [("u", 0.5, 1.0), ("v", 0.25, 0.0)]
+    sinks.write_report(spark.createDataFrame([("clean", 3, "x", "numeric", 1, 0.25)], "stage string, total_count long, name string, type string, null_count long, null_ratio double"), f"{tmp_path}/r")
+    got = text.read_reports(spark, f"{tmp_path}/r").first()
+    assert (got.stage, got.total_count, got.null_ratio, got.mean) == ("clean", 3, 0.25, None)
+
+
+def test_days_of_partitions(spark):
+    df = spark.createDataFrame([("2024-01-01", i) for i in range(5)] + [("2024-01-03", 9)], "day string, x int")
+    assert text.last_day(df).first().day == "2024-01-03" and text.latest_day(df, "2024-01-02").first().day == "2024-01-01"
+    assert text.partition_sample(df, "2024-01-01", 2).count() == 2 and text.partition_sample(df, "2024-01-02", 2).count() == 0
+    assert text.last_day(df.limit(0)).first().day is None
+
+
+def test_vocabulary_files(spark, tmp_path):
+    schema = "field_index int, field_type int, key string, pos long, cnt long, sum double, sum_sq double, mean double, m2 double"
+    v = spark.createDataFrame([(1, 1, "é", 1, 3, 3.0, 3.0, 1.0, 0.0), (1, 1, "b", 2, 2, 2.0, 2.0, 1.0, 0.0), (7, 0, "1", 1, 2, 4.0, 10.0, 2.0, 2.0)], schema)
+    dims = spark.createDataFrame([("f", 1, 1, 3)], "field_name string, field_index int, field_type int, dim long")
+    targets = spark.createDataFrame([(5, 0, 2)], "target int, idx long, cnt long")
+    sinks.write_vocabulary(v, targets, dims, f"{tmp_path}/v")
+    got, t, d = sinks.read_vocabulary(spark, f"{tmp_path}/v")
+    assert sorted(map(tuple, got.select(*v.columns).collect())) == sorted(map(tuple, v.collect())) and t.first().idx == 0 and d.first().dim == 3
+    back = sinks.vocabulary_from_json(sinks.vocabulary_json(v))
+    assert sorted(map(tuple, back.select(*v.columns).collect())) == sorted(map(tuple, v.collect()))
+    bare = spark.createDataFrame([(7, 0, '[{"pos":1,"key":"1","cnt":2,"sum":4.0,"sum_sq":10.0}]'), (1, 1, '[{"pos":1,"key":"a","cnt":2}]'), (2, 1, "[]")], "field_index int, field_type int, json string")
+    assert sorted((r.field_index, r.key, r.mean, r.m2) for r in sinks.vocabulary_from_json(bare).collect()) == [(1, "a", 1.0, 0.0), (7, "1", 2.0, 2.0)]
