@@ -437,7 +437,9 @@ SELECT field_name, field_index, field_type, key, count(*) AS cnt, round(sum(valu
 @query(_all_features_sql())
 def feature_value_stats_all(spark, sf_dir):
     """Values of all default features, from samples with profile, item statistics and history."""
-    t = training.default_registry().tokens(_samples(spark, sf_dir))
+    # the work is in the rows, not in their bytes, so a small table is dealt to all tasks
+    rows = _samples(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sample_id")
+    t = training.default_registry().tokens(rows)
     return vocab.value_stats(t).select("field_name", "field_index", "field_type", "key", "cnt", F.round("sum", 3).alias("sum"))
 
 
