@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import archives, jaccard_join, mixing, packing, pieces, quality_model, rule_lists, sharding, url_filter, weighted_sampling
+from recspark.llm import archives, collocations, divergence, jaccard_join, language_id, mixing, packing, pieces, quality_model, rule_lists, sharding, url_filter, weighted_sampling
 from recspark.sources.scratch import new_path, table
 
 
@@ -62,6 +62,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict", "canonical_url", "listed")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.identify(docs, language_id.fit(docs, where=~held_out()), ["doc_id"])
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
 QUERIES = {
     "op1_quality_model": op1_quality_model,
     "op2_packing": op2_packing,
@@ -73,6 +87,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pieces": op9_pieces,
     "op10_url_filter": op10_url_filter,
+    "op11_divergence": op11_divergence,
+    "op12_collocations": op12_collocations,
+    "op13_language": op13_language,
 }
 
 OP10_SQL = r"""
@@ -119,4 +136,39 @@ reach AS (SELECT doc_id AS id, doc_id AS root FROM sets UNION SELECT l.b, r.root
 SELECT doc_id, len(s) AS n_shingles, component_id FROM sets JOIN (SELECT id, min(root) AS component_id FROM reach GROUP BY 1) ON id = doc_id
 """
 
-SQL = {"op3_jaccard_join": OP3_SQL, "op5_archives": OP5_SQL, "op10_url_filter": OP10_SQL}
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT lang, source, term, sum(c)::BIGINT AS n, count(*) AS docs FROM (SELECT i, lang, source, term, count(*) AS c FROM (SELECT i, lang, source, unnest(w) AS term FROM d) GROUP BY ALL) GROUP BY 1, 2, 3),
+kept AS (SELECT lang, term, sum(n)::BIGINT AS n FROM t GROUP BY 1, 2 HAVING sum(docs) >= 10),
+groups AS (SELECT DISTINCT lang, source FROM d),
+vocabulary AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY 1),
+cells AS (SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(t.n, 0) AS n FROM groups g JOIN kept k USING (lang) LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term),
+shares AS (SELECT c.*, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY c.lang, source) + 2 * v) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 2)) // (total + 2 * v) AS q FROM cells c JOIN vocabulary USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3) s
+  ON s.lang = a.lang AND s.source = a.source AND s.other = b.source),
+parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts) WHERE part = 'pair' OR rank <= 10
+"""
+
+OP12_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+grams AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM w, (VALUES (1), (2), (3), (4), (5)) v(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY 1, 2, 3),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY 1),
+cand AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2 AND a >= 100),
+inner_ AS (SELECT DISTINCT lang, a, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM cand, range(2, 5) x(k), range(1, 5) y(i) WHERE k < m AND i + k - 1 <= m),
+largest AS (SELECT lang, phrase, max(a) AS outer_a FROM inner_ GROUP BY 1, 2),
+left_over AS (SELECT c.* FROM cand c LEFT JOIN largest USING (lang, phrase) WHERE outer_a IS NULL OR 100 * outer_a < 100 * a),
+cuts AS (SELECT c.lang, c.phrase, c.a, k, h.a AS l, t.a AS r, n.n, (1000::HUGEINT * c.a * n.n) // (h.a::HUGEINT * t.a) AS score
+  FROM left_over c, range(1, 5) x(k), f h, f t, n WHERE k < c.m AND h.lang = c.lang AND h.phrase = array_to_string(ws[1:k], ' ') AND t.lang = c.lang AND t.phrase = array_to_string(ws[k + 1:], ' ') AND n.lang = c.lang),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM cuts)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE o = 1) WHERE rank <= 2000
+"""
+
+SQL = {"op3_jaccard_join": OP3_SQL, "op5_archives": OP5_SQL, "op10_url_filter": OP10_SQL, "op11_divergence": OP11_SQL, "op12_collocations": OP12_SQL}
