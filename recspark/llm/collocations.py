@@ -3,8 +3,8 @@
 1. Tasks cut texts into pieces and words and pack them into shards: word ids of the shard's own dictionary, 0 between pieces.
 2. Words are counted over all shards. Rare words can be part of no candidate; where they stand a shard's sequence is cut.
 3. Each shard is indexed (``phrase_index``) and gives its pairs of words with counts; counts are summed across shards. Then the
-   sequence is cut between the words of rare pairs, and what is left is indexed for phrases of 3 to 5 words. So a shard gives only
-   phrases whose words, then pairs, are frequent over all shards, which costs no phrase that is.
+   sequence is cut between the words of rare pairs, and what is left is indexed for phrases of 2 to 5 words. So a shard gives only
+   phrases whose words, then pairs, are frequent over all shards, which costs no phrase that is. Phrases are lists of word numbers.
 4. A phrase that every occurrence continues by one same word, to one side, lies in a longer candidate as frequent as itself. Each
    shard gives that word for its own occurrences, and the phrase goes if all shards agree. That is the whole test: if any longer
    candidate holds the phrase as often, so does the one that is a word longer.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.llm.arrow_terms import SLICE_BYTES, batch_slices, byte_slices, split_terms
-from recspark.llm.phrase_index import phrases
+from recspark.llm.phrase_index import pairs, phrases
 from recspark.sources.scratch import counted, written
 
 PIECE_ENDS = "[.,;:!?\\x0A-\\x0D]"
@@ -106,81 +106,59 @@ def _joined(seq: np.ndarray) -> np.ndarray:
 
 
 def _cut_between(seq: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """``seq`` cut between two ids that aren't one of the sorted ``pairs`` (first * size + second); runs shorter than three go."""
+    """``seq`` cut between two ids that aren't one of the sorted ``pairs`` (first * size + second); ids outside all pairs go."""
     size = int(seq.max()) + 1
     keys = seq[:-1] * size + seq[1:]
     place = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
     linked = pairs[place] == keys
-    # an id stays if it is in a run of two links at least
-    two = linked[:-1] & linked[1:]
-    keep = np.zeros(len(seq), bool)
-    for shift in range(3):
-        keep[shift : shift + len(two)] |= two
-    cut = np.flatnonzero(~linked) + 1
-    return _joined(np.insert(np.where(keep, seq, 0), cut, 0))
+    keep = np.append(linked, False) | np.append(False, linked)
+    return _joined(np.insert(np.where(keep, seq, 0), np.flatnonzero(~linked) + 1, 0))
 
 
 def _seq(shard: pa.Table) -> np.ndarray:
     return np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in shard["seq"]]) if len(shard) else np.zeros(0, np.int32)
 
 
-_PAIRS = "shard long, a long, b long, lang string, first string, second string, n long, left string, right string"
+_PAIRS = "shard long, first long, second long, n long"
+_PAIRS_ARROW = pa.schema([(c, pa.int64()) for c in ("shard", "first", "second", "n")])
 
 
 def shard_pairs(shard: pa.Table, known: pa.Table) -> pa.Table:
-    """The pairs of frequent words of one shard; ``known`` are the shard's frequent words."""
-    schema = pa.schema([("shard", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), *[(c, pa.string()) for c in ("lang", "first", "second")], ("n", pa.int64()), ("left", pa.string()), ("right", pa.string())])
-    if not len(shard) or not len(known):
-        return schema.empty_table()
-    ids, langs, words = known["id"].to_numpy(), known["lang"].combine_chunks(), known["word"].combine_chunks()
-    got = phrases(_only(_seq(shard), ids), 2, 2)
-    if not got:
-        return schema.empty_table()
-    text, n, left, right = got[0]
-    first = pa.array(text[:, 0] - 1)
-    columns = [pa.array(np.full(len(n), shard["shard"][0].as_py())), pa.array(ids[text[:, 0] - 1]), pa.array(ids[text[:, 1] - 1]), langs.take(first), words.take(first), words.take(pa.array(text[:, 1] - 1)), pa.array(n), _words_of(words, left), _words_of(words, right)]
-    return pa.table(columns, schema=schema)
-
-
-def _words_of(words: pa.Array, ids: np.ndarray) -> pa.Array:
-    """The words of ids from 1 on; null for 0."""
-    return words.take(pa.array(ids - 1, mask=ids == 0))
-
-
-_PHRASES = "lang string, phrase string, n long, left string, right string"
-
-
-def shard_phrases(shard: pa.Table, pairs: pa.Table, longest: int = LONGEST) -> pa.Table:
-    """The phrases of three words and more of one shard, all of whose pairs are among ``pairs``, the shard's frequent ones."""
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64()), ("left", pa.string()), ("right", pa.string())])
-    if not len(shard) or not len(pairs) or longest < 3:
-        return schema.empty_table()
-    a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
-    ids, where = np.unique(np.concatenate([a, b]), return_index=True)
-    both = pa.array(where)
-    words = pa.concat_arrays([pairs["first"].combine_chunks(), pairs["second"].combine_chunks()]).take(both)
-    langs = pa.concat_arrays([pairs["lang"].combine_chunks()] * 2).take(both)
-    seq = _only(_seq(shard), ids)
+    """The pairs of frequent words of one shard; ``known`` are the shard's frequent words, by their ids in it and over all shards."""
+    seq = _only(_seq(shard), known["id"].to_numpy()) if len(shard) and len(known) else np.zeros(1, np.int64)
+    if not seq.any():
+        return _PAIRS_ARROW.empty_table()
+    first, second, n = pairs(seq)
+    word = known["word_id"].to_numpy()
+    return pa.table([np.full(len(n), shard["shard"][0].as_py()), word[first - 1], word[second - 1], n], schema=_PAIRS_ARROW)
+
+
+_PHRASES = "ids array<long>, n long, left long, right long"
+_PHRASES_ARROW = pa.schema([("ids", pa.list_(pa.int64())), ("n", pa.int64()), ("left", pa.int64()), ("right", pa.int64())])
+
+
+def shard_phrases(shard: pa.Table, known: pa.Table, longest: int = LONGEST) -> pa.Table:
+    """The phrases of one shard, from two words on, all of whose pairs are frequent, with the only word to each side.
+
+    ``known`` holds the shard's frequent words (id, word_id) and then its frequent pairs (first, second).
+    """
+    is_word = pc.is_valid(known["id"])
+    words, links = known.filter(is_word), known.filter(pc.invert(is_word))
+    if not len(shard) or not len(links):
+        return _PHRASES_ARROW.empty_table()
+    words = words.sort_by("word_id")
+    word = words["word_id"].to_numpy()
+    seq = _only(_seq(shard), words["id"].to_numpy())
     size = int(seq.max()) + 1
-    links = np.sort((np.searchsorted(ids, a) + 1) * size + np.searchsorted(ids, b) + 1)
-    tables = [schema.empty_table()]
-    for text, n, left, right in phrases(_cut_between(seq, links), 3, longest):
-        parts = [words.take(pa.array(text[:, i] - 1)) for i in range(text.shape[1])]
-        columns = [langs.take(pa.array(text[:, 0] - 1)), pc.binary_join_element_wise(*parts, " "), pa.array(n), _words_of(words, left), _words_of(words, right)]
-        tables.append(pa.table(columns, schema=schema))
+    ends = [np.searchsorted(word, links[c].to_numpy()) + 1 for c in ("first", "second")]
+    tables = [_PHRASES_ARROW.empty_table()]
+    for text, n, left, right in phrases(_cut_between(seq, np.sort(ends[0] * size + ends[1])), 2, longest):
+        ids = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * text.shape[1]), pa.array(word[text.ravel() - 1]))
+        only = [pa.array(word[x - 1], mask=x == 0) for x in (left, right)]
+        tables.append(pa.table([ids, pa.array(n), *only], schema=_PHRASES_ARROW))
     return pa.concat_tables(tables)
 
 
-def _summed(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Counts over all shards of at least ``least``, and ``inside``: whether one word always stands on the phrase's left, or right."""
-
-    def agreed(c: str):
-        return F.count(c) == F.count(F.lit(1)), F.min(c).eqNullSafe(F.max(c))
-
-    (l_all, l_same), (r_all, r_same) = agreed("left"), agreed("right")
-    return rows.groupBy(*keys).agg(F.sum("n").alias("a"), ((l_all & l_same) | (r_all & r_same)).alias("inside")).where(F.col("a") >= least)
-
-
 def mine(docs: DataFrame, least: int = 100, first: int = 2000, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``first`` phrases by score."""
     own = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
@@ -188,36 +166,43 @@ def mine(docs: DataFrame, least: int = 100, first: int = 2000, longest: int = LO
     words = shards.select("shard", F.posexplode("words").alias("id", "w")).select("shard", (F.col("id") + 1).cast("long").alias("id"), "w.lang", "w.word", "w.n")
     totals, n_langs = counted(shards.select(F.explode("words").alias("w")).groupBy("w.lang").agg(F.sum("w.n").alias("n")), "totals")
     totals = F.broadcast(totals) if n_langs <= BROADCAST_LANGS else totals
-    one = written(words.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent-words")
-    known = words.join(one.drop("a"), ["lang", "word"]).select("shard", "id", "lang", "word")
-    sequences = shards.select(F.col("shard").alias("number"), "seq").select(F.col("number").alias("shard"), "seq").groupBy("shard")
-    pairs = written(sequences.cogroup(known.groupBy("shard")).applyInArrow(shard_pairs, _PAIRS), "pairs")
-    two = written(_summed(pairs, ["lang", "first", "second"], least), "frequent-pairs")
-    kept = pairs.join(two.select("lang", "first", "second"), ["lang", "first", "second"]).select("shard", "a", "b", "lang", "first", "second")
-    long = sequences.cogroup(kept.groupBy("shard")).applyInArrow(lambda s, p: shard_phrases(s, p, longest), _PHRASES)
-    candidates = two.select("lang", F.concat_ws(" ", "first", "second").alias("phrase"), "a", "inside").unionByName(_summed(long, ["lang", "phrase"], least))
-    candidates = written(candidates.withColumn("inside", F.col("inside") & (F.size(F.split("phrase", " ")) < longest)), "candidates")
-    counts = one.withColumnRenamed("word", "phrase").unionByName(candidates.select("lang", "phrase", "a"))
-    return _ranked(_scored(candidates.where(~F.col("inside")).drop("inside"), counts, totals), first)
-
-
-def _scored(candidates: DataFrame, counts: DataFrame, totals: DataFrame) -> DataFrame:
+    frequent = words.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    frequent = written(frequent.withColumn("word_id", F.monotonically_increasing_id()), "frequent-words")
+    known = written(words.join(frequent.drop("a"), ["lang", "word"]).select("shard", "id", "word_id"), "known-words")
+    sequences = shards.select("shard", "seq").groupBy("shard")
+    pairs_ = sequences.cogroup(known.groupBy("shard")).applyInArrow(shard_pairs, _PAIRS)
+    # a pair has one row a shard, so a window over its rows is as long as there are shards that hold it
+    total = F.sum("n").over(Window.partitionBy("first", "second"))
+    links = written(pairs_.withColumn("a", total).where(F.col("a") >= least).select("shard", "first", "second"), "frequent-pairs")
+    either = known.unionByName(links, allowMissingColumns=True).groupBy("shard")
+    found = sequences.cogroup(either).applyInArrow(lambda s, k: shard_phrases(s, k, longest), _PHRASES)
+    # one same word on a side in all shards
+    inside = [(F.count(c) == F.count(F.lit(1))) & F.min(c).eqNullSafe(F.max(c)) for c in ("left", "right")]
+    candidates = found.groupBy("ids").agg(F.sum("n").alias("a"), (inside[0] | inside[1]).alias("inside")).where(F.col("a") >= least)
+    candidates = written(candidates.withColumn("inside", F.col("inside") & (F.size("ids") < longest)), "candidates")
+    counts = frequent.select(F.array("word_id").alias("ids"), "a").unionByName(candidates.select("ids", "a"))
+    left_over = _named(candidates.where(~F.col("inside")).drop("inside"), frequent)
+    return _ranked(_scored(left_over.join(totals, "lang"), counts), first)
+
+
+def _named(candidates: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Candidates with their language and their words as text."""
+    flat = candidates.select("ids", "a", F.posexplode("ids").alias("at", "word_id")).join(frequent.select("word_id", "lang", "word"), "word_id")
+    parts = F.array_sort(F.collect_list(F.struct("at", "word")))
+    return flat.groupBy("ids", "a").agg(F.min("lang").alias("lang"), F.array_join(F.transform(parts, lambda p: p["word"]), " ").alias("phrase"))
+
+
+def _scored(candidates: DataFrame, counts: DataFrame) -> DataFrame:
     """Candidates with the parts' counts and the score of their lowest cut."""
-    parts = F.split("phrase", " ")
-    cut = F.explode(F.sequence(F.lit(1), F.size(parts) - 1)).alias("k")
-    cuts = candidates.select("lang", "phrase", "a", parts.alias("parts"), cut)
-
-    def joined(from_, size):
-        return F.array_join(F.slice("parts", from_, size), " ")
-
-    cuts = cuts.select("lang", "phrase", "a", "k", joined(1, F.col("k")).alias("head"), joined(F.col("k") + 1, F.size("parts")).alias("tail"))
+    cut = F.explode(F.sequence(F.lit(1), F.size("ids") - 1)).alias("k")
+    cuts = candidates.select("lang", "phrase", "n", "a", "ids", cut)
+    cuts = cuts.withColumns({"head": F.slice("ids", F.lit(1), F.col("k")), "tail": F.slice("ids", F.col("k") + 1, F.size("ids"))}).drop("ids")
     # a part of a candidate is as frequent as it at least, so its count is known
-    cuts = cuts.join(counts.select("lang", F.col("phrase").alias("head"), F.col("a").alias("l")), ["lang", "head"])
-    cuts = cuts.join(counts.select("lang", F.col("phrase").alias("tail"), F.col("a").alias("r")), ["lang", "tail"])
-    cuts = cuts.join(totals, "lang")
+    cuts = cuts.join(counts.select(F.col("ids").alias("head"), F.col("a").alias("l")), "head")
+    cuts = cuts.join(counts.select(F.col("ids").alias("tail"), F.col("a").alias("r")), "tail")
     score = F.expr("(1000BD * cast(a AS decimal(19,0)) * cast(n AS decimal(19,0))) div (cast(l AS decimal(19,0)) * cast(r AS decimal(19,0)))")
-    lowest = F.min(F.struct(score.alias("score"), "k", "l", "r", "n")).alias("m")
-    return cuts.groupBy("lang", "phrase", "a").agg(lowest).select("lang", "phrase", "a", "m.l", "m.r", "m.n", "m.score")
+    lowest = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("m")
+    return cuts.groupBy("lang", "phrase", "n", "a").agg(lowest).select("lang", "phrase", "a", "m.l", "m.r", "n", "m.score")
 
 
 def _ranked(scored: DataFrame, first: int) -> DataFrame:

@@ -112,10 +112,17 @@ def only_extension(e: Extension, n: int, count: np.ndarray) -> np.ndarray:
     return out
 
 
+def pairs(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first ids, second ids, counts) of all phrases of two words."""
+    index = PhraseIndex(seq, 2)
+    level = index.words()
+    first = index.text(level, 1)[:, 0]
+    e = index.right(level)
+    return first[e.of], e.word, e.longer.count
+
+
 def phrases(seq: np.ndarray, least: int, most: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each length from ``least`` to ``most``: (ids, counts, the only word to the left, the only word to the right) of all phrases."""
-    if len(seq) < 2 or not seq.any():
-        return []
     index = PhraseIndex(seq, most + 1)
     level, out = index.words(), []
     for n in range(1, most + 1):
