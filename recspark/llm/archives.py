@@ -26,6 +26,8 @@ ARCHIVE_BYTES = 4 * 2**20
 REVISIT_BYTES = 100
 #: Revisits that may be broadcast to where payloads are; more are joined by shuffle. A row takes some 200 bytes, so 40 MB.
 BROADCAST_REVISITS = 200_000
+#: Slots that the records which refer to one original are dealt to when it is looked up.
+REFER_SLOTS = 16
 LEVEL = 6
 
 # Fixed values of the formats.
@@ -301,5 +303,11 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     write_arc(pages, arc)
     arc_to_warc(spark, arc, warc)
     back = written(read_warc(spark, warc), "warc-records")
-    originals = back.where("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")).distinct()
-    return back.join(originals, "refers_to_id", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "url", "date")
+    # most records refer to nothing, and many may refer to one: those without reference aren't joined, the others are dealt to slots
+    found = back.where("refers_to_id is not null").withColumn("slot", F.pmod(F.xxhash64("record_id", "page_id", "url"), F.lit(REFER_SLOTS)))
+    named = back.where("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
+    originals = named.join(found.select("refers_to_id").distinct(), "refers_to_id", "left_semi").distinct()
+    originals = originals.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(REFER_SLOTS - 1).cast("long"))))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "url", "date"]
+    alone = back.where("refers_to_id is null").withColumn("refers_to", F.lit(None).cast("long"))
+    return alone.select(*columns).unionByName(found.join(originals, ["refers_to_id", "slot"], "left").select(*columns))
