@@ -27,8 +27,6 @@ DIM = 8
 GRAMS = (3, 4)
 #: Labelled documents that are learned from at most, chosen by a hash of their ids.
 TRAIN_ROWS = 3000
-#: Bytes of a text that is learned from at most; longer ones are scored, but not learned from. So the driver gets TRAIN_ROWS times this at most.
-TRAIN_TEXT_BYTES = 1 << 16
 #: Words whose sums a Python worker keeps at most; then it starts anew.
 CACHE_WORDS = 400_000
 
@@ -92,8 +90,13 @@ class Model:
     bias: float
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 6, rate: float = 0.4, seed: int = 1) -> Model:
-    """Stochastic gradient descent on the cross-entropy of a two-way softmax over averaged vectors; labels 1 and 0.
+def train(texts: list[str], labels: list[int], **how) -> Model:
+    """``train_rows`` of texts."""
+    return train_rows([document_features(x) for x in texts], labels, **how)
+
+
+def train_rows(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], epochs: int = 6, rate: float = 0.4, seed: int = 1) -> Model:
+    """Stochastic gradient descent on the cross-entropy of a two-way softmax over averaged vectors; rows as ``document_features`` gives them, labels 1 and 0.
 
     Without rows of both labels the bias alone answers: the share of label 1, or one half without any row.
     """
@@ -102,7 +105,6 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, rate: float = 0.
     if len(set(labels)) < 2:
         return flat
     rng = np.random.Generator(np.random.PCG64(seed))
-    rows = [document_features(x) for x in texts]
     vectors = ((rng.random((BUCKETS, DIM), dtype=np.float32) - 0.5) / DIM).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     steps, done = epochs * len(rows), 0
@@ -160,18 +162,37 @@ class Scorer:
         return 1 / (1 + np.exp(-out))
 
 
+def _labelled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i, text in enumerate(b.column("text")):
+            at, weight = document_features(text.as_py() or "")
+            one = b.slice(i, 1)
+            yield pa.record_batch([one.column("doc_id"), one.column("label"), pa.array([at], pa.list_(pa.int32())), pa.array([weight], pa.list_(pa.float32()))], names=["doc_id", "label", "at", "weight"])
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows, labels = [], []
+    for b in batches:
+        labels += b.column("label").to_pylist()
+        rows += [(np.asarray(at.values), np.asarray(weight.values)) for at, weight in zip(b.column("at"), b.column("weight"), strict=True)]
+    model = train_rows(rows, labels)
+    yield pa.record_batch([pa.array([model.value.tobytes()], pa.binary()), pa.array([model.bias])], names=["value", "bias"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", where: Column | None = None, rows: int = TRAIN_ROWS) -> Model:
     """A model from at most ``rows`` labelled documents (doc_id, label 0 or 1), those with the smallest hashes of doc_id.
 
     Rows without label, or of another value, are left out; of repeated labels of one document the smallest holds, and of
-    several texts the first in order. Texts above TRAIN_TEXT_BYTES are left out.
+    several texts the first in order. Texts are whole: their features are made where they lie, and one task, which gets ``rows`` rows
+    of BUCKETS numbers at most, learns from them. The driver gets the model alone.
     """
     known = labels.where(F.col(label).isin(0, 1) & (where if where is not None else F.lit(True)))
     known = known.groupBy("doc_id").agg(F.min(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(rows)
     known = F.broadcast(known)  # ``rows`` rows of an id and a label
-    short = docs.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_TEXT_BYTES)
-    got = short.join(known, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label")).orderBy("doc_id").collect()
-    return train([r["text"] or "" for r in got], [r["label"] for r in got])
+    texts = docs.select("doc_id", "text").join(known, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    made = texts.mapInArrow(_labelled_features, "doc_id long, label int, at array<int>, weight array<float>")
+    got = made.repartition(1).sortWithinPartitions("doc_id").mapInArrow(_trained, "value binary, bias double").first()
+    return Model(np.frombuffer(got["value"], np.float64), got["bias"]) if got else train_rows([], [])
 
 
 def _score_rows(shared, keep: list[str], out: str):
