@@ -197,15 +197,14 @@ def test_classifier_on_held_out_rows(spark):
     assert quality_model.scored(docs.limit(0), model).count() == 0
 
 
-def test_classifier_with_repeats_and_long_texts(spark, monkeypatch):
-    monkeypatch.setattr(quality_model, "TRAIN_TEXT_BYTES", 400)
-    rows = [(i % 40, "good words here" if i % 2 else "BAD!! $$$") for i in range(80)] + [(41, "BAD!! $$$ " * 50), (1, "zz later text"), (None, "good words here")]
+def test_classifier_with_repeats_and_long_texts(spark):
+    rows = [(i % 40, "good words here" if i % 2 else "BAD!! $$$") for i in range(80)] + [(41, "worse lines " * 9000), (42, "worse lines"), (1, "zz later text"), (None, "good words here")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(41, 1), (3, 0), (None, 0)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(41, 0), (3, 0), (None, 0)], "doc_id long, quality int")
     model = quality_model.fit(docs, labels)
     got = quality_model.score(docs, model).collect()
     assert len(got) == len(rows) and len({r.score for r in got if r.text == "good words here"}) == 1
-    assert max(r.score for r in got if "BAD" in r.text) < 0.3 < min(r.score for r in got if "good" in r.text)
+    assert max(r.score for r in got if "BAD" in r.text or r.doc_id in (41, 42)) < 0.3 < min(r.score for r in got if "good" in r.text)
     assert len(quality_model.scored(docs, model).collect()) == len(rows)
 
 
