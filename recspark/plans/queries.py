@@ -335,6 +335,32 @@ def negatives_drawn(spark, sf_dir):
     return got.join(seen, ["user_id", "cand"], "left").groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("seen"), F.lit(0)).alias("seen"))
 
 
+@query("WITH RECURSIVE " + COMMON + """, line AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS number FROM (SELECT DISTINCT item_id FROM ev)),
+pos AS (SELECT DISTINCT user_id, item_id FROM ev WHERE rating = 5),
+unseen AS (SELECT user_id, line.item_id, row_number() OVER (PARTITION BY user_id ORDER BY number) - 1 AS place FROM (SELECT DISTINCT user_id FROM pos) u CROSS JOIN line
+  WHERE NOT EXISTS (SELECT 1 FROM ev e WHERE e.user_id = u.user_id AND e.item_id = line.item_id)),
+n AS (SELECT user_id, count(*) AS n FROM unseen GROUP BY 1),
+draws AS (SELECT user_id, item_id, n, 0::BIGINT AS d, []::BIGINT[] AS got FROM pos JOIN n USING (user_id)
+  UNION ALL SELECT user_id, item_id, n, d + 1, list_append(got, list_reduce(list_prepend(('0x' || substr(md5(concat_ws('|', '42', 'uniform', user_id, item_id, d + 1)), 1, 15))::BIGINT % (n - d), list_sort(got)),
+    lambda p, g: p + CASE WHEN g <= p THEN 1 ELSE 0 END)) FROM draws WHERE d < 4 AND d < n),
+flat AS (SELECT user_id, item_id, unnest(got) AS place, unnest(range(1, len(got) + 1)) AS rk FROM draws WHERE d = least(4, n))
+SELECT f.user_id, f.item_id, u.item_id AS cand, rk::INT AS rk FROM flat f JOIN unseen u ON u.user_id = f.user_id AND u.place = f.place""")
+def negatives_selected(spark, sf_dir):
+    """Negatives by uniform selection among what a user hasn't seen."""
+    ev = _ev(spark, sf_dir)
+    return sampling.drawn(ev.where("rating = 5"), sampling.popularity(ev), ev, 4)
+
+
+@query("WITH " + COMMON + "," + POOL + "SELECT user_id, item_id, least(count(*), 4) AS n, 0 AS seen, least(count(*), 4) AS different FROM cands GROUP BY 1, 2")
+def negatives_selected_mixed(spark, sf_dir):
+    """Negatives by selection, half by popularity: as many as there can be, all different, none of them seen."""
+    ev = _ev(spark, sf_dir)
+    got = sampling.drawn(ev.where("rating = 5"), sampling.popularity(ev), ev, 4, "mixed")
+    seen = ev.select("user_id", F.col("item_id").alias("cand")).distinct().withColumn("seen", F.lit(1))
+    per = got.join(seen, ["user_id", "cand"], "left").groupBy("user_id", "item_id")
+    return per.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("seen"), F.lit(0)).alias("seen"), F.count_distinct("cand").alias("different"))
+
+
 # ---- registry, tokens, vocabulary
 
 TOKENS = ["user_id", "movie_id", "movie_genres", "context_time_hour", "context_time_week", "context_is_weekend", "user_rate_avg", "user_rate_avg_continue", "user_movie_rate_cnt", "user_movie_rate_cnt_continue", "user_movie_rate_ids", "user_movie_rate_genres"]

@@ -1,4 +1,6 @@
+import hashlib
 import math
+import random
 
 import numpy as np
 import pytest
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from recspark.functions.hashing import hash_bytes, hash_keys
 from recspark.operators import clean, encode, evaluate, quality, sampling, sequences, split, vocab
-from recspark.operators.indexing import global_index
+from recspark.operators.indexing import global_index, running_sums
 from recspark.operators.registry import load
 from recspark.plans import training
 
@@ -115,6 +117,55 @@ def test_drawing_finds_all_there_are(spark, strategy):
     assert got.join(ix.withColumnRenamed("item_id", "cand"), ["user_id", "cand"], "left_semi").count() == 0
 
 
+def _selected(positives, pool, history, k, strategy, seed=42):
+    """The selection replayed item by item on lists of what is unseen."""
+    weight = {i: max(1, math.floor(round(max(p or 1, 1) ** 0.75 * (1 << 20), 6))) for i, p in pool}
+    known = {}
+    for u, i in [*history, *positives]:
+        known.setdefault(u, set()).add(i)
+    bits = lambda what, u, i, d: int(hashlib.md5("|".join(str(x) for x in (seed, what, u, i, d) if x is not None).encode()).hexdigest()[:15], 16)
+    out = set()
+    for u, i in set(positives):
+        left = [x for x in sorted(weight) if x not in known[u]]
+        for d in range(1, k + 1):
+            if not left:
+                break
+            if d <= {"uniform": 0, "popular": k, "mixed": k // 2}[strategy]:
+                at = bits("popular", u, i, d) % sum(weight[x] for x in left)
+                pick = next(x for n, x in enumerate(left) if sum(weight[y] for y in left[: n + 1]) > at)
+            else:
+                pick = left[bits("uniform", u, i, d) % len(left)]
+            left.remove(pick)
+            out.add((u, i, pick, d))
+    return out
+
+
+@pytest.mark.parametrize("strategy", ["uniform", "popular", "mixed"])
+def test_selection_equals_its_replay(spark, strategy):
+    rng = random.Random(3)
+    pool = [(f"i{n:02d}", rng.choice([None, 0, 1, 1, 2, 50, 9000])) for n in range(30)]
+    history = [("heavy", i) for i, _ in pool[:28]] + [("all", i) for i, _ in pool] + [(None, "i03"), ("x", "unknown")]
+    history += [(f"u{rng.randrange(6)}", f"i{rng.randrange(30):02d}") for _ in range(60)]
+    positives = [("heavy", f"i{n:02d}") for n in range(28)] + [("all", "i05"), (None, "i03"), ("x", "unknown")] + [h for h in history if h[0] and h[0][0] == "u"] * 2
+    frames = [spark.createDataFrame(r, c) for r, c in ((positives, "user_id string, item_id string"), (pool, "item_id string, pop long"), (history, "user_id string, item_id string"))]
+    got = sampling.drawn(*frames, 4, strategy).collect()
+    assert len(got) == len({tuple(r) for r in got})
+    assert {(r.user_id, r.item_id, r.cand, r.rk) for r in got} == _selected(positives, pool, history, 4, strategy)
+    assert {r.cand for r in got if r.user_id == "heavy"} == {"i28", "i29"}
+    assert sampling.drawn(frames[0].limit(0), *frames[1:], 4, strategy).collect() == []
+    assert sampling.drawn(frames[0], frames[1].limit(0), frames[2], 4, strategy).collect() == []
+
+
+def test_running_sums_of_a_giant_group(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["g"] * 9 + ["h", None]), rng.randrange(50), rng.randrange(9), n) for n in range(600)]
+    df = spark.createDataFrame(rows, "g string, o int, v int, n int")
+    got = running_sums(df, [F.col("o"), F.col("n")], {"v_before": F.col("v"), "before": F.lit(1)}, within=("g",), partitions=5)
+    for r in got.collect():
+        earlier = [x for x in rows if x[0] == r.g and (x[1], x[3]) < (r.o, r.n)]
+        assert (r.v_before, r.before) == (sum(x[2] for x in earlier), len(earlier))
+
+
 def test_popular_draws_follow_the_weights(spark):
     pool = spark.createDataFrame([("hot", 100_000)] + [(f"i{k}", 1) for k in range(40)], "item_id string, pop long")
     positives = spark.range(4000).select(F.col("id").cast("string").alias("user_id"), F.lit("own").alias("item_id"))
