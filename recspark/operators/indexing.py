@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recspark.functions.names import fresh
 from recspark.sources.scratch import written
@@ -57,3 +59,100 @@ def running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column]
         on = on & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
     joined = inner.alias("a").join(starts.alias("b"), on)
     return joined.select(*[F.col(f"a.`{c}`") for c in df.columns], *[(F.col(f"a.{values[n]}") + F.col(f"b.{n}")).alias(n) for n in names])
+
+
+#: Rows of a range that are fetched and sorted by the driver, to find a cut among them; larger ranges are narrowed.
+FETCHED_ROWS = 20_000
+#: Error of an approximate percentile, as a share of the rows: one divided by this.
+ACCURACY = 10_000
+
+
+@dataclass
+class Cut:
+    """The row at a rank: its values, and how many rows come before the first of those values and have just those."""
+
+    values: tuple
+    before: int
+    equal: int
+
+
+@dataclass
+class _Search:
+    rank: int
+    fixed: list
+    low: object = None
+    high: object = None
+    before: int = 0
+    inside: int = 0
+
+    def within(self, keys: list[Column]) -> Column:
+        """Rows of the range that the rank is known to lie in."""
+        out = F.lit(True)
+        for k, v in zip(keys, self.fixed, strict=False):
+            out = out & (k == F.lit(v))
+        if self.low is not None:
+            k = keys[len(self.fixed)]
+            out = out & (k >= F.lit(self.low)) & (k <= F.lit(self.high))
+        return out
+
+
+def sortable(df: DataFrame, order: Sequence[Column]) -> bool:
+    """Whether ``rows_at`` can search by ``order``: columns of whole numbers, dates or times, ascending."""
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.TimestampType)
+    return all(isinstance(f.dataType, kinds) for f in df.select(*order).schema.fields)
+
+
+def same_values(order: Sequence[Column], values: Sequence) -> Column:
+    out = F.lit(True)
+    for k, v in zip(order, values, strict=True):
+        out = out & (k == F.lit(v))
+    return out
+
+
+def not_after(order: Sequence[Column], values: Sequence) -> Column:
+    """Whether a row comes before the row of these values, or has them."""
+    out = F.lit(True)
+    for k, v in reversed(list(zip(order, values, strict=True))):
+        out = (k < F.lit(v)) | ((k == F.lit(v)) & out)
+    return out
+
+
+def rows_at(df: DataFrame, order: Sequence[Column], ranks: Sequence[int], n: int) -> list[Cut]:
+    """The rows at 0-based ``ranks`` of the ``n`` rows of ``df`` by ``order`` (see ``sortable``, no nulls), without sorting or writing ``df``.
+
+    Approximate percentiles bound each rank by two values, an exact count tells what lies before and between them, and so on inside
+    until a range is small enough to be fetched; of the rows of one value the next column decides. Each step is one aggregate over ``df`` for all
+    ranks, and leaves 3 in ACCURACY rows.
+    """
+    keys = list(order)
+    open_ = [_Search(r, [], inside=n) for r in ranks]
+    while searching := [s for s in open_ if s.inside > FETCHED_ROWS and len(s.fixed) < len(keys)]:
+        asked = []
+        for s in searching:
+            at = (s.rank - s.before + 0.5) / s.inside
+            ends = [max(0.0, at - 1.5 / ACCURACY), min(1.0, at + 1.5 / ACCURACY)]
+            asked.append(F.percentile_approx(F.when(s.within(keys), keys[len(s.fixed)]), ends, ACCURACY))
+        bounds = df.agg(*[c.alias(f"p{i}") for i, c in enumerate(asked)]).first()
+        counts, near = [], []
+        for i, s in enumerate(searching):
+            k, (low, high) = keys[len(s.fixed)], bounds[f"p{i}"]
+            narrow = _Search(s.rank, s.fixed, low, high)
+            near.append(narrow)
+            counts += [F.count_if(s.within(keys) & (k < F.lit(low))).alias(f"b{i}"), F.count_if(narrow.within(keys)).alias(f"n{i}")]
+        got = df.agg(*counts).first()
+        for i, (s, narrow) in enumerate(zip(searching, near, strict=True)):
+            before, inside = s.before + got[f"b{i}"], got[f"n{i}"]
+            if not before <= s.rank < before + inside:
+                raise RuntimeError(f"no row of rank {s.rank} between {narrow.low} and {narrow.high}")
+            s.before, s.inside, s.low, s.high = before, inside, narrow.low, narrow.high
+            if s.low == s.high:
+                s.fixed, s.low, s.high = [*s.fixed, s.low], None, None
+    return [_fetched(df, keys, s) for s in open_]
+
+
+def _fetched(df: DataFrame, keys: list[Column], s: _Search) -> Cut:
+    if len(s.fixed) == len(keys):
+        return Cut(tuple(s.fixed), s.before, s.inside)
+    found = sorted(tuple(r) for r in df.where(s.within(keys)).select(*keys).collect())  # FETCHED_ROWS rows at most
+    values = found[s.rank - s.before]
+    return Cut(values, s.before + found.index(values), found.count(values))

@@ -114,7 +114,7 @@ def run(rows: DataFrame, registry: Registry, mode: str = "multi", keep_negatives
     The vocabulary and targets of an earlier run, where given, keep their positions and are added to.
     """
     rows = split.downsample_negatives(rows, keep_negatives, F.col(key)).withColumn("target", clean.target(mode))
-    rows = written(split.time_ratio_split(rows, [F.col("time_stamp"), F.col(key)], train, val), "split")
+    rows = split.time_ratio_split(written(rows, "samples"), [F.col("time_stamp"), F.col(key)], train, val)
     targets = rows.where("split = 'train' and target is not null").select("target")
     target_map = written(vocab.build_target_map(targets, target_threshold, previous_targets), "targets") if mode == "multi" else None
     tokens = written(registry.tokens(rows, key), "tokens")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.functions.hashing import hash_bytes, hash_keys
-from recspark.operators import clean, encode, evaluate, quality, sampling, sequences, split, vocab
+from recspark.operators import clean, encode, evaluate, indexing, quality, sampling, sequences, split, vocab
 from recspark.operators.indexing import global_index, running_sums
 from recspark.operators.registry import load
 from recspark.plans import training
@@ -371,3 +371,39 @@ def test_segments_and_flat_columns(spark):
     assert sorted((r.user_id, r.age_level) for r in evaluate.with_segments(preds, seg, "user_id", "2024-01-02").collect()) == [("u", "new"), ("v", None)]
     flat = encode.flat_columns(spark.createDataFrame([(1, ["R:"], [0], [1.0])], "id int, f_raw array<string>, f_index array<long>, f_value array<float>"))
     assert flat.first().asDict(True) == {"id": 1, "f": {"raw": ["R:"], "index": [0], "value": [1.0]}}
+
+
+@pytest.mark.parametrize("fetched", [1, 40, 20_000])
+@pytest.mark.parametrize("spread", [1, 4, 10**6])
+def test_ratio_split_is_exact_with_ties(spark, monkeypatch, fetched, spread):
+    monkeypatch.setattr(indexing, "FETCHED_ROWS", fetched)
+    rng = random.Random(spread)
+    data = [(rng.randrange(spread), rng.randrange(3), rng.choice([None, "x"])) for _ in range(997)]
+    df = spark.createDataFrame(data, "t long, id int, note string")
+    order = [F.col("t"), F.col("id")]
+    for train, val in ((0.8, 0.1), (0.0, 0.5), (0.999999, 0.0), (0.3, 0.7)):
+        got = split.time_ratio_split(df, order, train, val).collect()
+        a, b = int(997 * train), int(997 * val)
+        parts = {s: sorted((r.t, r.id) for r in got if r.split == s) for s in ("train", "val", "test")}
+        want = sorted((t, i) for t, i, _ in data)
+        assert (parts["train"], parts["val"], parts["test"]) == (want[:a], want[a : a + b], want[a + b :])
+        assert sorted((r.t, r.id, r.note or "") for r in got) == sorted((t, i, x or "") for t, i, x in data)
+
+
+def test_ratio_split_of_nulls_text_and_no_rows(spark):
+    data = [(None, "a"), (None, "b"), (3, None), (1, "c"), (2, "d"), (2, "d"), (2, "d"), (2, "d"), (9, "e"), (5, "f")]
+    df = spark.createDataFrame(data, "t long, s string")
+    for order in (["t"], ["s"], ["t", "s"]):
+        got = split.time_ratio_split(df, [F.col(c) for c in order], 0.5, 0.2)
+        assert {r.split: r["count"] for r in got.groupBy("split").count().collect()} == {"train": 5, "val": 2, "test": 3}
+        first = [tuple(r) for r in df.orderBy(*order).limit(5).select(*order).collect()]
+        assert sorted(map(str, first)) == sorted(str(tuple(r)) for r in got.where("split = 'train'").select(*order).collect())
+    assert split.time_ratio_split(df.limit(0), [F.col("t")], 0.8, 0.1).collect() == []
+
+
+def test_ratio_split_writes_and_shuffles_no_row(spark):
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).alias("t"))
+    out = split.time_ratio_split(df, [F.col("t")], 0.8, 0.1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Scan parquet" not in plan and "Window" not in plan
+    assert out.groupBy("split").count().where("split = 'train'").first()["count"] == 80_000
