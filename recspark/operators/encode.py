@@ -1,12 +1,22 @@
-"""Encoding of token columns into raw, index and value arrays."""
+"""Encoding of token columns into raw, index and value arrays.
+
+``encode_rows`` encodes samples where they lie: tokens stay in their row's arrays and are looked up in a broadcast part of the vocabulary, the
+most frequent values. Only values beyond that part are exploded and joined. ``encode_vocab`` and ``encode_hash`` take melted tokens.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recspark.functions.hashing import cross_hash, feature_hash, string_id
-from recspark.operators.registry import Registry
+from recspark.operators.registry import CATEGORICAL, Registry
 
 
 def hashed_keys(tokens: DataFrame) -> DataFrame:
@@ -65,6 +75,136 @@ def encode_vocab(tokens: DataFrame, pos_map: DataFrame, registry: Registry, key:
     return out.withColumn("has_feature", has)
 
 
+#: Values of a vocabulary, the most frequent first, that are looked up where the rows lie: some 50 bytes each.
+NEAR_VALUES = 500_000
+
+#: The keys of a field and the position of each.
+_Near = dict[int, tuple[pa.Array, np.ndarray]]
+
+
+def _near_and_far(pos_map: DataFrame, most: int) -> tuple[_Near, DataFrame | None]:
+    """The ``most`` (1 at least) most frequent categorical values by field_index, and the other values as a table, if there are any."""
+    known = pos_map.where(F.col("field_type") == CATEGORICAL).select("field_index", "key", "pos", "cnt")
+    top = known.orderBy(F.col("cnt").desc(), "field_index", "pos").limit(most + 1).toArrow()  # NEAR_VALUES rows and one
+    far = None
+    if len(top) > most:
+        last, top = top.slice(most - 1, 1).to_pylist()[0], top.slice(0, most)
+        later = (F.col("cnt") < last["cnt"]) | ((F.col("cnt") == last["cnt"]) & ((F.col("field_index") > last["field_index"]) | ((F.col("field_index") == last["field_index"]) & (F.col("pos") > last["pos"]))))
+        far = known.where(later).drop("cnt")
+    near = {}
+    for index in pc.unique(top["field_index"]).to_pylist():
+        own = top.filter(pc.equal(top["field_index"], index))
+        near[index] = (own["key"].combine_chunks(), own["pos"].to_numpy())
+    return near, far
+
+
+def _positions(tokens: pa.Array, index: int, near: _Near) -> np.ndarray:
+    """The position of each token's key, 0 where the near part of the vocabulary doesn't hold it."""
+    if index not in near or not len(tokens):
+        return np.zeros(len(tokens), np.int64)
+    keys, pos = near[index]
+    at = pc.index_in(tokens.field("key"), value_set=keys)
+    return np.where(at.is_valid().to_numpy(zero_copy_only=False), pos[at.fill_null(0).to_numpy(zero_copy_only=False)], 0)
+
+
+def _tokens_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(tokens of all rows in order, row of each)."""
+    return pc.list_flatten(column), pc.list_parent_indices(column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _lists(rows: np.ndarray, n_rows: int, first, values: pa.Array, kind: pa.DataType) -> pa.ListArray:
+    """A list a row: ``first``, then the row's values; ``rows`` is in order."""
+    sizes = np.bincount(rows, minlength=n_rows) + 1
+    ends = np.cumsum(sizes)
+    take = np.zeros(int(ends[-1]) if n_rows else 0, np.int64)
+    inner = np.ones(len(take), bool)
+    inner[ends - sizes] = False
+    take[inner] = np.arange(1, len(rows) + 1)
+    flat = pa.concat_arrays([pa.array([first], kind), values.cast(kind)]).take(pa.array(take))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), flat)
+
+
+def encode_rows(rows: DataFrame, pos_map: DataFrame, registry: Registry, key: str = "sample_id", keep: list[str] | None = None, near_values: int = NEAR_VALUES) -> DataFrame:
+    """(key, ``keep``, {field}_raw, _index, _value of every active feature, has_feature) of ``rows``, one row each.
+
+    What ``encode_vocab`` gives for the tokens of ``rows``: each field begins with its sentinel, unknown categorical values are left out, continuous ones always pass;
+    has_feature tells whether any value is left. No row is shuffled while the vocabulary has ``near_values`` values at most. Of a larger one the
+    rarer values are looked up by a join of the tokens that the frequent ones don't cover, and come back to their row by ``key``, which must be unique then.
+    """
+    keep = keep or []
+    fields = fields_of(registry)
+    near, far = _near_and_far(pos_map, near_values)
+    shared = rows.sparkSession.sparkContext.broadcast(near)  # NEAR_VALUES keys
+    made = registry.columns(rows)
+    narrow = [F.transform(f"`{name}`", lambda t: F.struct(t["raw"], t["key"], t["value"])).alias(f"t{i}") for i, (name, _, _) in enumerate(fields)]
+    carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate([key, *keep])]
+    made = made.select(*carried, *narrow)
+    if far is not None:
+        made = _with_far(made, far, fields, shared)
+    has_far, own = far is not None, [f"c{i}" for i in range(len(carried))]
+    names = [*own, *[f"{name}_{part}" for name, _, _ in fields for part in ("raw", "index", "value")], "has_feature"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, some = b.num_rows, np.zeros(b.num_rows, bool)
+            columns = [b.column(c) for c in own]
+            extra = _far_positions(b.column("far")) if has_far else None
+            for i, (_, index, kind) in enumerate(fields):
+                tokens, row = _tokens_of(b.column(f"t{i}"))
+                pos = _positions(tokens, index, shared.value) if kind == CATEGORICAL else np.ones(len(tokens), np.int64)
+                if extra is not None and kind == CATEGORICAL:
+                    pos = np.where(pos > 0, pos, extra(row, index, tokens))
+                known = pos > 0
+                tokens, row = tokens.filter(pa.array(known)), row[known]
+                some[row] = True
+                columns += [_lists(row, n, "R:", tokens.field("raw"), pa.string()), _lists(row, n, 0, pa.array(pos[known]), pa.int64()), _lists(row, n, 1.0, tokens.field("value"), pa.float32())]
+            yield pa.record_batch([*columns, pa.array(some)], names=names)
+
+    lists = {"raw": T.StringType(), "index": T.LongType(), "value": T.FloatType()}
+    schema = T.StructType([T.StructField(c, made.schema[c].dataType) for c in own])
+    for name, _, _ in fields:
+        for part, kind in lists.items():
+            schema = schema.add(f"{name}_{part}", T.ArrayType(kind))
+    out = made.mapInArrow(run, schema.add("has_feature", T.BooleanType()))
+    return out.withColumnsRenamed({f"c{i}": c for i, c in enumerate([key, *keep])})
+
+
+def _with_far(made: DataFrame, far: DataFrame, fields: list[tuple[str, int, int]], shared) -> DataFrame:
+    """``made`` with ``far``: (index, key, pos) of the row's values that only the rarer part of the vocabulary holds."""
+
+    def missed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, (_, index, kind) in enumerate(fields):
+                if kind == CATEGORICAL:
+                    tokens, row = _tokens_of(b.column(f"t{i}"))
+                    new = np.flatnonzero(_positions(tokens, index, shared.value) == 0)
+                    yield pa.record_batch([b.column("c0").take(pa.array(row[new])), pa.array(np.full(len(new), index, np.int32)), tokens.field("key").take(pa.array(new))], names=["c0", "field_index", "key"])
+
+    schema = T.StructType([made.schema["c0"], T.StructField("field_index", T.IntegerType()), T.StructField("key", T.StringType())])
+    needed = made.mapInArrow(missed, schema).distinct().join(far, ["field_index", "key"])
+    own = needed.groupBy("c0").agg(F.collect_list(F.struct("field_index", "key", "pos")).alias("far"))
+    return made.join(own, "c0", "left")
+
+
+def _far_positions(column: pa.Array):
+    """A lookup of tokens in what their own rows got."""
+    entries, row = _tokens_of(column)
+
+    def keyed(rows: np.ndarray, index: pa.Array, keys: pa.Array) -> pa.Array:
+        return pc.binary_join_element_wise(pa.array(rows).cast(pa.string()), index.cast(pa.string()), keys, " ")
+
+    held = keyed(row, entries.field("field_index"), entries.field("key"))
+    pos = entries.field("pos").to_numpy(zero_copy_only=False)
+
+    def find(rows: np.ndarray, index: int, tokens: pa.Array) -> np.ndarray:
+        if not len(held) or not len(tokens):
+            return np.zeros(len(tokens), np.int64)
+        at = pc.index_in(keyed(rows, pa.array(np.full(len(rows), index)), tokens.field("key")), value_set=held)
+        return np.where(at.is_valid().to_numpy(zero_copy_only=False), pos[at.fill_null(0).to_numpy(zero_copy_only=False)], 0)
+
+    return find
+
+
 def encode_hash(tokens: DataFrame, registry: Registry, key: str = "sample_id", keys: DataFrame | None = None) -> DataFrame:
     """An encoded row for each key of ``tokens``, and of ``keys`` where given, whose index is the hash of each value; continuous fields have index 1."""
     hashes = hashed_keys(tokens.where("field_type = 1")).select("field_index", "key", F.col("hash").alias("index"))

@@ -394,6 +394,12 @@ def _samples(spark, sf_dir) -> DataFrame:
     return training.samples(_ev(spark, sf_dir), views.items(spark, sf_dir), views.users(spark, sf_dir), HISTORY)
 
 
+def _stats(spark, sf_dir) -> DataFrame:
+    # the work is in the rows, not in their bytes, so a small table is dealt to all tasks
+    rows = _samples(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sample_id")
+    return vocab.value_stats(_registry().tokens(rows))
+
+
 def _tokens(spark, sf_dir) -> DataFrame:
     return written(_registry().tokens(_samples(spark, sf_dir)), "tokens")
 
@@ -405,7 +411,7 @@ def feature_tokens(spark, sf_dir):
 
 @query(TOKENS_SQL + "SELECT field_name, field_index, field_type, key, cnt, round(\"sum\", 4) AS \"sum\", round(sum_sq, 4) AS sum_sq, round(mean, 6) AS mean, round(sqrt(greatest(m2 / cnt, 0) + 1e-6), 6) AS std FROM vstats")
 def feature_value_stats(spark, sf_dir):
-    s = vocab.value_stats(_tokens(spark, sf_dir))
+    s = _stats(spark, sf_dir)
     return s.select("field_name", "field_index", "field_type", "key", "cnt", F.round("sum", 4).alias("sum"), F.round("sum_sq", 4).alias("sum_sq"), F.round("mean", 6).alias("mean"), F.round(vocab.std(F.col("m2"), F.col("cnt")), 6).alias("std"))
 
 
@@ -471,12 +477,12 @@ def feature_value_stats_all(spark, sf_dir):
 
 @query(TOKENS_SQL + "SELECT field_index, field_type, key, pos, cnt FROM pos_map")
 def pos_map(spark, sf_dir):
-    return vocab.build_pos_map(vocab.value_stats(_tokens(spark, sf_dir)), 3).select("field_index", "field_type", "key", "pos", "cnt")
+    return vocab.build_pos_map(_stats(spark, sf_dir), 3).select("field_index", "field_type", "key", "pos", "cnt")
 
 
 @query(TOKENS_SQL + "SELECT field_index, key, pos, cnt, n_names FROM pos_map JOIN (SELECT field_index, key, count(*) AS n_names FROM vstats WHERE cnt >= 3 GROUP BY 1, 2) USING (field_index, key) WHERE n_names > 1")
 def pos_map_shared(spark, sf_dir):
-    s = written(vocab.value_stats(_tokens(spark, sf_dir)), "stats")
+    s = written(_stats(spark, sf_dir), "stats")
     names = s.where("cnt >= 3").groupBy("field_index", "key").agg(F.count(F.lit(1)).alias("n_names")).where("n_names > 1")
     return vocab.build_pos_map(s, 3).join(names, ["field_index", "key"]).select("field_index", "key", "pos", "cnt", "n_names")
 
@@ -509,21 +515,21 @@ def pos_map_incremental(spark, sf_dir):
 @query(TOKENS_SQL + "SELECT field_index, field_type, key, pos, cnt FROM pos_map")
 def vocab_json_roundtrip(spark, sf_dir):
     """The vocabulary written as JSON, a text a field, and restored."""
-    made = sinks.vocabulary_json(vocab.build_pos_map(vocab.value_stats(_tokens(spark, sf_dir)), 3))
+    made = sinks.vocabulary_json(vocab.build_pos_map(_stats(spark, sf_dir), 3))
     return sinks.vocabulary_from_json(written(made, "vocabulary")).select("field_index", "field_type", "key", "pos", "cnt")
 
 
 @query(TOKENS_SQL + """, pooled AS (SELECT field_index, field_type, key, sum(cnt) AS cnt, sum("sum") AS s, sum(sum_sq) AS q FROM vstats WHERE cnt >= 3 GROUP BY 1, 2, 3)
 SELECT field_index, field_type, key, pos, CASE field_type WHEN 1 THEN 0 ELSE round(s / p.cnt, 4) END AS mean, CASE field_type WHEN 1 THEN 1 ELSE round(sqrt(greatest(q / p.cnt - (s / p.cnt) * (s / p.cnt), 0) + 1e-6), 4) END AS std FROM pooled p JOIN pos_map USING (field_index, field_type, key)""")
 def vocab_exported(spark, sf_dir):
-    out = vocab.exported(vocab.build_pos_map(vocab.value_stats(_tokens(spark, sf_dir)), 3))
+    out = vocab.exported(vocab.build_pos_map(_stats(spark, sf_dir), 3))
     return out.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
 
 
 @query(TOKENS_SQL + """SELECT count(*) AS total, count(*) FILTER (WHERE NOT k AND cnt >= 3) AS "new", count(*) FILTER (WHERE k) AS existing, count(*) FILTER (WHERE NOT k AND cnt < 3) AS below, sum(cnt)::BIGINT AS occurrences
 FROM (SELECT v.*, p.key IS NOT NULL AS k FROM vstats v LEFT JOIN (SELECT * FROM pos_map WHERE pos <= 10) p USING (field_index, field_type, key))""")
 def vocab_report(spark, sf_dir):
-    s = written(vocab.value_stats(_tokens(spark, sf_dir)), "stats")
+    s = written(_stats(spark, sf_dir), "stats")
     return vocab.build_report(s, 3, vocab.build_pos_map(s, 3).where("pos <= 10"))
 
 
@@ -552,12 +558,12 @@ def cross_tokens(spark, sf_dir):
 
 @query(TOKENS_SQL + "SELECT cnt, n_keys, round(n_keys / sum(n_keys) OVER (), 6) AS share, round(sum(n_keys) OVER (ORDER BY cnt) / sum(n_keys) OVER (), 6) AS cum_share FROM (SELECT cnt, count(*) AS n_keys FROM pos_map GROUP BY 1)")
 def vocab_frequency_hist(spark, sf_dir):
-    return vocab.frequency_histogram(vocab.build_pos_map(vocab.value_stats(_tokens(spark, sf_dir)), 3))
+    return vocab.frequency_histogram(vocab.build_pos_map(_stats(spark, sf_dir), 3))
 
 
 @query(TOKENS_SQL + "SELECT count(*) AS n_keys, min(cnt) AS min_cnt, max(cnt) AS max_cnt, round(avg(cnt), 4) AS mean_cnt, quantile_cont(cnt, 0.5) AS median_cnt, count(*) FILTER (WHERE cnt = 1) AS singletons FROM pos_map")
 def vocab_frequency_summary(spark, sf_dir):
-    return vocab.frequency_summary(vocab.build_pos_map(vocab.value_stats(_tokens(spark, sf_dir)), 3)).withColumn("mean_cnt", F.round("mean_cnt", 4))
+    return vocab.frequency_summary(vocab.build_pos_map(_stats(spark, sf_dir), 3)).withColumn("mean_cnt", F.round("mean_cnt", 4))
 
 
 @query()
@@ -568,18 +574,50 @@ def hash_index(spark, sf_dir):
 # ---- encoding, sinks, records
 
 
+def _encoded_rows(spark, sf_dir, **how) -> DataFrame:
+    # the work is in the rows, not in their bytes, so a small table is dealt to all tasks
+    rows, r = _samples(spark, sf_dir), _registry()
+    rows = written(rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sample_id"), "samples")
+    pos = written(vocab.build_pos_map(vocab.value_stats(r.tokens(rows)), 3), "positions")
+    return encode.encode_rows(rows, pos, r, **how)
+
+
 @query(TOKENS_SQL + """SELECT sample_id, field_name, string_agg(pos::VARCHAR, ',' ORDER BY ord) AS indexes, string_agg((round(v)::INT)::VARCHAR, ',' ORDER BY ord) AS vals FROM
 (SELECT sample_id, field_name, 1.0 AS v, -1 AS ord, 0 AS pos FROM (SELECT DISTINCT sample_id FROM tokens), (SELECT DISTINCT field_name FROM tokens) UNION ALL
  SELECT t.sample_id, t.field_name, 1.0 * t.value, t.ord, CASE WHEN t.field_type = 0 THEN 1 ELSE p.pos END FROM tokens t LEFT JOIN pos_map p USING (field_index, field_type, key) WHERE t.field_type = 0 OR p.pos IS NOT NULL) WHERE field_name NOT LIKE '%continue' GROUP BY 1, 2""")
 def encode_vocab(spark, sf_dir):
-    t, r = _tokens(spark, sf_dir), _registry()
-    e = encode.encode_vocab(t, vocab.build_pos_map(vocab.value_stats(t), 3), r)
+    e = _encoded_rows(spark, sf_dir)
     names = [n for n in TOKENS if not n.endswith("continue")]
     lists = [F.struct(F.lit(n).alias("field_name"), F.col(f"{n}_index").alias("i"), F.col(f"{n}_value").alias("v")) for n in names]
     one = e.select("sample_id", F.explode(F.array(*lists)).alias("f"))
     return one.select("sample_id", "f.field_name", F.concat_ws(",", F.transform("f.i", lambda x: x.cast("string"))).alias("indexes"), F.concat_ws(",", F.transform("f.v", lambda x: x.cast("int").cast("string"))).alias("vals"))
 
 
+ENCODED_SQL = """, known AS (SELECT t.sample_id, t.field_name, t.ord, t.key, t.value, CASE WHEN t.field_type = 0 THEN 1 ELSE p.pos END AS pos FROM tokens t LEFT JOIN pos_map p USING (field_index, field_type, key) WHERE t.field_type = 0 OR p.pos IS NOT NULL),
+listed AS (SELECT sample_id, field_name, string_agg(key, '|' ORDER BY ord) AS raws, string_agg(pos::VARCHAR, '|' ORDER BY ord) AS indexes, string_agg((round(1.0 * value, 3)::DECIMAL(12,3))::VARCHAR, '|' ORDER BY ord) AS vals FROM known GROUP BY 1, 2)
+SELECT s.sample_id, f.field_name, concat_ws('|', 'R:', raws) AS raws, concat_ws('|', '0', indexes) AS indexes, concat_ws('|', '1.000', vals) AS vals, EXISTS (SELECT 1 FROM known k WHERE k.sample_id = s.sample_id) AS has_feature
+FROM (SELECT DISTINCT sample_id FROM ev) s CROSS JOIN (SELECT DISTINCT field_name FROM tokens) f LEFT JOIN listed l ON l.sample_id = s.sample_id AND l.field_name = f.field_name"""
+
+
+def _encoded_flat(e: DataFrame) -> DataFrame:
+    """A row for each sample and field, its three arrays as text."""
+    texts = {"raws": lambda n: F.col(f"{n}_raw"), "indexes": lambda n: F.transform(f"{n}_index", lambda x: x.cast("string")), "vals": lambda n: F.transform(f"{n}_value", lambda x: F.round(x.cast("double"), 3).cast("decimal(12,3)").cast("string"))}
+    lists = [F.struct(F.lit(n).alias("field_name"), *[F.array_join(f(n), "|").alias(t) for t, f in texts.items()]) for n in TOKENS]
+    return e.select("sample_id", "has_feature", F.explode(F.array(*lists)).alias("f")).select("sample_id", "f.*", "has_feature")
+
+
+@query(TOKENS_SQL + ENCODED_SQL)
+def encode_rows(spark, sf_dir):
+    """Raw, index and value arrays of categorical and continuous fields, and whether a row has any value."""
+    return _encoded_flat(_encoded_rows(spark, sf_dir))
+
+
+@query(TOKENS_SQL + ENCODED_SQL)
+def encode_rows_rare(spark, sf_dir):
+    """The same where only the 50 most frequent values are looked up in place and all others by a join."""
+    return _encoded_flat(_encoded_rows(spark, sf_dir, near_values=50))
+
+
 @query()
 def encode_hash_only(spark, sf_dir):
     r = training.default_registry(["user_id", "movie_genres", "context_time_hour", "user_rate_avg_continue"])
@@ -762,7 +800,29 @@ def an_by_day(spark, sf_dir):
     return _ix(spark, sf_dir).groupBy("day").agg(F.count_distinct("item_id").alias("n_items"), F.count_distinct("user_id").alias("n_users"))
 
 
-@query("SELECT sample_id, CASE WHEN i <= floor(n * 0.8) THEN 'train' WHEN i <= floor(n * 0.8) + floor(n * 0.1) THEN 'val' ELSE 'test' END AS split, label FROM (SELECT *, row_number() OVER (ORDER BY time_stamp, sample_id) AS i, count(*) OVER () AS n FROM (SELECT sample_id, time_stamp, CASE WHEN rating >= 4 THEN 1 ELSE 0 END AS label FROM ev WHERE rating >= 4 OR " + U.format("'42', sample_id::VARCHAR") + " < 0.5))")
+RUN_ROWS = "SELECT sample_id, CASE WHEN i <= floor(n * 0.8) THEN 'train' WHEN i <= floor(n * 0.8) + floor(n * 0.1) THEN 'val' ELSE 'test' END AS split, label FROM (SELECT *, row_number() OVER (ORDER BY time_stamp, sample_id) AS i, count(*) OVER () AS n FROM (SELECT sample_id, time_stamp, CASE WHEN rating >= 4 THEN 1 ELSE 0 END AS label FROM ev WHERE rating >= 4 OR " + U.format("'42', sample_id::VARCHAR") + " < 0.5))"
+
+
+@query(RUN_ROWS)
 def pipeline_end_to_end(spark, sf_dir):
     rows = clean.labelled(_samples(spark, sf_dir))
     return training.run(rows, _registry(), mode="binary", keep_negatives=0.5, feature_threshold=3).encoded.select("sample_id", "split", "label")
+
+
+RUN_SQL = ", kept AS (" + RUN_ROWS + """),
+counted AS (SELECT field_name, field_index, field_type, key, count(*) AS cnt FROM tokens JOIN kept USING (sample_id) WHERE split = 'train' GROUP BY ALL HAVING count(*) >= 3),
+learned AS (SELECT field_index, field_type, key, CASE WHEN field_type = 0 THEN 1 ELSE row_number() OVER (PARTITION BY field_index, field_type ORDER BY sum(cnt) DESC, key) END AS pos FROM counted GROUP BY 1, 2, 3),
+found AS (SELECT t.*, CASE WHEN t.field_type = 0 THEN 1 ELSE p.pos END AS pos FROM tokens t JOIN kept USING (sample_id) LEFT JOIN learned p USING (field_index, field_type, key) WHERE t.field_type = 0 OR p.pos IS NOT NULL),
+fields AS (SELECT sample_id, field_name, string_agg(key, '|' ORDER BY ord) AS raws, string_agg(pos::VARCHAR, '|' ORDER BY ord) AS indexes, string_agg((round(1.0 * value, 3)::DECIMAL(12,3))::VARCHAR, '|' ORDER BY ord) AS vals FROM found GROUP BY 1, 2)
+SELECT k.sample_id, k.split, k.label, e.rating, e.rating AS target, f.field_name, concat_ws('|', 'R:', raws) AS raws, concat_ws('|', '0', indexes) AS indexes, concat_ws('|', '1.000', vals) AS vals
+FROM kept k JOIN ev e USING (sample_id) CROSS JOIN (SELECT DISTINCT field_name FROM tokens) f LEFT JOIN fields l ON l.sample_id = k.sample_id AND l.field_name = f.field_name
+WHERE EXISTS (SELECT 1 FROM found x WHERE x.sample_id = k.sample_id)"""
+
+
+@query(TOKENS_SQL + RUN_SQL)
+def training_run_encoded(spark, sf_dir):
+    """All that a training run encodes: split, label, rating, target, and the arrays of every field."""
+    rows = clean.labelled(_samples(spark, sf_dir))
+    encoded = training.run(rows, _registry(), mode="rating", keep_negatives=0.5, feature_threshold=3).encoded
+    flat = _encoded_flat(encoded).drop("has_feature")
+    return encoded.select("sample_id", "split", "label", "rating", "target").join(flat, "sample_id")

@@ -117,11 +117,10 @@ def run(rows: DataFrame, registry: Registry, mode: str = "multi", keep_negatives
     rows = split.time_ratio_split(written(rows, "samples"), [F.col("time_stamp"), F.col(key)], train, val)
     targets = rows.where("split = 'train' and target is not null").select("target")
     target_map = written(vocab.build_target_map(targets, target_threshold, previous_targets), "targets") if mode == "multi" else None
-    tokens = written(registry.tokens(rows, key), "tokens")
-    learned = tokens.join(rows.where("split = 'train'").select(key), key, "left_semi")
+    learned = registry.tokens(rows.where("split = 'train'"), key)
     pos_map = written(vocab.build_pos_map(vocab.value_stats(learned), feature_threshold, previous_vocab), "positions")
-    encoded = encode.encode_vocab(tokens, pos_map, registry, key).where("has_feature")
-    out = encode.with_targets(rows.select(key, "split", "label", "rating", "target"), target_map).join(encoded, key)
+    encoded = encode.encode_rows(rows, pos_map, registry, key, keep=["split", "label", "rating", "target"]).where("has_feature")
+    out = encode.with_targets(encoded, target_map)
     report = None
     for name in ("train", "val", "test"):
         one = quality.stage_report(rows.where(F.col("split") == name).withColumn("parse_ok", F.col("target").isNotNull()), name)

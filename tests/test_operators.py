@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.functions.hashing import hash_bytes, hash_keys
-from recspark.operators import clean, encode, evaluate, indexing, quality, sampling, sequences, split, vocab
+from recspark.operators import clean, encode, evaluate, indexing, quality, registry, sampling, sequences, split, vocab
 from recspark.operators.indexing import global_index, running_sums
 from recspark.operators.registry import load
 from recspark.plans import training
@@ -407,3 +407,45 @@ def test_ratio_split_writes_and_shuffles_no_row(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Scan parquet" not in plan and "Window" not in plan
     assert out.groupBy("split").count().where("split = 'train'").first()["count"] == 80_000
+
+
+def _plain_registry():
+    r = registry.Registry()
+    r.register("ids", 1, registry.CATEGORICAL, lambda: registry.id_list(F.col("history")))
+    r.register("same_ids", 1, registry.CATEGORICAL, lambda: registry.number(F.col("item")))
+    r.register("words", 2, registry.CATEGORICAL, lambda: registry.string_list(F.col("words")))
+    r.register("mean", 3, registry.CONTINUOUS, lambda: registry.continuous(F.col("mean")))
+    r.cross("both", 9, ["same_ids", "words"], True)
+    return r
+
+
+@pytest.mark.parametrize("near", [1, 2, 7, 500])
+def test_rows_are_encoded_as_their_tokens_are(spark, near):
+    rng = random.Random(near)
+    data = []
+    for i in range(60):
+        history = [(str(rng.randrange(9)), float(rng.randrange(1, 6))) for _ in range(rng.randrange(5))] if i % 7 else None
+        words = [rng.choice(["a", "b", "ä b", "", None]) for _ in range(rng.randrange(4))] if i % 5 else None
+        data.append((i, rng.choice([None, "0", "3", "8", "x"]), history, words, rng.choice([None, 0.5, 2.25]), "kept", "pos"))
+    df = spark.createDataFrame(data, "sample_id long, item string, history array<struct<item_id:string,rating:double>>, words array<string>, mean double, c0 string, far string")
+    r = _plain_registry()
+    tokens = r.tokens(df)
+    pos_map = vocab.build_pos_map(vocab.value_stats(tokens), 2)
+    # what is unknown is left out
+    pos_map = pos_map.where("key not in ('4', 'b')")
+    want = {row["sample_id"]: row for row in encode.encode_vocab(tokens, pos_map, r, keys=df.select("sample_id")).collect()}
+    got = encode.encode_rows(df, pos_map, r, keep=["c0", "far"], near_values=near).collect()
+    assert len(got) == 60 and {(x["c0"], x["far"]) for x in got} == {("kept", "pos")}
+    for x in got:
+        assert {c: x[c] for c in want[x["sample_id"]].asDict()} == want[x["sample_id"]].asDict()
+    assert encode.encode_rows(df.limit(0), pos_map, r, near_values=near).collect() == []
+    nothing = encode.encode_rows(df, pos_map.limit(0), r, near_values=near).first()
+    assert nothing["ids_raw"] == ["R:"] and nothing["words_index"] == [0] and len(nothing["mean_value"]) == 2 and nothing["has_feature"]
+
+
+def test_encoding_of_a_common_value_shuffles_nothing(spark):
+    df = spark.range(1000).select(F.col("id").alias("sample_id"), F.lit("1").alias("item"), F.array().cast("array<struct<item_id:string,rating:double>>").alias("history"), F.array(F.lit("w")).alias("words"), F.lit(1.0).alias("mean"))
+    r = _plain_registry()
+    out = encode.encode_rows(df, vocab.build_pos_map(vocab.value_stats(r.tokens(df)), 2), r)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("same_ids_index = array(0L, 1L) and words_index = array(0L, 1L)").count() == 1000
