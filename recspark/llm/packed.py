@@ -28,3 +28,8 @@ def unpack(data) -> list[np.ndarray]:
         out.append(column.view("<i8").reshape(n))
         at += n * w
     return out
+
+
+def packed_rows(data) -> int:
+    """The length of the columns that ``pack`` got."""
+    return int(np.frombuffer(memoryview(data), "<i8", 1)[0])

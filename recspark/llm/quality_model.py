@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recspark.llm.packed import pack, packed_rows, unpack
 from recspark.llm.text_units import mixed
 
 BUCKETS = 1 << 17
@@ -64,18 +65,24 @@ def _spread(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mixed(place + np.uint64(0x51ED270B)) | np.uint64(1)
 
 
-def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct buckets, share of each) of a text; both empty for a text without words."""
+def feature_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct buckets in order, whole-number weight of each) of a text; both empty for a text without words."""
     words = text.split()
     if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.float32)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     counts = Counter(words)
     ids, sizes = word_features(list(counts))
     weight = np.repeat(np.fromiter(counts.values(), np.float64, len(counts)), sizes)
     same = sum(map(eq, words, islice(words, 1, None)))
     total = np.bincount(np.append(ids, _SAME), weights=np.append(weight, float(same) * SAME_WEIGHT), minlength=BUCKETS)
-    at = np.flatnonzero(total).astype(np.int32)
-    return at, (total[at] / total.sum()).astype(np.float32)
+    at = np.flatnonzero(total)
+    return at, total[at].astype(np.int64)
+
+
+def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct buckets, share of each) of a text; both empty for a text without words."""
+    at, total = feature_counts(text)
+    return at.astype(np.int32), (total / max(1, total.sum())).astype(np.float32)
 
 
 #: Features that one repetition of a word counts as.
@@ -163,19 +170,26 @@ class Scorer:
 
 
 def _labelled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, label, features): buckets as gaps, and weights, packed to some two bytes a feature."""
     for b in batches:
         for i, text in enumerate(b.column("text")):
-            at, weight = document_features(text.as_py() or "")
+            at, total = feature_counts(text.as_py() or "")
             one = b.slice(i, 1)
-            yield pa.record_batch([one.column("doc_id"), one.column("label"), pa.array([at], pa.list_(pa.int32())), pa.array([weight], pa.list_(pa.float32()))], names=["doc_id", "label", "at", "weight"])
+            yield pa.record_batch([one.column("doc_id"), one.column("label"), pa.array([pack(np.diff(at, prepend=0), total)], pa.binary())], names=["doc_id", "label", "features"])
 
 
 def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows, labels = [], []
+    packed, labels = [], []
     for b in batches:
         labels += b.column("label").to_pylist()
-        rows += [(np.asarray(at.values), np.asarray(weight.values)) for at, weight in zip(b.column("at"), b.column("weight"), strict=True)]
-    model = train_rows(rows, labels)
+        packed += b.column("features").to_pylist()
+    ends = np.cumsum([0] + [packed_rows(x) for x in packed])
+    # all features in two arrays, which a worker gives back whole
+    at, weight = np.empty(ends[-1], np.int32), np.empty(ends[-1], np.float32)
+    for x, a, z in zip(packed, ends[:-1], ends[1:], strict=True):
+        gaps, total = unpack(x)
+        at[a:z], weight[a:z] = np.cumsum(gaps), total / max(1, total.sum())
+    model = train_rows([(at[a:z], weight[a:z]) for a, z in zip(ends[:-1], ends[1:], strict=True)], labels)
     yield pa.record_batch([pa.array([model.value.tobytes()], pa.binary()), pa.array([model.bias])], names=["value", "bias"])
 
 
@@ -190,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", where: Colum
     known = known.groupBy("doc_id").agg(F.min(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(rows)
     known = F.broadcast(known)  # ``rows`` rows of an id and a label
     texts = docs.select("doc_id", "text").join(known, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
-    made = texts.mapInArrow(_labelled_features, "doc_id long, label int, at array<int>, weight array<float>")
+    made = texts.mapInArrow(_labelled_features, "doc_id long, label int, features binary")
     got = made.repartition(1).sortWithinPartitions("doc_id").mapInArrow(_trained, "value binary, bias double").first()
     return Model(np.frombuffer(got["value"], np.float64), got["bias"]) if got else train_rows([], [])
 
