@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recspark.sources.scratch import written
+
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
@@ -59,11 +61,9 @@ def top_targets(df: DataFrame, k: int = 5, target: str = "target") -> DataFrame:
 
 def label_distribution(df: DataFrame, label: str = "label", k: int | None = None) -> DataFrame:
     """label, cnt, share, the most frequent first; the k first if asked for."""
-    from pyspark.sql import Window
-
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("cnt"))
-    everything = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shares = counts.withColumn("share", F.round(F.col("cnt") / F.sum("cnt").over(everything), 6))
+    counts = written(df.groupBy(label).agg(F.count(F.lit(1)).alias("cnt")), "labels")
+    total = counts.agg(F.sum("cnt").alias("__total"))  # one row
+    shares = counts.crossJoin(F.broadcast(total)).withColumn("share", F.round(F.col("cnt") / F.col("__total"), 6)).drop("__total")
     return shares.orderBy(F.col("cnt").desc(), label).limit(k) if k else shares
 
 

@@ -449,3 +449,17 @@ def test_encoding_of_a_common_value_shuffles_nothing(spark):
     out = encode.encode_rows(df, vocab.build_pos_map(vocab.value_stats(r.tokens(df)), 2), r)
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.where("same_ids_index = array(0L, 1L) and words_index = array(0L, 1L)").count() == 1000
+
+
+def test_defaults_labels_and_item_features(spark):
+    df = spark.createDataFrame([("a", None), (None, 2), ("b", 3)], "s string, n long")
+    assert rows(clean.defaults(df, {"s": "none", "n": 0}), "s", "n") == [("a", 0), ("b", 3), ("none", 2)]
+    labels = spark.createDataFrame([(x,) for x in "aaabbc"], "label string")
+    assert [tuple(r) for r in quality.label_distribution(labels, k=2).collect()] == [("a", 3, 0.5), ("b", 2, 0.333333)]
+    assert quality.label_distribution(labels).count() == 3
+    assert quality.label_distribution(labels.limit(0)).collect() == []
+    positives = spark.createDataFrame([("u", "i", 5, "old"), ("v", "j", 4, "old")], "user_id string, item_id string, rating int, title string")
+    negatives = spark.createDataFrame([("u", "i", "k", 1), ("u", "i", "unknown", 2)], "user_id string, item_id string, cand string, rk int")
+    items = spark.createDataFrame([("k", "new"), ("i", "own")], "item_id string, title string")
+    got = sampling.with_negatives(positives, negatives, items)
+    assert rows(got.fillna("-"), "user_id", "item_id", "rating", "title", "label") == [("u", "i", 5, "old", 1), ("u", "k", 0, "new", 0), ("u", "unknown", 0, "-", 0), ("v", "j", 4, "old", 1)]

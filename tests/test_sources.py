@@ -121,3 +121,10 @@ def test_vocabulary_files(spark, tmp_path):
     assert sorted(map(tuple, back.select(*v.columns).collect())) == sorted(map(tuple, v.collect()))
     bare = spark.createDataFrame([(7, 0, '[{"pos":1,"key":"1","cnt":2,"sum":4.0,"sum_sq":10.0}]'), (1, 1, '[{"pos":1,"key":"a","cnt":2}]'), (2, 1, "[]")], "field_index int, field_type int, json string")
     assert sorted((r.field_index, r.key, r.mean, r.m2) for r in sinks.vocabulary_from_json(bare).collect()) == [(1, "a", 1.0, 0.0), (7, "1", 2.0, 2.0)]
+
+
+def test_csv_with_and_without_header(spark, tmp_path):
+    (tmp_path / "h.csv").write_text('id,name\n1,"a, b"\n2,\n')
+    (tmp_path / "n.tsv").write_text("1\tx\n2\ty\n")
+    assert [tuple(r) for r in text.read_csv(spark, str(tmp_path / "h.csv"), "id int, name string").collect()] == [(1, "a, b"), (2, None)]
+    assert [tuple(r) for r in text.read_csv(spark, str(tmp_path / "n.tsv"), "id int, name string", header=False, sep="\t").collect()] == [(1, "x"), (2, "y")]
