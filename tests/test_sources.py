@@ -128,3 +128,134 @@ def test_csv_with_and_without_header(spark, tmp_path):
     (tmp_path / "n.tsv").write_text("1\tx\n2\ty\n")
     assert [tuple(r) for r in text.read_csv(spark, str(tmp_path / "h.csv"), "id int, name string").collect()] == [(1, "a, b"), (2, None)]
     assert [tuple(r) for r in text.read_csv(spark, str(tmp_path / "n.tsv"), "id int, name string", header=False, sep="\t").collect()] == [(1, "x"), (2, "y")]
+
+
+def test_format_reads_with_and_without_schema(spark, tmp_path):
+    tfrecord.register(spark)
+    path = f"file://{tmp_path}/a"
+    tfrecord.write_tfrecord(spark.createDataFrame([(1, [1.5], None), (2, [], "x")], "id int, f array<double>, s string").repartition(2), path)
+    got = spark.read.format("tfrecords").load(path)
+    assert got.schema.simpleString() == "struct<f:float,id:bigint,s:string>" == tfrecord.infer_schema(spark, path).simpleString()
+    assert sorted(map(tuple, got.select("id", "f", "s").collect())) == [(1, 1.5, None), (2, None, "x")]
+    assert [r.id for r in spark.read.format("tfrecords").schema("id long").load(path).orderBy("id").collect()] == [1, 2]
+    # another writer's files: no manifest, folders in folders, hidden files
+    one = tfrecord.message("Example")()
+    one.features.feature["n"].int64_list.value.extend([7, 8])
+    (tmp_path / "b" / "c").mkdir(parents=True)
+    (tmp_path / "b" / "c" / "x.tfrecord").write_bytes(tfrecord.framed(one.SerializeToString(), b""))
+    (tmp_path / "b" / "_hidden").write_bytes(b"no record")
+    foreign = spark.read.format("tfrecords").load(f"file://{tmp_path}/b")
+    assert foreign.schema.simpleString() == "struct<n:array<bigint>>" and sorted((r.n for r in foreign.collect()), key=str) == [None, [7, 8]]
+    with pytest.raises(Exception, match="infer_schema"):
+        spark.read.format("tfrecords").option("inferBytes", 10).load(f"file://{tmp_path}/b").schema
+    with pytest.raises(Exception, match="append"):
+        got.write.format("tfrecords").mode("append").save(path)
+
+
+def test_damaged_files_raise(spark, tmp_path):
+    tfrecord.register(spark)
+    data = tfrecord.framed(b"", b"")
+    for i, bad in enumerate((data[:-1], data[:17], b"\x01" + data[1:], gzip.compress(data)[:-9], gzip.compress(data)[:20])):
+        (tmp_path / f"{i}.tfrecord").write_bytes(bad)
+        with pytest.raises(Exception, match="TFRecord"):
+            spark.read.format("tfrecords").schema("id long").load(f"{tmp_path}/{i}.tfrecord").collect()
+
+
+def test_checksums_are_those_of_single_bytes():
+    def plain(data):
+        c = 0xFFFFFFFF
+        for b in data:
+            c ^= b
+            for _ in range(8):
+                c = c >> 1 ^ (tfrecord.POLYNOMIAL if c & 1 else 0)
+        return c ^ 0xFFFFFFFF
+
+    datas = [bytes(i * 37 % 251 for i in range(n)) for n in (0, 1, 3, 4, 5, 63, 64, 65, 127, 128, 129, 1000, 8191)]
+    assert [int(x) for x in tfrecord.checksums(datas)] == [plain(d) for d in datas] and len(tfrecord.checksums([])) == 0
+    # a length whose bytes begin like a gzip file
+    assert list(tfrecord.records(tfrecord.framed(bytes(0x8B1F), b"x"))) == [bytes(0x8B1F), b"x"]
+
+
+class Stream:
+    """A file of many records that is made as it is read."""
+
+    def __init__(self, frame, times):
+        self.frame, self.left, self.at, self.most = frame, times, b"", 0
+
+    def peek(self, n):
+        return self.frame
+
+    def read(self, n):
+        self.most = max(self.most, n)
+        while len(self.at) < n and self.left:
+            self.at, self.left = self.at + self.frame, self.left - 1
+        out, self.at = self.at[:n], self.at[n:]
+        return out
+
+
+def test_a_stream_is_held_batch_by_batch():
+    s = Stream(tfrecord.framed(bytes(1 << 20)), 40)
+    sizes = [len(b) for b in tfrecord.record_batches(s)]
+    assert sum(sizes) == 40 and max(sizes) <= tfrecord.BATCH_BYTES >> 20 and s.most <= tfrecord.BATCH_BYTES
+    # a damaged length doesn't ask for the memory that it names
+    with pytest.raises(ValueError):
+        list(tfrecord.record_batches(Stream((1 << 60).to_bytes(8, "little") + bytes(8), 1), check=False))
+
+
+@pytest.mark.parametrize("commit", ["swap", "manifest"])
+def test_a_failed_commit_leaves_the_old_output(spark, tmp_path, monkeypatch, commit):
+    tfrecord.register(spark)
+    path = f"{tmp_path}/out"
+    ids = lambda: sorted(r.id for r in spark.read.format("tfrecords").schema("id long").load(path).collect())
+    for n in (3, 2):
+        spark.range(n).repartition(2).write.format("tfrecords").mode("overwrite").option("commit", commit).save(path)
+        assert ids() == list(range(n))
+        assert sum(p.name.endswith(".tfrecord") for p in (tmp_path / "out").iterdir()) == 2 and (tmp_path / "out" / "_SUCCESS").exists()
+    # a task fails: nothing is left of the job
+    failing = spark.range(9).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        failing.write.format("tfrecords").mode("overwrite").option("commit", commit).save(path)
+    assert ids() == [0, 1] and [p.name for p in tmp_path.iterdir()] == ["out"]
+    # the commit itself fails after the tasks
+    schema = spark.range(1).schema
+    writer = tfrecord._Writer({"path": path, "commit": commit}, schema)
+    (tmp_path / "lost").mkdir()
+
+    def put(fs, name, text):
+        raise OSError("disk full")
+
+    folder = writer._folder()[2]
+    name = f"part-0-{writer.job}.tfrecord"
+    tfrecord.file_system(folder)[0].create_dir(folder)
+    with open(f"{folder}/{name}", "wb") as f:
+        f.write(tfrecord.framed(b""))
+    monkeypatch.setattr(tfrecord._Writer, "_put", staticmethod(put))
+    with pytest.raises(OSError):
+        writer.commit([tfrecord._Done(name, 1, {})])
+    assert ids() == [0, 1]
+    writer.abort([])
+    assert ids() == [0, 1] and not any(writer.job in p.name for p in [*tmp_path.iterdir(), *(tmp_path / "out").iterdir()])
+
+
+def test_a_failed_swap_puts_the_old_output_back(tmp_path):
+    from pyarrow import fs as pafs
+
+    class Fs(pafs.LocalFileSystem):
+        pass
+
+    writer = tfrecord._Writer({"path": f"{tmp_path}/out"}, None)
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "old").write_text("x")
+    with pytest.raises(OSError):
+        writer._swapped(Fs(), f"{tmp_path}/out", f"{tmp_path}/not there")
+    assert (tmp_path / "out" / "old").read_text() == "x"
+
+
+def test_lost_files_of_a_manifest_raise(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    tfrecord.write_tfrecord(spark.range(4).repartition(2), path)
+    (tmp_path / "out" / "part-zz.tfrecord").write_bytes(b"of an attempt that doesn't count")
+    assert tfrecord.read_tfrecord(spark, path).count() == 4
+    next((tmp_path / "out").glob("part-00000*")).unlink()
+    with pytest.raises(ValueError, match="manifest"):
+        tfrecord.listing(path)
