@@ -12,6 +12,7 @@ from recspark.operators import clean, encode, evaluate, quality, sampling, seque
 from recspark.operators.indexing import global_index
 from recspark.operators.registry import Registry
 from recspark.plans import training
+from recspark.plans.stages import Stages
 from recspark.sources import sinks, tfrecord, text, views
 from recspark.sources.scratch import new_path, written
 
@@ -142,10 +143,10 @@ def latest_partition(spark, sf_dir):
 
 @query("SELECT (SELECT max(day) FROM ev) AS last, (SELECT max(day) FROM ev WHERE day <= '2024-01-20') AS nearest")
 def partition_days(spark, sf_dir):
-    """The last day of a table partitioned by day, and the last not after a given one."""
+    """The last day of a table partitioned by day, and the last not after a given one, from the listing of its files."""
     ev, path = _ev(spark, sf_dir), new_path(spark, "days")
     sinks.write_partition(ev, path, ["day"])
-    days = spark.read.schema(ev.schema).parquet(path)
+    days = text.listed_days(spark.read.schema(ev.schema).parquet(path))
     return text.last_day(days).select(F.col("day").alias("last")).crossJoin(text.latest_day(days, "2024-01-20").select(F.col("day").alias("nearest")))  # one row each
 
 
@@ -826,3 +827,17 @@ def training_run_encoded(spark, sf_dir):
     encoded = training.run(rows, _registry(), mode="rating", keep_negatives=0.5, feature_threshold=3).encoded
     flat = _encoded_flat(encoded).drop("has_feature")
     return encoded.select("sample_id", "split", "label", "rating", "target").join(flat, "sample_id")
+
+
+@query("SELECT k.*, p.pos AS user_pos FROM (" + (LAST := "SELECT sample_id, user_id, label, rating, CASE r WHEN 1 THEN 'test' WHEN 2 THEN 'val' ELSE 'train' END AS split FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY time_stamp DESC, sample_id DESC) AS r FROM (SELECT *, CASE WHEN rating >= 4 THEN 1 ELSE 0 END AS label FROM ev))") + """) k
+LEFT JOIN (SELECT user_id, row_number() OVER (ORDER BY count(*) DESC, user_id) AS pos FROM (""" + LAST + ") WHERE split = 'train' AND user_id <> '0' GROUP BY 1 HAVING count(*) >= 3) p USING (user_id)")
+def training_job_by_last(spark, sf_dir):
+    """A job that splits by a user's last rows, run once more over its finished stages, with the user's position in the vocabulary; number 0 is padding."""
+    registry = training.default_registry(["user_id", "context_time_week"])
+    rows, path = clean.labelled(_samples(spark, sf_dir)), new_path(spark, "job")
+    for _ in range(2):
+        job = Stages(spark, path)
+        done = training.run(rows, registry, mode="rating", feature_threshold=3, split_by="last", stages=job)
+    if job.made:
+        raise RuntimeError(f"stages {job.made} were made again")
+    return done.encoded.select("sample_id", "label", "rating", "split", F.get("user_id_index", F.lit(1)).alias("user_pos")).join(rows.select("sample_id", "user_id"), "sample_id")

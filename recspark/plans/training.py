@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.operators import clean, encode, quality, sequences, split, vocab, windows
 from recspark.operators.registry import CATEGORICAL, CONTINUOUS, Registry, default_builders, with_windows
+from recspark.plans.stages import Stages, source_digest
+from recspark.sources import sinks
 from recspark.sources.scratch import written
+from recspark.sources.tfrecord import write_tfrecord
 
 #: The features that samples are encoded with by default, name: (index, kind).
 DEFAULT_FEATURES = {
@@ -107,22 +111,99 @@ class Run:
     report: DataFrame
 
 
-def run(rows: DataFrame, registry: Registry, mode: str = "multi", keep_negatives: float = 1.0, train: float = 0.8, val: float = 0.1, feature_threshold: int = 10, target_threshold: int = 1, key: str = "sample_id", previous_vocab: DataFrame | None = None, previous_targets: DataFrame | None = None) -> Run:
-    """Down-sample, split by time, build the vocabulary on the train split, encode all splits.
-
-    ``rows`` come from ``samples`` with a unique ``key``. A row without a surviving feature or a mapped target is dropped.
-    The vocabulary and targets of an earlier run, where given, keep their positions and are added to.
+#: Splits of a run, as folders of its output.
+SPLITS = ("train", "val", "test")
+
+
+def run(
+    rows: DataFrame,
+    registry: Registry,
+    mode: str = "multi",
+    keep_negatives: float = 1.0,
+    train: float = 0.8,
+    val: float = 0.1,
+    feature_threshold: int = 10,
+    target_threshold: int = 1,
+    key: str = "sample_id",
+    previous_vocab: DataFrame | None = None,
+    previous_targets: DataFrame | None = None,
+    split_by: str = "time",
+    stages: Stages | None = None,
+    version: str = "",
+) -> Run:
+    """Down-sample, split, build the vocabulary on the train split, encode all splits.
+
+    ``rows`` come from ``samples`` with a unique ``key``. They are split by ``time`` in the given ratios, or a user's last row is test and the
+    one before it val (``last``). A row without a surviving feature or a mapped target is dropped. The vocabulary and targets of an
+    earlier run, where given, keep their positions and are added to.
+
+    With ``stages``, samples, targets, positions, encoded rows and report are tables of that job, and finished ones aren't made again.
+    ``version`` names what the files of ``rows`` don't tell (see ``source_digest``): the query over them and the features' builders.
     """
-    rows = split.downsample_negatives(rows, keep_negatives, F.col(key)).withColumn("target", clean.target(mode))
-    rows = split.time_ratio_split(written(rows, "samples"), [F.col("time_stamp"), F.col(key)], train, val)
-    targets = rows.where("split = 'train' and target is not null").select("target")
-    target_map = written(vocab.build_target_map(targets, target_threshold, previous_targets), "targets") if mode == "multi" else None
-    learned = registry.tokens(rows.where("split = 'train'"), key)
-    pos_map = written(vocab.build_pos_map(vocab.value_stats(learned), feature_threshold, previous_vocab), "positions")
-    encoded = encode.encode_rows(rows, pos_map, registry, key, keep=["split", "label", "rating", "target"]).where("has_feature")
-    out = encode.with_targets(encoded, target_map)
-    report = None
-    for name in ("train", "val", "test"):
-        one = quality.stage_report(rows.where(F.col("split") == name).withColumn("parse_ok", F.col("target").isNotNull()), name)
-        report = one if report is None else report.unionByName(one)
-    return Run(out, pos_map, target_map, report)
+    if split_by not in ("time", "last"):
+        raise ValueError(f"split_by {split_by} is neither time nor last")
+    if stages is None:
+        keep = lambda name, inputs, make, by=None: written(make(), name)
+        last = lambda name, inputs, make, by=None: make()
+        source = old = ""
+    else:
+        keep = last = stages.table
+        source = source_digest(rows, version)
+        old = [None if p is None else source_digest(p, version) for p in (previous_vocab, previous_targets)]
+
+    sampled = [source, mode, keep_negatives, key]
+    rows = keep("samples", sampled, lambda: split.downsample_negatives(rows, keep_negatives, F.col(key)).withColumn("target", clean.target(mode)))
+
+    @cache
+    def parted() -> DataFrame:
+        if split_by == "last":
+            return split.leave_one_out_split(rows, "user_id", [F.col("time_stamp").desc(), F.col(key).desc()])
+        return split.time_ratio_split(rows, [F.col("time_stamp"), F.col(key)], train, val)
+
+    def learned() -> DataFrame:
+        return parted().where("split = 'train'")
+
+    cut = [*sampled, split_by, *([train, val] if split_by == "time" else [])]
+    features = [[f.name, f.index, f.kind, list(f.depends)] for f in registry.active()]
+    of_targets, of_positions = [cut, target_threshold, old], [cut, features, feature_threshold, old]
+    target_map = None
+    if mode == "multi":
+        target_map = keep("targets", of_targets, lambda: vocab.build_target_map(learned().where("target is not null").select("target"), target_threshold, previous_targets))
+    pos_map = keep("positions", of_positions, lambda: vocab.build_pos_map(vocab.value_stats(registry.tokens(learned(), key)), feature_threshold, previous_vocab))
+
+    def encoded() -> DataFrame:
+        found = encode.encode_rows(parted(), pos_map, registry, key, keep=["split", "label", "rating", "target"]).where("has_feature")
+        return encode.with_targets(found, target_map)
+
+    def report() -> DataFrame:
+        out = None
+        for name in SPLITS:
+            one = quality.stage_report(parted().where(F.col("split") == name).withColumn("parse_ok", F.col("target").isNotNull()), name)
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    done = last("encoded", [of_positions, of_targets if mode == "multi" else None], encoded, by=["split"])
+    return Run(done, pos_map, target_map, last("report", cut, report))
+
+
+def write_run(done: Run, registry: Registry, path: str, fmt: str = "parquet") -> None:
+    """The encoded rows of a run in a folder a split, as Parquet or TFRecord files, and its vocabulary, which ``previous_run`` reads."""
+    fields = pos_fields(registry, done.pos_map.sparkSession)
+    for name in SPLITS:
+        one = done.encoded.where(F.col("split") == name).drop("split")
+        if fmt == "tfrecords":
+            write_tfrecord(one, f"{path}/{name}", "overwrite")
+        else:
+            one.write.mode("overwrite").format(fmt).save(f"{path}/{name}")
+    targets = done.target_map if done.target_map is not None else done.pos_map.sparkSession.createDataFrame([], "target int, idx long, cnt long")
+    sinks.write_vocabulary(done.pos_map, targets, vocab.pos_dim(done.pos_map, fields), f"{path}/vocabulary")
+
+
+def pos_fields(registry: Registry, spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(f.name, f.index, f.kind) for f in registry.active()], "field_name string, field_index int, field_type int")
+
+
+def previous_run(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The vocabulary and targets that ``write_run`` left, as arguments of the next run."""
+    positions, targets, _ = sinks.read_vocabulary(spark, f"{path}/vocabulary")
+    return {"previous_vocab": positions, "previous_targets": targets}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,13 +60,24 @@ def read_reports(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("stage string, total_count long, name string, type string, null_count long, null_ratio double, cardinality long, min string, max string, mean double, stddev double").json(path)
 
 
+def listed_days(df: DataFrame, column: str = "day") -> DataFrame:
+    """The values of a partition column, one row each, as strings, from the paths of a table's files: no file is opened.
+
+    ``df`` is the table as read, without further operators. Null partitions are left out; a table without files gives no rows.
+    """
+    found = (re.search(f"/{re.escape(column)}=([^/]+)/", path) for path in df.inputFiles())
+    # the partition's folder escapes its value, and the file's URI escapes the folder
+    values = sorted({unquote(unquote(m[1])) for m in found if m} - {"__HIVE_DEFAULT_PARTITION__"})
+    return df.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` string")
+
+
 def latest_day(df: DataFrame, day: str, column: str = "day") -> DataFrame:
-    """The largest day not after ``day``, as one row (day); null if there is none."""
+    """The largest day not after ``day``, as one row (day); null if there is none. Of a partitioned table, give ``listed_days``."""
     return df.where(F.col(column) <= day).agg(F.max(column).alias("day"))
 
 
 def last_day(df: DataFrame, column: str = "day") -> DataFrame:
-    """The largest day of all, as one row (day); over a table partitioned by it only the column's values are read."""
+    """The largest day of all, as one row (day). Of a partitioned table, give ``listed_days``."""
     return df.agg(F.max(column).alias("day"))
 
 

@@ -11,6 +11,7 @@ from recspark.operators import clean, encode, evaluate, indexing, quality, regis
 from recspark.operators.indexing import global_index, running_sums
 from recspark.operators.registry import load
 from recspark.plans import training
+from recspark.plans.stages import Stages, source_digest
 
 
 def rows(df, *cols):
@@ -296,6 +297,60 @@ def test_training_run(spark):
     assert rows(out.report, "stage", "total") == [("test", 1), ("train", 2), ("val", 1)]
 
 
+def test_run_by_last_rows(spark):
+    out = training.run(_samples(spark), training.default_registry(["user_id", "movie_id"]), mode="rating", feature_threshold=1, split_by="last")
+    got = {x.sample_id: x.split for x in out.encoded.collect()}
+    by_user = {}
+    for x in _samples(spark).select("sample_id", "user_id", "time_stamp").collect():
+        by_user.setdefault(x.user_id, []).append((x.time_stamp, x.sample_id))
+    want = {s: name for v in by_user.values() for name, (_, s) in zip(["test", "val", *["train"] * len(v)], sorted(v, reverse=True))}
+    assert got.items() <= want.items() and set(got.values()) >= {"test"}
+    with pytest.raises(ValueError):
+        training.run(_samples(spark), training.default_registry(["user_id"]), split_by="day")
+
+
+def test_a_killed_job_goes_on(spark, tmp_path, monkeypatch):
+    r, path, rows_ = training.default_registry(["user_id", "movie_id"]), f"{tmp_path}/in", _samples(spark)
+    rows_.write.parquet(path)
+    args = {"train": 0.5, "val": 0.25, "feature_threshold": 1}
+    fresh = lambda: spark.read.schema(rows_.schema).parquet(path)
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="killed"):
+        m.setattr(training.encode, "encode_rows", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+        training.run(fresh(), r, stages=Stages(spark, f"{tmp_path}/job"), **args)
+    again = Stages(spark, f"{tmp_path}/job")
+    with monkeypatch.context() as m:
+        # nothing that the vocabulary is built with is called again
+        m.setattr(training.vocab, "build_pos_map", None)
+        m.setattr(training.vocab, "build_target_map", None)
+        out = training.run(fresh(), r, stages=again, **args)
+    assert again.taken == ["samples", "targets", "positions"] and again.made == ["encoded", "report"]
+    plain = training.run(rows_, r, **args)
+    for a, b in ((out.encoded, plain.encoded), (out.pos_map, plain.pos_map), (out.target_map, plain.target_map), (out.report, plain.report)):
+        assert sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(map(str, b.select(sorted(b.columns)).collect()))
+    # another threshold of targets leaves samples and positions, other features leave samples and targets
+    third = Stages(spark, f"{tmp_path}/job")
+    training.run(fresh(), r, stages=third, target_threshold=2, **args)
+    assert third.taken == ["samples", "positions", "report"] and third.made == ["targets", "encoded"]
+    # a half-written table without its manifest is made anew, other input is other stages
+    rows_.limit(1).write.mode("append").parquet(path)
+    fourth = Stages(spark, f"{tmp_path}/job")
+    training.run(fresh().dropDuplicates(["sample_id"]), r, stages=fourth, **args)
+    assert fourth.taken == []
+    # outputs by split, and the next run's vocabulary by path
+    for fmt in ("parquet", "tfrecords"):
+        training.write_run(out, r, f"{tmp_path}/{fmt}", fmt)
+        if fmt == "parquet":
+            sizes = {n: spark.read.parquet(f"{tmp_path}/{fmt}/{n}").count() for n in training.SPLITS}
+        else:
+            assert sizes == {n: spark.read.format("tfrecords").schema("sample_id long").load(f"{tmp_path}/{fmt}/{n}").count() for n in training.SPLITS}
+    assert sizes == {n: out.encoded.where(F.col("split") == n).count() for n in training.SPLITS}
+    second = training.run(rows_, r, train=1.0, val=0.0, feature_threshold=1, **training.previous_run(spark, f"{tmp_path}/parquet"))
+    old, new = ({(x.field_index, x.key): x.pos for x in v.collect()} for v in (out.pos_map, second.pos_map))
+    assert old.items() <= new.items()
+    with pytest.raises(ValueError, match="version"):
+        source_digest(spark.createDataFrame([(1,)], "x int"))
+
+
 @pytest.mark.parametrize(("labels", "scores", "want"), [("0011", [0.1, 0.2, 0.9, 0.8], 1.0), ("0011", [0.9, 0.8, 0.1, 0.2], 0.0), ("0101", [0.3, 0.4, 0.5, 0.6], 0.75), ("1100", [0.9, 0.4, 0.6, 0.3], 0.75), ("11", [0.1, 0.2], 0.5), ("01", [0.5, 0.5], 0.5), ("", [], 0.5)])
 def test_auc(spark, labels, scores, want):
     df = spark.createDataFrame([(float(a), b, "g") for a, b in zip(labels, scores, strict=True)], "label double, score double, g string")

@@ -109,6 +109,20 @@ def test_days_of_partitions(spark):
     assert text.last_day(df.limit(0)).first().day is None
 
 
+def test_days_from_the_listing_open_no_file(spark, tmp_path):
+    days = ["2024-01-01", "2024-01-03", "a b/c:d%20", None]
+    spark.createDataFrame([(d, 1) for d in days], "day string, x int").write.partitionBy("day").parquet(f"{tmp_path}/t")
+    df = spark.read.schema("x int, day string").parquet(f"{tmp_path}/t")
+    for f in (tmp_path / "t").rglob("*.parquet"):
+        f.write_bytes(b"not read")
+    listed = text.listed_days(df)
+    assert sorted(r.day for r in listed.collect()) == sorted(d for d in days if d)
+    assert text.latest_day(listed, "2024-01-02").first().day == "2024-01-01"
+    with pytest.raises(Exception):
+        text.last_day(df.where("x > 0")).first()
+    assert text.listed_days(df.limit(0), "x").count() == 0
+
+
 def test_vocabulary_files(spark, tmp_path):
     schema = "field_index int, field_type int, key string, pos long, cnt long, sum double, sum_sq double, mean double, m2 double"
     v = spark.createDataFrame([(1, 1, "é", 1, 3, 3.0, 3.0, 1.0, 0.0), (1, 1, "b", 2, 2, 2.0, 2.0, 1.0, 0.0), (7, 0, "1", 1, 2, 4.0, 10.0, 2.0, 2.0)], schema)
