@@ -93,6 +93,20 @@ def load_yaml(text: str, builders: dict[str, Callable[[], Column]], prepare: Cal
     return load(yaml.safe_load(text) or {}, builders, prepare)
 
 
+def as_config(registry: Registry) -> dict:
+    """The configuration that ``load`` makes the same registry of, given the same builders."""
+    shared = [{"field_name": f.name, "field_index": f.index, "enabled": f.enabled} for f in registry.features]
+    plain = [{**c, "field_type": f.kind} for c, f in zip(shared, registry.features, strict=True) if not f.depends]
+    return {"features": plain, "cross_features": [{**c, "depends": list(f.depends)} for c, f in zip(shared, registry.features, strict=True) if f.depends]}
+
+
+def as_yaml(registry: Registry) -> str:
+    """``as_config`` as YAML text; needs the yaml package."""
+    import yaml
+
+    return yaml.safe_dump(as_config(registry), sort_keys=False)
+
+
 def _token(raw: Column, key: Column, fea: Column, value: Column, parts: Column | None = None) -> Column:
     parts = F.lit(None) if parts is None else parts
     return F.struct(raw.cast("string").alias("raw"), key.cast("string").alias("key"), fea.cast("long").alias("fea"), value.cast("double").alias("value"), parts.cast(PARTS).alias("parts"))

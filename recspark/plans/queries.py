@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.functions import scalars as X
-from recspark.operators import clean, encode, evaluate, quality, sampling, sequences, split, vocab, windows
+from recspark.operators import clean, encode, evaluate, profiles, quality, sampling, sequences, split, vocab, windows
 from recspark.operators.indexing import global_index
 from recspark.operators.registry import Registry
 from recspark.plans import training
@@ -689,6 +689,17 @@ def quality_report(spark, sf_dir):
     return quality.quality_report(_ix(spark, sf_dir), "clean").withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
 
 
+@query("SELECT total_count, name, type, null_count, null_ratio, min, max, round(mean, 3) AS mean, round(stddev, 3) AS stddev, CASE WHEN type = 'string' THEN true END AS near FROM (" + _report_sql("ix", "", [c for c in _IX_COLS if c[0] != "day"]) + ")")
+def quality_report_merged(spark, sf_dir):
+    """The report of all days from the profiles of each; ``near`` tells that a cardinality is within 5% of the exact one."""
+    ix = _ix(spark, sf_dir)
+    days = written(profiles.column_profiles(ix, ["day"]), "profiles")
+    whole = profiles.report(profiles.merged_profiles(days), "clean")
+    exact = quality.quality_report(ix.drop("day"), "clean").select("name", F.col("cardinality").alias("exact"))
+    near = F.abs(F.col("cardinality") - F.col("exact")) <= 0.05 * F.col("exact")
+    return whole.join(exact, "name").select("total_count", "name", "type", "null_count", "null_ratio", "min", "max", F.round("mean", 3).alias("mean"), F.round("stddev", 3).alias("stddev"), near.alias("near"))
+
+
 @query("WITH " + COMMON + ", a AS (" + _report_sql("ix", "WHERE rating >= 3", _IX_COLS) + "), b AS (" + _report_sql("ix", "WHERE day < '1997-01-01'", _IX_COLS) + """)
 SELECT name, m AS metric, round(prev, 6) AS prev, round(curr, 6) AS curr, coalesce(CASE m WHEN 'count' THEN abs(curr - prev) / greatest(prev, 1) > 0.2 WHEN 'null_ratio' THEN abs(curr - prev) > 0.05 ELSE prev <> 0 AND abs(curr - prev) / abs(prev) > 0.5 END, false) AS warn FROM (
 SELECT name, 'count' AS m, b.total_count::DOUBLE AS prev, a.total_count::DOUBLE AS curr FROM a JOIN b USING (name) UNION ALL SELECT name, 'null_ratio', b.null_ratio, a.null_ratio FROM a JOIN b USING (name)

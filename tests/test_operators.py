@@ -280,6 +280,17 @@ def test_default_crosses_and_configuration():
         assert [f.name for f in load(config, {"user_id": lambda: F.lit(None)}).active()] == ["user_id"]
 
 
+def test_yaml_configuration(tmp_path):
+    pytest.importorskip("yaml")
+    whole = training.default_registry(None, ["movie_genres_xx_user_gender"])
+    (tmp_path / "features.yaml").write_text(registry.as_yaml(whole))
+    back = registry.load_yaml((tmp_path / "features.yaml").read_text(), registry.default_builders(), registry.with_windows)
+    described = [[(f.name, f.index, f.kind, f.enabled, f.depends) for f in r.features] for r in (whole, back)]
+    assert described[0] == described[1] and [f.name for f in back.active()] == [f.name for f in whole.active()] and len(back.active()) == 70
+    own = "features:\n  - {field_name: user_id, field_index: 1, field_type: 1}\n  - {field_name: movie_id, field_index: 101, field_type: 1, enabled: false}\ncross_features:\n"
+    assert [f.name for f in registry.load_yaml(own, registry.default_builders()).active()] == ["user_id"] and registry.load_yaml("", {}).features == []
+
+
 def test_run_with_previous_vocabulary(spark):
     r = training.default_registry(["user_id", "movie_id"])
     first = training.run(_samples(spark), r, train=0.5, val=0.25, feature_threshold=1)
@@ -518,3 +529,41 @@ def test_defaults_labels_and_item_features(spark):
     items = spark.createDataFrame([("k", "new"), ("i", "own")], "item_id string, title string")
     got = sampling.with_negatives(positives, negatives, items)
     assert rows(got.fillna("-"), "user_id", "item_id", "rating", "title", "label") == [("u", "i", 5, "old", 1), ("u", "k", 0, "new", 0), ("u", "unknown", 0, "-", 0), ("v", "j", 4, "old", 1)]
+
+
+def test_profiles_merge(spark):
+    from recspark.operators import profiles
+
+    df = spark.range(20000).select(
+        (F.col("id") % 7).cast("string").alias("day"), F.concat(F.lit("u"), F.col("id") % 3000).alias("name"),
+        F.when(F.col("id") % 10 > 0, (F.col("id") * 37 % 1000).cast("double")).alias("total"), F.lit(None).cast("int").alias("empty"), F.col("id").cast("decimal(12,2)").alias("d"),
+    )
+    df = df.unionByName(spark.createDataFrame([(None, None, None, None, None)], df.schema))
+    days = profiles.column_profiles(df, ["day"])
+    assert days.count() == 8 * 4
+    got = {r.name: r for r in profiles.report(profiles.merged_profiles(days), "x").collect()}
+    want = {r.name: r for r in quality.quality_report(df.drop("day"), "x").collect()}
+    assert set(got) == set(want)
+    for name, w in want.items():
+        g = got[name]
+        assert (g.total_count, g.type, g.null_count, g.null_ratio, g.min, g.max) == (w.total_count, w.type, w.null_count, w.null_ratio, w.min, w.max)
+        assert (g.mean, g.stddev) == (w.mean, w.stddev) or (g.mean == pytest.approx(w.mean) and g.stddev == pytest.approx(w.stddev))
+        assert g.cardinality == w.cardinality or abs(g.cardinality - w.cardinality) < 0.04 * w.cardinality
+    # in two steps as in one, and quantiles within their error
+    halves = profiles.merged_profiles(days.withColumn("half", F.col("day") < "3"), ["half"])
+    assert {r.name: r.mean for r in profiles.merged_profiles(halves).collect()} == pytest.approx({r.name: r.mean for r in profiles.merged_profiles(days).collect()})
+    for r in profiles.quantiles(profiles.merged_profiles(days), [0.1, 0.5, 0.9]).collect():
+        assert r.name in ("total", "d") and abs(r.value / (1000 if r.name == "total" else 20000) - r.share) < 0.02
+    assert profiles.column_profiles(df.limit(0), ["day"]).count() == 0 == profiles.merged_profiles(days.limit(0)).count()
+
+
+def test_drift_of_distributions(spark):
+    from recspark.operators import profiles
+
+    df = spark.range(5000).select(F.col("id").cast("double").alias("same"), (F.col("id") % 100).alias("moved"), F.lit(None).cast("double").alias("none"))
+    now = df.withColumn("moved", F.when(F.col("moved") < 50, F.col("moved")).otherwise(F.col("moved") + 100))
+    late = df.withColumn("moved", F.col("moved") + 30)
+    a, b, c = (profiles.column_profiles(x) for x in (df, now, late))
+    got = {r.name: (r.distance, r.warn) for r in profiles.distribution_drift(b, a).collect()}
+    assert set(got) == {"same", "moved"} and not got["same"][1] and got["same"][0] < 0.03 and got["moved"][1] and abs(got["moved"][0] - 0.5) < 0.06
+    assert abs({r.name: r.distance for r in profiles.distribution_drift(c, a).collect()}["moved"] - 0.3) < 0.04
