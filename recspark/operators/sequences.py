@@ -65,11 +65,14 @@ def with_genres(seqs: DataFrame, items: DataFrame) -> DataFrame:
     return joined.groupBy("user_id").agg(F.array_sort(F.collect_list(element)).alias("a")).select("user_id", F.transform("a", lambda x: x["v"]).alias("seq"))
 
 
-def join_samples(ix: DataFrame, users: DataFrame, seqs: DataFrame, stats: DataFrame) -> DataFrame:
-    """Every interaction with user_profile and item_feature structs and its user's sequence; what is missing is null."""
+def join_samples(ix: DataFrame, users: DataFrame, seqs: DataFrame | None, stats: DataFrame) -> DataFrame:
+    """Every interaction with user_profile and item_feature structs and, where given, its user's sequence; what is missing is null."""
     u = users.select("user_id", F.struct("gender", "age", "occupation", "zip_code").alias("user_profile"))
     i = stats.select("item_id", F.struct("title", "genres", "genre_cnt", "rate_count", "avg_rate", "hot_rank").alias("item_feature"))
-    return ix.join(u, "user_id", "left").join(seqs.select("user_id", F.col("seq").alias("user_behavior")), "user_id", "left").join(i, "item_id", "left")
+    joined = ix.join(u, "user_id", "left")
+    if seqs is not None:
+        joined = joined.join(seqs.select("user_id", F.col("seq").alias("user_behavior")), "user_id", "left")
+    return joined.join(i, "item_id", "left")
 
 
 def star_join(facts: DataFrame, ads: DataFrame, profiles: DataFrame, seqs: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.functions import scalars as X
-from recspark.operators import clean, encode, evaluate, profiles, quality, sampling, sequences, split, vocab, windows
+from recspark.operators import clean, encode, evaluate, point_in_time, profiles, quality, sampling, sequences, split, vocab, windows
 from recspark.operators.indexing import global_index
 from recspark.operators.registry import Registry
 from recspark.plans import training
@@ -170,15 +171,47 @@ def _age(d: str) -> str:
 
 @query("SELECT ev.sample_id, " + _window_sql(lambda d: f"count(age) FILTER (WHERE {_age(d)}) AS cnt_{d}, round(coalesce(avg(h_rating) FILTER (WHERE {_age(d)}), 3.0), 6) AS avg_{d}, round(coalesce(stddev_pop(h_rating) FILTER (WHERE {_age(d)}), 0.0), 6) AS std_{d}") + " FROM ev LEFT JOIN hist USING (sample_id) GROUP BY 1")
 def user_window_stats(spark, sf_dir):
-    s = windows.snapshot_stats(_history(spark, sf_dir))
+    return _rounded_stats(windows.snapshot_stats(_history(spark, sf_dir)))
+
+
+AS_OF = "SELECT sample_id, " + _window_sql(lambda d: (lambda w: f"count(*) OVER ({w}) AS cnt_{d}, round(coalesce(avg(rating) OVER ({w}), 3.0), 6) AS avg_{d}, round(coalesce(stddev_pop(rating) OVER ({w}), 0.0), 6) AS std_{d}")(
+    f"PARTITION BY user_id ORDER BY time_stamp RANGE BETWEEN {'UNBOUNDED' if d == 'all' else int(d) * 86400} PRECEDING AND 1 PRECEDING")) + " FROM ev"
+
+
+def _rounded_stats(s: DataFrame) -> DataFrame:
     return s.select("sample_id", *[c for d in _D for c in (F.col(f"cnt_{d}"), F.round(f"avg_{d}", 6).alias(f"avg_{d}"), F.round(f"std_{d}", 6).alias(f"std_{d}"))])
 
 
-@query("SELECT sample_id, " + _window_sql(lambda d: (lambda w: f"count(*) OVER ({w}) AS cnt_{d}, round(coalesce(avg(rating) OVER ({w}), 3.0), 6) AS avg_{d}, round(coalesce(stddev_pop(rating) OVER ({w}), 0.0), 6) AS std_{d}")(
-    f"PARTITION BY user_id ORDER BY time_stamp RANGE BETWEEN {'UNBOUNDED' if d == 'all' else int(d) * 86400} PRECEDING AND 1 PRECEDING")) + " FROM ev")
+@query(AS_OF)
 def user_window_stats_asof(spark, sf_dir):
-    s = windows.as_of_stats(_ev(spark, sf_dir))
-    return s.select("sample_id", *[c for d in _D for c in (F.col(f"cnt_{d}"), F.round(f"avg_{d}", 6).alias(f"avg_{d}"), F.round(f"std_{d}", 6).alias(f"std_{d}"))])
+    return _rounded_stats(windows.as_of_stats(_ev(spark, sf_dir)))
+
+
+@query(AS_OF)
+def user_window_stats_sums(spark, sf_dir):
+    """The same by differences of running sums: a user of any size is spread over tasks."""
+    ev = _ev(spark, sf_dir)
+    return _rounded_stats(point_in_time.stats_before(ev, ev))
+
+
+@query("""SELECT sample_id, string_agg(h_item || ':' || h_rating, ',' ORDER BY r) AS ids, count(*) AS n, min(ts) AS first_ts FROM
+(SELECT s.sample_id, h.item_id AS h_item, h.rating AS h_rating, h.time_stamp AS ts, row_number() OVER (PARTITION BY s.sample_id ORDER BY h.time_stamp DESC, h.item_id, h.rating DESC) AS r
+ FROM ev s JOIN ev h ON s.user_id = h.user_id AND h.time_stamp < s.time_stamp) WHERE r <= 200 GROUP BY 1""")
+def history_before(spark, sf_dir):
+    """The user's last events before each sample, newest first."""
+    h = point_in_time.sequences_before(_ev(spark, sf_dir), HISTORY).where(F.size("history") > 0)
+    ids = F.concat_ws(",", F.transform("history", lambda x: F.concat_ws(":", x["item_id"], x["rating"].cast("string"))))
+    return h.select("sample_id", ids.alias("ids"), F.size("history").cast("long").alias("n"), F.array_min(F.transform("history", lambda x: x["ts"])).alias("first_ts"))
+
+
+@query("""WITH """ + COMMON + """, own AS (SELECT sample_id, user_id, time_stamp, unnest(list_distinct(genres)) AS genre FROM ev JOIN items USING (item_id)),
+given AS (SELECT user_id, time_stamp, rating, unnest(list_distinct(genres)) AS genre FROM ev JOIN items USING (item_id)),
+st AS (SELECT a.sample_id, a.genre, avg(b.rating) AS m, min(a.time_stamp - b.time_stamp) AS age FROM own a LEFT JOIN given b ON a.user_id = b.user_id AND a.genre = b.genre AND b.time_stamp < a.time_stamp GROUP BY 1, 2)
+SELECT ev.sample_id, """ + ", ".join(f"CASE WHEN min(age) <= {d} * 86400 THEN 2 ELSE 1 END AS hit_{n}" for n, d in (("all", 9999), (1, 1), (3, 3), (7, 7), (15, 15))) + """, round(coalesce(avg(m), 3.0), 6) AS same_genre_rate FROM ev LEFT JOIN st USING (sample_id) GROUP BY 1""")
+def same_genre_before(spark, sf_dir):
+    ev = _ev(spark, sf_dir)
+    out = point_in_time.same_genre_before(ev, ev, views.items(spark, sf_dir))
+    return out.select("sample_id", *[f"hit_{d}" for d in ("all", 1, 3, 7, 15)], F.round("same_genre_rate", 6).alias("same_genre_rate"))
 
 
 @query("SELECT sample_id, w AS days, string_agg(h_item || ':' || h_rating, ',' ORDER BY rk) AS ids FROM hist, (VALUES (1), (3), (7), (15), (9999)) v(w) WHERE age <= w * 86400 GROUP BY 1, 2")
@@ -513,6 +546,15 @@ def pos_map_incremental(spark, sf_dir):
     return vocab.build_pos_map(vocab.value_stats(t.where("sample_id % 2 = 1")), 3, first).select("field_index", "field_type", "key", "pos", "cnt")
 
 
+@query(TOKENS_SQL + INCREMENTAL)
+def pos_map_bucketed(spark, sf_dir):
+    """The same from a vocabulary kept in buckets, which isn't shuffled."""
+    t = _tokens(spark, sf_dir)
+    name, path = f"vocabulary_{uuid.uuid4().hex}", new_path(spark, "vocabulary")
+    first = sinks.save_vocabulary(vocab.build_pos_map(vocab.value_stats(t.where("sample_id % 2 = 0")), 3), name, path)
+    return vocab.build_pos_map(vocab.value_stats(t.where("sample_id % 2 = 1")), 3, first).select("field_index", "field_type", "key", "pos", "cnt")
+
+
 @query(TOKENS_SQL + "SELECT field_index, field_type, key, pos, cnt FROM pos_map")
 def vocab_json_roundtrip(spark, sf_dir):
     """The vocabulary written as JSON, a text a field, and restored."""

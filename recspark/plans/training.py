@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.operators import clean, encode, quality, sequences, split, vocab, windows
+from recspark.operators.point_in_time import sequences_before
 from recspark.operators.registry import CATEGORICAL, CONTINUOUS, Registry, default_builders, with_windows
 from recspark.plans.stages import Stages, source_digest
 from recspark.sources import sinks
@@ -95,12 +96,18 @@ def default_registry(only: list[str] | None = None, crosses: list[str] | None =
     return out
 
 
-def samples(ix: DataFrame, items: DataFrame, users: DataFrame, n: int = 200) -> DataFrame:
-    """Interactions with label, profile, item features and history, ready for the registry."""
+def samples(ix: DataFrame, items: DataFrame, users: DataFrame, n: int = 200, as_of: bool = False) -> DataFrame:
+    """Interactions with label, profile, item features and history, ready for the registry.
+
+    A history is what lies before the sample of the user's ``n`` last items (of the whole table, each by its last event), or ``as_of`` the
+    ``n`` events before the sample: then an early sample of a long history has one too, and no user's rows meet in one task.
+    """
     stats = sequences.item_stats(ix, items)
+    if as_of:
+        joined = clean.labelled(sequences.join_samples(ix, users, None, stats))
+        return sequences_before(joined, n, F.struct("item_id", "rating", F.col("time_stamp").alias("ts"), F.col("item_feature.genres").alias("genres")))
     seqs = sequences.with_genres(sequences.user_sequences(ix, n), items)
-    joined = sequences.join_samples(ix, users, seqs, stats)
-    return windows.with_history(clean.labelled(joined.drop("user_behavior")), seqs)
+    return windows.with_history(clean.labelled(sequences.join_samples(ix, users, None, stats)), seqs)
 
 
 @dataclass

@@ -40,6 +40,24 @@ def write_vocabulary(pos_map: DataFrame, target_map: DataFrame, dims: DataFrame,
     dims.coalesce(1).write.mode("overwrite").csv(f"{path}/pos_dim", header=True)
 
 
+#: What a vocabulary is joined by.
+VOCABULARY_KEY = ("field_index", "field_type", "key")
+
+
+def save_vocabulary(pos_map: DataFrame, name: str, path: str, buckets: int | None = None) -> DataFrame:
+    """The vocabulary as catalog table ``name`` at ``path``, one sorted file a bucket of its key, and read from there.
+
+    Builds and reports that are given it shuffle their new keys to its buckets, and the vocabulary stays where it is; with fewer
+    buckets than ``spark.sql.shuffle.partitions``, their default, Spark may rather shuffle it for more tasks. An existing table of the name
+    is an error, since ``pos_map`` may be read from it: an addition goes to a new name and path.
+    """
+    spark = pos_map.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pos_map.repartition(n, *VOCABULARY_KEY)
+    dealt.write.format("parquet").option("path", path).bucketBy(n, *VOCABULARY_KEY).sortBy(*VOCABULARY_KEY).saveAsTable(name)
+    return spark.table(name)
+
+
 def vocabulary_json(pos_map: DataFrame) -> DataFrame:
     """(field_index, field_type, json): the entries of each field as one JSON text, for consumers that want a file a field."""
     entry = F.struct("pos", "key", "cnt", "sum", "sum_sq", "mean", "m2")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.functions.hashing import hash_bytes, hash_keys
-from recspark.operators import clean, encode, evaluate, indexing, quality, registry, sampling, sequences, split, vocab
+from recspark.operators import clean, encode, evaluate, indexing, point_in_time, quality, registry, sampling, sequences, split, vocab, windows
 from recspark.operators.indexing import global_index, running_sums
 from recspark.operators.registry import load
 from recspark.plans import training
@@ -567,3 +567,121 @@ def test_drift_of_distributions(spark):
     got = {r.name: (r.distance, r.warn) for r in profiles.distribution_drift(b, a).collect()}
     assert set(got) == {"same", "moved"} and not got["same"][1] and got["same"][0] < 0.03 and got["moved"][1] and abs(got["moved"][0] - 0.5) < 0.06
     assert abs({r.name: r.distance for r in profiles.distribution_drift(c, a).collect()}["moved"] - 0.3) < 0.04
+
+
+def _events(n, seed):
+    """Rows of a heavy user, of some others and of none, with ties, repeats and nulls."""
+    rnd = random.Random(seed)
+    day = 86400
+    made = [(i, rnd.choice(["h"] * 6 + ["a", "b", None]), rnd.choice("xyzw"), rnd.choice([1, 2, 3, 4, 5, 5, None]), rnd.choice([None, 5 * day, *[rnd.randrange(60 * day) for _ in range(20)]])) for i in range(n)]
+    return made + [(n + k, *r[1:]) for k, r in enumerate(made[:20])]
+
+
+EVENTS = "sample_id int, user_id string, item_id string, rating int, time_stamp long"
+
+
+def _before(events, user, t, days=None):
+    return [] if t is None else [e for e in events if e[1] == user and e[4] is not None and e[4] < t and (days is None or e[4] >= t - days * 86400)]
+
+
+def _close(got, want):
+    assert got.keys() == want.keys()
+    for k, w in want.items():
+        assert got[k] == pytest.approx(w, abs=1e-9), k
+
+
+def test_stats_before_by_brute_force(spark):
+    data = _events(300, 1)
+    df = spark.createDataFrame(data, EVENTS)
+    # other samples than the events, with a user who has no events, and columns of the helpers' and the results' names
+    asked = [(i, r[1] if i % 5 else "new", r[4] and r[4] + i % 3) for i, r in enumerate(data)]
+    samples = spark.createDataFrame(asked, "sample_id int, user_id string, time_stamp long").withColumns({"at": F.lit(1), "kind": F.lit("k"), "w": F.lit(2), "cnt_all": F.lit(9)})
+    want = {}
+    for i, user, t in asked:
+        row = []
+        for d in (None, 3, 30):
+            own = _before(data, user, t, d)
+            rated = [e[3] for e in own if e[3] is not None]
+            row += [len(own), np.mean(rated) if rated else 3.0, np.std(rated) if rated else 0.0]
+        want[i] = tuple(row)
+    out = point_in_time.stats_before(samples, df, days=(3, 30))
+    assert set(samples.columns) <= set(out.columns) and len(out.columns) == len(set(out.columns))
+    names = [f"{c}_{d}" for d in ("all", 3, 30) for c in ("cnt", "avg", "std")]
+    got = {r.sample_id: tuple(r[n] for n in names) for r in out.collect()}
+    _close(got, want)
+    halves = df.withColumn("rating", F.col("rating") / 2)
+    half = {r.sample_id: r.avg_30 for r in point_in_time.stats_before(samples, halves, days=(30,), unit=0.5).collect()}
+    _close(half, {i: w[7] if not w[6] or w[7] == 3.0 and not any(e[3] is not None for e in _before(data, asked[i][1], asked[i][2], 30)) else w[7] / 2 for i, w in want.items()})
+    assert point_in_time.stats_before(samples.limit(0), df).count() == 0
+    assert {r.cnt_all for r in point_in_time.stats_before(samples, df.limit(0)).collect()} == {0}
+
+
+def test_stats_before_agree_with_range_windows(spark):
+    data = [(i, *r[1:]) for i, r in enumerate(r for r in _events(200, 2) if r[4] is not None)]
+    df = spark.createDataFrame(data, EVENTS)
+    names = [f"{c}_{d}" for d in ("all", *windows.DAYS) for c in ("cnt", "avg", "std")]
+    a, b = ({r.sample_id: tuple(r[n] for n in names) for r in x.collect()} for x in (windows.as_of_stats(df), point_in_time.stats_before(df, df)))
+    _close(a, b)
+
+
+@pytest.mark.parametrize("n, chunk", [(3, 4), (5, 5), (7, 2), (50, 1000)])
+def test_sequences_before_by_brute_force(spark, n, chunk):
+    data = _events(250, n)
+    df = spark.createDataFrame(data, EVENTS).withColumns({"part": F.lit("p"), "e": F.lit(1), "history": F.lit(0)})
+    out = point_in_time.sequences_before(df, n, chunk=chunk)
+    assert len(out.columns) == len(df.columns)
+    got = {r.sample_id: [tuple(x) for x in r.history] for r in out.collect()}
+    assert len(got) == len(data)
+    for i, user, _, _, t in data:
+        own = sorted(_before(data, user, t), key=lambda e: (-e[4], e[2], -(e[3] or 0)))
+        assert got[i] == [(e[2], e[3], e[4]) for e in own[:n]]
+    assert point_in_time.sequences_before(df.limit(0), n).count() == 0
+
+
+def test_sequences_before_make_lists_after_the_last_shuffle_and_split_a_user(spark):
+    df = spark.range(4000).select(F.col("id").alias("sample_id"), F.lit("u").alias("user_id"), F.col("id").cast("string").alias("item_id"), F.lit(3).alias("rating"), F.col("id").alias("time_stamp"))
+    coalesced = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesced, "false")
+    try:
+        out = point_in_time.sequences_before(df, 10, chunk=100)
+        lines = out._jdf.queryExecution().executedPlan().toString().split("\n")
+        made = next(i for i, x in enumerate(lines) if "collect_list" in x)
+        assert not any("Exchange" in x for x in lines[:made])
+        # the lists are read, or they and the shuffle before them would be pruned
+        sizes = [r.n for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum(F.size("history"))).collect()]
+    finally:
+        spark.conf.unset(coalesced)
+    assert sum(sizes) == 4000 and len(sizes) > 1 and max(sizes) < 3000
+
+
+def test_same_genre_before_by_brute_force(spark):
+    data = _events(200, 3)
+    genres = {"x": ["g", "h"], "y": ["h"], "z": None, "w": ["i", "g", "g", None]}
+    items = spark.createDataFrame([*genres.items(), ("v", ["g"])], "item_id string, genres array<string>")
+    df = spark.createDataFrame(data, EVENTS)
+    got = {r.sample_id: (r.hit_all, r.hit_3, r.same_genre_rate) for r in point_in_time.same_genre_before(df, df, items, (3,)).collect()}
+    want = {}
+    for i, user, item, _, t in data:
+        own = set(genres[item] or [])
+        of = {d: [(e, g) for e in _before(data, user, t, d) for g in set(genres[e[2]] or []) & own] for d in (None, 3)}
+        rates = []
+        for g in own:
+            seen = [e for e, x in of[None] if x == g]
+            if seen:
+                rated = [e[3] for e in seen if e[3] is not None]
+                rates.append(np.mean(rated) if rated else 3.0)
+        want[i] = (2 if of[None] else 1, 2 if of[3] else 1, np.mean(rates) if rates else 3.0)
+    _close(got, want)
+
+
+def test_samples_with_histories_as_of_each_sample(spark):
+    ix = spark.createDataFrame([("u", "a", 3, 10), ("u", "a", 4, 20), ("u", "b", 5, 30), ("v", "a", 2, 1)], "user_id string, item_id string, rating int, time_stamp long")
+    items = spark.createDataFrame([("a", "A (1990)", ["g"]), ("b", "B (1991)", ["h", "i"])], "item_id string, title string, genres array<string>")
+    users = spark.createDataFrame([("u", "M", "25", "1", "0")], "user_id string, gender string, age string, occupation string, zip_code string")
+    snapshot, as_of = (training.samples(ix, items, users, 2, as_of=x) for x in (False, True))
+    assert sorted(snapshot.columns) == sorted(as_of.columns) and dict(snapshot.dtypes)["history"] == dict(as_of.dtypes)["history"]
+    seen = lambda df: {(r.user_id, r.time_stamp): [(h.item_id, h.rating, h.genres) for h in r.history] for r in df.collect()}
+    assert seen(as_of) == {("u", 10): [], ("u", 20): [("a", 3, ["g"])], ("u", 30): [("a", 4, ["g"]), ("a", 3, ["g"])], ("v", 1): []}
+    assert seen(snapshot)["u", 20] == [] and seen(snapshot)["u", 30] == [("a", 4, ["g"])]
+    tokens = training.default_registry().tokens(as_of.withColumn("sample_id", F.monotonically_increasing_id()))
+    assert tokens.where("field_name = 'user_movie_rate_cnt_continue'").agg(F.sum("value")).first()[0] == 3

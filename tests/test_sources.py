@@ -3,7 +3,9 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from recspark.operators import vocab
 from recspark.sources import sinks, text, tfrecord
+from recspark.sources.scratch import written
 
 
 def test_delimited(spark, tmp_path):
@@ -273,3 +275,44 @@ def test_lost_files_of_a_manifest_raise(spark, tmp_path):
     next((tmp_path / "out").glob("part-00000*")).unlink()
     with pytest.raises(ValueError, match="manifest"):
         tfrecord.listing(path)
+
+
+def test_vocabulary_in_buckets_is_not_shuffled(spark, tmp_path):
+    stats = lambda step, n: vocab.value_stats(spark.range(n).select(F.lit("f").alias("field_name"), (F.col("id") % 3).cast("int").alias("field_index"), F.when(F.col("id") < 0, 0).otherwise(1).alias("field_type"), F.pmod(F.col("id") * step, F.lit(97)).cast("string").alias("key"), F.lit(1.0).alias("value")))
+    plain = written(vocab.build_pos_map(stats(1, 400), 2), "positions")
+    kept = sinks.save_vocabulary(plain, "kept_vocabulary", f"{tmp_path}/v")
+    small = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(small, "-1")
+    try:
+        assert sorted(map(tuple, kept.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+        assert len(list((tmp_path / "v").glob("*.parquet"))) <= 4
+        more = stats(5, 900)
+        builds = [vocab.build_pos_map(more, 1, old) for old in (plain, kept)]
+        want, got = (sorted(map(tuple, x.collect())) for x in builds)
+        assert got == want and len(got) > plain.count()
+        shuffled = [_shuffled_scans(x, "Bucketed: true") for x in (builds[1], vocab.build_report(more, 1, kept))]
+        assert shuffled[0][0] >= 1 and shuffled[0][1] == 0 and shuffled[1] == (1, 0)
+        with pytest.raises(Exception):
+            sinks.save_vocabulary(plain, "kept_vocabulary", f"{tmp_path}/w")
+    finally:
+        spark.conf.unset(small)
+        spark.sql("DROP TABLE kept_vocabulary")
+
+
+def _shuffled_scans(df, mark):
+    """How many scans of the plan have the mark, and over how many of these whole rows are shuffled before they are joined."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    seen = bad = 0
+    for i, line in enumerate(lines):
+        if mark not in line:
+            continue
+        above, now = [], depth[i]
+        for j in range(i - 1, -1, -1):
+            if depth[j] < now:
+                above.append(lines[j])
+                now = depth[j]
+        upto = next((k for k, x in enumerate(above) if "Join" in x or "HashAggregate" in x), len(above))
+        seen += 1
+        bad += any("Exchange" in x for x in above[:upto])
+    return seen, bad
