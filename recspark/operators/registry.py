@@ -114,8 +114,8 @@ def _token(raw: Column, key: Column, fea: Column, value: Column, parts: Column |
 
 def number(c: Column, value: Column | float = 1.0) -> Column:
     """One categorical value; 0 and null are padding."""
-    c = F.coalesce(c.try_cast("long"), F.lit(0))
-    return F.filter(F.array(_token(c, c, c, value if isinstance(value, Column) else F.lit(value))), lambda t: t["fea"] != 0)
+    kept = F.filter(F.array(F.coalesce(c.try_cast("long"), F.lit(0))), lambda n: n != 0)
+    return F.transform(kept, lambda n: _token(n, n, n, value if isinstance(value, Column) else F.lit(value)))
 
 
 def continuous(c: Column) -> Column:
@@ -163,12 +163,16 @@ WINDOW_DAYS = {"": None, "_7day": 7, "_15day": 15, "_30day": 30}
 
 
 def with_windows(df: DataFrame) -> DataFrame:
-    """``df`` with its history's windows and their genre statistics, which ``default_builders`` read.
+    """``df`` with its history's windows, their means and deviations, and their genre statistics, which ``default_builders`` read.
 
-    Elements are dealt to genres once for all windows; columns that no feature reads are pruned.
+    Each is made once a row, a window from the next larger one, and elements are dealt to genres once for all windows; columns that no feature
+    reads are pruned.
     """
-    now = F.col("time_stamp")
-    df = df.withColumns({f"__history_{d}": X.within(F.col("history"), now, d) for d in (None, 1, 3, 7, 15, 30)})
+    now, wider = F.col("time_stamp"), "history"
+    for d in (None, 30, 15, 7, 3, 1):
+        df, wider = df.withColumn(f"__history_{d}", X.within(F.col(wider), now, d)), f"__history_{d}"
+    df = df.withColumns({f"__avg_{d}": X.mean_rating(F.col(f"__history_{d}")) for d in WINDOW_DAYS.values()})
+    df = df.withColumns({f"__std_{d}": X.std_rating(F.col(f"__history_{d}"), F.col(f"__avg_{d}")) for d in WINDOW_DAYS.values()})
     df = df.withColumn("__elements", X.genre_elements(F.col("__history_None")))
     return df.withColumns({f"__genres_{d}": X.stats_within(F.col("__elements"), now, d) for d in (None, 1, 3, 7, 15)})
 
@@ -198,7 +202,7 @@ def default_builders() -> dict[str, Callable[[], Column]]:
         "context_time_week": lambda: number(X.weekday_of(c("time_stamp"))),
         "context_is_weekend": lambda: number(F.when(X.weekday_of(c("time_stamp")) >= 6, 2).otherwise(1)),
         "user_top3_genres": lambda: genre_values(X.top_genres(g(None)), "cnt"),
-        "user_same_genre_avg_rate": lambda: number(X.genre_avg_bucket(X.same_genre_mean(g(None), i("genres")))),
+        "user_same_genre_avg_rate": lambda: number(X.once(X.same_genre_mean(g(None), i("genres")), X.genre_avg_bucket)),
         "user_same_genre_avg_rate_continue": lambda: continuous(X.same_genre_mean(g(None), i("genres"))),
     }
 
@@ -206,10 +210,10 @@ def default_builders() -> dict[str, Callable[[], Column]]:
         b[name] = lambda: build(d)
 
     for tag, d in WINDOW_DAYS.items():
-        add(f"user_rate_std{tag}", lambda d: number(X.rate_std_bucket(X.std_rating(h(d)))), d)
-        add(f"user_rate_std{tag}_continue", lambda d: continuous(X.std_rating(h(d))), d)
-        add(f"user_rate_avg{tag}", lambda d: number(X.rate_avg_bucket(X.mean_rating(h(d)))), d)
-        add(f"user_rate_avg{tag}_continue", lambda d: continuous(X.mean_rating(h(d))), d)
+        add(f"user_rate_std{tag}", lambda d: number(X.rate_std_bucket(c(f"__std_{d}"))), d)
+        add(f"user_rate_std{tag}_continue", lambda d: continuous(c(f"__std_{d}")), d)
+        add(f"user_rate_avg{tag}", lambda d: number(X.rate_avg_bucket(c(f"__avg_{d}"))), d)
+        add(f"user_rate_avg{tag}_continue", lambda d: continuous(c(f"__avg_{d}")), d)
         cnt = f"user_movie_rate{tag}_cnt"
         add(cnt, lambda d: number(X.rate_count_bucket(F.size(h(d)))), d)
         add(f"{cnt}_continue", lambda d: continuous(F.size(h(d))), d)

@@ -685,3 +685,31 @@ def test_samples_with_histories_as_of_each_sample(spark):
     assert seen(snapshot)["u", 20] == [] and seen(snapshot)["u", 30] == [("a", 4, ["g"])]
     tokens = training.default_registry().tokens(as_of.withColumn("sample_id", F.monotonically_increasing_id()))
     assert tokens.where("field_name = 'user_movie_rate_cnt_continue'").agg(F.sum("value")).first()[0] == 3
+
+
+def test_window_stats_of_a_long_history_take_linear_time(spark):
+    import math
+    import time
+
+    from recspark.operators.windows import snapshot_stats
+
+    n = 8000
+    history = "transform(sequence(0, {}), i -> named_struct('item_id', string(i), 'rating', int(1 + i % 5), 'ts', 100 * 86400L - i))".format(n - 1)
+    df = spark.range(1).selectExpr("id AS sample_id", "100 * 86400L + 1 AS time_stamp", f"{history} AS history")
+    began = time.time()
+    row = snapshot_stats(df).first()
+    assert time.time() - began < 60  # the mean was made anew at each element: minutes
+    assert row.cnt_all == row.cnt_1 == n and row.avg_all == row.avg_30 == 3.0
+    assert math.isclose(row.std_all, math.sqrt(2)) and math.isclose(row.std_1, math.sqrt(2))
+
+
+def test_genre_counts_and_means_of_own_genres_are_those_of_genre_stats(spark):
+    from recspark.functions import scalars as X
+
+    el = "array<struct<item_id string, rating int, ts long, genres array<string>>>"
+    h = [("a", 4, 5, ["x", "y"]), ("b", 1, 4, ["y", "y"]), ("c", 5, 3, None), ("d", 2, 2, ["z"]), ("e", 3, 1, [])]
+    df = spark.createDataFrame([(h, ["y", "z", "q"]), (h, ["y", "y"]), (h, []), ([], ["x"]), (h[2:3], ["x"])], f"h {el}, own array<string>")
+    stats = X.genre_stats(F.col("h"))
+    got = df.select(X.top_genres(stats).alias("a"), X.top_genres(X.genre_counts(F.col("h"))).alias("b"), X.same_genre_mean(stats, F.col("own")).alias("c"), X.same_genre_mean_of(F.col("h"), F.col("own")).alias("d")).collect()
+    assert all(r.a == r.b and r.c == r.d for r in got)
+    assert [r.d for r in got] == [2.25, 2.5, 3.0, 3.0, 3.0] and [tuple(g) for g in got[0].b] == [("y", 2), ("x", 1), ("z", 1)]
