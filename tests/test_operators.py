@@ -713,3 +713,14 @@ def test_genre_counts_and_means_of_own_genres_are_those_of_genre_stats(spark):
     got = df.select(X.top_genres(stats).alias("a"), X.top_genres(X.genre_counts(F.col("h"))).alias("b"), X.same_genre_mean(stats, F.col("own")).alias("c"), X.same_genre_mean_of(F.col("h"), F.col("own")).alias("d")).collect()
     assert all(r.a == r.b and r.c == r.d for r in got)
     assert [r.d for r in got] == [2.25, 2.5, 3.0, 3.0, 3.0] and [tuple(g) for g in got[0].b] == [("y", 2), ("x", 1), ("z", 1)]
+
+
+def test_joined_samples_carry_no_sequence_through_a_shuffle(spark):
+    ix = spark.createDataFrame([("1", "10", 5, 100)], "user_id string, item_id string, rating int, time_stamp long")
+    users = spark.createDataFrame([("1", "M", "25", "0", "48067")], "user_id string, gender string, age string, occupation string, zip_code string")
+    stats = spark.createDataFrame([("10", "t", ["a"], 1, 1, 5.0, 1)], "item_id string, title string, genres array<string>, genre_cnt int, rate_count long, avg_rate double, hot_rank long")
+    seqs = spark.createDataFrame([("1", [("10", 5, 100)])], "user_id string, seq array<struct<item_id string, rating int, ts long>>")
+    out = sequences.join_samples(ix, users, seqs, stats)
+    assert out.columns == ["item_id", "user_id", "rating", "time_stamp", "user_profile", "user_behavior", "item_feature"] and out.first().item_feature.title == "t"
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 3 and "user_id" in joins[0] and "item_id" in joins[2]
