@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recspark.functions.hashing import cross_hash, feature_hash, string_id
+from recspark.functions.names import fresh
 from recspark.operators.registry import CATEGORICAL, Registry
 
 
@@ -135,12 +136,16 @@ def encode_rows(rows: DataFrame, pos_map: DataFrame, registry: Registry, key: st
     fields = fields_of(registry)
     near, far = _near_and_far(pos_map, near_values)
     shared = rows.sparkSession.sparkContext.broadcast(near)  # NEAR_VALUES keys
-    made = registry.columns(rows)
+    made, far_name = registry.columns(rows), None
     narrow = [F.transform(f"`{name}`", lambda t: F.struct(t["raw"], t["key"], t["value"])).alias(f"t{i}") for i, (name, _, _) in enumerate(fields)]
     carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate([key, *keep])]
-    made = made.select(*carried, *narrow)
     if far is not None:
-        made = _with_far(made, far, fields, shared)
+        # the rows are joined as they came, not with their tokens
+        found = _far_values(made.select(carried[0], *narrow), far, fields, shared)
+        key_name, far_name = fresh([*made.columns], "key", "far")
+        rows = rows.join(found.select(F.col("c0").alias(key_name), F.col("far").alias(far_name)), F.col(f"`{key}`") == F.col(key_name), "left").drop(key_name)
+        made = registry.columns(rows)
+    made = made.select(*carried, *narrow, *([F.col(far_name).alias("far")] if far_name else []))
     has_far, own = far is not None, [f"c{i}" for i in range(len(carried))]
     names = [*own, *[f"{name}_{part}" for name, _, _ in fields for part in ("raw", "index", "value")], "has_feature"]
 
@@ -169,21 +174,25 @@ def encode_rows(rows: DataFrame, pos_map: DataFrame, registry: Registry, key: st
     return out.withColumnsRenamed({f"c{i}": c for i, c in enumerate([key, *keep])})
 
 
-def _with_far(made: DataFrame, far: DataFrame, fields: list[tuple[str, int, int]], shared) -> DataFrame:
-    """``made`` with ``far``: (index, key, pos) of the row's values that only the rarer part of the vocabulary holds."""
+def _far_values(made: DataFrame, far: DataFrame, fields: list[tuple[str, int, int]], shared) -> DataFrame:
+    """c0 and ``far``: (index, key, pos) of a row's values that only the rarer part of the vocabulary holds. A row lies in one batch, which tells each of its values once."""
 
     def missed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            parts = []
             for i, (_, index, kind) in enumerate(fields):
                 if kind == CATEGORICAL:
                     tokens, row = _tokens_of(b.column(f"t{i}"))
                     new = np.flatnonzero(_positions(tokens, index, shared.value) == 0)
-                    yield pa.record_batch([b.column("c0").take(pa.array(row[new])), pa.array(np.full(len(new), index, np.int32)), tokens.field("key").take(pa.array(new))], names=["c0", "field_index", "key"])
+                    parts.append(pa.table({"row": row[new], "field_index": np.full(len(new), index, np.int32), "key": tokens.field("key").take(pa.array(new))}))
+            if parts:
+                once = pa.concat_tables(parts).group_by(["row", "field_index", "key"]).aggregate([]).combine_chunks()
+                ids = b.column("c0").take(once["row"].combine_chunks())
+                yield pa.record_batch([ids, once["field_index"].combine_chunks(), once["key"].combine_chunks()], names=["c0", "field_index", "key"])
 
     schema = T.StructType([made.schema["c0"], T.StructField("field_index", T.IntegerType()), T.StructField("key", T.StringType())])
-    needed = made.mapInArrow(missed, schema).distinct().join(far, ["field_index", "key"])
-    own = needed.groupBy("c0").agg(F.collect_list(F.struct("field_index", "key", "pos")).alias("far"))
-    return made.join(own, "c0", "left")
+    needed = made.mapInArrow(missed, schema).join(far, ["field_index", "key"])
+    return needed.groupBy("c0").agg(F.collect_list(F.struct("field_index", "key", "pos")).alias("far"))
 
 
 def _far_positions(column: pa.Array):
@@ -217,6 +226,14 @@ def encode_text(rows: DataFrame, key: str, sep: str = ",", between: str = ":") -
     return per.select(key, "field_name", F.concat(F.col("field_name"), F.lit(between), F.concat_ws(sep, F.transform("l", lambda x: x["index"].cast("string")))).alias("text"))
 
 
+def encoded_text(encoded: DataFrame, registry: Registry, key: str = "sample_id", sep: str = ",", between: str = ":") -> DataFrame:
+    """``encode_text`` of ``encode_rows``: a row for each categorical field in which a row has a known value. Nothing is shuffled."""
+    names = [f.name for f in registry.active() if f.kind == CATEGORICAL]
+    lists = [F.struct(F.lit(n).alias("field_name"), F.slice(f"{n}_index", 2, F.greatest(F.size(f"{n}_index") - 1, F.lit(0))).alias("i")) for n in names]
+    one = encoded.select(key, F.explode(F.array(*lists)).alias("f")).where(F.size("f.i") > 0)
+    return one.select(key, "f.field_name", F.concat(F.col("f.field_name"), F.lit(between), F.concat_ws(sep, F.transform("f.i", lambda x: x.cast("string")))).alias("text"))
+
+
 def with_targets(df: DataFrame, target_map: DataFrame | None) -> DataFrame:
     """``df`` with its column target replaced by the dense index, unmapped rows dropped; without a map it stays raw."""
     if target_map is None:

@@ -60,11 +60,14 @@ class Registry:
         df = df.withColumns(plain)
         return df.withColumns({f.name: crossed([(p.index, F.col(p.name)) for d in f.depends for p in self.features if p.name == d]).cast(TOKEN) for f in self.active() if f.depends})
 
-    def tokens(self, df: DataFrame, key: str = "sample_id") -> DataFrame:
-        """(key, field_name, field_index, field_type, ord, raw, key, fea, value, parts): one row per feature value, melted in one pass."""
-        made = self.columns(df)
+    def tokens(self, df: DataFrame, key: str = "sample_id", only: Iterable[str] | None = None) -> DataFrame:
+        """(key, field_name, field_index, field_type, ord, raw, key, fea, value, parts): one row per feature value, melted in one pass.
+
+        ``only`` names the active features whose values are wanted, if not all are.
+        """
+        made, only = self.columns(df), None if only is None else set(only)
         fields = [
-            F.struct(F.lit(f.name).alias("field_name"), F.lit(f.index).alias("field_index"), F.lit(f.kind).alias("field_type"), F.col(f.name).alias("list")) for f in self.active()
+            F.struct(F.lit(f.name).alias("field_name"), F.lit(f.index).alias("field_index"), F.lit(f.kind).alias("field_type"), F.col(f.name).alias("list")) for f in self.active() if only is None or f.name in only
         ]
         one = made.select(F.col(key), F.explode(F.array(*fields)).alias("f")).select(key, "f.field_name", "f.field_index", "f.field_type", F.posexplode("f.list").alias("ord", "t"))
         return one.select(key, "field_name", "field_index", "field_type", "ord", "t.raw", "t.key", "t.fea", "t.value", "t.parts")

@@ -102,12 +102,34 @@ def samples(ix: DataFrame, items: DataFrame, users: DataFrame, n: int = 200, as_
     A history is what lies before the sample of the user's ``n`` last items (of the whole table, each by its last event), or ``as_of`` the
     ``n`` events before the sample: then an early sample of a long history has one too, and no user's rows meet in one task.
     """
-    stats = sequences.item_stats(ix, items)
+    joined = plain_samples(ix, items, users)
     if as_of:
-        joined = clean.labelled(sequences.join_samples(ix, users, None, stats))
         return sequences_before(joined, n, F.struct("item_id", "rating", F.col("time_stamp").alias("ts"), F.col("item_feature.genres").alias("genres")))
-    seqs = sequences.with_genres(sequences.user_sequences(ix, n), items)
-    return windows.with_history(clean.labelled(sequences.join_samples(ix, users, None, stats)), seqs)
+    return windows.with_history(joined, histories(ix, items, n))
+
+
+def plain_samples(ix: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+    """``samples`` without history."""
+    return clean.labelled(sequences.join_samples(ix, users, None, sequences.item_stats(ix, items)))
+
+
+def histories(ix: DataFrame, items: DataFrame, n: int = 200) -> DataFrame:
+    """user_id and ``seq``: each user's ``n`` last items with their genres."""
+    return sequences.with_genres(sequences.user_sequences(ix, n), items)
+
+
+def reading_histories(registry: Registry, seqs: DataFrame) -> Registry:
+    """``registry`` for ``plain_samples``: the history comes to a row where its features are made.
+
+    So rows are written, split and shuffled without histories, which are many times their size. Rows and ``seqs`` meet by a shuffle of both, which deals
+    also a small table to all tasks.
+    """
+
+    def prepare(df: DataFrame) -> DataFrame:
+        df = windows.with_history(df, seqs.hint("merge"))
+        return registry.prepare(df) if registry.prepare else df
+
+    return Registry(registry.features, prepare)
 
 
 @dataclass

@@ -724,3 +724,21 @@ def test_joined_samples_carry_no_sequence_through_a_shuffle(spark):
     assert out.columns == ["item_id", "user_id", "rating", "time_stamp", "user_profile", "user_behavior", "item_feature"] and out.first().item_feature.title == "t"
     joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
     assert len(joins) == 3 and "user_id" in joins[0] and "item_id" in joins[2]
+
+
+def test_histories_come_where_features_are_made(spark):
+    ix = spark.createDataFrame([(1, "1", "10", 5, 100), (2, "1", "11", 3, 200), (3, "1", "10", 4, 300), (4, "2", "11", 2, 50)], "sample_id long, user_id string, item_id string, rating int, time_stamp long")
+    items = spark.createDataFrame([("10", "Toy Story (1995)", ["animation", "comedy"]), ("11", "Heat (1985)", ["action"])], "item_id string, title string, genres array<string>")
+    users = spark.createDataFrame([("1", "M", "25", "0", "48067")], "user_id string, gender string, age string, occupation string, zip_code string")
+    thin = training.plain_samples(ix, items, users)
+    assert "history" not in thin.columns
+    r = training.default_registry(["user_id", "movie_id", "user_movie_rate_ids", "user_rate_avg"])
+    late = training.reading_histories(r, training.histories(ix, items))
+    want = rows(r.tokens(training.samples(ix, items, users)), "sample_id", "field_name", "ord", "key", "value")
+    assert rows(late.tokens(thin), "sample_id", "field_name", "ord", "key", "value") == want
+    pos = vocab.build_pos_map(vocab.value_stats(late.tokens(thin)), 2)
+    texts = encode.encode_text(encode.vocab_tokens(late.tokens(thin), pos).where("field_type = 1"), "sample_id")
+    for near in (1, 500):
+        assert rows(encode.encoded_text(encode.encode_rows(thin, pos, late, near_values=near), late), "sample_id", "field_name", "text") == rows(texts, "sample_id", "field_name", "text")
+    only = late.tokens(thin, only=["movie_id"])
+    assert {x.field_name for x in only.collect()} == {"movie_id"}
