@@ -5,7 +5,7 @@
    similar enough share a prefix shingle, whatever the order. Lists of a few entries give their pairs at once.
 3. In longer lists, sets are compared with pivots: each component of linked sets takes, of the pivots of its lists, the
    one that its parity bitmap is closest to. The answer keeps the exact differences from the pivot. Turns with other
-   pivots follow while they link enough.
+   pivots, then one drawn for each list, follow while they link enough.
 4. What is left of the lists, sets of different components, is joined block by block. Blocks hold a bounded mean number
    of entries of one range of set sizes and prefix positions; pairs of blocks that no similar pair can come from are
    skipped whole, and a pair is formed at its first common shingle only.
@@ -303,9 +303,11 @@ def _by_piece(lists: DataFrame, per_list: DataFrame, how: str) -> DataFrame:
 def _pivot_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
     """A pair (pivot a, set b) for each component at most: of the pivots of its sets' lists, the closest by bitmaps, if they can be similar.
 
-    ``lists``: token, node, size, component, bits. A list's pivot lies in the component with the smallest hash.
+    ``lists``: token, node, size, component, bits. In the first turn lists share their pivots, the sets with the smallest hash, so that many sets
+    have answers from one pivot. Later each list draws a pivot of its own, so that a set which the shared one missed meets as many others as it has lists.
     """
-    own = F.struct(F.xxhash64("component", F.lit(turn)).alias("h"), F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"), F.col("bits").alias("bits_a"))
+    drawn = F.xxhash64("node", "token", F.lit(turn)) if turn else F.xxhash64("node", F.lit(turn))
+    own = F.struct(drawn.alias("h"), F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"), F.col("bits").alias("bits_a"))
     pivots = lists.groupBy("token").agg(F.max("n").alias("n"), F.min(own).alias("p")).select("token", "n", "p.a", "p.size_a", "p.ca", "p.bits_a")
     differ = _differ(F.col("bits"), F.col("bits_a"))
     may = (F.col("component") != F.col("ca")) & _sizes_fit(F.col("size"), F.col("size_a"), percent) & _few_enough(differ, F.col("size"), F.col("size_a"), percent)

@@ -97,6 +97,26 @@ def test_join_of_ids_with_several_texts(spark):
     assert got == sorted([(7, 58, 3), (3, 58, 3), (7, 58, 7), (7, 58, 7), (None, 58, 7), (None, 58, None), (None, 58, None)], key=str)
 
 
+def test_candidates_of_a_large_near_group(spark, monkeypatch):
+    rng, made, own = random.Random(2), {}, jaccard_join.counted
+
+    def counted(df, name):
+        out, made[name] = own(df, name)
+        return out, made[name]
+
+    monkeypatch.setattr(jaccard_join, "counted", counted)
+    texts = []
+    for _ in range(400):
+        w = [f"b{i}" for i in range(150)]
+        for _ in range(rng.randrange(6)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_groups(docs_of(spark, texts), 5, 80).collect()}
+    assert got == dict(enumerate(brute_groups(texts, 5, 80)))
+    # with one pivot for all lists of the group 3908 pairs were left
+    assert made["likely"] <= len(texts)
+
+
 @pytest.mark.parametrize("by_shuffle", [False, True])
 def test_join_of_long_and_many_near_sets(spark, monkeypatch, by_shuffle):
     if by_shuffle:
