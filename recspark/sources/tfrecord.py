@@ -651,8 +651,11 @@ class TFRecordSource(DataSource):
         return _Writer(dict(self.options), schema)
 
 
-def write_tfrecord(df: DataFrame, path: str, mode: str = "errorIfExists", record_type: str = "Example", codec: str = "") -> None:
-    """Writes TFRecord files. Modes: overwrite, errorIfExists, ignore; append is refused."""
+def write_tfrecord(df: DataFrame, path: str, mode: str = "errorIfExists", record_type: str = "Example", codec: str = "", tasks: int | None = None) -> None:
+    """Writes TFRecord files. Modes: overwrite, errorIfExists, ignore; append is refused.
+
+    ``tasks`` deals the rows to so many tasks, a file each, for a table that is read in a few: records are made and read a row at a time, and a file by one task.
+    """
     if mode not in ("overwrite", "errorIfExists", "error", "ignore"):
         raise ValueError(f"mode {mode} isn't supported for TFRecord files")
     exists = _exists(*file_system(path))
@@ -663,4 +666,5 @@ def write_tfrecord(df: DataFrame, path: str, mode: str = "errorIfExists", record
     for f in df.schema.fields:
         _list_of(_depth(f.dataType)[1])
     register(df.sparkSession)
+    df = df.repartition(tasks) if tasks else df
     df.write.format("tfrecords").mode("overwrite").option("path", path).option("recordType", record_type).option("codec", codec).save()

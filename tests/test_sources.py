@@ -39,6 +39,15 @@ def test_tfrecord_roundtrip(spark, tmp_path, codec):
     assert sorted(map(tuple, back.collect()), key=str) == sorted([(*r[:5], r[5], r[6] and bytearray(r[6]) if r[6] is not None else None, *r[7:]) for r in ROWS], key=str)
 
 
+def test_rows_of_one_task_are_dealt_to_files(spark, tmp_path):
+    path = f"file://{tmp_path}/dealt"
+    tfrecord.write_tfrecord(spark.range(0, 100, 1, 1), path, record_type="SequenceExample", tasks=4)
+    files = [f for f, _ in tfrecord.listing(path)[0]]
+    assert len(files) == 4
+    assert sorted(r.id for r in tfrecord.read_tfrecord(spark, path, "id long", "SequenceExample").collect()) == list(range(100))
+    assert [tuple(r) for r in tfrecord.infer_columns(spark, path, "SequenceExample").collect()] == [("id", "bigint")]
+
+
 def test_sequence_example_and_inference(spark, tmp_path):
     df = spark.createDataFrame([(1, [[1.5], [2.0, 3.0]], ["a"]), (2, [[]], ["b", "c"])], "id long, ff array<array<float>>, ss array<string>")
     path = f"file://{tmp_path}/s"
