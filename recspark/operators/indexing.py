@@ -36,29 +36,32 @@ def global_index(df: DataFrame, order: Sequence[Column], out: str = "idx", withi
     return joined.select(*[F.col(f"a.`{c}`") for c in df.columns], (F.col(f"b.{start}") + F.col(f"a.{at}") - 1).alias(out))
 
 
-def running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column], within: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+def running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column], within: Sequence[str] = (), partitions: int | None = None, most: dict[str, Column] | None = None) -> DataFrame:
     """``df`` with the sum of each of ``sums``, whole numbers, over the rows before it by ``order``, overall or within the groups of ``within``.
 
+    ``most`` gives the largest value of a column over the rows before, null without any.
+
     Rows are dealt as in ``global_index``, so a giant group is spread over tasks. Of rows that ``order`` doesn't tell apart
     a hash of the whole row decides.
     """
-    names = list(sums)
-    part, *helpers = fresh([*df.columns, *names], "part", *[f"v_{n}" for n in names])
-    values = dict(zip(names, helpers, strict=True))
+    most = most or {}
+    names, tops = list(sums), list(most)
+    part, *helpers = fresh([*df.columns, *names, *tops], "part", *[f"v_{n}" for n in [*names, *tops]])
+    values = dict(zip([*names, *tops], helpers, strict=True))
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    valued = df.withColumns({values[n]: F.coalesce(c.cast("long"), F.lit(0).cast("long")) for n, c in sums.items()})
+    valued = df.withColumns({values[n]: F.coalesce(c.cast("long"), F.lit(0).cast("long")) for n, c in sums.items()} | {values[n]: c for n, c in most.items()})
     ranged = written(valued.repartitionByRange(count, *[F.col(c) for c in within], *order).withColumn(part, F.spark_partition_id()), "ranged")
-    totals = ranged.groupBy(*within, part).agg(*[F.sum(values[n]).alias(n) for n in names])
+    totals = ranged.groupBy(*within, part).agg(*[F.sum(values[n]).alias(n) for n in names], *[F.max(values[n]).alias(n) for n in tops])
     earlier = Window.partitionBy(*within).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(*within, part, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in names])
+    starts = totals.select(*within, part, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in names], *[F.max(n).over(earlier).alias(n) for n in tops])
     tie = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t])
     before = Window.partitionBy(*within, part).orderBy(*order, tie).rowsBetween(Window.unboundedPreceding, -1)
-    inner = ranged.withColumns({v: F.coalesce(F.sum(v).over(before), F.lit(0)) for v in values.values()})
+    inner = ranged.withColumns({values[n]: F.coalesce(F.sum(values[n]).over(before), F.lit(0)) for n in names} | {values[n]: F.max(values[n]).over(before) for n in tops})
     on = F.lit(True)
     for c in (*within, part):
         on = on & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
     joined = inner.alias("a").join(starts.alias("b"), on)
-    return joined.select(*[F.col(f"a.`{c}`") for c in df.columns], *[(F.col(f"a.{values[n]}") + F.col(f"b.{n}")).alias(n) for n in names])
+    return joined.select(*[F.col(f"a.`{c}`") for c in df.columns], *[(F.col(f"a.{values[n]}") + F.col(f"b.{n}")).alias(n) for n in names], *[F.greatest(f"a.{values[n]}", f"b.{n}").alias(n) for n in tops])
 
 
 #: Rows of a range that are fetched and sorted by the driver, to find a cut among them; larger ranges are narrowed.

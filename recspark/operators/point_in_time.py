@@ -16,22 +16,24 @@ from recspark.operators.windows import DAYS
 CHUNK_TIMES = 50_000
 
 
-def stats_before(samples: DataFrame, events: DataFrame, keys: Sequence[str] = ("user_id",), days: Sequence[int] = DAYS, unit: float = 1.0) -> DataFrame:
+def stats_before(samples: DataFrame, events: DataFrame, keys: Sequence[str] = ("user_id",), days: Sequence[int] = DAYS, unit: float = 1.0, last: str | None = None) -> DataFrame:
     """``samples`` with cnt_, avg_ and std_ of the ratings of events with the same ``keys`` before them: of all, and of each window of days.
 
     Sums of a window are differences of running sums at its two ends, so work grows with rows and windows, not with the
     length of histories, and a user of any size is spread over tasks. The sums are of whole multiples of ``unit``, to which ratings
     are rounded, and so exact. Null keys equal each other; null times are before nothing and have nothing before them; null ratings are counted in cnt_
-    only. Without ratings avg_ is 3 and std_ is 0. Columns of ``samples`` with names of results are replaced.
+    only. Without ratings avg_ is 3 and std_ is 0. ``last`` names a column with the time of the last event before, null without any. Columns of ``samples`` with names of results are replaced.
     """
-    at, of, w, kind, r, *sums = fresh(keys, "at", "of", "w", "kind", "r", "cnt", "n", "s", "q")
+    at, of, w, kind, r, newest, *sums = fresh(keys, "at", "of", "w", "kind", "r", "newest", "cnt", "n", "s", "q")
     dated = [x.where(F.col("time_stamp").isNotNull()) for x in (samples, events)]
     asked = dated[0].select(*keys, F.col("time_stamp").alias(of)).distinct()
     ends = [F.struct(F.lit(d).alias(w), (F.col(of) - d * X.DAY).alias(at)) for d in (0, *days)]
     probes = asked.select(*keys, of, F.inline(F.array(*ends))).withColumns({kind: F.lit(0), r: F.lit(None).cast("long")})
     given = dated[1].withColumns({r: F.round(F.col("rating") / unit).cast("long")}).select(*keys, F.lit(None).cast(dict(asked.dtypes)[of]).alias(of), F.lit(None).cast("int").alias(w), F.col("time_stamp").alias(at), F.lit(1).alias(kind), r)
-    summed = running_sums(probes.unionByName(given), [F.col(at), F.col(kind)], dict(zip(sums, [F.col(kind), F.col(r).isNotNull(), F.col(r), F.col(r) * F.col(r)], strict=True)), keys)
+    summed = running_sums(probes.unionByName(given), [F.col(at), F.col(kind)], dict(zip(sums, [F.col(kind), F.col(r).isNotNull(), F.col(r), F.col(r) * F.col(r)], strict=True)), keys, most={newest: F.when(F.col(kind) == 1, F.col(at))} if last else None)
     picked = [F.max(F.when(F.col(w) == d, F.col(c))).alias(f"{c}{d}") for d in (0, *days) for c in sums]
+    if last:
+        picked.append(F.max(F.when(F.col(w) == 0, F.col(newest))).alias(newest))
     found = summed.where(F.col(kind) == 0).groupBy(*keys, of).agg(*picked)
 
     out = {}
@@ -43,6 +45,8 @@ def stats_before(samples: DataFrame, events: DataFrame, keys: Sequence[str] = ("
         out[f"cnt_{name}"] = F.coalesce(cnt, F.lit(0)).cast("long")
         out[f"avg_{name}"] = F.coalesce(F.when(n > 0, s * unit / n), F.lit(3.0))
         out[f"std_{name}"] = F.coalesce(F.when(n > 0, F.sqrt(spread) * unit / n), F.lit(0.0))
+    if last:
+        out[last] = F.col(f"b.{newest}")
     kept = samples.drop(*out)
     joined = kept.alias("a").join(found.alias("b"), _same(keys) & (F.col("a.time_stamp") == F.col(f"b.{of}")), "left")
     return joined.select(*[F.col(f"a.`{c}`") for c in kept.columns], *[c.alias(n) for n, c in out.items()])
@@ -59,14 +63,17 @@ def same_genre_before(samples: DataFrame, events: DataFrame, items: DataFrame, d
     """``samples`` with hit_all and hit_ of each window (2 if the user had an event with a genre of the sample's item before, else 1), and
     same_genre_rate, the mean over those genres of their average rating before (3 without any).
 
-    One ``stats_before`` by user and genre: rows grow with the genres of an item, not with a user's history.
+    One ``stats_before`` by user and genre: rows grow with the genres of an item, not with a user's history. Whether a window has an event is told
+    by the last one before the sample, so no window needs rows of its own.
     """
     own = items.select("item_id", F.array_distinct("genres").alias("genre"))
     of = ["user_id", "item_id", "time_stamp"]
     asked = samples.select(*of).distinct().join(own, "item_id").withColumn("genre", F.explode("genre"))
     given = events.select(*of, "rating").join(own, "item_id").withColumn("genre", F.explode("genre"))
-    stats = stats_before(asked, given, ("user_id", "genre"), days)
-    hits = {f"hit_{d}": F.max(F.when(F.col(f"cnt_{d}") > 0, 2).otherwise(1)) for d in ("all", *days)}
+    (last,) = fresh([*asked.columns, *given.columns], "last")
+    stats = stats_before(asked, given, ("user_id", "genre"), (), last=last)
+    hits = {"hit_all": F.max(F.when(F.col("cnt_all") > 0, 2).otherwise(1))}
+    hits |= {f"hit_{d}": F.max(F.when(F.col(last) >= F.col("time_stamp") - d * X.DAY, 2).otherwise(1)) for d in days}
     # a genre without events before has no rating that counts
     rate = F.avg(F.when(F.col("cnt_all") > 0, F.col("avg_all"))).alias("same_genre_rate")
     found = stats.groupBy(*of).agg(*[c.alias(n) for n, c in hits.items()], rate)

@@ -654,6 +654,21 @@ def test_sequences_before_make_lists_after_the_last_shuffle_and_split_a_user(spa
     assert sum(sizes) == 4000 and len(sizes) > 1 and max(sizes) < 3000
 
 
+def test_genre_windows_need_no_rows_of_their_own(spark, monkeypatch):
+    dealt, own = [], point_in_time.running_sums
+
+    def counted(df, *args, **more):
+        dealt.append(df.count())
+        return own(df, *args, **more)
+
+    monkeypatch.setattr(point_in_time, "running_sums", counted)
+    df = spark.createDataFrame([(i, "u", "a", 3, i * 86400) for i in range(10)], "sample_id long, user_id string, item_id string, rating int, time_stamp long")
+    items = spark.createDataFrame([("a", ["x"])], "item_id string, genres array<string>")
+    got = {r.sample_id: (r.hit_all, r.hit_1, r.hit_15) for r in point_in_time.same_genre_before(df, df, items).collect()}
+    assert got == {i: (2, 2, 2) if i else (1, 1, 1) for i in range(10)}
+    assert dealt == [20]
+
+
 def test_same_genre_before_by_brute_force(spark):
     data = _events(200, 3)
     genres = {"x": ["g", "h"], "y": ["h"], "z": None, "w": ["i", "g", "g", None]}
