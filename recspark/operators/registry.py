@@ -29,6 +29,8 @@ class Feature:
     build: Callable[[], Column] | None = None
     enabled: bool = True
     depends: tuple[str, ...] = ()
+    #: For a feature whose values are those of the history's elements, in their order: the token of one element, null if it has none.
+    element: Callable[[Column], Column] | None = None
 
 
 @dataclass
@@ -36,10 +38,12 @@ class Registry:
     features: list[Feature] = field(default_factory=list)
     #: Adds columns that several builders read, so that they are made once a row.
     prepare: Callable[[DataFrame], DataFrame] | None = None
+    #: user_id and ``seq``, of which rows have what lies before their time_stamp as history; known where histories come to rows late and ELEMENTS bounds them.
+    histories: DataFrame | None = None
 
-    def register(self, name: str, index: int, kind: int, build: Callable[[], Column], enabled: bool = True) -> None:
-        """The extension point: any builder of a token column."""
-        self.features.append(Feature(name, index, kind, build, enabled))
+    def register(self, name: str, index: int, kind: int, build: Callable[[], Column], enabled: bool = True, element: Callable[[Column], Column] | None = None) -> None:
+        """The extension point: any builder of a token column. With ``element``, ``build`` must give the tokens of the history's elements that aren't null."""
+        self.features.append(Feature(name, index, kind, build, enabled, (), element))
 
     def cross(self, name: str, index: int, depends: Iterable[str], enabled: bool = False) -> None:
         self.features.append(Feature(name, index, CATEGORICAL, None, enabled, tuple(depends)))
@@ -49,6 +53,10 @@ class Registry:
         plain = {f.name: f for f in self.features if f.enabled and not f.depends}
         return [*plain.values(), *[f for f in self.features if f.enabled and f.depends and all(d in plain and plain[d].kind == CATEGORICAL for d in f.depends)]]
 
+    def by_element(self) -> list[Feature]:
+        """Active features that can be made once an element of ``histories``, not once a row."""
+        return [f for f in self.active() if f.element is not None] if self.histories is not None else []
+
     def output_columns(self) -> list[str]:
         return [f"{f.name}_{part}" for f in self.active() for part in ("raw", "index", "value")]
 
@@ -129,15 +137,34 @@ def string_list(c: Column, value: float = 1.0) -> Column:
     return F.transform(F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: x.isNotNull()), lambda x: _token(x, x, F.lit(None), F.lit(value)))
 
 
-def id_list(history: Column, limit: int = 200) -> Column:
+#: Elements of a history that ``id_list`` and ``first_genres`` read at most.
+ELEMENTS = 200
+
+
+def item_token(h: Column) -> Column:
+    """The item of an element with its rating as value; null for number 0."""
+    number = F.coalesce(h["item_id"].try_cast("long"), F.lit(0))
+    return F.when(number != 0, _token(h["item_id"], number, number, h["rating"]))
+
+
+def genre_token(h: Column) -> Column:
+    """The first genre of an element with its rating; null without genre."""
+    first = F.get(h["genres"], F.lit(0))
+    return F.when(F.coalesce(F.size(h["genres"]), F.lit(0)) > 0, _token(first, first, F.lit(None), h["rating"]))
+
+
+def id_list(history: Column, limit: int = ELEMENTS) -> Column:
     """Items of a history with their ratings as values."""
-    return F.filter(F.transform(F.slice(history, 1, limit), lambda h: _token(h["item_id"], F.coalesce(h["item_id"].try_cast("long"), F.lit(0)), F.coalesce(h["item_id"].try_cast("long"), F.lit(0)), h["rating"])), lambda t: t["fea"] != 0)
+    return F.filter(F.transform(F.slice(history, 1, limit), item_token), lambda t: t.isNotNull())
 
 
-def first_genres(history: Column, limit: int = 200) -> Column:
+def first_genres(history: Column, limit: int = ELEMENTS) -> Column:
     """The first genre of each element with its rating; elements without genre are left out."""
-    own = F.filter(F.slice(history, 1, limit), lambda h: F.coalesce(F.size(h["genres"]), F.lit(0)) > 0)
-    return F.transform(own, lambda h: _token(F.get(h["genres"], F.lit(0)), F.get(h["genres"], F.lit(0)), F.lit(None), h["rating"]))
+    return F.filter(F.transform(F.slice(history, 1, limit), genre_token), lambda t: t.isNotNull())
+
+
+#: What a single element of the whole history gives to these features of ``default_builders``.
+DEFAULT_ELEMENTS: dict[str, Callable[[Column], Column]] = {"user_movie_rate_ids": item_token, "user_movie_rate_genres": genre_token}
 
 
 def genre_values(stats: Column, what: str) -> Column:

@@ -5,10 +5,12 @@ A vocabulary entry is (field_index, key); its hash is attached for output only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.operators.indexing import global_index
+from recspark.operators.registry import Feature, Registry
+from recspark.sources.scratch import written
 
 EPSILON = 1e-6
 STATS = ("cnt", "sum", "sum_sq", "mean", "m2")
@@ -22,6 +24,51 @@ def value_stats(tokens: DataFrame) -> DataFrame:
     )
 
 
+def feature_stats(registry: Registry, rows: DataFrame, key: str = "sample_id") -> DataFrame:
+    """``value_stats`` of the tokens of ``rows``. Features of single elements of a history are counted once an element."""
+    once = registry.by_element()
+    names = {f.name for f in once}
+    rest = [f.name for f in registry.active() if f.name not in names]
+    parts = [value_stats(registry.tokens(rows, key, rest))] if rest or not once else []
+    if once:
+        parts.append(_element_stats(rows, registry.histories, once))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _element_stats(rows: DataFrame, histories: DataFrame, features: list[Feature]) -> DataFrame:
+    """``value_stats`` of the elements before each row, of which none is made for a row: an element counts as often as its user has rows that are later.
+
+    Rows are counted by the place where their history begins, of which a user has as many as elements.
+    """
+    known = histories.where("user_id is not null").select("user_id", F.filter("seq", lambda e: e["ts"].isNotNull()).alias("seq"))
+    times = known.select("user_id", F.col("seq.ts").alias("times"))
+    begun = rows.select("user_id", "time_stamp").join(times.hint("merge"), "user_id")
+    begun = begun.withColumn("pos", F.size("times") - F.size(F.filter("times", lambda t: t < F.col("time_stamp")))).groupBy("user_id", "pos").agg(F.count(F.lit(1)).alias("begun"))
+    elements = known.select("user_id", F.posexplode("seq").alias("pos", "e")).join(begun, ["user_id", "pos"], "left")
+    until = Window.partitionBy("user_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    elements = elements.select("e", F.coalesce(F.sum("begun").over(until), F.lit(0)).alias("n")).where("n > 0")
+    made = [F.struct(F.lit(f.name).alias("field_name"), F.lit(f.index).alias("field_index"), F.lit(f.kind).alias("field_type"), f.element(F.col("e")).alias("t")) for f in features]
+    tokens = elements.select("n", F.explode(F.array(*made)).alias("f")).where("f.t is not null")
+    by = ["field_name", "field_index", "field_type", "key"]
+    values = tokens.select(*[f"f.{c}" for c in by[:3]], "f.t.key", "f.t.value", "n").groupBy(*by, "value").agg(F.sum("n").alias("n"))
+    values = written(values, "values")
+    # squares are summed around a mean of the key's values, as large values would cancel out
+    centers = values.groupBy(*by).agg(F.avg("value").alias("center"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"v.{c}").eqNullSafe(F.col(f"c.{c}"))
+    around = values.alias("v").join(centers.alias("c"), same).select("v.*", "center").withColumn("off", F.col("value") - F.col("center"))
+    n, v, off = F.col("n"), F.col("value"), F.col("off")
+    valued = F.sum(F.when(v.isNotNull(), n))
+    return around.groupBy(*by).agg(
+        F.sum(n).alias("cnt"),
+        F.sum(n * v).alias("sum"),
+        F.sum(n * v * v).alias("sum_sq"),
+        (F.sum(n * v) / valued).alias("mean"),
+        F.when(valued > 0, F.greatest(F.sum(n * off * off) / valued - F.pow(F.sum(n * off) / valued, F.lit(2)), F.lit(0.0)) * F.sum(n)).alias("m2"),
+    )
+
+
 def std(m2: Column, cnt: Column) -> Column:
     """sqrt(max(variance, 0) + 1e-6); 1 without values."""
     return F.when(cnt > 0, F.sqrt(F.greatest(m2 / cnt, F.lit(0.0)) + EPSILON)).otherwise(F.lit(1.0))
@@ -131,8 +178,6 @@ def build_report(stats: DataFrame, threshold: int, previous: DataFrame | None =
 
 def frequency_histogram(pos_map: DataFrame) -> DataFrame:
     """cnt, keys, share, cumulative share: how many keys occur how often. The window runs over distinct counts."""
-    from pyspark.sql import Window
-
     h = pos_map.groupBy("cnt").agg(F.count(F.lit(1)).alias("n_keys"))
     everything = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     total = F.sum("n_keys").over(everything)

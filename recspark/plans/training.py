@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recspark.operators import clean, encode, quality, sequences, split, vocab, windows
 from recspark.operators.point_in_time import sequences_before
-from recspark.operators.registry import CATEGORICAL, CONTINUOUS, Registry, default_builders, with_windows
+from recspark.operators.registry import CATEGORICAL, CONTINUOUS, DEFAULT_ELEMENTS, ELEMENTS, Registry, default_builders, with_windows
 from recspark.plans.stages import Stages, source_digest
 from recspark.sources import sinks
 from recspark.sources.scratch import written
@@ -90,7 +90,7 @@ def default_registry(only: list[str] | None = None, crosses: list[str] | None =
         all_ |= {n: (first + step * k, kind) for k, n in enumerate(names)}
     for name, (index, kind) in all_.items():
         if only is None or name in only:
-            out.register(name, index, kind, builders[name])
+            out.register(name, index, kind, builders[name], element=DEFAULT_ELEMENTS.get(name))
     for name, (index, depends) in CROSSES.items():
         out.cross(name, index, depends, name in (crosses or []))
     return out
@@ -118,18 +118,21 @@ def histories(ix: DataFrame, items: DataFrame, n: int = 200) -> DataFrame:
     return sequences.with_genres(sequences.user_sequences(ix, n), items)
 
 
-def reading_histories(registry: Registry, seqs: DataFrame) -> Registry:
+def reading_histories(registry: Registry, seqs: DataFrame, n: int | None = None) -> Registry:
     """``registry`` for ``plain_samples``: the history comes to a row where its features are made.
 
     So rows are written, split and shuffled without histories, which are many times their size. Rows and ``seqs`` meet by a shuffle of both, which deals
     also a small table to all tasks.
+
+    ``n`` tells that no sequence of ``seqs`` is longer, and that each goes from the newest element to the oldest, as ``histories`` does: then features of single elements are
+    looked up and counted once an element, not once a row and element.
     """
 
     def prepare(df: DataFrame) -> DataFrame:
         df = windows.with_history(df, seqs.hint("merge"))
         return registry.prepare(df) if registry.prepare else df
 
-    return Registry(registry.features, prepare)
+    return Registry(registry.features, prepare, seqs if n is not None and n <= ELEMENTS else None)
 
 
 @dataclass
@@ -198,7 +201,7 @@ def run(
     target_map = None
     if mode == "multi":
         target_map = keep("targets", of_targets, lambda: vocab.build_target_map(learned().where("target is not null").select("target"), target_threshold, previous_targets))
-    pos_map = keep("positions", of_positions, lambda: vocab.build_pos_map(vocab.value_stats(registry.tokens(learned(), key)), feature_threshold, previous_vocab))
+    pos_map = keep("positions", of_positions, lambda: vocab.build_pos_map(vocab.feature_stats(registry, learned(), key), feature_threshold, previous_vocab))
 
     def encoded() -> DataFrame:
         found = encode.encode_rows(parted(), pos_map, registry, key, keep=["split", "label", "rating", "target"]).where("has_feature")

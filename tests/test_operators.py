@@ -757,3 +757,36 @@ def test_histories_come_where_features_are_made(spark):
         assert rows(encode.encoded_text(encode.encode_rows(thin, pos, late, near_values=near), late), "sample_id", "field_name", "text") == rows(texts, "sample_id", "field_name", "text")
     only = late.tokens(thin, only=["movie_id"])
     assert {x.field_name for x in only.collect()} == {"movie_id"}
+
+
+def _with_odd_histories(spark):
+    """Samples and histories with ties in time, later and missing times, number 0, unknown genres, and users of one side only."""
+    kind = "user_id string, seq array<struct<item_id:string,rating:int,ts:bigint,genres:array<string>>>"
+    a = [("3", 5, 30, ["x", "y"]), ("0", 1, 20, ["y"]), ("9", None, 20, [None]), ("3", 2, 10, None), ("4", 4, 5, []), ("5", 3, None, ["x"])]
+    seqs = spark.createDataFrame([("a", a), ("b", [("3", 1, 7, ["x"])]), ("c", []), ("d", None), (None, [("8", 1, 1, ["z"])])], kind)
+    rows = [(i, u, t) for i, (u, t) in enumerate([("a", 30), ("a", 31), ("a", 20), ("a", 21), ("a", 5), ("a", 6), ("a", None), ("b", 8), ("b", 8), ("b", 7), ("c", 9), ("d", 9), ("e", 9), (None, 9)])]
+    return spark.createDataFrame(rows, "sample_id long, user_id string, time_stamp long"), seqs
+
+
+def test_features_of_single_elements_are_counted_once_an_element(spark):
+    df, seqs = _with_odd_histories(spark)
+    names = ["user_id", "context_time_hour", "user_rate_avg_continue", "user_movie_rate_ids", "user_movie_rate_genres"]
+    plain, once = (training.reading_histories(training.default_registry(names), seqs, *n) for n in ((), (200,)))
+    assert not plain.by_element() and [f.name for f in once.by_element()] == names[3:]
+    assert not training.reading_histories(training.default_registry(names), seqs, 201).by_element()  # longer than what id_list reads
+
+    def near(stats):
+        return sorted(((*r[:5], *[x if x is None else round(x, 9) for x in r[5:]]) for r in stats.collect()), key=repr)
+
+    want = near(vocab.value_stats(plain.tokens(df)))
+    assert sum(r[4] for r in want if r[0] == "user_movie_rate_ids") == 15
+    assert near(vocab.feature_stats(once, df)) == want == near(vocab.feature_stats(plain, df))
+    assert vocab.feature_stats(once, df.limit(0)).count() == 0
+    for f in once.by_element():
+        f.build = lambda: F.lit("their rows are made").try_cast("array<int>")
+    only = training.reading_histories(training.default_registry(names[3:]), seqs, 200)
+    assert near(vocab.feature_stats(only, df)) == [r for r in want if r[0] in names[3:]]
+    # large values of small deviation don't cancel out
+    big = spark.createDataFrame([("a", [(1, 1e9 + i % 2, i, ["x"]) for i in range(9, -1, -1)])], "user_id string, seq array<struct<item_id:int,rating:double,ts:bigint,genres:array<string>>>")
+    late = training.reading_histories(training.default_registry(names[3:]), big, 200)
+    assert {round(r["m2"], 6) for r in vocab.feature_stats(late, spark.createDataFrame([(1, "a", 99)], "sample_id long, user_id string, time_stamp long")).collect()} == {2.5}
