@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recspark.llm import archives, jaccard_join, packing, pieces, quality_model, weighted_sampling
+from recspark.llm import archives, components, jaccard_join, packing, pieces, quality_model, weighted_sampling
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -28,6 +28,27 @@ def words_of(text):
 # ---- n-gram Jaccard join
 
 
+def test_rounds_of_few_links_shuffle_nothing_and_many_links_give_the_same(spark, monkeypatch):
+    rng = random.Random(5)
+    links = [(i + 1, i) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (300, 300)] + [(rng.randrange(400, 500), rng.randrange(400, 500)) for _ in range(60)]
+    least = {x: x for p in links for x in p}
+    for _ in links:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    df, plans, kept = spark.createDataFrame(links, "a long, b long").repartition(5), [], components.written
+
+    def watched(rows, name):
+        plans.append((name, rows._jdf.queryExecution().executedPlan().toString()))
+        return kept(rows, name)
+
+    monkeypatch.setattr(components, "written", watched)
+    for few, shuffled in ((components.FEW_LINKS, False), (0, True)):
+        monkeypatch.setattr(components, "FEW_LINKS", few)
+        plans.clear()
+        assert dict(map(tuple, components.components(df).collect())) == least
+        assert {"Exchange hashpartitioning" in plan for name, plan in plans if name == "stars"} == {shuffled}
+
+
 def brute_groups(texts, n, percent):
     sets = []
     for t in texts:
