@@ -185,13 +185,19 @@ def _edited_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _range_of(value, cuts: list[int]):
-    """How many of the sorted cuts lie below a value, by halving; 0 for null."""
-    place, step = F.lit(0), 1 << max(0, len(cuts).bit_length() - 1)
-    array = F.array(*[F.lit(int(c)).cast("long") for c in cuts])
-    while step and cuts:
-        place = F.when(F.coalesce(F.get(array, place + (step - 1)) < value, F.lit(False)), place + step).otherwise(place)
-        step //= 2
-    return place.cast("int")
+    """How many of the sorted cuts lie below a value, by halving; 0 for null.
+
+    The cuts are one literal and a step reads the place before it as a variable, so the expression's size doesn't grow with the steps.
+    """
+    if not cuts:
+        return F.lit(0)
+    array = F.split(F.lit(",".join(str(int(c)) for c in cuts)), ",").cast("array<bigint>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+
+    def halved(place, step):
+        return F.when(F.coalesce(F.get(array, place + (step - 1)) < value, F.lit(False)), place + step).otherwise(place)
+
+    return F.aggregate(steps, F.lit(0), halved)
 
 
 def compare_with_edits(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

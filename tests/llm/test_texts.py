@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -200,6 +201,17 @@ def test_fingerprints_estimate_generalised_jaccard(spark):
     assert [r.near_next for r in weighted_sampling.compare_with_edits(docs_of(spark, ["x y"])).collect()] == [1.0]
 
 
+def test_ranges_of_many_cuts_are_found_by_a_small_expression(spark):
+    """The expression grew threefold with each step, and held the cuts each time: 250 buckets took more than the driver's memory."""
+    cuts = [3 * i - 500 for i in range(63)]
+    assert len(str(weighted_sampling._range_of(F.col("v"), cuts))) < 2000
+    for cuts in ([], [7], [3 * i - 500 for i in range(8191)]):
+        got = spark.range(-600, 25_000, 97).select("id", weighted_sampling._range_of(F.col("id"), cuts).alias("at")).collect()
+        assert [r["at"] for r in got] == [bisect_left(cuts, r["id"]) for r in got]
+    nulls = spark.range(1).select(weighted_sampling._range_of(F.lit(None).cast("long"), [-1, 5]).alias("at")).first()
+    assert nulls["at"] == 0
+
+
 # ---- classifier
 
 
