@@ -31,6 +31,10 @@ class Feature:
     depends: tuple[str, ...] = ()
     #: For a feature whose values are those of the history's elements, in their order: the token of one element, null if it has none.
     element: Callable[[Column], Column] | None = None
+    #: For a default feature of a history: what ``history_stats`` counts in place of its tokens, and the days of its window.
+    counted: tuple[str, int | None] | None = None
+    #: The columns, or fields ``column.field``, that alone decide the tokens, if known.
+    reads: tuple[str, ...] | None = None
 
 
 @dataclass
@@ -41,9 +45,10 @@ class Registry:
     #: user_id and ``seq``, of which rows have what lies before their time_stamp as history; known where histories come to rows late and ELEMENTS bounds them.
     histories: DataFrame | None = None
 
-    def register(self, name: str, index: int, kind: int, build: Callable[[], Column], enabled: bool = True, element: Callable[[Column], Column] | None = None) -> None:
-        """The extension point: any builder of a token column. With ``element``, ``build`` must give the tokens of the history's elements that aren't null."""
-        self.features.append(Feature(name, index, kind, build, enabled, (), element))
+    def register(self, name: str, index: int, kind: int, build: Callable[[], Column], enabled: bool = True, element: Callable[[Column], Column] | None = None, counted: tuple[str, int | None] | None = None, reads: tuple[str, ...] | None = None) -> None:
+        """The extension point: any builder of a token column. With ``element``, ``build`` must give the tokens of the history's elements that aren't null;
+        with ``counted``, it must be the default builder of that; with ``reads``, it must read nothing else."""
+        self.features.append(Feature(name, index, kind, build, enabled, (), element, counted, reads))
 
     def cross(self, name: str, index: int, depends: Iterable[str], enabled: bool = False) -> None:
         self.features.append(Feature(name, index, CATEGORICAL, None, enabled, tuple(depends)))
@@ -57,6 +62,12 @@ class Registry:
         """Active features that can be made once an element of ``histories``, not once a row."""
         return [f for f in self.active() if f.element is not None] if self.histories is not None else []
 
+    def by_history(self) -> list[Feature]:
+        """Other active features that can be counted over ``histories`` without making tokens. That reads all histories once more, so it is for
+        registries in which some of them have a list of values a row."""
+        found = [f for f in self.active() if f.counted is not None and f.element is None] if self.histories is not None else []
+        return found if any(f.counted[0] in LISTS for f in found) else []
+
     def output_columns(self) -> list[str]:
         return [f"{f.name}_{part}" for f in self.active() for part in ("raw", "index", "value")]
 
@@ -192,6 +203,27 @@ def _pair(right: Column):
 WINDOW_DAYS = {"": None, "_7day": 7, "_15day": 15, "_30day": 30}
 
 
+#: Of ``default_builders``: what ``history_stats`` counts, by name.
+DEFAULT_COUNTED: dict[str, tuple[str, int | None]] = {"user_top3_genres": ("top3", None), "user_same_genre_avg_rate": ("same", None), "user_same_genre_avg_rate_continue": ("same_value", None)}
+for _tag, _d in WINDOW_DAYS.items():
+    for _what, _name in (("std", f"user_rate_std{_tag}"), ("avg", f"user_rate_avg{_tag}"), ("cnt", f"user_movie_rate{_tag}_cnt")):
+        DEFAULT_COUNTED |= {_name: (_what, _d), f"{_name}_continue": (f"{_what}_value", _d)}
+for _d in (None, 1, 3, 7, 15):
+    _one, _many = ("", "") if _d is None else (f"_{_d}day", f"_{_d}days")
+    DEFAULT_COUNTED |= {f"user_movie_rate_id{_many or 's'}": ("id", _d), f"user_movie_rate_genre{_many or 's'}": ("first_genre", _d)}
+    DEFAULT_COUNTED |= {f"user_genres_rate{_one}": ("genre_avg", _d), f"user_genres_rate_cnt{_many or 's'}": ("genre_cnt", _d), f"user_watch_same_genre{_one}": ("watched", _d)}
+#: Of ``default_builders``: what the features of the row's user, item and time read.
+DEFAULT_READS: dict[str, tuple[str, ...]] = {
+    "user_id": ("user_id",), "user_age": ("user_profile.age",), "user_gender": ("user_profile.gender",), "user_occupation": ("user_profile.occupation",), "user_zip_code": ("user_profile.zip_code",),
+    "movie_id": ("item_id",), "movie_title": ("item_feature.title",), "movie_genres": ("item_feature.genres",), "movie_rate_count": ("item_feature.rate_count",),
+    "movie_rate_avg": ("item_feature.avg_rate",), "movie_rate_avg_continue": ("item_feature.avg_rate",), "movie_genre_cnt": ("item_feature.genres",),
+    "item_hot_rank": ("item_feature.hot_rank",), "movie_publish_year": ("item_feature.title",),
+    "context_time_hour": ("time_stamp",), "context_time_area": ("time_stamp",), "context_time_week": ("time_stamp",), "context_is_weekend": ("time_stamp",),
+}
+#: What of ``DEFAULT_COUNTED`` has a list of values a row.
+LISTS = {"id", "first_genre", "genre_avg", "genre_cnt"}
+
+
 def with_windows(df: DataFrame) -> DataFrame:
     """``df`` with its history's windows, their means and deviations, and their genre statistics, which ``default_builders`` read.
 

@@ -5,11 +5,14 @@ A vocabulary entry is (field_index, key); its hash is attached for output only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.operators import history_stats
 from recspark.operators.indexing import global_index
-from recspark.operators.registry import Feature, Registry
+from recspark.operators.registry import TOKEN, Feature, Registry
 from recspark.sources.scratch import written
 
 EPSILON = 1e-6
@@ -25,18 +28,28 @@ def value_stats(tokens: DataFrame) -> DataFrame:
 
 
 def feature_stats(registry: Registry, rows: DataFrame, key: str = "sample_id") -> DataFrame:
-    """``value_stats`` of the tokens of ``rows``. Features of single elements of a history are counted once an element."""
-    once = registry.by_element()
-    names = {f.name for f in once}
-    rest = [f.name for f in registry.active() if f.name not in names]
-    parts = [value_stats(registry.tokens(rows, key, rest))] if rest or not once else []
-    if once:
-        parts.append(_element_stats(rows, registry.histories, once))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
+    """``value_stats`` of the tokens of ``rows``. Features of single elements of a history are counted once an element, others of a history without tokens.
 
-def _element_stats(rows: DataFrame, histories: DataFrame, features: list[Feature]) -> DataFrame:
-    """``value_stats`` of the elements before each row, of which none is made for a row: an element counts as often as its user has rows that are later.
+    Where no other feature is left that reads the history, the others' tokens are made once for all rows alike in what they read.
+    """
+    once, counted = registry.by_element(), registry.by_history()
+    names = {f.name for f in [*once, *counted]}
+    rest = [f for f in registry.active() if f.name not in names]
+    partial = [_element_partials(rows, registry.histories, once)] if once else []
+    parts = []
+    if rest and registry.histories is not None and all(f.reads for f in rest):
+        partial.append(_alike_partials(rows, rest))
+    elif rest or not names:
+        parts.append(value_stats(registry.tokens(rows, key, [f.name for f in rest])))
+    if counted:
+        partial.append(history_stats.partial_stats(rows, registry.histories, counted))
+    if partial:
+        parts.append(_pooled(written(reduce(DataFrame.unionByName, partial), "partial")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _element_partials(rows: DataFrame, histories: DataFrame, features: list[Feature]) -> DataFrame:
+    """Partial rows of the elements before each row, of which none is made for a row: an element counts as often as its user has rows that are later.
 
     Rows are counted by the place where their history begins, of which a user has as many as elements.
     """
@@ -49,23 +62,52 @@ def _element_stats(rows: DataFrame, histories: DataFrame, features: list[Feature
     elements = elements.select("e", F.coalesce(F.sum("begun").over(until), F.lit(0)).alias("n")).where("n > 0")
     made = [F.struct(F.lit(f.name).alias("field_name"), F.lit(f.index).alias("field_index"), F.lit(f.kind).alias("field_type"), f.element(F.col("e")).alias("t")) for f in features]
     tokens = elements.select("n", F.explode(F.array(*made)).alias("f")).where("f.t is not null")
+    return _weighted_partials(tokens.select("f.field_name", "f.field_index", "f.field_type", "f.t.key", "f.t.value", "n"))
+
+
+def _alike_partials(rows: DataFrame, features: list[Feature]) -> DataFrame:
+    """Partial rows of features of named columns: one pass counts the rows of each value of each column, or of the read fields of a struct, and a value makes its tokens once."""
+    fields: dict[str, list[str]] = {}
+    for name in sorted({name for f in features for name in f.reads}):
+        top, _, inner = name.partition(".")
+        fields.setdefault(top, []).append(inner)
+    sets = sorted({tuple(sorted({name.partition(".")[0] for name in f.reads})) for f in features})
+    kept = {top: F.col(top) if "" in inner else F.when(F.col(top).isNotNull(), F.struct(*[F.col(f"{top}.{i}").alias(i) for i in inner])).alias(top) for top, inner in fields.items()}
+    rows = rows.select(*[c.alias(top) for top, c in kept.items()])
+    dealt = rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in fields]).agg(F.grouping_id().alias("set"), F.count(F.lit(1)).alias("n"))
+    # a bit of the set's number is 1 for a column that isn't in it, the first column's the highest
+    numbers = {s: sum(1 << (len(fields) - 1 - i) for i, c in enumerate(fields) if c not in s) for s in sets}
+    made = []
+    for f in features:
+        mine = F.col("set") == numbers[tuple(sorted({name.partition(".")[0] for name in f.reads}))]
+        made.append(F.struct(F.lit(f.name).alias("field_name"), F.lit(f.index).alias("field_index"), F.lit(f.kind).alias("field_type"), F.when(mine, f.build().cast(TOKEN)).alias("list")))
+    tokens = dealt.select("n", F.explode(F.array(*made)).alias("f")).select("n", "f.field_name", "f.field_index", "f.field_type", F.explode("f.list").alias("t"))
+    return _weighted_partials(tokens.select("field_name", "field_index", "field_type", "t.key", "t.value", "n"))
+
+
+def _weighted_partials(tokens: DataFrame) -> DataFrame:
+    """Partial rows of tokens that each stand for n."""
+    by = ["field_name", "field_index", "field_type", "key"]
+    values = tokens.groupBy(*by, "value").agg(F.sum("n").alias("n"))
+    n, v = F.col("n"), F.col("value")
+    return values.select(
+        *by, "n", F.when(v.isNull(), 0).otherwise(n).alias("valued"), (n * v).alias("sum"), (n * v * v).alias("sum_sq"), v.alias("mean"), F.when(v.isNotNull(), 0.0).alias("m2")
+    )
+
+
+def _pooled(partial: DataFrame) -> DataFrame:
+    """``value_stats`` of partial rows (``history_stats.PARTIAL``), which are read twice."""
     by = ["field_name", "field_index", "field_type", "key"]
-    values = tokens.select(*[f"f.{c}" for c in by[:3]], "f.t.key", "f.t.value", "n").groupBy(*by, "value").agg(F.sum("n").alias("n"))
-    values = written(values, "values")
-    # squares are summed around a mean of the key's values, as large values would cancel out
-    centers = values.groupBy(*by).agg(F.avg("value").alias("center"))
+    # squares are summed around a mean of the key's means, as large values would cancel out
+    centers = partial.groupBy(*by).agg(F.avg("mean").alias("center"))
     same = F.lit(True)
     for c in by:
         same = same & F.col(f"v.{c}").eqNullSafe(F.col(f"c.{c}"))
-    around = values.alias("v").join(centers.alias("c"), same).select("v.*", "center").withColumn("off", F.col("value") - F.col("center"))
-    n, v, off = F.col("n"), F.col("value"), F.col("off")
-    valued = F.sum(F.when(v.isNotNull(), n))
+    around = partial.alias("v").join(centers.alias("c"), same).select("v.*", "center").withColumn("off", F.col("mean") - F.col("center"))
+    n, valued, off = F.sum("n"), F.nullif(F.sum("valued"), F.lit(0)), F.col("off")
+    spread = F.sum(F.col("m2") + F.col("valued") * off * off) / valued - F.pow(F.sum(F.col("valued") * off) / valued, F.lit(2))
     return around.groupBy(*by).agg(
-        F.sum(n).alias("cnt"),
-        F.sum(n * v).alias("sum"),
-        F.sum(n * v * v).alias("sum_sq"),
-        (F.sum(n * v) / valued).alias("mean"),
-        F.when(valued > 0, F.greatest(F.sum(n * off * off) / valued - F.pow(F.sum(n * off) / valued, F.lit(2)), F.lit(0.0)) * F.sum(n)).alias("m2"),
+        n.alias("cnt"), F.sum("sum").alias("sum"), F.sum("sum_sq").alias("sum_sq"), (F.sum("sum") / valued).alias("mean"), F.when(valued.isNotNull(), F.greatest(spread, F.lit(0.0)) * n).alias("m2")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recspark.operators import clean, encode, quality, sequences, split, vocab, windows
 from recspark.operators.point_in_time import sequences_before
-from recspark.operators.registry import CATEGORICAL, CONTINUOUS, DEFAULT_ELEMENTS, ELEMENTS, Registry, default_builders, with_windows
+from recspark.operators.registry import CATEGORICAL, CONTINUOUS, DEFAULT_COUNTED, DEFAULT_ELEMENTS, DEFAULT_READS, ELEMENTS, Registry, default_builders, with_windows
 from recspark.plans.stages import Stages, source_digest
 from recspark.sources import sinks
 from recspark.sources.scratch import written
@@ -90,7 +90,7 @@ def default_registry(only: list[str] | None = None, crosses: list[str] | None =
         all_ |= {n: (first + step * k, kind) for k, n in enumerate(names)}
     for name, (index, kind) in all_.items():
         if only is None or name in only:
-            out.register(name, index, kind, builders[name], element=DEFAULT_ELEMENTS.get(name))
+            out.register(name, index, kind, builders[name], element=DEFAULT_ELEMENTS.get(name), counted=DEFAULT_COUNTED.get(name), reads=DEFAULT_READS.get(name))
     for name, (index, depends) in CROSSES.items():
         out.cross(name, index, depends, name in (crosses or []))
     return out

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.functions.hashing import hash_bytes, hash_keys
-from recspark.operators import clean, encode, evaluate, indexing, point_in_time, quality, registry, sampling, sequences, split, vocab, windows
+from recspark.operators import clean, encode, evaluate, history_stats, indexing, point_in_time, quality, registry, sampling, sequences, split, vocab, windows
 from recspark.operators.indexing import global_index, running_sums
 from recspark.operators.registry import load
 from recspark.plans import training
@@ -768,6 +768,37 @@ def _with_odd_histories(spark):
     return spark.createDataFrame(rows, "sample_id long, user_id string, time_stamp long"), seqs
 
 
+@pytest.mark.parametrize("genres", [4, 900])
+def test_default_features_are_counted_without_tokens_of_rows(spark, genres):
+    """Feature statistics of all default features made some 300 tokens a row. Here times lie half days apart, so that windows end at elements."""
+    rng, day, names = random.Random(genres), 86400, [*[f"g{i}" for i in range(genres)], None]
+    some = lambda: None if rng.random() < 0.1 else [rng.choice(names) for _ in range(rng.randrange(4))]
+    when = lambda: None if rng.random() < 0.05 else rng.randrange(80) * day // 2
+    seqs = [(str(u), [(rng.choice(["0", "007", "x", *"123456"]), None if rng.random() < 0.02 else rng.randrange(8) / 2, when(), some()) for _ in range(2 * u)]) for u in range(12)]
+    seqs = spark.createDataFrame([*[(u, sorted(seq, key=lambda e: -(e[2] or 0))) for u, seq in seqs], ("none", None)], "user_id string, seq array<struct<item_id:string,rating:double,ts:bigint,genres:array<string>>>")
+    users = [*[str(u) for u in range(12)], "none", "unknown", None]
+    profile = lambda: None if rng.random() < 0.1 else (rng.choice(["M", "F", None]), rng.choice(["0", "25", "x", None]), rng.choice(["0", "3"]), "z")
+    item = lambda: None if rng.random() < 0.1 else (rng.choice(["A b (1999)", "A", "", None]), some(), rng.choice([0, 7, None]), rng.choice([2.5, 0.0, None]), rng.choice([1, 300, None]))
+    rows = [(i, rng.choice(users), rng.choice(["0", "1", "02", "x", None]), when(), profile(), item()) for i in range(150)]
+    kind = "sample_id long, user_id string, item_id string, time_stamp long, user_profile struct<gender:string,age:string,occupation:string,zip_code:string>,"
+    df = spark.createDataFrame(rows, kind + "item_feature struct<title:string,genres:array<string>,rate_count:long,avg_rate:double,hot_rank:long>")
+    plain, late = (training.reading_histories(training.default_registry(), seqs, *n) for n in ((), (200,)))
+    assert not plain.by_history() and len(late.by_history()) == 50
+
+    def near(stats):
+        return sorted(((*r[:5], *[x if x is None else round(x, 7) + 0.0 for x in r[5:]]) for r in stats.collect()), key=repr)
+
+    want = near(vocab.value_stats(plain.tokens(df)))
+    assert {r[0] for r in want} == {f.name for f in late.active()}
+    counted = {f.name for f in late.by_history()}
+    narrow = vocab._pooled(history_stats.partial_stats(df, seqs, late.by_history(), 5))
+    assert near(narrow) == [r for r in want if r[0] in counted]
+    for f in late.by_history():
+        f.build = lambda: F.lit("their rows are made").try_cast("array<int>")
+    assert near(vocab.feature_stats(late, df)) == want
+    assert vocab.feature_stats(late, df.limit(0)).count() == 0
+
+
 def test_features_of_single_elements_are_counted_once_an_element(spark):
     df, seqs = _with_odd_histories(spark)
     names = ["user_id", "context_time_hour", "user_rate_avg_continue", "user_movie_rate_ids", "user_movie_rate_genres"]
