@@ -19,7 +19,7 @@ from recspark.operators.registry import Feature, item_token
 
 PARTIAL = "field_name string, field_index int, field_type int, key string, n long, valued long, sum double, sum_sq double, mean double, m2 double"
 #: Elements of a slice's sequences, or those of a single row.
-SLICE = 1 << 18
+SLICE = 1 << 17
 
 #: What is made of a window's ratings.
 OF_WINDOWS = {"std", "std_value", "avg", "avg_value", "cnt", "cnt_value"}
@@ -212,7 +212,8 @@ def partial_stats(rows: DataFrame, histories: DataFrame, features: list[Feature]
         )
 
     seqs = histories.select("user_id", F.transform("seq", element).alias("seq"))
-    with_seq = rows.select("user_id", F.col("time_stamp").cast("long").alias("now"), asked.alias("genres")).join(seqs.hint("merge"), "user_id", "left").select("now", "genres", "seq")
+    with_seq = rows.select("user_id", F.col("time_stamp").cast("long").alias("now"), asked.alias("genres")).join(seqs.hint("merge"), "user_id", "left")
+    with_seq = with_seq.select("now", "genres", X.within(F.col("seq"), F.col("now"), None).alias("seq"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
